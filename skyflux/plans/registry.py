@@ -15,10 +15,18 @@ ORACLES: dict[str, str] = {}
 DECIMALS = 6
 
 
+def round_col(c, decimals: int = DECIMALS):
+    """floor(x * 10^d + 0.5) / 10^d on doubles: the same IEEE steps in both
+    engines, so equal inputs give bit-equal outputs (ties included)."""
+    x = c.cast("double")
+    s = float(10 ** decimals)
+    return F.when(F.abs(x) < 1e15, F.floor(x * F.lit(s) + F.lit(0.5)).cast("double") / F.lit(s)).otherwise(x)
+
+
 def rounded(df: DataFrame, decimals: int = DECIMALS) -> DataFrame:
     """Round every float/double column (the oracle does the same)."""
     return df.select(*[
-        F.round(F.col(f.name).cast("double"), decimals).alias(f.name)
+        round_col(F.col(f.name), decimals).alias(f.name)
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f.name)
         for f in df.schema.fields])
 
@@ -26,7 +34,11 @@ def rounded(df: DataFrame, decimals: int = DECIMALS) -> DataFrame:
 def round_sql(sql: str, cols: list[str], decimals: int = DECIMALS) -> str:
     if not cols:
         return sql
-    rep = ", ".join(f"round(CAST({c} AS DOUBLE), {decimals}) AS {c}" for c in cols)
+    s = f"CAST({10 ** decimals} AS DOUBLE)"
+    rep = ", ".join(
+        f"CASE WHEN abs(CAST({c} AS DOUBLE)) < 1e15 THEN "
+        f"CAST(floor(CAST({c} AS DOUBLE) * {s} + CAST(0.5 AS DOUBLE)) AS DOUBLE) / {s} "
+        f"ELSE CAST({c} AS DOUBLE) END AS {c}" for c in cols)
     return f"SELECT * REPLACE ({rep}) FROM (\n{sql}\n) __q"
 
 
