@@ -168,3 +168,35 @@ def targets_candidates(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Dat
     t = p.select(F.col("p_partkey").alias("target_id"), (F.col("p_size") / 1000.0).alias("x"))
     c = p.select(F.col("p_partkey").alias("cand_id"), ((F.col("p_retailprice") - 900.0) / 4000.0).alias("x"))
     return t, c
+
+
+def class_map_ev(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """gentype -> true (leaf) class id, from the model types present in truth."""
+    t = truth_ev(spark, sf_dir)
+    return (t.select(F.col("GENTYPE").alias("gentype")).distinct()
+            .withColumn("classId", (F.lit(2222) + F.col("gentype") % 5).cast("int")))
+
+
+def messages_resent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages with an ingest time, plus a later re-send of those with label 1."""
+    e = table(spark, sf_dir, "embeddings").select("vec_id", "label")
+    m = messages_emb(spark, sf_dir).join(e.withColumnRenamed("vec_id", "messageId"), "messageId")
+    t0 = F.expr("TIMESTAMP_NTZ'2024-01-01 00:00:00'")
+    base = m.select("messageId", "diaSourceId", "classifierId", "classifications",
+                    F.timestamp_add("SECOND", F.col("messageId"), t0).alias("brokerIngestTimestamp"),
+                    F.lit("orig").alias("version"), "label")
+    again = (base.filter(F.col("label") == 1)
+             .withColumn("messageId", F.col("messageId") + 1_000_000)
+             .withColumn("brokerIngestTimestamp", F.timestamp_add("HOUR", F.lit(1), F.col("brokerIngestTimestamp")))
+             .withColumn("version", F.lit("resend")))
+    return base.unionByName(again).drop("label")
+
+
+def messages_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages carrying the four classifier identity strings."""
+    e = table(spark, sf_dir, "embeddings")
+    return e.select(F.col("vec_id").alias("messageId"),
+                    F.concat(F.lit("broker"), (F.col("label") % 2).cast("string")).alias("brokerName"),
+                    F.concat(F.lit("v"), (F.col("vec_id") % 3).cast("string")).alias("brokerVersion"),
+                    F.concat(F.lit("clf"), (F.col("vec_id") % 3).cast("string")).alias("classifierName"),
+                    F.concat(F.lit("p"), (F.col("label") % 3).cast("string")).alias("classifierParams"))

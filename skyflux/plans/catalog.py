@@ -5,6 +5,7 @@ from skyflux.plans import registry
 _MODULES = [
     "skyflux.plans.q_lightcurves",
     "skyflux.plans.q_features",
+    "skyflux.plans.q_classification",
 ]
 
 
