@@ -6,6 +6,7 @@ _MODULES = [
     "skyflux.plans.q_lightcurves",
     "skyflux.plans.q_features",
     "skyflux.plans.q_classification",
+    "skyflux.plans.q_alerts",
 ]
 
 
