@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyflux.functions.photometry import has_flag
+from skyflux.operators.intervals import interval_join
 from skyflux.schemas import PHOTFLAG_DETECT, SEPARATOR_SNID
 
 
@@ -17,30 +18,25 @@ from skyflux.schemas import PHOTFLAG_DETECT, SEPARATOR_SNID
 def assign_object_ids(phot: DataFrame, head: DataFrame, key: str = "SNID",
                       idx: str = "row_idx", file: str = "file_num",
                       ptr_min: str = "PTROBS_MIN", ptr_max: str = "PTROBS_MAX",
-                      bucket: int = 4096, keep_separators: bool = False) -> DataFrame:
+                      bucket: int = 32, keep_separators: bool = False) -> DataFrame:
     """Give every photometry row its object: same ``file`` and
     ``PTROBS_MIN - 1 <= idx < PTROBS_MAX`` (1-based inclusive pointers).
 
-    Range join as a bucketed equi-join: each HEAD interval is exploded into the
-    ``bucket``-wide index blocks it covers, photometry rows carry their block, the
-    join is an equi-join on (file, block) plus the range check. No nested loop,
-    and no key holds more than ``bucket`` photometry rows, whatever the object
-    sizes. Rows outside every interval (separators) are dropped, or kept with
-    key -999 when ``keep_separators``."""
-    lo = F.col(ptr_min).cast("long") - 1
-    hi = F.col(ptr_max).cast("long")                  # exclusive
-    b0, b1 = F.floor(F.col("__lo") / bucket), F.floor((F.col("__hi") - 1) / bucket)
-    iv = (head.select(F.col(file).alias("__f"), F.col(key).alias("__k"),
-                      lo.alias("__lo"), hi.alias("__hi"))
-          .filter(F.col("__hi") > F.col("__lo"))
-          .withColumn("__b", F.explode(F.sequence(b0.cast("long"), b1.cast("long")))))
-    p = phot.withColumn("__b", F.floor(F.col(idx) / bucket).cast("long"))
-    cond = ((p[file] == iv["__f"]) & (p["__b"] == iv["__b"])
-            & (p[idx] >= iv["__lo"]) & (p[idx] < iv["__hi"]))
-    how = "left" if keep_separators else "inner"
-    out = p.join(iv, cond, how)
-    kcol = F.coalesce(F.col("__k"), F.lit(SEPARATOR_SNID).cast("long")) if keep_separators else F.col("__k")
-    return out.select(kcol.alias(key), *[F.col(c) for c in phot.columns if c != key])
+    A range join written as a bucketed equi-join (``interval_join``): HEAD
+    intervals are exploded into the ``bucket``-wide index blocks they cover, so
+    the join key is (file, block). With blocks shorter than a typical curve,
+    candidate pairs stay close to the number of photometry rows, and no key
+    grows with the size of a file or of an object. Rows outside every interval
+    (separators) are dropped, or kept with key -999 when ``keep_separators``."""
+    iv = head.select(F.col(file), F.col(key).alias("__k"),
+                     (F.col(ptr_min).cast("long") - 1).alias("__lo"),
+                     F.col(ptr_max).cast("long").alias("__hi"))
+    p = phot.drop(key) if key in phot.columns else phot
+    out = interval_join(p, iv, idx, "__lo", "__hi", by=[file], bucket=bucket,
+                        how="left" if keep_separators else "inner")
+    kcol = (F.coalesce(F.col("__k"), F.lit(SEPARATOR_SNID).cast("long")) if keep_separators
+            else F.col("__k"))
+    return out.select(kcol.alias(key), *[F.col(c) for c in p.columns])
 
 
 # ---------------------------------------------------------------- JOIN2/3/4

@@ -200,3 +200,57 @@ def messages_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.concat(F.lit("v"), (F.col("vec_id") % 3).cast("string")).alias("brokerVersion"),
                     F.concat(F.lit("clf"), (F.col("vec_id") % 3).cast("string")).alias("classifierName"),
                     F.concat(F.lit("p"), (F.col("label") % 3).cast("string")).alias("classifierParams"))
+
+
+def sky_ipix(ra: str = "ra", dec: str = "decl"):
+    """Fine sky pixel of a position on a 64 x 128 (dec x ra) grid."""
+    d = F.least(F.floor((F.col(dec) + 90.0) / 180.0 * 64), F.lit(63))
+    r = F.least(F.floor(F.col(ra) / 360.0 * 128), F.lit(127))
+    return (d * 128 + r).cast("long")
+
+
+def skymap_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probability sky maps, one per order priority: coarse pixels of 16 fine
+    pixels, weighted by order value (customer key picks the pixel)."""
+    o = table(spark, sf_dir, "orders")
+    w = (o.groupBy(F.col("o_orderpriority").alias("map_id"), (F.col("o_custkey") % 512).alias("p"))
+         .agg(F.sum("o_totalprice").alias("w")))
+    tot = w.groupBy("map_id").agg(F.sum("w").alias("tot"))
+    return (w.join(tot, "map_id")
+            .select("map_id", (F.col("p") * 16).alias("pix_lo"), (F.col("p") * 16 + 16).alias("pix_hi"),
+                    (F.col("w") / F.col("tot")).alias("prob"), F.lit(16.0).alias("area")))
+
+
+def sim_inspiral(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Injections from orders (one per order)."""
+    o = table(spark, sf_dir, "orders")
+    m1 = F.lit(1.0) + F.col("o_totalprice") / 500000.0
+    return o.select(F.col("o_orderkey").alias("simulation_id"), m1.alias("mass1"),
+                    (m1 * 0.8).alias("mass2"), F.lit(0.0).alias("spin1x"), F.lit(0.0).alias("spin1y"),
+                    F.lit(0.0).alias("spin1z"), (F.lit(40.0) + F.col("o_custkey") % 400).alias("distance"),
+                    F.concat(F.lit("GAL"), F.col("o_custkey").cast("string")).alias("source"),
+                    F.radians((F.col("o_orderkey") % 180).cast("double")).alias("inclination"))
+
+
+def coinc_inspiral(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coincidences from lineitem (one per order that has line items)."""
+    li = table(spark, sf_dir, "lineitem")
+    return (li.groupBy(F.col("l_orderkey").alias("coinc_event_id"))
+            .agg((F.sum("l_quantity") / 10.0).alias("snr"),
+                 F.when(F.count(F.lit(1)) > 3, "H1,L1,V1").otherwise("H1,L1").alias("ifos")))
+
+
+def template_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Template index -> (VK, LOGXLAN, LOGMASS): the 329 parts with the lowest keys."""
+    p = table(spark, sf_dir, "part")
+    return (p.filter(F.col("p_partkey") <= 329)
+            .select(F.col("p_partkey").cast("int").alias("index"), (F.col("p_size") / 100.0).alias("VK"),
+                    (F.lit(-1.0) - (F.col("p_size") % 9)).alias("LOGXLAN"),
+                    (F.lit(-3.0) + (F.col("p_retailprice") - 900.0) / 50.0).alias("LOGMASS")))
+
+
+def head_kn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kilonova HEAD rows from customer."""
+    t = truth_ev(spark, sf_dir)
+    return t.select("SNID", (F.col("SNID") % 400).cast("int").alias("SIM_TEMPLATE_INDEX"),
+                    (F.col("ZCMB") - 0.05).alias("REDSHIFT_FINAL"))

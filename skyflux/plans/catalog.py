@@ -7,6 +7,7 @@ _MODULES = [
     "skyflux.plans.q_features",
     "skyflux.plans.q_classification",
     "skyflux.plans.q_alerts",
+    "skyflux.plans.q_sky_gw",
 ]
 
 
