@@ -8,6 +8,7 @@ _MODULES = [
     "skyflux.plans.q_classification",
     "skyflux.plans.q_alerts",
     "skyflux.plans.q_sky_gw",
+    "skyflux.plans.q_sources",
 ]
 
 

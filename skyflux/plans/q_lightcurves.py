@@ -267,3 +267,29 @@ SELECT DISTINCT BAND FROM bulk_li WHERE BAND NOT IN ('u', 'g', 'r', 'i', 'z', 'Y
 def q_unknown_bands(spark, d):
     """FLT9: bands of the bulk table missing from the band dimension."""
     return flt.unknown_bands(B.bulk_li(spark, d))
+
+
+@query("bulk_nest_lightcurves", with_(BULK_LI) + """
+SELECT SNID, count(*) AS npts,
+       count(*) FILTER (WHERE FLUXCAL / FLUXCALERR >= 5) AS ndets,
+       string_agg(CAST(obs_id AS VARCHAR), ',' ORDER BY BAND, MJD, FLUXCAL, FLUXCALERR, PHOTFLAG, obs_id) AS obs_ids
+FROM bulk_li GROUP BY SNID""")
+def q_bulk_nest_lightcurves(spark, d):
+    """AGG1 + AGG4 at bench size (lineitem as photometry; full-row order)."""
+    n = lc.nest_lightcurves(B.bulk_li(spark, d))
+    n = lc.snr_detection_counts(n)
+    return n.select("SNID", F.size("MJD").cast("long").alias("npts"), F.col("ndets").cast("long").alias("ndets"),
+                    F.array_join(F.col("obs_id").cast("array<string>"), ",").alias("obs_ids"))
+
+
+@query("bulk_detection_counts", with_(BULK_LI, TRUTH_EV) + """
+SELECT o.o_custkey AS SNID_cust, count(*) AS n_points, count(DISTINCT b.SNID) AS n_orders,
+       count(*) FILTER (WHERE b.FLUXCAL / b.FLUXCALERR >= 5000) AS n_bright
+FROM bulk_li b JOIN orders o ON b.SNID = o.o_orderkey GROUP BY o.o_custkey""")
+def q_bulk_detection_counts(spark, d):
+    """Bench-size fact-to-fact join (lineitem x orders) with aggregation per customer."""
+    b = B.bulk_li(spark, d)
+    o = B.table(spark, d, "orders").select(F.col("o_orderkey").alias("SNID"), F.col("o_custkey").alias("SNID_cust"))
+    j = b.join(o, "SNID")
+    return j.groupBy("SNID_cust").agg(F.count(F.lit(1)).alias("n_points"), F.countDistinct("SNID").alias("n_orders"),
+                                      F.count(F.when(F.col("FLUXCAL") / F.col("FLUXCALERR") >= 5000, 1)).alias("n_bright"))
