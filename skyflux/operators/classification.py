@@ -4,8 +4,6 @@ AGG11-AGG16, WIN5, WIN6)."""
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -125,9 +123,23 @@ def classify(alerts: DataFrame, classifier: Classifier, alert_id: str = "alertId
         classifier.classifications(alerts).alias("classifications"))
 
 
-def classify_all(alerts: DataFrame, classifiers: list[Classifier], **kw) -> DataFrame:
-    """SET4: every classifier sees every alert; outputs are unioned."""
-    return reduce(lambda a, b: a.unionByName(b), [classify(alerts, c, **kw) for c in classifiers])
+def classify_all(alerts: DataFrame, classifiers: list[Classifier], alert_id: str = "alertId",
+                 source_id: str = "diaSourceId", publish_ts: str | None = None) -> DataFrame:
+    """SET4: every classifier sees every alert; one pass over the input (the
+    per-classifier messages are an array that is exploded), batch or stream."""
+    pub = F.col(publish_ts).cast("timestamp") if publish_ts else F.lit(None).cast("timestamp")
+    msgs = F.array(*[F.struct(F.lit(c.broker_name).alias("brokerName"),
+                              F.lit(c.broker_version).alias("brokerVersion"),
+                              F.lit(c.classifier_name).alias("classifierName"),
+                              F.lit(c.classifier_params).alias("classifierParams"),
+                              c.classifications(alerts).alias("classifications"))
+                     for c in classifiers])
+    x = alerts.select(F.col(alert_id).cast("long").alias("alertId"),
+                      F.col(source_id).cast("long").alias("diaSourceId"),
+                      pub.alias("elasticcPublishTimestamp"),
+                      F.current_timestamp().alias("brokerIngestTimestamp"),
+                      F.explode(msgs).alias("__m"))
+    return x.select("alertId", "diaSourceId", "elasticcPublishTimestamp", "brokerIngestTimestamp", "__m.*")
 
 
 def alert_truth(messages: DataFrame, sources: DataFrame, truth: DataFrame, class_map: DataFrame,

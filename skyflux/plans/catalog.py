@@ -9,6 +9,7 @@ _MODULES = [
     "skyflux.plans.q_alerts",
     "skyflux.plans.q_sky_gw",
     "skyflux.plans.q_sources",
+    "skyflux.plans.q_streaming",
 ]
 
 
