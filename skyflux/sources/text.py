@@ -92,7 +92,7 @@ def read_template_index(spark: SparkSession, path: str) -> DataFrame:
     """SRC12: a JSON object keyed by the template index -> rows (index, VK,
     LOGXLAN, LOGMASS). The file is a bounded dimension (hundreds of keys), read
     as one text value and exploded."""
-    t = spark.read.option("wholetext", True).text(path)
+    t = spark.read.text(path, wholetext=True)
     m = t.select(F.explode(F.from_json("value", TEMPLATE_JSON)).alias("k", "v"))
     return m.select(F.col("k").cast("int").alias("index"), "v.VK", "v.LOGXLAN", "v.LOGMASS")
 
