@@ -28,38 +28,43 @@ def alert_history(sources: DataFrame, obj: str = "diaObjectId", mjd: str = "midP
 def build_alerts(sources: DataFrame, forced: DataFrame, objects: DataFrame | None = None,
                  lookback: float = 30.0, min_age: float = 1.0, obj: str = "diaObjectId",
                  mjd: str = "midPointTai", sid: str = "diaSourceId",
-                 alert_id: str | None = None) -> DataFrame:
+                 fid: str = "diaForcedSourceId", alert_id: str | None = None) -> DataFrame:
     """JOIN17: one alert per detection: the source, its object, all earlier
     sources, and, when the object's first detection is at least ``min_age`` days
     before this source, the forced photometry from ``lookback`` days before the
     first detection up to this source's time (inclusive; NULL otherwise).
 
-    The forced part is a join of eligible alerts with the object's forced
-    points in the time range (equi on object + range on mjd) and an
-    aggregation by alert; earlier sources come from a running window."""
+    Sources and forced points are unioned and ordered per object by time
+    (forced first on ties); one window pass gives, at each source, the earlier
+    sources and the forced points so far (a running prefix, since the lower
+    bound is fixed per object) and the object's first detection. One shuffle
+    by object; no self-join."""
     aid = alert_id or sid
-    src = alert_history(sources, obj, mjd, sid)
-    first = sources.groupBy(obj).agg(F.min(mjd).alias("__first"))
-    src = src.join(first, obj)
-    eligible = src.filter(F.col(mjd) - F.col("__first") >= min_age).select(
-        F.col(aid).alias("__aid"), F.col(obj).alias("__obj"), F.col(mjd).alias("__t"), "__first")
-    f = forced.select(F.col(obj).alias("__obj"), F.struct(*forced.columns).alias("__fs"),
-                      F.col(mjd).alias("__fm"))
-    fj = (eligible.join(f, "__obj")
-          .filter((F.col("__fm") >= F.col("__first") - lookback) & (F.col("__fm") <= F.col("__t")))
-          .groupBy("__aid")
-          .agg(F.array_sort(F.collect_list(F.struct(F.col("__fm").alias("m"), F.col("__fs").alias("s"))))
-               .alias("__f")))
-    out = (src.join(eligible.select("__aid"), src[aid] == F.col("__aid"), "left")
-           .withColumn("__elig", F.col("__aid").isNotNull()).drop("__aid")
-           .join(fj, src[aid] == fj["__aid"], "left"))
-    forced_arr = F.when(F.col("__elig"),
-                        F.coalesce(F.transform("__f", lambda x: x["s"]),
-                                   F.array().cast(f"array<{f.schema['__fs'].dataType.simpleString()}>")))
-    src_cols = [c for c in sources.columns]
-    res = out.select(F.col(aid).alias("alertId") if aid != "alertId" else F.col("alertId"),
-                     F.struct(*[F.col(c) for c in src_cols]).alias("diaSource"),
-                     "prvDiaSources", forced_arr.alias("prvDiaForcedSources"), F.col(obj).alias("__o"))
+    s_cols, f_cols = sources.columns, forced.columns
+    s_struct = F.struct(*[F.col(c) for c in s_cols])
+    f_struct = F.struct(*[F.col(c) for c in f_cols])
+    u = (sources.select(F.col(obj).alias("__o"), F.col(mjd).alias("__t"), F.lit(1).alias("__k"),
+                        F.col(sid).cast("long").alias("__id"), F.col(aid).alias("__aid"),
+                        s_struct.alias("__s"), F.lit(None).cast(forced.select(f_struct).schema[0].dataType).alias("__f"))
+         .unionByName(forced.select(F.col(obj).alias("__o"), F.col(mjd).alias("__t"), F.lit(0).alias("__k"),
+                                    F.col(fid).cast("long").alias("__id"),
+                                    F.lit(None).cast(sources.schema[aid].dataType).alias("__aid"),
+                                    F.lit(None).cast(sources.select(s_struct).schema[0].dataType).alias("__s"),
+                                    f_struct.alias("__f"))))
+    w = Window.partitionBy("__o").orderBy("__t", "__k", "__id")
+    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy("__o")
+    x = u.select("*",
+                 F.collect_list("__s").over(before).alias("prvDiaSources"),
+                 F.collect_list("__f").over(run).alias("__fs"),
+                 F.min(F.when(F.col("__k") == 1, F.col("__t"))).over(whole).alias("__first"))
+    a = x.filter(F.col("__k") == 1)
+    elig = F.col("__t") - F.col("__first") >= min_age
+    lo = F.col("__first") - lookback
+    forced_arr = F.when(elig, F.filter("__fs", lambda r: r[mjd] >= lo))
+    res = a.select(F.col("__aid").alias("alertId"), F.col("__s").alias("diaSource"), "prvDiaSources",
+                   forced_arr.alias("prvDiaForcedSources"), "__o")
     if objects is not None:
         res = res.join(objects.select(F.col(obj).alias("__o"), F.struct(*objects.columns).alias("diaObject")),
                        "__o", "left")
