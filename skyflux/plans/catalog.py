@@ -10,6 +10,7 @@ _MODULES = [
     "skyflux.plans.q_sky_gw",
     "skyflux.plans.q_sources",
     "skyflux.plans.q_streaming",
+    "skyflux.plans.q_ingest",
 ]
 
 
