@@ -201,3 +201,17 @@ def lightcurve(curves: DataFrame, head: DataFrame, snid: int, key: str = "SNID")
     if n > 1:
         raise ValueError(f"Object id {snid} is not unique in HEAD")
     return curves.filter(F.col(key) == F.lit(snid))
+
+
+# ------------------------------------------------------------- ORD3 / ORD4
+def sample_objects(df: DataFrame, key: str = "SNID", seed: int = 0, k: int = 1) -> DataFrame:
+    """ORD3: a repeatable random pick of ``k`` objects: order by a 64-bit hash of
+    (key, seed) and keep the first k (a top-k: each task keeps k candidates)."""
+    return (df.select(key).distinct()
+            .withColumn("__h", F.xxhash64(F.col(key), F.lit(seed)))
+            .orderBy("__h", key).limit(k).drop("__h"))
+
+
+def head(df: DataFrame, key: str, n: int = 5) -> DataFrame:
+    """ORD4: the first ``n`` rows in key order (top-k, not a full sort)."""
+    return df.orderBy(key).limit(n)

@@ -293,3 +293,40 @@ def q_bulk_detection_counts(spark, d):
     j = b.join(o, "SNID")
     return j.groupBy("SNID_cust").agg(F.count(F.lit(1)).alias("n_points"), F.countDistinct("SNID").alias("n_orders"),
                                       F.count(F.when(F.col("FLUXCAL") / F.col("FLUXCALERR") >= 5000, 1)).alias("n_bright"))
+
+
+@query("sample_objects")
+def q_sample_objects(spark, d):
+    """ORD3: three objects picked by a seeded hash (rows-only check)."""
+    return lc.sample_objects(B.phot_ev(spark, d), "SNID", seed=42, k=3)
+
+
+@query("head", with_(TRUTH_EV) + "SELECT SNID, ZCMB, GENTYPE FROM truth_ev ORDER BY SNID LIMIT 5", ["ZCMB"])
+def q_head(spark, d):
+    """ORD4: the first five objects by id."""
+    return lc.head(B.truth_ev(spark, d), "SNID", 5)
+
+
+@query("strip_pad_ids", """
+SELECT o_orderkey AS simulation_id, CAST(o_custkey AS BIGINT) AS SNID,
+       lpad(CAST(o_custkey % 40 + 1 AS VARCHAR), 4, '0') AS file_num
+FROM orders""")
+def q_strip_pad_ids(spark, d):
+    """FN17: 'GAL<id>' -> id, and zero-padded file numbers."""
+    from skyflux.functions.ids import pad_num, strip_id
+    s = B.sim_inspiral(spark, d).select("simulation_id", "source")
+    return s.select("simulation_id", strip_id("source").alias("SNID"),
+                    pad_num(strip_id("source") % 40 + 1, 4).alias("file_num"))
+
+
+@query("apply_converters", with_(PHOT_EV) + """
+SELECT obs_id, CASE WHEN BAND = 'g' THEN NULL ELSE PHOTFLAG END AS PHOTFLAG, upper(BAND) AS BAND
+FROM phot_ev""")
+def q_apply_converters(spark, d):
+    """UDF5: text columns converted per column ('' -> NULL, type names, functions)."""
+    from skyflux.sources.text import apply_converters
+    p = B.phot_ev(spark, d).select(
+        "obs_id", F.when(F.col("BAND") == "g", F.lit("")).otherwise(F.col("PHOTFLAG").cast("string")).alias("PHOTFLAG"),
+        "BAND")
+    out = apply_converters(p, {"PHOTFLAG": "int", "BAND": lambda c: F.upper(c)})
+    return out.select("obs_id", F.col("PHOTFLAG").cast("int").alias("PHOTFLAG"), "BAND")

@@ -108,3 +108,20 @@ def list_classes(spark: SparkSession, base: str, prefix: str = "") -> DataFrame:
              .load(base).select("path"))
     return (files.select(F.regexp_extract("path", pat, 1).alias("class"))
             .filter(F.col("class") != "").distinct().orderBy("class"))
+
+
+def apply_converters(df: DataFrame, converters: dict) -> DataFrame:
+    """UDF5: per-column converters; a value is a type name ('int', 'float',
+    'str', or any Spark type) or a function ``Column -> Column``. Empty
+    strings become NULL before typed conversion."""
+    cols = []
+    for c in df.columns:
+        conv = converters.get(c)
+        if conv is None:
+            cols.append(F.col(c))
+        elif callable(conv):
+            cols.append(conv(F.col(c)).alias(c))
+        else:
+            t = CONVERTERS.get(conv, conv)
+            cols.append(F.expr(f"try_cast(nullif(trim(cast(`{c}` as string)), '') as {t})").alias(c))
+    return df.select(*cols)
