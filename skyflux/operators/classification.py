@@ -114,7 +114,7 @@ def classify(alerts: DataFrame, classifier: Classifier, alert_id: str = "alertId
     return alerts.select(
         F.col(alert_id).cast("long").alias("alertId"),
         F.col(source_id).cast("long").alias("diaSourceId"),
-        pub.alias("elasticcPublishTimestamp"),
+        pub.alias("publishTimestamp"),
         F.current_timestamp().alias("brokerIngestTimestamp"),
         F.lit(classifier.broker_name).alias("brokerName"),
         F.lit(classifier.broker_version).alias("brokerVersion"),
@@ -136,10 +136,10 @@ def classify_all(alerts: DataFrame, classifiers: list[Classifier], alert_id: str
                      for c in classifiers])
     x = alerts.select(F.col(alert_id).cast("long").alias("alertId"),
                       F.col(source_id).cast("long").alias("diaSourceId"),
-                      pub.alias("elasticcPublishTimestamp"),
+                      pub.alias("publishTimestamp"),
                       F.current_timestamp().alias("brokerIngestTimestamp"),
                       F.explode(msgs).alias("__m"))
-    return x.select("alertId", "diaSourceId", "elasticcPublishTimestamp", "brokerIngestTimestamp", "__m.*")
+    return x.select("alertId", "diaSourceId", "publishTimestamp", "brokerIngestTimestamp", "__m.*")
 
 
 def alert_truth(messages: DataFrame, sources: DataFrame, truth: DataFrame, class_map: DataFrame,

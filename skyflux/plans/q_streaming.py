@@ -140,7 +140,7 @@ def q_message_latency(spark, d):
     pub = F.col("ts").cast("timestamp")
     broker = F.timestamp_add("SECOND", k, pub)
     store = F.timestamp_add("MICROSECOND", F.round(F.col("value") * 1e6).cast("long"), broker)
-    m = ev.select(pub.alias("elasticcPublishTimestamp"), broker.alias("brokerIngestTimestamp"),
+    m = ev.select(pub.alias("publishTimestamp"), broker.alias("brokerIngestTimestamp"),
                   store.alias("dbIngestTimestamp"), F.col("event_type").alias("classifierName"))
     out = sops.message_latency(m)
     return out.select(F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "classifierName",

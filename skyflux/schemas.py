@@ -92,7 +92,7 @@ CLASSIFICATION = T.StructType([
 BROKER_MESSAGE = T.StructType([
     T.StructField("alertId", T.LongType(), False),
     T.StructField("diaSourceId", T.LongType(), False),
-    T.StructField("elasticcPublishTimestamp", T.TimestampType()),
+    T.StructField("publishTimestamp", T.TimestampType()),
     T.StructField("brokerIngestTimestamp", T.TimestampType()),
     T.StructField("brokerName", T.StringType()),
     T.StructField("brokerVersion", T.StringType()),

@@ -95,7 +95,7 @@ def stream_progress(stream: DataFrame, groups: tuple[str, ...] = ("topic", "part
 
 
 def message_latency(messages: DataFrame, window: str = "1 day", by: str = "classifierName",
-                    publish: str = "elasticcPublishTimestamp", broker: str = "brokerIngestTimestamp",
+                    publish: str = "publishTimestamp", broker: str = "brokerIngestTimestamp",
                     store: str = "dbIngestTimestamp", watermark: str | None = None) -> DataFrame:
     """STR8: publish -> broker -> warehouse lags (seconds) per classifier and
     tumbling window of publish time; with ``watermark`` it runs on a stream."""
