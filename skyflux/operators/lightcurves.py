@@ -78,18 +78,30 @@ def truth_with_detection_counts(truth: DataFrame, phot: DataFrame, key: str = "S
 
 # ---------------------------------------------------------------- AGG1/AGG2
 def nest_lightcurves(df: DataFrame, key: str = "SNID", order: tuple[str, ...] = ("BAND", "MJD"),
-                     cols: list[str] | None = None, sort_output: bool = False) -> DataFrame:
+                     cols: list[str] | None = None, sort_output: bool = False,
+                     max_points: int | None = None) -> DataFrame:
     """AGG1: one row per object; every other column becomes a list, all lists
     aligned and in ``order`` (remaining columns break ties, so output is stable).
 
     Structs are collected and sorted once, then split into parallel arrays:
-    separate ``collect_list`` calls would not be aligned after a shuffle."""
+    separate ``collect_list`` calls would not be aligned after a shuffle.
+
+    With ``max_points`` a curve is split into consecutive chunks of at most that
+    many points (extra column ``chunk``, 0-based, in list order), so no single
+    value grows with the largest object; every point is kept. The chunk index
+    comes from a per-object sort, which Spark spills to disk when large."""
     rest = [c for c in (cols or df.columns) if c != key and c not in order]
     fields = list(order) + rest
-    nested = (df.groupBy(key)
+    keys = [key]
+    if max_points:
+        from pyspark.sql import Window
+        w = Window.partitionBy(key).orderBy(*fields)
+        df = df.withColumn("chunk", ((F.row_number().over(w) - 1) / F.lit(max_points)).cast("int"))
+        keys = [key, "chunk"]
+    nested = (df.groupBy(*keys)
               .agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("__pts")))
-    out = nested.select(key, *[F.col("__pts")[c].alias(c) for c in fields])
-    return out.orderBy(key) if sort_output else out
+    out = nested.select(*keys, *[F.col("__pts")[c].alias(c) for c in fields])
+    return out.orderBy(*keys) if sort_output else out
 
 
 def explode_lightcurves(nested: DataFrame, list_cols: list[str], key: str = "SNID") -> DataFrame:

@@ -93,3 +93,21 @@ def test_merge_photometry_forced_wins(spark):
     f = spark.createDataFrame([(1, 1.0, "g", 4.0, 2.0)], s.schema)
     out = {(r.midPointTai): (r.kind, r.psFlux) for r in lc.merge_photometry(s, f).collect()}
     assert out == {1.0: ("forced", 4.0), 2.0: ("source", 6.0)}
+
+
+def test_nest_chunked_keeps_every_point_in_order(spark):
+    rows = [(1, "g", float(i), i) for i in range(10)] + [(2, "r", 1.0, 100)]
+    df = spark.createDataFrame(rows, "SNID long, BAND string, MJD double, obs_id long")
+    n = lc.nest_lightcurves(df, max_points=4).orderBy("SNID", "chunk").collect()
+    assert [(r.SNID, r.chunk, len(r.MJD)) for r in n] == [(1, 0, 4), (1, 1, 4), (1, 2, 2), (2, 0, 1)]
+    assert [x for r in n if r.SNID == 1 for x in r.obs_id] == list(range(10))
+
+
+def test_core_plans_stay_on_the_jvm(spark):
+    import __spark_entry__ as E
+    qs = E.queries()
+    for name in ("truth_with_detection_counts", "nest_lightcurves", "object_summary", "build_alerts",
+                 "associate_by_position", "match_within_tolerance", "rollup_probabilities", "hot_transients"):
+        plan = qs[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in plan and "ArrowEval" not in plan, name
+        assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
