@@ -70,22 +70,24 @@ def match_within_tolerance(targets: DataFrame, candidates: DataFrame, x: str = "
     within ``tol`` (ties -> lowest candidate id); none -> NULL (a failed
     inversion, kept so the caller can report it).
 
-    Candidates with equal values are first reduced to their lowest id (partial
-    aggregation), then bucketed by floor(x / tol) and copied to the two
-    neighbouring buckets; the join is an equi-join on the bucket, the exact
-    test and the arg-min follow (a partial aggregation per target)."""
+    Candidates with equal values are first reduced to their lowest id and
+    targets to their distinct values (partial aggregations), so copies never
+    multiply pairs; candidates are bucketed by floor(x / tol) and copied to the
+    two neighbouring buckets; the join is an equi-join on the bucket, the exact
+    test and the arg-min follow, and targets rejoin their value's answer."""
     c = candidates.groupBy(F.col(x).alias("__cx")).agg(F.min(cand_id).alias("__cid"))
     cb = F.floor(F.col("__cx") / tol).cast("long")
     c = c.select("__cx", "__cid", F.explode(F.array(cb - 1, cb, cb + 1)).alias("__b"))
-    t = targets.select(F.col(target_id).alias("__tid"), F.col(x).alias("__tx"),
-                       F.floor(F.col(x) / tol).cast("long").alias("__b"))
+    # targets with equal values share one answer: match distinct values only
+    t = (targets.select(F.col(x).alias("__tx")).distinct()
+         .withColumn("__b", F.floor(F.col("__tx") / tol).cast("long")))
     pairs = (t.join(c, "__b")
              .withColumn("__d", F.abs(F.col("__cx") - F.col("__tx")))
              .filter(F.col("__d") <= tol))
-    best = (pairs.groupBy("__tid")
+    best = (pairs.groupBy("__tx")
             .agg(F.min(F.struct("__d", "__cid", "__cx")).alias("__m")))
-    out = targets.select(F.col(target_id).alias("__tid"), F.col(x)).join(best, "__tid", "left")
-    return out.select(F.col("__tid").alias(target_id), F.col(x),
+    out = targets.select(F.col(target_id).alias("__tid"), F.col(x).alias("__tx")).join(best, "__tx", "left")
+    return out.select(F.col("__tid").alias(target_id), F.col("__tx").alias(x),
                       F.col("__m.__cid").alias(cand_id), F.col("__m.__cx").alias(f"{cand_id}_x"),
                       F.col("__m.__d").alias("abs_diff"))
 

@@ -80,17 +80,24 @@ def associate_by_position(sources: DataFrame, objects: DataFrame, radius_arcsec:
     chosen with a partial aggregation per source."""
     r = radius_arcsec / 3600.0
     h = cell_deg or max(2 * r, 1e-4)
-    ob, orb = sky_cell(F.col(ra), F.col(dec), h)
-    o = objects.select(F.col(obj_id).alias("__oid"), F.col(ra).alias("__ora"), F.col(dec).alias("__odec"),
-                       ob.alias("band"), orb.alias("rabin"))
-    s = sources.select(F.col(src_id).alias("__sid"), F.col(ra).alias("__sra"), F.col(dec).alias("__sdec"),
-                       F.explode(neighbour_cells(F.col(ra), F.col(dec), r, h)).alias("__c"))
-    s = s.select("__sid", "__sra", "__sdec", F.col("__c.band").alias("band"), F.col("__c.rabin").alias("rabin"))
+    # copies at one position: only the lowest object id can win there, and
+    # equal source positions share one answer, so both sides are reduced to
+    # distinct positions first (partial aggregations) and sources rejoin at the end
+    objs = objects.groupBy(F.col(ra).alias("__ora"), F.col(dec).alias("__odec")) \
+        .agg(F.min(obj_id).alias("__oid"))
+    ob, orb = sky_cell(F.col("__ora"), F.col("__odec"), h)
+    o = objs.select("__oid", "__ora", "__odec", ob.alias("band"), orb.alias("rabin"))
+    pos = sources.select(F.col(ra).alias("__sra"), F.col(dec).alias("__sdec")).distinct()
+    s = pos.select("__sra", "__sdec",
+                   F.explode(neighbour_cells(F.col("__sra"), F.col("__sdec"), r, h)).alias("__c"))
+    s = s.select("__sra", "__sdec", F.col("__c.band").alias("band"), F.col("__c.rabin").alias("rabin"))
     pairs = s.join(o, ["band", "rabin"])
     pairs = pairs.withColumn("__sep", angular_separation("__sra", "__sdec", "__ora", "__odec")) \
         .filter(F.col("__sep") <= r)
     best = F.min(F.struct(F.col("__sep").alias("sep"), F.col("__oid").alias("oid")))
-    return (pairs.groupBy("__sid").agg(best.alias("__b"))
+    per_pos = pairs.groupBy("__sra", "__sdec").agg(best.alias("__b"))
+    src = sources.select(F.col(src_id).alias("__sid"), F.col(ra).alias("__sra"), F.col(dec).alias("__sdec"))
+    return (src.join(per_pos, ["__sra", "__sdec"])
             .select(F.col("__sid").alias(src_id), F.col("__b.oid").alias(obj_id),
                     (F.col("__b.sep") * 3600.0).alias("sep_arcsec")))
 

@@ -78,3 +78,17 @@ def test_simulation_ids_dense(spark):
     df = spark.range(0, 1000, 7).select((F.col("id") * 3).alias("SNID")).repartition(5)
     ids = sorted((r.SNID, r.simulation_id) for r in gw.simulation_ids(df, "SNID").collect())
     assert [i for _, i in ids] == list(range(len(ids)))
+
+
+def test_copies_do_not_multiply_pairs(spark):
+    # a third of the objects are copies at one position: the nearest-wins answer
+    # is the lowest id there, and the joins see one row per position
+    objs = spark.createDataFrame([(i, 10.0, 10.0) for i in range(50, 80)] + [(1, 10.0, 10.00025)],
+                                 "objectId long, ra double, decl double")
+    srcs = spark.createDataFrame([(i, 10.0, 10.0001) for i in range(40)], "sourceId long, ra double, decl double")
+    out = sky.associate_by_position(srcs, objs, 1.0).collect()
+    assert len(out) == 40 and {r.objectId for r in out} == {50}
+    t = spark.createDataFrame([(i, 0.5) for i in range(30)], "target_id long, x double")
+    c = spark.createDataFrame([(i, 0.5004) for i in range(5, 20)] + [(2, 0.4997)], "cand_id long, x double")
+    res = {r.cand_id for r in gw.match_within_tolerance(t, c, "x", 0.001).collect()}
+    assert res == {2}
