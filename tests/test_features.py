@@ -54,3 +54,18 @@ def test_object_summary_band_maxima(spark):
     assert (r.NOBS, r.NOBS_SATURATE, r.PEAKMJD) == (3, 1, 2.0)
     assert (r.SNRMAX, r.SNRMAX2, r.SNRMAX3) == (50.0, 20.0, 10.0)
     assert r.PEAKMAG_u is None and abs(r.PEAKMAG_r - (27.5 - 2.5 * math.log10(50))) < 1e-12
+
+
+def test_skew_safe_lag_and_median_match_windows(spark):
+    import random
+    random.seed(3)
+    # one hot (object, band) with most of the rows, spread over many slices
+    rows = [(1, "g", random.random() * 100, i) for i in range(3000)] + \
+           [(k, b, random.random() * 100, 10000 + k * 10 + j) for k in range(2, 40) for b in "gr" for j in range(5)]
+    df = spark.createDataFrame(rows, "SNID long, BAND string, MJD double, obs_id long").repartition(6)
+    a = {r.obs_id: r.delta_t for r in fe.delta_t(df, skew_safe=True).collect()}
+    b = {r.obs_id: r.delta_t for r in fe.delta_t(df, skew_safe=False).collect()}
+    assert a == b
+    m1 = {(r.SNID, r.BAND): r.median_delta_t for r in fe.cadence_median(df, skew_safe=True).collect()}
+    m2 = {(r.SNID, r.BAND): r.median_delta_t for r in fe.cadence_median(df, skew_safe=False).collect()}
+    assert m1.keys() == m2.keys() and all(abs(m1[k] - m2[k]) < 1e-12 for k in m1)
