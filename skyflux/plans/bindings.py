@@ -67,16 +67,19 @@ def phot_files(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     (object, time), with one separator row (MJD -777) after each object.
     ``row_idx`` is 0-based per file, pointers are 1-based inclusive.
 
-    Offsets come from per-object counts (one row per object) and a running sum
-    per file; the per-object rank is a window over one object's points."""
+    Positions in a file come from range-sliced ranks (``ordered.ranked``);
+    per-object offsets from per-object counts (one row per object)."""
+    from skyflux.operators.ordered import ranked
     p = phot_ev(spark, sf_dir).withColumn("file_num", file_num_of("SNID"))
     per_obj = p.groupBy("file_num", "SNID").agg(F.count(F.lit(1)).alias("n"))
     w = Window.partitionBy("file_num").orderBy("SNID").rowsBetween(Window.unboundedPreceding, -1)
-    offs = per_obj.withColumn("off", F.coalesce(F.sum(F.col("n") + 1).over(w), F.lit(0)).cast("long"))
-    rank = F.row_number().over(Window.partitionBy("SNID").orderBy("MJD", "obs_id")) - 1
-    raw = (p.withColumn("__r", rank)
-           .join(offs.select("SNID", "off"), "SNID")
-           .select("file_num", (F.col("off") + F.col("__r")).cast("long").alias("row_idx"),
+    # per object: rows and separators of the earlier objects of its file
+    offs = (per_obj.withColumn("off", F.coalesce(F.sum(F.col("n") + 1).over(w), F.lit(0)).cast("long"))
+            .withColumn("k", F.coalesce(F.count(F.lit(1)).over(w), F.lit(0)).cast("long")))
+    # position in the file (range-sliced, so a large file or object spans many tasks)
+    pos = ranked(p, ["file_num"], ["SNID", "MJD", "obs_id"]).drop("__cnt")
+    raw = (pos.join(offs.select("SNID", "k"), "SNID")
+           .select("file_num", (F.col("__rank") + F.col("k")).cast("long").alias("row_idx"),
                    "obs_id", "MJD", "BAND", "FLUXCAL", "FLUXCALERR", "PHOTFLAG"))
     seps = offs.select("file_num", (F.col("off") + F.col("n")).alias("row_idx"),
                        F.lit(None).cast("long").alias("obs_id"),
