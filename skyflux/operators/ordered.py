@@ -60,3 +60,20 @@ def exact_median(df: DataFrame, groups: list[str], value: str, name: str = "medi
     mid = r.filter((F.col("__rank") == F.floor((F.col("__cnt") - 1) / 2))
                    | (F.col("__rank") == F.ceil((F.col("__cnt") - 1) / 2)))
     return mid.groupBy(*groups).agg(F.avg(value).alias(name))
+
+
+def running_sum(df: DataFrame, groups: list[str], order: list, value: str, name: str,
+                partitions: int | None = None) -> DataFrame:
+    """Cumulative sum of ``value`` per group in ``order`` (columns or sort
+    expressions such as ``F.col('x').desc()``), current row included: a local
+    running sum per slice plus the totals of the group's earlier slices."""
+    cols = [F.col(g) for g in groups] + [F.col(o) if isinstance(o, str) else o for o in order]
+    r = df.repartitionByRange(partitions, *cols) if partitions else df.repartitionByRange(*cols)
+    s = r.withColumn("__pid", F.spark_partition_id())
+    w = Window.partitionBy("__pid", *groups).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    s = s.withColumn("__local", F.sum(value).over(w))
+    per = s.groupBy("__pid", *groups).agg(F.sum(value).alias("__tot"))
+    wg = Window.partitionBy(*groups).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    per = per.withColumn("__off", F.coalesce(F.sum("__tot").over(wg), F.lit(0.0)))
+    return (s.join(per.drop("__tot"), ["__pid", *groups])
+            .withColumn(name, F.col("__off") + F.col("__local")).drop("__pid", "__local", "__off"))

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyflux.operators.intervals import interval_join
+from skyflux.operators.ordered import running_sum
 
 
 def angular_separation(ra1, dec1, ra2, dec2) -> Column:
@@ -110,12 +111,11 @@ def skymap_crossmatch(objects: DataFrame, pixels: DataFrame, obj_pix: str = "ipi
     all pixels at least as dense, ties by pixel start).
 
     Objects find their pixel through a bucketed interval join; the cumulative
-    probability is a running sum per map, computed once per pixel (not per
-    object) and joined back on (map, pixel)."""
+    probability is a running sum per map (``ordered.running_sum``), computed
+    once per pixel (not per object)."""
     px = pixels.withColumn("density", F.col(prob) / F.col(area))
-    w = (Window.partitionBy(map_id).orderBy(F.col("density").desc(), F.col(pix_lo))
-         .rowsBetween(Window.unboundedPreceding, 0))
-    ranked = px.withColumn("searched_prob", F.sum(prob).over(w))
+    # running sum per map, range-sliced so a large map spans many tasks
+    ranked = running_sum(px, [map_id], [F.col("density").desc(), F.col(pix_lo)], prob, "searched_prob")
     hit = interval_join(objects, ranked.select(map_id, pix_lo, pix_hi, "density", "searched_prob"),
                         obj_pix, pix_lo, pix_hi, by=None, bucket=bucket)
     return hit
