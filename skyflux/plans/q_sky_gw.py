@@ -230,16 +230,39 @@ def q_injection_rows(spark, d):
                       "geocent_end_time", "waveform")
 
 
-@query("luminosity_distance")
+_GRID_SQL = """grid0 AS (
+  SELECT i, CAST(i AS DOUBLE) * CAST(0.0001 AS DOUBLE) AS z,
+         CAST(1 AS DOUBLE) / sqrt(CAST(0.3 AS DOUBLE) * pow(1 + CAST(i AS DOUBLE) * CAST(0.0001 AS DOUBLE), 3)
+                                  + (CAST(1 AS DOUBLE) - CAST(0.3 AS DOUBLE))) AS f
+  FROM range(0, 30001) r(i)),
+grid1 AS (
+  SELECT i, z, coalesce((f + lag(f) OVER (ORDER BY i)) * CAST(0.00005 AS DOUBLE), 0.0) AS trap FROM grid0),
+grid AS (
+  SELECT i, z, (1 + z) * (sum(trap) OVER (ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+                          * (CAST(299792.458 AS DOUBLE) / CAST(70 AS DOUBLE))) AS d_l FROM grid1),
+seg AS (SELECT a.i, a.z AS z0, a.d_l AS d0, b.z AS z1, b.d_l AS d1 FROM grid a JOIN grid b ON b.i = a.i + 1)"""
+
+
+@query("luminosity_distance", with_(TRUTH_EV, _GRID_SQL) + """
+SELECT t.SNID, t.ZCMB,
+       round(s.d0 + ((t.ZCMB - s.z0) / CAST(0.0001 AS DOUBLE)) * (s.d1 - s.d0), 3) AS distance
+FROM truth_ev t LEFT JOIN seg s
+  ON s.i = least(CAST(floor(t.ZCMB / CAST(0.0001 AS DOUBLE)) AS BIGINT), 29999)""", ["ZCMB", "distance"])
 def q_luminosity_distance(spark, d):
-    """FN13 (flat LambdaCDM, H0 70, Om0 0.3; rows-only check)."""
+    """FN13: flat LambdaCDM (H0 70, Om0 0.3) distance of each ZCMB (Mpc, 3 decimals)."""
     grid = gw.distance_grid(spark)
-    return gw.luminosity_distance(B.truth_ev(spark, d).select("SNID", "ZCMB"), "ZCMB", grid)
+    out = gw.luminosity_distance(B.truth_ev(spark, d).select("SNID", "ZCMB"), "ZCMB", grid)
+    return out.withColumn("distance", F.round("distance", 3))
 
 
-@query("redshift_from_distance")
+@query("redshift_from_distance", with_(_GRID_SQL) + """
+, sim AS (SELECT o_orderkey AS simulation_id, 40.0 + o_custkey % 400 AS distance FROM orders)
+SELECT sim.simulation_id, sim.distance,
+       s.z0 + ((sim.distance - s.d0) / (s.d1 - s.d0)) * (s.z1 - s.z0) AS z
+FROM sim JOIN seg s ON sim.distance >= s.d0 AND sim.distance < s.d1""".replace("\n, sim AS", ",\nsim AS", 1),
+       ["distance", "z"])
 def q_redshift_from_distance(spark, d):
-    """FN14: redshift of each injection distance (rows-only check)."""
+    """FN14: redshift of each injection distance (inverse lookup on the same grid)."""
     grid = gw.distance_grid(spark)
     return gw.redshift_from_distance(B.sim_inspiral(spark, d).select("simulation_id", "distance"),
                                      "distance", grid)

@@ -98,3 +98,14 @@ def restart_from_start(options: dict, checkpoint_base: str) -> tuple[dict, str]:
     opts = dict(options)
     opts["startingOffsets"] = "earliest"
     return opts, f"{checkpoint_base.rstrip('/')}/restart-{uuid.uuid4().hex[:8]}"
+
+
+def rows_dropped_late(query: StreamingQuery) -> int:
+    """Rows dropped by the watermark so far in this run (sum over the
+    stateful operators of the recent progress reports)."""
+    total = 0
+    for p in query.recentProgress:
+        for op in p.get("stateOperators", []) if isinstance(p, dict) else p.stateOperators:
+            n = op.get("numRowsDroppedByWatermark", 0) if isinstance(op, dict) else op.numRowsDroppedByWatermark
+            total += int(n or 0)
+    return total

@@ -81,7 +81,9 @@ def test_nightly_counts_late_row_dropped(spark, scratch):
     q.processAllAvailable()
     time.sleep(1.5)
     q.processAllAvailable()
+    dropped = sio.rows_dropped_late(q)
     q.stop()
+    assert dropped == 1
     got = {str(r.w.start)[:10]: r.n_alerts for r in spark.read.parquet(sink).collect()}
     # the row of Jan 1 arriving after the watermark passed Jan 4 is late and dropped
     assert got.get("2024-01-01") == 1
