@@ -1,79 +1,113 @@
 """Ordered operations per group that stay parallel when one group is huge.
 
-A window ``partitionBy(group)`` runs each group in one task. Here rows are
-range-partitioned on (group, order), so a hot group is split over many
-tasks; each task ranks its slice locally, and a small table with one row per
-(partition, group) supplies the offsets (and the last value of the preceding
-slice). Results are exact: global ranks, previous-row values, medians."""
+A window ``partitionBy(group)`` runs each group in one task. Here a group
+larger than ``max_rows`` is cut into slices along its first order column: the
+slice bounds are approximate quantiles of that group, computed once and
+written to the shared checkpoint folder, so a row's slice ``__k`` is a pure
+function of the row and fixed bounds (every consumer, retry or recomputation
+gets the same slice). Each (group, slice) is ranked by a window, and a small
+table with one row per (group, slice) supplies offsets and the last value of
+the preceding slice. Results are exact: global ranks, previous-row values,
+medians, running sums. Groups below ``max_rows`` form a single slice, so on
+unskewed data the plan is a plain window plus one counting pass."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+MAX_ROWS = 2_000_000        # rows per slice before a group is split
+MAX_SLICES = 1024
+
+
+def _slice(df: DataFrame, groups: list[str], col: str, descending: bool, max_rows: int) -> DataFrame:
+    """Adds ``__k``: 0 for ordinary groups, the quantile slice for hot ones."""
+    from skyflux.session import broadcast_if_small, checkpoint_table
+    counts = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("__n"))
+    top = counts.agg(F.max("__n").alias("m")).first()["m"]
+    if not top or top <= max_rows:
+        return df.withColumn("__k", F.lit(0))
+    k = min(MAX_SLICES, int(math.ceil(top / max_rows)))
+    pct = [i / k for i in range(1, k)]
+    hot = counts.filter(F.col("__n") > max_rows).select(*groups)
+    bounds = (df.join(hot, groups, "left_semi").groupBy(*groups)
+              .agg(F.percentile_approx(col, pct, max(10_000, 20 * k)).alias("__b")))
+    bounds = checkpoint_table(bounds, "slice-bounds")          # fixed once written
+    b = F.col("__b")
+    v = F.col(col)
+    k_expr = F.size(F.filter(b, (lambda x: x > v) if descending else (lambda x: x <= v)))
+    out = df.join(broadcast_if_small(bounds, 200_000), groups, "left")
+    return out.withColumn("__k", F.coalesce(k_expr, F.lit(0))).drop("__b")
+
 
-def _sliced(df: DataFrame, groups: list[str], order: list[str], partitions: int | None) -> DataFrame:
-    cols = groups + order
-    r = df.repartitionByRange(partitions, *cols) if partitions else df.repartitionByRange(*cols)
-    return r.withColumn("__pid", F.spark_partition_id())
+def _order_cols(order: list[str], descending: bool) -> list[Column]:
+    cols = [F.col(o) for o in order]
+    if descending:
+        cols[0] = cols[0].desc()
+    return cols
 
 
 def ranked(df: DataFrame, groups: list[str], order: list[str], value: str | None = None,
-           partitions: int | None = None) -> DataFrame:
+           descending: bool = False, max_rows: int = MAX_ROWS) -> DataFrame:
     """Adds ``__rank`` (0-based position in the group, in ``order``), ``__cnt``
     (group size) and, when ``value`` is given, ``__prev`` (that column on the
-    previous row of the group)."""
-    s = _sliced(df, groups, order, partitions)
-    w = Window.partitionBy("__pid", *groups).orderBy(*order)
+    previous row of the group). ``descending`` applies to the first order column."""
+    s = _slice(df, groups, order[0], descending, max_rows)
+    oc = _order_cols(order, descending)
+    w = Window.partitionBy(*groups, "__k").orderBy(*oc)
     s = s.withColumn("__lr", F.row_number().over(w) - 1)
     if value:
         s = s.withColumn("__lprev", F.lag(value).over(w))
     aggs = [F.count(F.lit(1)).alias("__n")]
     if value:
-        aggs.append(F.max_by(F.col(value), F.struct(*order)).alias("__last"))
-    per = s.groupBy("__pid", *groups).agg(*aggs)          # one row per (slice, group)
-    wg = Window.partitionBy(*groups).orderBy("__pid")
-    per = per.withColumn("__off", F.coalesce(F.sum("__n").over(wg.rowsBetween(Window.unboundedPreceding, -1)),
-                                             F.lit(0)))
-    per = per.withColumn("__cnt", F.sum("__n").over(Window.partitionBy(*groups)))
+        aggs.append(F.max_by(F.col(value), F.struct(*order) if not descending else
+                             F.struct(*([(-F.col(order[0])).alias("__o0")] + [F.col(o) for o in order[1:]])))
+                    .alias("__last"))
+    per = s.groupBy(*groups, "__k").agg(*aggs)          # one row per (group, slice)
+    wg = Window.partitionBy(*groups).orderBy("__k")
+    per = (per.withColumn("__off", F.coalesce(F.sum("__n").over(wg.rowsBetween(Window.unboundedPreceding, -1)),
+                                              F.lit(0)))
+           .withColumn("__cnt", F.sum("__n").over(Window.partitionBy(*groups))))
     if value:
         per = per.withColumn("__plast", F.lag("__last").over(wg))
-    out = s.join(per.drop("__n", *(["__last"] if value else [])), ["__pid", *groups])
+    out = s.join(per.drop("__n", *(["__last"] if value else [])), [*groups, "__k"])
     out = out.withColumn("__rank", F.col("__off") + F.col("__lr"))
     if value:
         out = out.withColumn("__prev", F.when(F.col("__lr") == 0, F.col("__plast")).otherwise(F.col("__lprev")))
-    return out.drop("__pid", "__lr", "__off", *(["__lprev", "__plast"] if value else []))
+    return out.drop("__k", "__lr", "__off", *(["__lprev", "__plast"] if value else []))
 
 
 def ordered_lag(df: DataFrame, groups: list[str], order: list[str], value: str, name: str,
-                partitions: int | None = None) -> DataFrame:
+                max_rows: int = MAX_ROWS) -> DataFrame:
     """``value`` of the previous row in the group (NULL for the first row)."""
-    return ranked(df, groups, order, value, partitions).withColumnRenamed("__prev", name).drop("__rank", "__cnt")
+    return (ranked(df, groups, order, value, max_rows=max_rows)
+            .withColumnRenamed("__prev", name).drop("__rank", "__cnt"))
 
 
 def exact_median(df: DataFrame, groups: list[str], value: str, name: str = "median",
-                 partitions: int | None = None) -> DataFrame:
+                 max_rows: int = MAX_ROWS) -> DataFrame:
     """Exact median per group (mean of the two middle values for even counts)
     without holding any group in one task: rank, then keep the middle rows."""
     v = df.filter(F.col(value).isNotNull()).select(*groups, value)
-    r = ranked(v, groups, [value], None, partitions)
+    r = ranked(v, groups, [value], None, max_rows=max_rows)
     mid = r.filter((F.col("__rank") == F.floor((F.col("__cnt") - 1) / 2))
                    | (F.col("__rank") == F.ceil((F.col("__cnt") - 1) / 2)))
     return mid.groupBy(*groups).agg(F.avg(value).alias(name))
 
 
-def running_sum(df: DataFrame, groups: list[str], order: list, value: str, name: str,
-                partitions: int | None = None) -> DataFrame:
-    """Cumulative sum of ``value`` per group in ``order`` (columns or sort
-    expressions such as ``F.col('x').desc()``), current row included: a local
-    running sum per slice plus the totals of the group's earlier slices."""
-    cols = [F.col(g) for g in groups] + [F.col(o) if isinstance(o, str) else o for o in order]
-    r = df.repartitionByRange(partitions, *cols) if partitions else df.repartitionByRange(*cols)
-    s = r.withColumn("__pid", F.spark_partition_id())
-    w = Window.partitionBy("__pid", *groups).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+def running_sum(df: DataFrame, groups: list[str], order: list[str], value: str, name: str,
+                descending: bool = False, max_rows: int = MAX_ROWS) -> DataFrame:
+    """Cumulative sum of ``value`` per group in ``order`` (current row
+    included; ``descending`` applies to the first order column): a running sum
+    per slice plus the totals of the group's earlier slices."""
+    s = _slice(df, groups, order[0], descending, max_rows)
+    w = (Window.partitionBy(*groups, "__k").orderBy(*_order_cols(order, descending))
+         .rowsBetween(Window.unboundedPreceding, 0))
     s = s.withColumn("__local", F.sum(value).over(w))
-    per = s.groupBy("__pid", *groups).agg(F.sum(value).alias("__tot"))
-    wg = Window.partitionBy(*groups).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    per = s.groupBy(*groups, "__k").agg(F.sum(value).alias("__tot"))
+    wg = Window.partitionBy(*groups).orderBy("__k").rowsBetween(Window.unboundedPreceding, -1)
     per = per.withColumn("__off", F.coalesce(F.sum("__tot").over(wg), F.lit(0.0)))
-    return (s.join(per.drop("__tot"), ["__pid", *groups])
-            .withColumn(name, F.col("__off") + F.col("__local")).drop("__pid", "__local", "__off"))
+    return (s.join(per.drop("__tot"), [*groups, "__k"])
+            .withColumn(name, F.col("__off") + F.col("__local")).drop("__k", "__local", "__off"))

@@ -115,7 +115,7 @@ def skymap_crossmatch(objects: DataFrame, pixels: DataFrame, obj_pix: str = "ipi
     once per pixel (not per object)."""
     px = pixels.withColumn("density", F.col(prob) / F.col(area))
     # running sum per map, range-sliced so a large map spans many tasks
-    ranked = running_sum(px, [map_id], [F.col("density").desc(), F.col(pix_lo)], prob, "searched_prob")
+    ranked = running_sum(px, [map_id], ["density", pix_lo], prob, "searched_prob", descending=True)
     hit = interval_join(objects, ranked.select(map_id, pix_lo, pix_hi, "density", "searched_prob"),
                         obj_pix, pix_lo, pix_hi, by=None, bucket=bucket)
     return hit

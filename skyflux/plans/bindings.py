@@ -76,7 +76,7 @@ def phot_files(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     # per object: rows and separators of the earlier objects of its file
     offs = (per_obj.withColumn("off", F.coalesce(F.sum(F.col("n") + 1).over(w), F.lit(0)).cast("long"))
             .withColumn("k", F.coalesce(F.count(F.lit(1)).over(w), F.lit(0)).cast("long")))
-    # position in the file (range-sliced, so a large file or object spans many tasks)
+    # position in the file (a large file is sliced over tasks by object id)
     pos = ranked(p, ["file_num"], ["SNID", "MJD", "obs_id"]).drop("__cnt")
     raw = (pos.join(offs.select("SNID", "k"), "SNID")
            .select("file_num", (F.col("__rank") + F.col("k")).cast("long").alias("row_idx"),

@@ -69,3 +69,24 @@ def test_skew_safe_lag_and_median_match_windows(spark):
     m1 = {(r.SNID, r.BAND): r.median_delta_t for r in fe.cadence_median(df, skew_safe=True).collect()}
     m2 = {(r.SNID, r.BAND): r.median_delta_t for r in fe.cadence_median(df, skew_safe=False).collect()}
     assert m1.keys() == m2.keys() and all(abs(m1[k] - m2[k]) < 1e-12 for k in m1)
+
+
+def test_sliced_helpers_exact_on_a_hot_group(spark):
+    import random
+    from pyspark.sql import Window
+    from skyflux.operators.ordered import exact_median, ordered_lag, ranked
+    random.seed(5)
+    rows = [(1, "g", float(random.randint(0, 500)), i) for i in range(3000)] + \
+           [(k, "r", float(random.randint(0, 50)), 10000 + k * 10 + j) for k in range(2, 30) for j in range(7)]
+    df = spark.createDataFrame(rows, "SNID long, BAND string, MJD double, obs_id long").repartition(7)
+    w = Window.partitionBy("SNID", "BAND").orderBy("MJD", "obs_id")
+    want = {r.obs_id: (r.rk, r.pv) for r in df.select("obs_id", (F.row_number().over(w) - 1).alias("rk"),
+                                                         F.lag("MJD").over(w).alias("pv")).collect()}
+    got = {r["obs_id"]: (r["__rank"], r["__prev"]) for r in
+           ranked(df, ["SNID", "BAND"], ["MJD", "obs_id"], "MJD", max_rows=200).collect()}
+    assert got == want
+    lag = {r.obs_id: r.p for r in ordered_lag(df, ["SNID", "BAND"], ["MJD", "obs_id"], "MJD", "p", max_rows=200).collect()}
+    assert lag == {k: v[1] for k, v in want.items()}
+    med = {(r.SNID, r.BAND): r.m for r in exact_median(df, ["SNID", "BAND"], "MJD", "m", max_rows=200).collect()}
+    ref = {(r.SNID, r.BAND): r.m for r in df.groupBy("SNID", "BAND").agg(F.median("MJD").alias("m")).collect()}
+    assert med.keys() == ref.keys() and all(abs(med[k] - ref[k]) < 1e-9 for k in med)

@@ -99,8 +99,8 @@ def test_running_sum_matches_window(spark):
     from skyflux.operators.ordered import running_sum
     rows = [(m, i, float((i * 7919) % 101)) for m in ("a", "b") for i in range(2000 if m == "a" else 50)]
     df = spark.createDataFrame(rows, "map_id string, pix long, prob double").repartition(5)
-    a = {(r.map_id, r.pix): r.c for r in running_sum(df, ["map_id"], [F.col("prob").desc(), F.col("pix")],
-                                                     "prob", "c").collect()}
+    a = {(r.map_id, r.pix): r.c for r in running_sum(df, ["map_id"], ["prob", "pix"], "prob", "c",
+                                                     descending=True, max_rows=150).collect()}
     w = Window.partitionBy("map_id").orderBy(F.col("prob").desc(), "pix").rowsBetween(Window.unboundedPreceding, 0)
     b = {(r.map_id, r.pix): r.c for r in df.withColumn("c", F.sum("prob").over(w)).collect()}
     assert a.keys() == b.keys() and all(abs(a[k] - b[k]) < 1e-6 for k in a)
