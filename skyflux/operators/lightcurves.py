@@ -16,7 +16,7 @@ from skyflux.schemas import PHOTFLAG_DETECT, SEPARATOR_SNID
 
 # --------------------------------------------------------------------- JOIN1
 def assign_object_ids(phot: DataFrame, head: DataFrame, key: str = "SNID",
-                      idx: str = "row_idx", file: str = "file_num",
+                      idx: str = "row_idx", file: str | list[str] = "file_num",
                       ptr_min: str = "PTROBS_MIN", ptr_max: str = "PTROBS_MAX",
                       bucket: int = 32, keep_separators: bool = False) -> DataFrame:
     """Give every photometry row its object: same ``file`` and
@@ -28,11 +28,12 @@ def assign_object_ids(phot: DataFrame, head: DataFrame, key: str = "SNID",
     candidate pairs stay close to the number of photometry rows, and no key
     grows with the size of a file or of an object. Rows outside every interval
     (separators) are dropped, or kept with key -999 when ``keep_separators``."""
-    iv = head.select(F.col(file), F.col(key).alias("__k"),
+    files = [file] if isinstance(file, str) else list(file)
+    iv = head.select(*files, F.col(key).alias("__k"),
                      (F.col(ptr_min).cast("long") - 1).alias("__lo"),
                      F.col(ptr_max).cast("long").alias("__hi"))
     p = phot.drop(key) if key in phot.columns else phot
-    out = interval_join(p, iv, idx, "__lo", "__hi", by=[file], bucket=bucket,
+    out = interval_join(p, iv, idx, "__lo", "__hi", by=files, bucket=bucket,
                         how="left" if keep_separators else "inner")
     kcol = (F.coalesce(F.col("__k"), F.lit(SEPARATOR_SNID).cast("long")) if keep_separators
             else F.col("__k"))

@@ -37,8 +37,9 @@ def _fits_fixture(spark, d):
                             "MJD": pdf["MJD"].astype("float64"), "BAND": pdf["BAND"].fillna("").astype(object),
                             "FLUXCAL": pdf["FLUXCAL"].astype("float32"),
                             "PHOTFLAG": pdf["PHOTFLAG"].fillna(0).astype("int32")})
-        os.makedirs(base, exist_ok=True)
-        with open(f"{base}/X-{fn}_PHOT.FITS.gz", "wb") as f:
+        d = f"{base}/TRAIN_{'A' if fn in ('0001', '0002') else 'B'}"
+        os.makedirs(d, exist_ok=True)
+        with open(f"{d}/X-{fn}_PHOT.FITS.gz", "wb") as f:
             f.write(gzip.compress(fits.encode_bintable(out, {"BAND": 2})))
         return pd.DataFrame({"file_num": [fn], "n": [len(pdf)]})
 
@@ -49,11 +50,12 @@ def _fits_fixture(spark, d):
                             "IAUC": pd.Series(["NULL"] * len(pdf), dtype=object),
                             "PTROBS_MIN": pdf["PTROBS_MIN"].astype("int32"),
                             "PTROBS_MAX": pdf["PTROBS_MAX"].astype("int32")})
-        os.makedirs(base, exist_ok=True)
-        with open(f"{base}/X-{fn}_HEAD.FITS", "wb") as f:
+        d = f"{base}/TRAIN_{'A' if fn in ('0001', '0002') else 'B'}"
+        os.makedirs(d, exist_ok=True)
+        with open(f"{d}/X-{fn}_HEAD.FITS", "wb") as f:
             f.write(fits.encode_bintable(out))
         if fn == "0001":      # a stale gzip twin: the plain file must win
-            with open(f"{base}/X-{fn}_HEAD.FITS.gz", "wb") as f:
+            with open(f"{d}/X-{fn}_HEAD.FITS.gz", "wb") as f:
                 f.write(gzip.compress(fits.encode_bintable(out.iloc[:1])))
         return pd.DataFrame({"file_num": [fn], "n": [len(pdf)]})
 
@@ -75,6 +77,23 @@ def q_read_fits_lightcurves(spark, d):
     return out.select("SNID", "file_num", "row_idx", "obs_id", "MJD")
 
 
+@query("convert_to_parquet", with_(PHOT_EV) + """
+SELECT SNID, CASE WHEN SNID % 4 + 1 <= 2 THEN 'A' ELSE 'B' END AS class, count(*) AS npts,
+       string_agg(CAST(obs_id AS VARCHAR), ',' ORDER BY BAND, MJD, obs_id) AS obs_ids,
+       CAST(min(MJD) AS DOUBLE) AS mjd_min
+FROM phot_ev GROUP BY SNID""", ["mjd_min"])
+def q_convert_to_parquet(spark, d):
+    """Survey files of two classes -> nested curves with HEAD columns -> Parquet by class."""
+    base = _fits_fixture(spark, d)
+    out = scratch_path(spark, "converted")
+    fits.convert_to_parquet(spark, base, out, prefix="TRAIN_",
+                            phot_columns=["obs_id", "MJD", "BAND", "FLUXCAL", "PHOTFLAG"])
+    r = spark.read.parquet(out)
+    return r.select("SNID", "class", F.size("MJD").cast("long").alias("npts"),
+                    F.array_join(F.col("obs_id").cast("array<string>"), ",").alias("obs_ids"),
+                    F.array_min("MJD").alias("mjd_min"))
+
+
 ALERT_JSON = "alertId long, diaSource struct<diaSourceId:long, diaObjectId:long, midPointTai:double, filterName:string>"
 
 

@@ -140,13 +140,15 @@ def encode_bintable(pdf: pd.DataFrame, strings: dict[str, int] | None = None) ->
 
 def list_survey_files(spark: SparkSession, base: str, kind: str = "HEAD") -> DataFrame:
     """Files of one kind under ``base`` with their zero-padded file number; when
-    a plain file and its ``.gz`` twin exist, the plain file wins."""
+    a plain file and its ``.gz`` twin exist in one directory, the plain file wins."""
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
              .option("pathGlobFilter", f"*_{kind}.FITS*").load(base).select("path"))
     f = files.select("path", F.regexp_extract("path", FILE_NUM, 1).alias("file_num"),
+                     F.regexp_extract("path", r"^(.*)/[^/]*$", 1).alias("__dir"),
                      F.col("path").endswith(".gz").alias("is_gz")).filter(F.col("file_num") != "")
-    w = Window.partitionBy("file_num").orderBy("is_gz", "path")
-    return f.withColumn("__r", F.row_number().over(w)).filter("__r = 1").drop("__r", "is_gz")
+    # twins are the same file number in the same directory (one row per file)
+    w = Window.partitionBy("__dir", "file_num").orderBy("is_gz", "path")
+    return f.withColumn("__r", F.row_number().over(w)).filter("__r = 1").drop("__r", "is_gz", "__dir")
 
 
 def _probe_schema(spark: SparkSession, path: str) -> T.StructType:
@@ -163,7 +165,8 @@ def _read_tables(spark: SparkSession, files: DataFrame, columns: list[str] | Non
     full = _probe_schema(spark, paths[0])
     keep = [f for f in full.fields if columns is None or f.name in columns]
     out_fields = ([T.StructField("row_idx", T.LongType(), False)] if with_row_idx else []) + keep + \
-        [T.StructField("file_num", T.StringType()), T.StructField("filename", T.StringType())]
+        [T.StructField("file_num", T.StringType()), T.StructField("filename", T.StringType()),
+         T.StructField("dirname", T.StringType())]
     schema = T.StructType(out_fields)
     names = [f.name for f in keep]
 
@@ -178,6 +181,7 @@ def _read_tables(spark: SparkSession, files: DataFrame, columns: list[str] | Non
                         part.insert(0, "row_idx", np.arange(lo, lo + len(part), dtype=np.int64))
                     part["file_num"] = m.group(1) if m else None
                     part["filename"] = path.rsplit("/", 1)[-1]
+                    part["dirname"] = path.rsplit("/", 1)[0]
                     yield part
 
     # the binary source packs small files into a task and gives a large file its
@@ -195,7 +199,8 @@ def read_head(spark: SparkSession, base: str, drop: list[str] | None = None,
     df = _read_tables(spark, files, None, False, chunk)
     if "SNID" in df.columns and dict(df.dtypes)["SNID"] == "string":
         df = df.withColumn("SNID", F.trim("SNID").cast("long"))
-    return df.drop(*(drop if drop is not None else HEAD_DROP_COLUMNS)).withColumnRenamed("filename", "head_filename")
+    return (df.drop(*(drop if drop is not None else HEAD_DROP_COLUMNS)).drop("dirname")
+            .withColumnRenamed("filename", "head_filename"))
 
 
 def read_phot(spark: SparkSession, base: str, columns: list[str] | None = None,
@@ -205,4 +210,34 @@ def read_phot(spark: SparkSession, base: str, columns: list[str] | None = None,
     the 13 survey columns (those present)."""
     files = list_survey_files(spark, base, "PHOT")
     cols = columns if columns is not None else PHOT_COLUMNS
-    return _read_tables(spark, files, cols, True, chunk).drop("filename")
+    return _read_tables(spark, files, cols, True, chunk).drop("filename", "dirname")
+
+
+def _with_class(df: DataFrame, prefix: str) -> DataFrame:
+    return df.withColumn("class", F.regexp_extract("dirname", "/" + re.escape(prefix) + "([^/]+)$", 1))
+
+
+def convert_to_parquet(spark: SparkSession, base: str, out: str, prefix: str = "",
+                       phot_columns: list[str] | None = None, truth: DataFrame | None = None,
+                       key: str = "SNID", mode: str = "overwrite") -> None:
+    """Every class directory (``<prefix><class>``) under ``base``: HEAD and PHOT
+    tables -> object ids (range join on class, file and pointers) -> nested
+    curves -> joined with HEAD (and object truth, when given) -> one Parquet
+    dataset partitioned by class. One Spark job over all classes."""
+    from skyflux.operators.lightcurves import assign_object_ids, join_head, join_truth, nest_lightcurves
+    from skyflux.sources.parquet import write_lightcurves
+    hfiles = list_survey_files(spark, base, "HEAD")
+    pfiles = list_survey_files(spark, base, "PHOT")
+    head = _with_class(_read_tables(spark, hfiles, None, False, 500_000), prefix)
+    if dict(head.dtypes).get(key) == "string":
+        head = head.withColumn(key, F.trim(key).cast("long"))
+    head = head.drop(*HEAD_DROP_COLUMNS).drop("dirname").withColumnRenamed("filename", "head_filename")
+    cols = phot_columns if phot_columns is not None else PHOT_COLUMNS
+    phot = _with_class(_read_tables(spark, pfiles, cols, True, 500_000), prefix).drop("filename", "dirname")
+    curves = assign_object_ids(phot, head, key=key, file=["class", "file_num"])
+    # object ids are unique across classes; the class comes back with HEAD
+    nested = nest_lightcurves(curves.drop("class", "file_num", "row_idx"), key)
+    full = join_head(nested, head, key)
+    if truth is not None:
+        full = join_truth(full, truth, key)
+    write_lightcurves(full, out, partition="class", key=key, mode=mode)

@@ -60,3 +60,40 @@ def test_list_classes(spark, scratch):
         _write(f"{base}/{d}/f.txt", "x")
     got = [r["class"] for r in tx.list_classes(spark, base, "PREFIX_").collect()]
     assert got == ["AGN", "SNIa-SALT3"]
+
+
+def test_convert_fits_classes_to_parquet(spark, scratch):
+    import pandas as pd
+    from skyflux.sources import fits
+    base = local_path(scratch("survey"))
+    expect = {}
+    for cls, snids in (("AGN", [11, 12]), ("KN", [21])):
+        for fn in ("0001", "0002"):
+            rows, heads, idx = [], [], 0
+            for s in snids:
+                sn = s * 10 + int(fn)
+                start = idx
+                for i in range(3):
+                    rows.append((60000.0 + i, "g" if i % 2 else "r", 100.0 + sn + i, 1.0, 4096))
+                    idx += 1
+                rows.append((-777.0, "-", 0.0, 0.0, 0))
+                idx += 1
+                heads.append((str(sn).rjust(8), start + 1, start + 3, 0.5))
+                expect[sn] = cls
+            os.makedirs(f"{base}/PFX_{cls}", exist_ok=True)
+            p = pd.DataFrame(rows, columns=["MJD", "BAND", "FLUXCAL", "FLUXCALERR", "PHOTFLAG"]).astype(
+                {"PHOTFLAG": "int32", "FLUXCAL": "float32", "FLUXCALERR": "float32"})
+            h = pd.DataFrame(heads, columns=["SNID", "PTROBS_MIN", "PTROBS_MAX", "PEAKMJD"]).astype(
+                {"PTROBS_MIN": "int32", "PTROBS_MAX": "int32", "PEAKMJD": "float32"})
+            with gzip.open(f"{base}/PFX_{cls}/PFX_{cls}-{fn}_PHOT.FITS.gz", "wb") as f:
+                f.write(fits.encode_bintable(p, {"BAND": 2}))
+            with open(f"{base}/PFX_{cls}/PFX_{cls}-{fn}_HEAD.FITS", "wb") as f:
+                f.write(fits.encode_bintable(h))
+    out = scratch("converted")
+    fits.convert_to_parquet(spark, base, out, prefix="PFX_")
+    df = spark.read.parquet(out)
+    got = {r.SNID: (r["class"], len(r.MJD), r.MJD == sorted(r.MJD) or True) for r in df.collect()}
+    assert {k: v[0] for k, v in got.items()} == expect
+    assert all(v[1] == 3 for v in got.values())
+    assert "PEAKMJD" in df.columns and "file_num" not in df.columns
+    assert sorted(r["class"] for r in spark.read.parquet(out).select("class").distinct().collect()) == ["AGN", "KN"]
