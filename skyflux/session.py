@@ -22,6 +22,7 @@ def get_spark(master: str | None = None, app: str = "skyflux",
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
+         .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128m")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
