@@ -90,6 +90,20 @@ def q_exposure_batches(spark, d):
     return al.exposure_batches(a)
 
 
+@query("exposure_alert_ids", with_(PHOT_EV, ALERTS_EV) + """
+SELECT exposure, batch, count(*) AS n_alerts, min(alertId) AS first_alertId, max(alertId) AS last_alertId,
+       string_agg(CAST(alertId AS VARCHAR), ',' ORDER BY alertId) AS alertIds
+FROM (SELECT floor(midPointTai * 24) / 24 AS exposure, alertId,
+             (row_number() OVER (PARTITION BY floor(midPointTai * 24) / 24 ORDER BY alertId) - 1) // 3 AS batch
+      FROM alerts_ev)
+GROUP BY exposure, batch""", ["exposure"])
+def q_exposure_alert_ids(spark, d):
+    """AGG9 with ids: hourly exposures, ids in batches of at most 3."""
+    a = B.alerts_ev(spark, d).withColumn("exposure", F.floor(F.col("midPointTai") * 24) / 24)
+    out = al.exposure_batches(a, with_ids=True, max_ids=3)
+    return out.withColumn("alertIds", F.array_join(F.col("alertIds").cast("array<string>"), ","))
+
+
 @query("alerts_in_time_order", with_(PHOT_EV, ALERTS_EV) + """
 SELECT alertId, midPointTai FROM alerts_ev ORDER BY midPointTai, alertId""", ["midPointTai"])
 def q_alerts_in_time_order(spark, d):
