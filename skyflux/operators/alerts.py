@@ -125,23 +125,29 @@ def pending_nights(spark, n0: int, n1: int, ledger: DataFrame, night: str = "nig
 def hot_transients(phot: DataFrame, mjd_now: float, days: float, key: str = "SNID",
                    mjd: str = "MJD", band: str = "BAND", flux: str = "FLUXCAL",
                    err: str = "FLUXCALERR", flag: str = "PHOTFLAG", min_snr: float | None = None,
-                   layout: int = 1, tiebreak: str | None = "obs_id") -> DataFrame:
+                   layout: int = 1, tiebreak: str | None = "obs_id",
+                   max_points: int | None = None) -> DataFrame:
     """AGG18: objects detected in [mjd_now - days, mjd_now] with all their
     photometry up to mjd_now, time-ordered. A detection is the DETECT flag, or
     S/N >= ``min_snr`` when given (inclusive bounds are our rule).
     layout 1: one struct column ``photometry`` {mjd, band, flux, fluxerr}
-    layout 2: parallel array columns mjd, band, flux, fluxerr."""
+    layout 2: parallel array columns mjd, band, flux, fluxerr.
+    ``max_points`` splits a long curve into consecutive bounded chunks
+    (column ``chunk``), as in ``nest_lightcurves``."""
+    from skyflux.operators.lightcurves import nest_lightcurves
     det = (F.col(flux) / F.col(err) >= min_snr) if min_snr is not None else has_flag(flag, PHOTFLAG_DETECT)
     upto = phot.filter(F.col(mjd) <= mjd_now)
     recent = upto.filter(det & (F.col(mjd) >= mjd_now - days)).select(key).distinct()
-    pts = upto.join(recent, key, "left_semi")
-    fields = [F.col(mjd).alias("mjd")] + ([F.col(tiebreak).alias("__tb")] if tiebreak else []) + \
-             [F.col(band).alias("band"), F.col(flux).alias("flux"), F.col(err).alias("fluxerr")]
-    g = pts.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("__p"))
-    cols = [F.col("__p")[c].alias(c) for c in ("mjd", "band", "flux", "fluxerr")]
+    pts = upto.join(recent, key, "left_semi").select(
+        key, F.col(mjd).alias("mjd"), *([F.col(tiebreak).alias("__tb")] if tiebreak else []),
+        F.col(band).alias("band"), F.col(flux).alias("flux"), F.col(err).alias("fluxerr"))
+    order = ("mjd", "__tb") if tiebreak else ("mjd",)
+    g = nest_lightcurves(pts, key, order=order, max_points=max_points)
+    keys = [key] + (["chunk"] if max_points else [])
+    cols = [F.col(c) for c in ("mjd", "band", "flux", "fluxerr")]
     if layout == 1:
-        return g.select(key, F.struct(*cols).alias("photometry"))
-    return g.select(key, *cols)
+        return g.select(*keys, F.struct(*cols).alias("photometry"))
+    return g.select(*keys, *cols)
 
 
 def alert_file_metadata(files: DataFrame, name: str = "name") -> DataFrame:
