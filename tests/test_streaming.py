@@ -95,3 +95,40 @@ def test_encode_decode_roundtrip(spark):
     enc = sio.encode_payload(df, key="alertId")
     dec = sio.decode_payload(enc, T.StructType.fromJson(df.schema.jsonValue()))
     assert dec.select("payload.*").first() == df.first()
+
+
+def test_dedupe_over_three_micro_batches_equals_batch(spark, scratch):
+    rows = _rows()
+    base = scratch("dd3")
+    df = spark.createDataFrame(rows, SCHEMA)
+    for i, part in enumerate((rows[:4], rows[2:6], rows[4:] + rows[:1])):
+        spark.createDataFrame(part, SCHEMA).coalesce(1).write.parquet(f"{base}/b{i}")
+    s = sio.read_alert_stream(spark, fmt="parquet", path=f"{base}/*", schema=df.schema, max_per_trigger=1)
+    out = _collect(spark, scratch, sops.dedupe_stream(s, "alertId", "ts"))
+    assert sorted(r.alertId for r in out.collect()) == sorted(r.alertId for r in df.dropDuplicates(["alertId"]).collect())
+
+
+def test_nightly_counts_stream_equals_batch(spark, scratch):
+    rows = _rows()
+    base = _stage(spark, scratch, rows, 3)
+    s = sio.read_alert_stream(spark, fmt="parquet", path=f"{base}/*",
+                              schema=spark.createDataFrame(rows, SCHEMA).schema, max_per_trigger=1)
+    q = (sops.nightly_counts_stream(s, "ts", "10 days").writeStream.format("memory").queryName("nc_eq")
+         .outputMode("complete").trigger(availableNow=True).start())
+    sio.run_bounded(q)
+    got = {str(r.w.start)[:10]: r.n_alerts for r in spark.table("nc_eq").collect()}
+    df = spark.createDataFrame(rows, SCHEMA)
+    want = {str(r.d): r.c for r in df.groupBy(F.to_date("ts").alias("d")).agg(F.count("*").alias("c")).collect()}
+    assert got == want
+
+
+def test_classify_stream_one_pass(spark, scratch):
+    from skyflux.operators import classification as cl
+    rows = _rows()
+    base = _stage(spark, scratch, rows, 1)
+    s = sio.read_alert_stream(spark, fmt="parquet", path=f"{base}/*", schema=spark.createDataFrame(rows, SCHEMA).schema)
+    m = sops.classify_stream(s.withColumn("diaSourceId", F.col("alertId")),
+                             [cl.FixedClassifier(), cl.RandomSplitClassifier(seed=2)])
+    out = _collect(spark, scratch, m)
+    assert out.count() == 2 * len(rows)
+    assert {r.classifierName for r in out.select("classifierName").distinct().collect()} == {"NugentClassifier", "RandomSNType"}
