@@ -244,10 +244,9 @@ def coinc_inspiral(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def template_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Template index -> (VK, LOGXLAN, LOGMASS): the 329 parts with the lowest keys."""
+    """Template index -> (VK, LOGXLAN, LOGMASS), one template per part."""
     p = table(spark, sf_dir, "part")
-    return (p.filter(F.col("p_partkey") <= 329)
-            .select(F.col("p_partkey").cast("int").alias("index"), (F.col("p_size") / 100.0).alias("VK"),
+    return (p.select(F.col("p_partkey").cast("int").alias("index"), (F.col("p_size") / 100.0).alias("VK"),
                     (F.lit(-1.0) - (F.col("p_size") % 9)).alias("LOGXLAN"),
                     (F.lit(-3.0) + (F.col("p_retailprice") - 900.0) / 50.0).alias("LOGMASS")))
 
@@ -255,5 +254,5 @@ def template_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 def head_kn(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Kilonova HEAD rows from customer."""
     t = truth_ev(spark, sf_dir)
-    return t.select("SNID", (F.col("SNID") % 400).cast("int").alias("SIM_TEMPLATE_INDEX"),
+    return t.select("SNID", (F.col("SNID") * 2).cast("int").alias("SIM_TEMPLATE_INDEX"),
                     (F.col("ZCMB") - 0.05).alias("REDSHIFT_FINAL"))

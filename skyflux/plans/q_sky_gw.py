@@ -110,8 +110,8 @@ def q_sim_coinc_map(spark, d):
 _TEMPLATE_SQL = """tpl AS (
   SELECT CAST(p_partkey AS INTEGER) AS SIM_TEMPLATE_INDEX, p_size / 100.0 AS VK,
          -1.0 - (p_size % 9) AS LOGXLAN, -3.0 + (p_retailprice - 900.0) / 50.0 AS LOGMASS
-  FROM part WHERE p_partkey <= 329),
-head AS (SELECT SNID, CAST(SNID % 400 AS INTEGER) AS SIM_TEMPLATE_INDEX, ZCMB - 0.05 AS REDSHIFT_FINAL
+  FROM part),
+head AS (SELECT SNID, CAST(SNID * 2 AS INTEGER) AS SIM_TEMPLATE_INDEX, ZCMB - 0.05 AS REDSHIFT_FINAL
          FROM truth_ev)"""
 
 
@@ -120,7 +120,7 @@ SELECT h.SNID, h.SIM_TEMPLATE_INDEX, h.REDSHIFT_FINAL, t.VK, t.LOGXLAN, t.LOGMAS
 FROM head h LEFT JOIN tpl t ON h.SIM_TEMPLATE_INDEX = t.SIM_TEMPLATE_INDEX""",
        ["REDSHIFT_FINAL", "VK", "LOGXLAN", "LOGMASS"])
 def q_attach_template_params(spark, d):
-    """JOIN7: template parameters by key (indices above 329 find none)."""
+    """JOIN7: template parameters by key (indices beyond the part keys find none)."""
     out = gw.attach_template_params(B.head_kn(spark, d), B.template_index(spark, d))
     return out.select("SNID", "SIM_TEMPLATE_INDEX", "REDSHIFT_FINAL", "VK", "LOGXLAN", "LOGMASS")
 

@@ -72,14 +72,15 @@ def q_read_gentype_map(spark, d):
 @query("read_template_index", """
 SELECT CAST(p_partkey AS INTEGER) AS index, p_size / 100.0 AS VK, -1.0 - (p_size % 9) AS LOGXLAN,
        -3.0 + (p_retailprice - 900.0) / 50.0 AS LOGMASS
-FROM part WHERE p_partkey <= 329""", ["VK", "LOGXLAN", "LOGMASS"])
+FROM part""", ["VK", "LOGXLAN", "LOGMASS"])
 def q_read_template_index(spark, d):
-    """SRC12: the template dimension written as one JSON object keyed by index."""
-    t = B.template_index(spark, d)
-    js = t.agg(F.to_json(F.map_from_entries(F.collect_list(
-        F.struct(F.col("index").cast("string"), F.struct("VK", "LOGXLAN", "LOGMASS"))))).alias("line"))
+    """SRC12: the template dimension written as JSON objects keyed by index
+    (one object per file, one file per input partition) and read back."""
+    t = B.template_index(spark, d).withColumn("__part", F.spark_partition_id())
+    js = t.groupBy("__part").agg(F.to_json(F.map_from_entries(F.collect_list(
+        F.struct(F.col("index").cast("string"), F.struct("VK", "LOGXLAN", "LOGMASS"))))).alias("value"))
     path = scratch_path(spark, "template")
-    _write_lines(js, path)
+    js.write.mode("overwrite").partitionBy("__part").text(path)
     return tx.read_template_index(spark, path)
 
 

@@ -89,10 +89,11 @@ TEMPLATE_JSON = T.MapType(T.StringType(), T.StructType([
 
 
 def read_template_index(spark: SparkSession, path: str) -> DataFrame:
-    """SRC12: a JSON object keyed by the template index -> rows (index, VK,
-    LOGXLAN, LOGMASS). The file is a bounded dimension (hundreds of keys), read
-    as one text value and exploded."""
-    t = spark.read.text(path, wholetext=True)
+    """SRC12: JSON objects keyed by the template index -> rows (index, VK,
+    LOGXLAN, LOGMASS). Each file holds one object (the survey ships one file
+    of a few hundred keys); a folder of such files is read in parallel, one
+    text value per file, and exploded."""
+    t = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True)
     m = t.select(F.explode(F.from_json("value", TEMPLATE_JSON)).alias("k", "v"))
     return m.select(F.col("k").cast("int").alias("index"), "v.VK", "v.LOGXLAN", "v.LOGMASS")
 
