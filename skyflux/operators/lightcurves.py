@@ -95,9 +95,7 @@ def nest_lightcurves(df: DataFrame, key: str = "SNID", order: tuple[str, ...] =
     fields = list(order) + rest
     keys = [key]
     if max_points:
-        from pyspark.sql import Window
-        w = Window.partitionBy(key).orderBy(*fields)
-        df = df.withColumn("chunk", ((F.row_number().over(w) - 1) / F.lit(max_points)).cast("int"))
+        df = _chunked(df.select(key, *fields), key, list(order), rest, max_points)
         keys = [key, "chunk"]
     nested = (df.groupBy(*keys)
               .agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("__pts")))
@@ -105,6 +103,28 @@ def nest_lightcurves(df: DataFrame, key: str = "SNID", order: tuple[str, ...] =
     return out.orderBy(*keys) if sort_output else out
 
 
+def _chunked(df: DataFrame, key: str, order: list[str], rest: list[str], max_points: int) -> DataFrame:
+    """``chunk`` = position in (order + rest) within the key, div ``max_points``.
+
+    With two or more order columns the first one (e.g. the band) becomes part
+    of the group and positions within (key, band) come from the skew-safe
+    ``ordered.ranked`` (sliced on the numeric second column); band offsets
+    come from a table with one row per (key, band)."""
+    from pyspark.sql import Window
+    from skyflux.operators.ordered import ranked
+    if len(order) >= 2:
+        groups, within = [key, order[0]], order[1:] + rest
+    else:
+        groups, within = [key], order + rest
+    r = ranked(df, groups, within)
+    if len(groups) == 2:
+        sizes = r.select(*groups, "__cnt").distinct()
+        w = Window.partitionBy(key).orderBy(order[0]).rowsBetween(Window.unboundedPreceding, -1)
+        sizes = sizes.withColumn("__boff", F.coalesce(F.sum("__cnt").over(w), F.lit(0))).drop("__cnt")
+        r = r.join(sizes, groups).withColumn("__rank", F.col("__rank") + F.col("__boff")).drop("__boff")
+    return r.withColumn("chunk", (F.col("__rank") / F.lit(max_points)).cast("int")).drop("__rank", "__cnt")
+
+
 def explode_lightcurves(nested: DataFrame, list_cols: list[str], key: str = "SNID") -> DataFrame:
     """AGG2: inverse of ``nest_lightcurves`` (aligned lists -> one row per point)."""
     z = F.explode(F.arrays_zip(*[F.col(c) for c in list_cols])).alias("__z")

@@ -111,3 +111,12 @@ def test_core_plans_stay_on_the_jvm(spark):
         plan = qs[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "ArrowEval" not in plan, name
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
+
+
+def test_nest_chunked_across_bands(spark):
+    rows = [(1, b, float(i), i + 100 * k) for k, b in enumerate("gri") for i in range(5)]
+    df = spark.createDataFrame(rows, "SNID long, BAND string, MJD double, obs_id long")
+    n = lc.nest_lightcurves(df, max_points=4).orderBy("chunk").collect()
+    flat = [(b, m) for r in n for b, m in zip(r.BAND, r.MJD)]
+    assert flat == sorted((b, m) for _, b, m, _ in rows)
+    assert [len(r.MJD) for r in n] == [4, 4, 4, 3]
