@@ -6,14 +6,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skyflux.operators.ordered import exact_median, ordered_lag
+from skyflux.operators.ordered import exact_median, group_max, ordered_lag
 from skyflux.functions.photometry import (fractional_error, has_flag, mag_error,
                                           mag_from_flux, snr)
 from skyflux.schemas import BANDS, PHOTFLAG_DETECT, PHOTFLAG_SATURATE, PHOTFLAG_TRIGGER
 
 
 def delta_t(phot: DataFrame, key: str = "SNID", band: str = "BAND", mjd: str = "MJD",
-            tiebreak: str | None = "obs_id", name: str = "delta_t", skew_safe: bool = True) -> DataFrame:
+            tiebreak: str | None = "obs_id", name: str = "delta_t", skew_safe: bool = True,
+            top: int | None = None) -> DataFrame:
     """WIN1: gap to the previous point of the same object and band (NULL first).
 
     ``skew_safe`` (default) range-partitions on (object, band, time) so a huge
@@ -21,7 +22,7 @@ def delta_t(phot: DataFrame, key: str = "SNID", band: str = "BAND", mjd: str = "
     window per (object, band)."""
     order = [mjd] + ([tiebreak] if tiebreak else [])
     if skew_safe:
-        return ordered_lag(phot, [key, band], order, mjd, "__prev_mjd") \
+        return ordered_lag(phot, [key, band], order, mjd, "__prev_mjd", top=top) \
             .withColumn(name, F.col(mjd) - F.col("__prev_mjd")).drop("__prev_mjd")
     w = Window.partitionBy(key, band).orderBy(*order)
     return phot.withColumn(name, F.col(mjd) - F.lag(mjd).over(w))
@@ -32,9 +33,12 @@ def cadence_median(phot: DataFrame, key: str = "SNID", band: str = "BAND", mjd:
                    skew_safe: bool = True) -> DataFrame:
     """AGG17: exact median of consecutive gaps per object and band (by rank,
     ``ordered.exact_median``, so no group is held in one task's memory)."""
-    d = delta_t(phot, key, band, mjd, tiebreak, "__dt", skew_safe).filter(F.col("__dt").isNotNull())
     if skew_safe:
-        return exact_median(d, [key, band], "__dt", name)
+        # one count of the raw points bounds both rankings (gaps = points - 1)
+        top = group_max(phot, [key, band])
+        d = delta_t(phot, key, band, mjd, tiebreak, "__dt", True, top).filter(F.col("__dt").isNotNull())
+        return exact_median(d, [key, band], "__dt", name, top=top)
+    d = delta_t(phot, key, band, mjd, tiebreak, "__dt", False).filter(F.col("__dt").isNotNull())
     return d.groupBy(key, band).agg(F.median("__dt").alias(name))
 
 

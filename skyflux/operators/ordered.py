@@ -22,11 +22,19 @@ MAX_ROWS = 2_000_000        # rows per slice before a group is split
 MAX_SLICES = 1024
 
 
-def _slice(df: DataFrame, groups: list[str], col: str, descending: bool, max_rows: int) -> DataFrame:
-    """Adds ``__k``: 0 for ordinary groups, the quantile slice for hot ones."""
+def group_max(df: DataFrame, groups: list[str]) -> int:
+    """Size of the largest group (one partial aggregation)."""
+    return df.groupBy(*groups).agg(F.count(F.lit(1)).alias("__n")).agg(F.max("__n")).first()[0] or 0
+
+
+def _slice(df: DataFrame, groups: list[str], col: str, descending: bool, max_rows: int,
+           top: int | None = None) -> DataFrame:
+    """Adds ``__k``: 0 for ordinary groups, the quantile slice for hot ones.
+    ``top`` (largest group size, or an upper bound) skips the counting pass."""
     from skyflux.session import broadcast_if_small, checkpoint_table
     counts = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("__n"))
-    top = counts.agg(F.max("__n").alias("m")).first()["m"]
+    if top is None:
+        top = counts.agg(F.max("__n").alias("m")).first()["m"]
     if not top or top <= max_rows:
         return df.withColumn("__k", F.lit(0))
     k = min(MAX_SLICES, int(math.ceil(top / max_rows)))
@@ -50,11 +58,11 @@ def _order_cols(order: list[str], descending: bool) -> list[Column]:
 
 
 def ranked(df: DataFrame, groups: list[str], order: list[str], value: str | None = None,
-           descending: bool = False, max_rows: int = MAX_ROWS) -> DataFrame:
+           descending: bool = False, max_rows: int = MAX_ROWS, top: int | None = None) -> DataFrame:
     """Adds ``__rank`` (0-based position in the group, in ``order``), ``__cnt``
     (group size) and, when ``value`` is given, ``__prev`` (that column on the
     previous row of the group). ``descending`` applies to the first order column."""
-    s = _slice(df, groups, order[0], descending, max_rows)
+    s = _slice(df, groups, order[0], descending, max_rows, top)
     oc = _order_cols(order, descending)
     w = Window.partitionBy(*groups, "__k").orderBy(*oc)
     s = s.withColumn("__lr", F.row_number().over(w) - 1)
@@ -80,18 +88,18 @@ def ranked(df: DataFrame, groups: list[str], order: list[str], value: str | None
 
 
 def ordered_lag(df: DataFrame, groups: list[str], order: list[str], value: str, name: str,
-                max_rows: int = MAX_ROWS) -> DataFrame:
+                max_rows: int = MAX_ROWS, top: int | None = None) -> DataFrame:
     """``value`` of the previous row in the group (NULL for the first row)."""
-    return (ranked(df, groups, order, value, max_rows=max_rows)
+    return (ranked(df, groups, order, value, max_rows=max_rows, top=top)
             .withColumnRenamed("__prev", name).drop("__rank", "__cnt"))
 
 
 def exact_median(df: DataFrame, groups: list[str], value: str, name: str = "median",
-                 max_rows: int = MAX_ROWS) -> DataFrame:
+                 max_rows: int = MAX_ROWS, top: int | None = None) -> DataFrame:
     """Exact median per group (mean of the two middle values for even counts)
     without holding any group in one task: rank, then keep the middle rows."""
     v = df.filter(F.col(value).isNotNull()).select(*groups, value)
-    r = ranked(v, groups, [value], None, max_rows=max_rows)
+    r = ranked(v, groups, [value], None, max_rows=max_rows, top=top)
     mid = r.filter((F.col("__rank") == F.floor((F.col("__cnt") - 1) / 2))
                    | (F.col("__rank") == F.ceil((F.col("__cnt") - 1) / 2)))
     return mid.groupBy(*groups).agg(F.avg(value).alias(name))
