@@ -129,15 +129,19 @@ def q_alert_truth(spark, d):
 
 @query("map_gentype_class", with_(MESSAGES_EMB, TRUTH_EV, _BEST) + """
 , cmap AS (SELECT DISTINCT GENTYPE AS gentype, CAST(2222 + GENTYPE % 5 AS INTEGER) AS classId FROM truth_ev),
-q AS (SELECT messageId, CASE WHEN messageId % 2 = 0 THEN bestClassId ELSE 2220 END AS classId FROM best)
+q AS (SELECT messageId, CAST(floor(bestClassId / power(10, messageId % 4))
+                             * power(10, messageId % 4) AS INTEGER) AS classId,
+             CAST(4 - messageId % 4 AS INTEGER) AS lvl FROM best)
 SELECT q.messageId, q.classId, c.gentype FROM q JOIN cmap c
-  ON (q.classId % 10 <> 0 AND c.classId = q.classId)
-  OR (q.classId % 10 = 0 AND CAST(floor(c.classId / 10) * 10 AS INTEGER) = q.classId)""".replace("\n, cmap AS", ",\ncmap AS", 1))
+  ON CAST(floor(c.classId / power(10, 4 - q.lvl)) * power(10, 4 - q.lvl) AS INTEGER) = q.classId""".replace(
+    "\n, cmap AS", ",\ncmap AS", 1))
 def q_map_gentype_class(spark, d):
-    """JOIN9: even messages match their exact class, odd ones the SN-like category."""
+    """JOIN9 at all four match levels: message k asks for its best class at
+    level 4 - k % 4 (exact, category, broad, general)."""
     b = cl.best_class(B.messages_emb(spark, d))
-    q = b.select("messageId", F.when(F.col("messageId") % 2 == 0, F.col("bestClassId"))
-                 .otherwise(F.lit(2220)).cast("int").alias("classId"))
+    lvl = F.lit(4) - F.col("messageId") % 4
+    k = F.pow(F.lit(10), F.lit(4) - lvl)
+    q = b.select("messageId", (F.floor(F.col("bestClassId") / k) * k).cast("int").alias("classId"))
     return tx.map_gentype_class(q, B.class_map_ev(spark, d)).select("messageId", "classId", "gentype")
 
 
