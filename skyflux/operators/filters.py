@@ -58,10 +58,12 @@ def drop_failed_masses(df: DataFrame, m1: str = "m1", m2: str = "m2") -> DataFra
     return df.filter((F.col(m1) > 0) & (F.col(m2) > 0))
 
 
-def cut_windows(objects: DataFrame, windows: dict[str, tuple]) -> DataFrame:
-    """FLT8: keep rows whose columns all lie in inclusive windows ``{col: (lo, hi)}``.
+def cut_windows(objects: DataFrame, windows: dict[str, tuple], allow_null: bool = False) -> DataFrame:
+    """FLT8: keep rows whose columns all lie in inclusive windows ``{col: (lo, hi)}``
+    (e.g. a peak magnitude per band: any band outside rejects the object).
 
-    A ``None`` bound is open. NULL values fail the cut."""
+    A ``None`` bound is open. NULL values fail the cut unless ``allow_null``
+    (an unobserved band is not outside its window)."""
     conds = []
     for c, (lo, hi) in windows.items():
         cond = F.col(c).isNotNull()
@@ -69,7 +71,7 @@ def cut_windows(objects: DataFrame, windows: dict[str, tuple]) -> DataFrame:
             cond = cond & (F.col(c) >= lo)
         if hi is not None:
             cond = cond & (F.col(c) <= hi)
-        conds.append(cond)
+        conds.append((F.col(c).isNull() | cond) if allow_null else cond)
     return objects.filter(reduce(lambda a, b: a & b, conds)) if conds else objects
 
 

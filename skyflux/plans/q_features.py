@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from skyflux.functions import photometry as ph
 from skyflux.operators import features as fe
+from skyflux.operators import filters as flt
 from skyflux.plans import bindings as B
 from skyflux.plans.registry import query
 from skyflux.plans.sql import PHOT_EV, TRUTH_EV, with_
@@ -146,3 +147,18 @@ def q_band_features(spark, d):
                  F.col(f"median_delta_t_{b}"),
                  F.element_at(f"mag_{b}", 1).alias(f"first_mag_{b}")]
     return bf.select(*cols)
+
+
+@query("peakmag_cut", with_(PHOT_EV) + """
+, pb AS (SELECT SNID, BAND, -2.5 * log10(abs(max(FLUXCAL))) + 27.5 AS mag FROM phot_ev
+         WHERE BAND IN ('g', 'r', 'i') GROUP BY SNID, BAND),
+bad AS (SELECT DISTINCT SNID FROM pb WHERE mag < 14 OR mag > 22.5)
+SELECT o.SNID, o.NOBS FROM (SELECT SNID, count(*) AS NOBS FROM phot_ev GROUP BY SNID) o
+WHERE o.NOBS >= 10 AND NOT EXISTS (SELECT 1 FROM bad WHERE bad.SNID = o.SNID)""".replace("\n, pb AS", ",\npb AS", 1))
+def q_peakmag_cut(spark, d):
+    """FLT8 on the object summary: NOBS >= 10 and peak magnitude in [14, 22.5]
+    in every observed band of g, r, i."""
+    s = fe.object_summary(B.phot_ev(spark, d))
+    cut = flt.cut_windows(s, {"PEAKMAG_g": (14, 22.5), "PEAKMAG_r": (14, 22.5), "PEAKMAG_i": (14, 22.5)},
+                          allow_null=True)
+    return flt.cut_windows(cut, {"NOBS": (10, None)}).select("SNID", "NOBS")
