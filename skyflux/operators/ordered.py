@@ -46,8 +46,11 @@ def _slice(df: DataFrame, groups: list[str], col: str, descending: bool, max_row
     b = F.col("__b")
     v = F.col(col)
     k_expr = F.size(F.filter(b, (lambda x: x > v) if descending else (lambda x: x <= v)))
+    # NULL order values sort first ascending and last descending
+    k_null = F.size(b) if descending else F.lit(0)
     out = df.join(broadcast_if_small(bounds, 200_000), groups, "left")
-    return out.withColumn("__k", F.coalesce(k_expr, F.lit(0))).drop("__b")
+    k = F.when(b.isNull(), F.lit(0)).when(v.isNull(), k_null).otherwise(k_expr)
+    return out.withColumn("__k", k).drop("__b")
 
 
 def _order_cols(order: list[str], descending: bool) -> list[Column]:
