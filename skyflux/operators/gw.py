@@ -100,20 +100,15 @@ def detector_frame(df: DataFrame, m1: str = "mass1_source", m2: str = "mass2_sou
             .withColumn("chirp_mass", chirp_mass("mass1", "mass2")))
 
 
-def simulation_ids(df: DataFrame, order: str, name: str = "simulation_id") -> DataFrame:
-    """WIN4: dense 0-based ids in ``order`` without a single-task global window.
-
-    Rows are range-partitioned on the key; per partition, a local row number
-    plus the sizes of all earlier partitions (one small row per partition,
-    a proven bound) gives the global position."""
-    r = df.repartitionByRange(order).withColumn("__pid", F.spark_partition_id())
-    sizes = r.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
-    w = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    offs = sizes.select("__pid", F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__off"))
-    local = r.withColumn("__r", F.row_number().over(Window.partitionBy("__pid").orderBy(order)) - 1)
-    return (local.join(F.broadcast(offs), "__pid")
-            .withColumn(name, (F.col("__off") + F.col("__r")).cast("long"))
-            .drop("__pid", "__r", "__off"))
+def simulation_ids(df: DataFrame, order: str, name: str = "simulation_id",
+                   max_rows: int | None = None) -> DataFrame:
+    """WIN4: dense 0-based ids in ``order`` without a single-task global window:
+    the table is cut at fixed quantiles of the key (``ordered.ranked`` with one
+    constant group), each slice numbers its rows and the sizes of earlier
+    slices (one small row per slice) give the offsets."""
+    from skyflux.operators.ordered import MAX_ROWS, ranked
+    r = ranked(df.withColumn("__all", F.lit(0)), ["__all"], [order], max_rows=max_rows or MAX_ROWS)
+    return r.withColumn(name, F.col("__rank").cast("long")).drop("__all", "__rank", "__cnt")
 
 
 def injection_rows(df: DataFrame, seed: int = 0, snid: str = "snid", ra: str = "ra", dec: str = "dec",

@@ -76,8 +76,9 @@ def test_distance_grid_and_inverse(spark):
 
 def test_simulation_ids_dense(spark):
     df = spark.range(0, 1000, 7).select((F.col("id") * 3).alias("SNID")).repartition(5)
-    ids = sorted((r.SNID, r.simulation_id) for r in gw.simulation_ids(df, "SNID").collect())
-    assert [i for _, i in ids] == list(range(len(ids)))
+    for mr in (None, 10):
+        ids = sorted((r.SNID, r.simulation_id) for r in gw.simulation_ids(df, "SNID", max_rows=mr).collect())
+        assert [i for _, i in ids] == list(range(len(ids)))
 
 
 def test_copies_do_not_multiply_pairs(spark):
