@@ -28,41 +28,84 @@ def alert_history(sources: DataFrame, obj: str = "diaObjectId", mjd: str = "midP
 def build_alerts(sources: DataFrame, forced: DataFrame, objects: DataFrame | None = None,
                  lookback: float = 30.0, min_age: float = 1.0, obj: str = "diaObjectId",
                  mjd: str = "midPointTai", sid: str = "diaSourceId",
-                 fid: str = "diaForcedSourceId", alert_id: str | None = None) -> DataFrame:
+                 fid: str = "diaForcedSourceId", alert_id: str | None = None,
+                 max_rows: int | None = None) -> DataFrame:
     """JOIN17: one alert per detection: the source, its object, all earlier
     sources, and, when the object's first detection is at least ``min_age`` days
     before this source, the forced photometry from ``lookback`` days before the
     first detection up to this source's time (inclusive; NULL otherwise).
 
     Sources and forced points are unioned and ordered per object by time
-    (forced first on ties); one window pass gives, at each source, the earlier
+    (forced first on ties); a window gives, at each source, the earlier
     sources and the forced points so far (a running prefix, since the lower
-    bound is fixed per object) and the object's first detection. One shuffle
-    by object; no self-join."""
+    bound is fixed per object). Objects with more than ``max_rows`` points are
+    cut into time slices at fixed quantiles (``ordered._slice``); each slice
+    runs its own window and prepends the sources and in-range forced points of
+    its earlier slices, taken from a table with one row per (object, slice).
+    So a hot object's (inherently quadratic) output is produced by many tasks."""
+    from skyflux.operators.ordered import MAX_ROWS, _slice, group_max
     aid = alert_id or sid
-    s_cols, f_cols = sources.columns, forced.columns
-    s_struct = F.struct(*[F.col(c) for c in s_cols])
-    f_struct = F.struct(*[F.col(c) for c in f_cols])
-    u = (sources.select(F.col(obj).alias("__o"), F.col(mjd).alias("__t"), F.lit(1).alias("__k"),
+    s_struct = F.struct(*[F.col(c) for c in sources.columns])
+    f_struct = F.struct(*[F.col(c) for c in forced.columns])
+    s_type = sources.select(s_struct).schema[0].dataType
+    f_type = forced.select(f_struct).schema[0].dataType
+    u = (sources.select(F.col(obj).alias("__o"), F.col(mjd).alias("__t"), F.lit(1).alias("__kind"),
                         F.col(sid).cast("long").alias("__id"), F.col(aid).alias("__aid"),
-                        s_struct.alias("__s"), F.lit(None).cast(forced.select(f_struct).schema[0].dataType).alias("__f"))
-         .unionByName(forced.select(F.col(obj).alias("__o"), F.col(mjd).alias("__t"), F.lit(0).alias("__k"),
+                        s_struct.alias("__s"), F.lit(None).cast(f_type).alias("__f"))
+         .unionByName(forced.select(F.col(obj).alias("__o"), F.col(mjd).alias("__t"), F.lit(0).alias("__kind"),
                                     F.col(fid).cast("long").alias("__id"),
                                     F.lit(None).cast(sources.schema[aid].dataType).alias("__aid"),
-                                    F.lit(None).cast(sources.select(s_struct).schema[0].dataType).alias("__s"),
-                                    f_struct.alias("__f"))))
-    w = Window.partitionBy("__o").orderBy("__t", "__k", "__id")
-    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy("__o")
+                                    F.lit(None).cast(s_type).alias("__s"), f_struct.alias("__f"))))
+    limit = max_rows or MAX_ROWS
+    top = group_max(u, ["__o"])
+    if top <= limit:
+        return _alerts_one_window(u, objects, lookback, min_age, obj, mjd)
+    u = _slice(u, ["__o"], "__t", False, limit, top=top, hot_flag="__hot")
+    w = Window.partitionBy("__o", "__k").orderBy("__t", "__kind", "__id")
     x = u.select("*",
-                 F.collect_list("__s").over(before).alias("prvDiaSources"),
-                 F.collect_list("__f").over(run).alias("__fs"),
-                 F.min(F.when(F.col("__k") == 1, F.col("__t"))).over(whole).alias("__first"))
-    a = x.filter(F.col("__k") == 1)
+                 F.collect_list("__s").over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("__prv"),
+                 F.collect_list("__f").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+                 .alias("__fs"))
+    # per (object, slice): first detection, and for sliced objects the slice's
+    # own sources / forced points in order (to be prepended to later slices)
+    ordered_s = F.struct("__t", "__kind", "__id", "__s")
+    ordered_f = F.struct("__t", "__kind", "__id", "__f")
+    per = u.groupBy("__o", "__k").agg(
+        F.min(F.when(F.col("__kind") == 1, F.col("__t"))).alias("__sfirst"),
+        F.array_sort(F.collect_list(F.when(F.col("__hot") & (F.col("__kind") == 1), ordered_s))).alias("__ss"),
+        F.array_sort(F.collect_list(F.when(F.col("__hot") & (F.col("__kind") == 0), ordered_f))).alias("__sf"))
+    wo = Window.partitionBy("__o")
+    before = Window.partitionBy("__o").orderBy("__k").rowsBetween(Window.unboundedPreceding, -1)
+    per = per.withColumn("__first", F.min("__sfirst").over(wo))
+    lo = F.col("__first") - lookback
+    per = per.withColumn("__sf", F.filter("__sf", lambda r: r["__t"] >= lo))
+    per = per.select("__o", "__k", "__first",
+                     F.flatten(F.collect_list(F.transform("__ss", lambda r: r["__s"])).over(before)).alias("__pre_s"),
+                     F.flatten(F.collect_list(F.transform("__sf", lambda r: r["__f"])).over(before)).alias("__pre_f"))
+    a = x.filter(F.col("__kind") == 1).join(per, ["__o", "__k"])
+    prv = F.concat(F.coalesce("__pre_s", F.array().cast(f"array<{s_type.simpleString()}>")), F.col("__prv"))
+    fs = F.concat(F.coalesce("__pre_f", F.array().cast(f"array<{f_type.simpleString()}>")), F.col("__fs"))
     elig = F.col("__t") - F.col("__first") >= min_age
+    forced_arr = F.when(elig, F.filter(fs, lambda r: r[mjd] >= lo))
+    res = a.select(F.col("__aid").alias("alertId"), F.col("__s").alias("diaSource"), prv.alias("prvDiaSources"),
+                   forced_arr.alias("prvDiaForcedSources"), "__o")
+    if objects is not None:
+        res = res.join(objects.select(F.col(obj).alias("__o"), F.struct(*objects.columns).alias("diaObject")),
+                       "__o", "left")
+    return res.drop("__o")
+
+
+def _alerts_one_window(u: DataFrame, objects: DataFrame | None, lookback: float, min_age: float,
+                       obj: str, mjd: str) -> DataFrame:
+    """``build_alerts`` when no object needs slicing: one window per object."""
+    w = Window.partitionBy("__o").orderBy("__t", "__kind", "__id")
+    x = u.select("*",
+                 F.collect_list("__s").over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("prvDiaSources"),
+                 F.collect_list("__f").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("__fs"),
+                 F.min(F.when(F.col("__kind") == 1, F.col("__t"))).over(Window.partitionBy("__o")).alias("__first"))
+    a = x.filter(F.col("__kind") == 1)
     lo = F.col("__first") - lookback
-    forced_arr = F.when(elig, F.filter("__fs", lambda r: r[mjd] >= lo))
+    forced_arr = F.when(F.col("__t") - F.col("__first") >= min_age, F.filter("__fs", lambda r: r[mjd] >= lo))
     res = a.select(F.col("__aid").alias("alertId"), F.col("__s").alias("diaSource"), "prvDiaSources",
                    forced_arr.alias("prvDiaForcedSources"), "__o")
     if objects is not None:

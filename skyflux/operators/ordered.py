@@ -28,15 +28,17 @@ def group_max(df: DataFrame, groups: list[str]) -> int:
 
 
 def _slice(df: DataFrame, groups: list[str], col: str, descending: bool, max_rows: int,
-           top: int | None = None) -> DataFrame:
+           top: int | None = None, hot_flag: str | None = None) -> DataFrame:
     """Adds ``__k``: 0 for ordinary groups, the quantile slice for hot ones.
-    ``top`` (largest group size, or an upper bound) skips the counting pass."""
+    ``top`` (largest group size, or an upper bound) skips the counting pass;
+    ``hot_flag`` names an extra boolean column marking rows of sliced groups."""
     from skyflux.session import broadcast_if_small, checkpoint_table
     counts = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("__n"))
     if top is None:
         top = counts.agg(F.max("__n").alias("m")).first()["m"]
     if not top or top <= max_rows:
-        return df.withColumn("__k", F.lit(0))
+        out = df.withColumn("__k", F.lit(0))
+        return out.withColumn(hot_flag, F.lit(False)) if hot_flag else out
     k = min(MAX_SLICES, int(math.ceil(top / max_rows)))
     pct = [i / k for i in range(1, k)]
     hot = counts.filter(F.col("__n") > max_rows).select(*groups)
@@ -50,7 +52,10 @@ def _slice(df: DataFrame, groups: list[str], col: str, descending: bool, max_row
     k_null = F.size(b) if descending else F.lit(0)
     out = df.join(broadcast_if_small(bounds, 200_000), groups, "left")
     k = F.when(b.isNull(), F.lit(0)).when(v.isNull(), k_null).otherwise(k_expr)
-    return out.withColumn("__k", k).drop("__b")
+    out = out.withColumn("__k", k)
+    if hot_flag:
+        out = out.withColumn(hot_flag, b.isNotNull())
+    return out.drop("__b")
 
 
 def _order_cols(order: list[str], descending: bool) -> list[Column]:

@@ -120,3 +120,20 @@ def test_nest_chunked_across_bands(spark):
     flat = [(b, m) for r in n for b, m in zip(r.BAND, r.MJD)]
     assert flat == sorted((b, m) for _, b, m, _ in rows)
     assert [len(r.MJD) for r in n] == [4, 4, 4, 3]
+
+
+def test_build_alerts_sliced_equals_unsliced(spark):
+    from skyflux.operators import alerts as al
+    from skyflux.plans import bindings as B
+    d = "/root/testdata/sf0.001"
+    src, frc = B.sources_ev(spark, d), B.forced_ev(spark, d)
+
+    def view(df):
+        return {r.alertId: (tuple(x.diaSourceId for x in r.prvDiaSources),
+                            None if r.prvDiaForcedSources is None
+                            else tuple(x.diaForcedSourceId for x in r.prvDiaForcedSources))
+                for r in df.collect()}
+    a = view(al.build_alerts(src, frc, lookback=2.0, min_age=1.0))
+    b = view(al.build_alerts(src, frc, lookback=2.0, min_age=1.0, max_rows=20))
+    assert a == b and len(a) > 100
+    assert any(v[1] is None for v in a.values()) and any(v[1] for v in a.values())
