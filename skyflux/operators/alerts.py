@@ -16,13 +16,14 @@ ALERT_NAME_PATTERN = r"^alert_mjd([0-9]+(?:\.[0-9]+)?)_obj([0-9]+)_src([0-9]+)\.
 
 
 def alert_history(sources: DataFrame, obj: str = "diaObjectId", mjd: str = "midPointTai",
-                  sid: str = "diaSourceId", name: str = "prvDiaSources") -> DataFrame:
+                  sid: str = "diaSourceId", name: str = "prvDiaSources",
+                  max_rows: int | None = None) -> DataFrame:
     """WIN8: for every source, the earlier sources of its object (by mjd, then
-    id) as an array of structs. The history is the alert's content, so its
-    size is that of the output; the frame runs per object."""
-    w = (Window.partitionBy(obj).orderBy(mjd, sid)
-         .rowsBetween(Window.unboundedPreceding, -1))
-    return sources.withColumn(name, F.collect_list(F.struct(*sources.columns)).over(w))
+    id) as an array of structs: ``build_alerts`` without forced photometry, so
+    objects above ``max_rows`` points are split into time slices."""
+    none = sources.select(F.col(sid).alias("__fid"), obj, mjd).limit(0)
+    a = build_alerts(sources, none, None, obj=obj, mjd=mjd, sid=sid, fid="__fid", max_rows=max_rows)
+    return a.select("diaSource.*", F.col("prvDiaSources").alias(name))
 
 
 def build_alerts(sources: DataFrame, forced: DataFrame, objects: DataFrame | None = None,

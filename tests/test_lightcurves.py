@@ -137,3 +137,12 @@ def test_build_alerts_sliced_equals_unsliced(spark):
     b = view(al.build_alerts(src, frc, lookback=2.0, min_age=1.0, max_rows=20))
     assert a == b and len(a) > 100
     assert any(v[1] is None for v in a.values()) and any(v[1] for v in a.values())
+
+
+def test_alert_history_sliced_equals_unsliced(spark):
+    from skyflux.operators import alerts as al
+    from skyflux.plans import bindings as B
+    src = B.sources_ev(spark, "/root/testdata/sf0.001")
+    a = {r.diaSourceId: [x.diaSourceId for x in r.prvDiaSources] for r in al.alert_history(src).collect()}
+    b = {r.diaSourceId: [x.diaSourceId for x in r.prvDiaSources] for r in al.alert_history(src, max_rows=5).collect()}
+    assert a == b and max(len(v) for v in a.values()) > 5
