@@ -30,6 +30,13 @@ def cone_search(df: DataFrame, ra0: float, dec0: float, radius_deg: float, ra: s
     return band.withColumn(name, sep).filter(F.col(name) <= radius_deg)
 
 
+def sort_by_declination(df: DataFrame, dec: str = "decl", partitions: int | None = None) -> DataFrame:
+    """Storage layout for cone searches: range-partitioned and sorted by
+    declination, so Parquet row-group statistics prune declination bands."""
+    r = df.repartitionByRange(partitions, dec) if partitions else df.repartitionByRange(dec)
+    return r.sortWithinPartitions(dec)
+
+
 def _n_ra(band: Column, h: float) -> Column:
     lo = F.lit(-90.0) + band.cast("double") * h
     hi = lo + h

@@ -8,10 +8,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from skyflux.operators import gw
+from skyflux.operators import sky
+from skyflux.plans.q_sky_gw import _hav
 from skyflux.operators import lightcurves as lc
 from skyflux.plans import bindings as B
 from skyflux.plans.registry import query
-from skyflux.plans.sql import PHOT_EV, TRUTH_EV, with_
+from skyflux.plans.sql import PHOT_EV, SKY_OBJECTS, TRUTH_EV, with_
 from skyflux.session import scratch_path
 from skyflux.sources import parquet as pq
 from skyflux.sources import text as tx
@@ -135,3 +137,27 @@ def q_read_gw_tables(spark, d):
     base = scratch_path(spark, "gwtables")
     B.sim_inspiral(spark, d).write.mode("overwrite").parquet(f"{base}/sim_inspiral")
     return pq.read_gw_tables(spark, base, "sim_inspiral").select("simulation_id", "source", "distance")
+
+
+@query("cone_search_stored", with_(SKY_OBJECTS) + f"""
+SELECT objectId, ra, decl, {_hav('100.0', '20.0', 'ra', 'decl')} AS sep_deg
+FROM sky_objects WHERE {_hav('100.0', '20.0', 'ra', 'decl')} <= 10.0""", ["ra", "decl", "sep_deg"])
+def q_cone_search_stored(spark, d):
+    """JOIN13 on a stored object table: the declination band is pushed to the
+    Parquet scan (row groups outside it are skipped)."""
+    path = scratch_path(spark, "objects")
+    sky.sort_by_declination(B.sky_objects(spark, d)).write.mode("overwrite").parquet(path)
+    return sky.cone_search(spark.read.parquet(path), 100.0, 20.0, 10.0)
+
+
+@query("lightcurve_stored", with_(PHOT_EV) + """
+SELECT SNID, obs_id, MJD, BAND, FLUXCAL, FLUXCALERR, PHOTFLAG FROM phot_ev WHERE SNID = 7""",
+       ["MJD", "FLUXCAL", "FLUXCALERR"])
+def q_lightcurve_stored(spark, d):
+    """SRC5 on a stored, SNID-clustered light-curve table: the id filter is
+    pushed to the scan, so only matching row groups are read."""
+    path = scratch_path(spark, "curves-long")
+    lc.sort_lightcurves(B.phot_ev(spark, d), ("SNID", "BAND", "MJD"), for_storage=True) \
+        .write.mode("overwrite").parquet(path)
+    _, head = B.phot_files(spark, d)
+    return lc.lightcurve(spark.read.parquet(path), head, 7)
