@@ -61,7 +61,7 @@ def build_alerts(sources: DataFrame, forced: DataFrame, objects: DataFrame | Non
     top = group_max(u, ["__o"])
     if top <= limit:
         return _alerts_one_window(u, objects, lookback, min_age, obj, mjd)
-    u = _slice(u, ["__o"], "__t", False, limit, top=top, hot_flag="__hot")
+    u, _ = _slice(u, ["__o"], "__t", False, limit, top=top, hot_flag="__hot")
     w = Window.partitionBy("__o", "__k").orderBy("__t", "__kind", "__id")
     x = u.select("*",
                  F.collect_list("__s").over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("__prv"),

@@ -102,13 +102,14 @@ def detector_frame(df: DataFrame, m1: str = "mass1_source", m2: str = "mass2_sou
 
 def simulation_ids(df: DataFrame, order: str, name: str = "simulation_id",
                    max_rows: int | None = None) -> DataFrame:
-    """WIN4: dense 0-based ids in ``order`` without a single-task global window:
-    the table is cut at fixed quantiles of the key (``ordered.ranked`` with one
-    constant group), each slice numbers its rows and the sizes of earlier
-    slices (one small row per slice) give the offsets."""
+    """WIN4: dense 0-based ids in ``order``. Above ``max_rows`` rows the table
+    is cut at fixed quantiles of the key (``ordered.ranked`` with no group),
+    each slice numbers its rows and the sizes of earlier slices (one small row
+    per slice) give the offsets; below it, one window over at most
+    ``max_rows`` rows."""
     from skyflux.operators.ordered import MAX_ROWS, ranked
-    r = ranked(df.withColumn("__all", F.lit(0)), ["__all"], [order], max_rows=max_rows or MAX_ROWS)
-    return r.withColumn(name, F.col("__rank").cast("long")).drop("__all", "__rank", "__cnt")
+    r = ranked(df, [], [order], max_rows=max_rows or MAX_ROWS)
+    return r.withColumn(name, F.col("__rank").cast("long")).drop("__rank", "__cnt")
 
 
 def injection_rows(df: DataFrame, seed: int = 0, snid: str = "snid", ra: str = "ra", dec: str = "dec",

@@ -28,25 +28,33 @@ def group_max(df: DataFrame, groups: list[str]) -> int:
 
 
 def _slice(df: DataFrame, groups: list[str], col: str, descending: bool, max_rows: int,
-           top: int | None = None, hot_flag: str | None = None) -> DataFrame:
+           top: int | None = None, hot_flag: str | None = None) -> tuple[DataFrame, bool]:
     """Adds ``__k``: 0 for ordinary groups, the quantile slice for hot ones.
     ``top`` (largest group size, or an upper bound) skips the counting pass;
-    ``hot_flag`` names an extra boolean column marking rows of sliced groups."""
+    ``hot_flag`` names an extra boolean column marking rows of sliced groups.
+    Returns (frame, whether any group was sliced)."""
     from skyflux.session import broadcast_if_small, checkpoint_table
     counts = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("__n"))
     if top is None:
         top = counts.agg(F.max("__n").alias("m")).first()["m"]
     if not top or top <= max_rows:
         out = df.withColumn("__k", F.lit(0))
-        return out.withColumn(hot_flag, F.lit(False)) if hot_flag else out
+        return (out.withColumn(hot_flag, F.lit(False)) if hot_flag else out), False
     k = min(MAX_SLICES, int(math.ceil(top / max_rows)))
     pct = [i / k for i in range(1, k)]
+    v = F.col(col)
+    if not groups:
+        # one global group: its (at most MAX_SLICES) bounds become a literal
+        vals = df.agg(F.percentile_approx(col, pct, max(10_000, 20 * k))).first()[0]
+        b = F.array(*[F.lit(x) for x in vals])
+        k_expr = F.size(F.filter(b, (lambda x: x > v) if descending else (lambda x: x <= v)))
+        out = df.withColumn("__k", F.when(v.isNull(), F.size(b) if descending else F.lit(0)).otherwise(k_expr))
+        return (out.withColumn(hot_flag, F.lit(True)) if hot_flag else out), True
     hot = counts.filter(F.col("__n") > max_rows).select(*groups)
     bounds = (df.join(hot, groups, "left_semi").groupBy(*groups)
               .agg(F.percentile_approx(col, pct, max(10_000, 20 * k)).alias("__b")))
     bounds = checkpoint_table(bounds, "slice-bounds")          # fixed once written
     b = F.col("__b")
-    v = F.col(col)
     k_expr = F.size(F.filter(b, (lambda x: x > v) if descending else (lambda x: x <= v)))
     # NULL order values sort first ascending and last descending
     k_null = F.size(b) if descending else F.lit(0)
@@ -55,7 +63,7 @@ def _slice(df: DataFrame, groups: list[str], col: str, descending: bool, max_row
     out = out.withColumn("__k", k)
     if hot_flag:
         out = out.withColumn(hot_flag, b.isNotNull())
-    return out.drop("__b")
+    return out.drop("__b"), True
 
 
 def _order_cols(order: list[str], descending: bool) -> list[Column]:
@@ -70,8 +78,14 @@ def ranked(df: DataFrame, groups: list[str], order: list[str], value: str | None
     """Adds ``__rank`` (0-based position in the group, in ``order``), ``__cnt``
     (group size) and, when ``value`` is given, ``__prev`` (that column on the
     previous row of the group). ``descending`` applies to the first order column."""
-    s = _slice(df, groups, order[0], descending, max_rows, top)
+    s, sliced = _slice(df, groups, order[0], descending, max_rows, top)
     oc = _order_cols(order, descending)
+    if not sliced:
+        # every group has at most max_rows rows: a plain window per group
+        w = Window.partitionBy(*groups).orderBy(*oc)
+        out = s.drop("__k").withColumn("__rank", F.row_number().over(w) - 1) \
+            .withColumn("__cnt", F.count(F.lit(1)).over(Window.partitionBy(*groups)))
+        return out.withColumn("__prev", F.lag(value).over(w)) if value else out
     w = Window.partitionBy(*groups, "__k").orderBy(*oc)
     s = s.withColumn("__lr", F.row_number().over(w) - 1)
     if value:
@@ -118,7 +132,11 @@ def running_sum(df: DataFrame, groups: list[str], order: list[str], value: str,
     """Cumulative sum of ``value`` per group in ``order`` (current row
     included; ``descending`` applies to the first order column): a running sum
     per slice plus the totals of the group's earlier slices."""
-    s = _slice(df, groups, order[0], descending, max_rows)
+    s, sliced = _slice(df, groups, order[0], descending, max_rows)
+    if not sliced:
+        w = (Window.partitionBy(*groups).orderBy(*_order_cols(order, descending))
+             .rowsBetween(Window.unboundedPreceding, 0))
+        return s.drop("__k").withColumn(name, F.sum(value).over(w))
     w = (Window.partitionBy(*groups, "__k").orderBy(*_order_cols(order, descending))
          .rowsBetween(Window.unboundedPreceding, 0))
     s = s.withColumn("__local", F.sum(value).over(w))

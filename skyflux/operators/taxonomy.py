@@ -102,15 +102,17 @@ def map_gentype_class(df: DataFrame, class_map: DataFrame, class_col: str = "cla
                       gentype: str = "gentype") -> DataFrame:
     """JOIN9: attach every model type (gentype) whose true class matches the
     row's class at ``level`` (1 general, 2 broad, 3 category, 4 exact; default:
-    the row's own level). One-to-many join with a size-checked broadcast dim."""
-    m = class_map.select(F.col(map_class).alias("__mc"), F.col(gentype).alias(gentype))
-    m = broadcast_if_small(m, 10_000)
-    if level is None:
-        lv = class_level(F.col(class_col))
-        cond = (F.when(lv == 1, class_at_level("__mc", 1))
-                .when(lv == 2, class_at_level("__mc", 2))
-                .when(lv == 3, class_at_level("__mc", 3))
-                .otherwise(F.col("__mc"))) == F.col(class_col)
-    else:
-        cond = class_at_level("__mc", level) == class_at_level(class_col, level)
-    return df.join(m, cond, "inner").drop("__mc")
+    the row's own level, from its lowest non-zero digit).
+
+    An equi-join: the class map (a size-checked broadcast) is expanded into
+    the ancestors of each class at the four levels, and each row joins on
+    (level, its class at that level)."""
+    anc = F.explode(F.array(*[F.struct(F.lit(lv).alias("lv"), class_at_level(map_class, lv).alias("anc"))
+                               for lv in (1, 2, 3, 4)])).alias("__a")
+    m = (class_map.select(F.col(gentype).alias(gentype), anc)
+         .select(gentype, F.col("__a.lv").alias("__lv"), F.col("__a.anc").alias("__anc")))
+    m = broadcast_if_small(m, 40_000)
+    lv = F.lit(level) if level is not None else class_level(F.col(class_col))
+    key = class_at_level(class_col, level) if level is not None else F.col(class_col)
+    x = df.withColumn("__lv", lv.cast("int")).withColumn("__anc", key.cast("int"))
+    return x.join(m, ["__lv", "__anc"], "inner").drop("__lv", "__anc")
