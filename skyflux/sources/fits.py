@@ -69,18 +69,24 @@ def table_header(buf: bytes) -> tuple[dict, int]:
     return _cards(buf, pos)
 
 
-def decode_bintable(buf: bytes) -> pd.DataFrame:
-    """Rows of the first BINTABLE extension as a pandas frame (strings trimmed)."""
+def bintable_records(buf: bytes) -> tuple[np.ndarray, list[tuple[str, str, int]]]:
+    """Zero-copy structured view of the first BINTABLE extension's rows."""
     if buf[:2] == b"\x1f\x8b":
         buf = gzip.decompress(buf)
     cards, pos = table_header(buf)
     cols = _columns(cards)
     dt = np.dtype([(n, (f"S{r}" if c == "A" else TFORM[c][0])) if c == "A" or r == 1
                    else (n, TFORM[c][0], (r,)) for n, c, r in cols])
-    nrows = int(cards["NAXIS2"])
-    arr = np.frombuffer(buf, dtype=dt, count=nrows, offset=pos)
+    return np.frombuffer(buf, dtype=dt, count=int(cards["NAXIS2"]), offset=pos), cols
+
+
+def records_to_pandas(arr: np.ndarray, cols: list[tuple[str, str, int]],
+                      names: list[str] | None = None) -> pd.DataFrame:
+    """Native-endian pandas frame of (a slice of) the records; strings trimmed."""
     out = {}
     for n, c, r in cols:
+        if names is not None and n not in names:
+            continue
         v = arr[n]
         if c == "A":
             out[n] = pd.Series(np.char.strip(np.char.decode(v, "ascii", "replace")), dtype=object)
@@ -91,6 +97,12 @@ def decode_bintable(buf: bytes) -> pd.DataFrame:
     return pd.DataFrame(out)
 
 
+def decode_bintable(buf: bytes) -> pd.DataFrame:
+    """Rows of the first BINTABLE extension as a pandas frame (strings trimmed)."""
+    arr, cols = bintable_records(buf)
+    return records_to_pandas(arr, cols)
+
+
 def spark_schema(buf: bytes) -> T.StructType:
     """Spark schema of a table from its header bytes (no data needed)."""
     if buf[:2] == b"\x1f\x8b":
@@ -173,10 +185,11 @@ def _read_tables(spark: SparkSession, files: DataFrame, columns: list[str] | Non
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for path, content in zip(b["path"], b["content"]):
-                pdf = decode_bintable(bytes(content))[names]
+                arr, cols = bintable_records(bytes(content))
                 m = re.search(FILE_NUM, path)
-                for lo in range(0, max(len(pdf), 1), chunk):
-                    part = pdf.iloc[lo:lo + chunk].copy()
+                for lo in range(0, max(len(arr), 1), chunk):
+                    # only one chunk is converted at a time
+                    part = records_to_pandas(arr[lo:lo + chunk], cols, names)[names]
                     if with_row_idx:
                         part.insert(0, "row_idx", np.arange(lo, lo + len(part), dtype=np.int64))
                     part["file_num"] = m.group(1) if m else None

@@ -97,3 +97,15 @@ def test_convert_fits_classes_to_parquet(spark, scratch):
     assert all(v[1] == 3 for v in got.values())
     assert "PEAKMJD" in df.columns and "file_num" not in df.columns
     assert sorted(r["class"] for r in spark.read.parquet(out).select("class").distinct().collect()) == ["AGN", "KN"]
+
+
+def test_read_phot_row_idx_continuous_across_chunks(spark, scratch):
+    import pandas as pd
+    from skyflux.sources import fits
+    base = local_path(scratch("chunks"))
+    os.makedirs(base, exist_ok=True)
+    p = pd.DataFrame({"MJD": [60000.0 + i for i in range(7)], "BAND": list("grgrgri")})
+    with open(f"{base}/X-0003_PHOT.FITS", "wb") as f:
+        f.write(fits.encode_bintable(p, {"BAND": 1}))
+    rows = sorted((r.row_idx, r.MJD, r.BAND) for r in fits.read_phot(spark, base, ["MJD", "BAND"], chunk=2).collect())
+    assert rows == [(i, 60000.0 + i, b) for i, b in enumerate("grgrgri")]
