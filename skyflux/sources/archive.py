@@ -28,10 +28,18 @@ def _payload(name: str, data: bytes) -> bytes | None:
     return None
 
 
+BATCH = 10_000       # alerts per yielded frame
+
+
 def _unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
         for path, content in zip(b["path"], b["content"]):
             rows = []
+
+            def flush():
+                out = pd.DataFrame(rows, columns=["archive", "member", "payload"])
+                rows.clear()
+                return out
             name = path.rsplit("/", 1)[-1]
             if name.endswith((".tar", ".tar.gz", ".tgz")):
                 with tarfile.open(fileobj=io.BytesIO(bytes(content)), mode="r:*") as tf:
@@ -43,6 +51,8 @@ def _unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                             _log.warning("skipping tar member %s of %s", m.name, path)
                             continue
                         rows.append((path, m.name.rsplit("/", 1)[-1], p))
+                        if len(rows) >= BATCH:
+                            yield flush()
             else:
                 p = _payload(name, bytes(content))
                 if p is None:
@@ -50,7 +60,7 @@ def _unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 else:
                     rows.append((path, name, p))
             if rows:
-                yield pd.DataFrame(rows, columns=["archive", "member", "payload"])
+                yield flush()
 
 
 def read_alert_archive(spark: SparkSession, base: str) -> DataFrame:
