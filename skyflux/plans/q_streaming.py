@@ -96,12 +96,15 @@ def q_stream_ingest_alert_ids(spark, d):
 
 @query("stream_classify")
 def q_stream_classify(spark, d):
-    """STR2: two classifiers over the alert stream (rows-only check)."""
+    """STR2 + SRC15: two classifiers over the alert stream, published to a
+    sink (file sink here, Kafka topic on a cluster); rows-only check."""
     recs = _alert_records(spark, d).withColumn("diaSourceId", F.col("diaSource.diaSourceId"))
     path = _stage(recs, "cls-in")
     s = sio.read_alert_stream(spark, fmt="parquet", path=path, schema=recs.schema)
     m = sops.classify_stream(s, [cl.FixedClassifier(), cl.RandomSplitClassifier(seed=1)])
-    out = _run(m, "cls")
+    sink, ckpt = scratch_path(spark, "cls-out"), scratch_path(spark, "cls-ckpt")
+    sio.run_bounded(sio.write_message_stream(m, ckpt, fmt="parquet", path=sink))     # SRC15
+    out = spark.read.parquet(sink)
     return out.select("alertId", "classifierName", F.size("classifications").alias("nClasses"),
                       F.aggregate("classifications", F.lit(0.0).cast("double"),
                                   lambda a, x: a + x["probability"].cast("double")).alias("probabilitySum"))
@@ -177,3 +180,13 @@ def q_ack_sent(spark, d):
          .foreachBatch(lambda b, _: sops.ack_sent(b, ack)).trigger(availableNow=True).start())
     sio.run_bounded(q)
     return spark.read.parquet(ack)
+
+
+@query("message_to_json", with_(PHOT_EV, ALERTS_EV) + """
+SELECT CAST(alertId AS VARCHAR) AS key,
+       CAST(to_json({'alertId': alertId, 'diaObjectId': diaObjectId, 'filterName': filterName}) AS VARCHAR) AS value
+FROM alerts_ev""")
+def q_message_to_json(spark, d):
+    """FN18: records serialised as JSON message values (sorted keys) with a key."""
+    a = B.alerts_ev(spark, d).select("filterName", "diaObjectId", "alertId")
+    return sio.encode_payload(a, key="alertId")
