@@ -191,3 +191,25 @@ def q_classify_all(spark, d):
             .select("alertId", "classifierName", F.size("classifications").alias("nClasses"),
                     F.aggregate("classifications", F.lit(0.0).cast("double"),
                                 lambda a, x: a + x["probability"].cast("double")).alias("probabilitySum")))
+
+
+def _taxonomy_values() -> str:
+    rows = ", ".join(f"({cid}, '{name}')" for cid, name, _, _ in tx.taxonomy_rows())
+    return f"tax(classId, name) AS (VALUES {rows})"
+
+
+@query("rollup_probabilities_named", with_(MESSAGES_EMB, _taxonomy_values()) + """
+, r AS (
+  SELECT messageId, lv AS level,
+         CAST(floor(classId / power(10, 4 - lv)) * power(10, 4 - lv) AS INTEGER) AS classId,
+         sum(probability) AS probability
+  FROM msg_long, (VALUES (1), (2), (3), (4)) l(lv)
+  GROUP BY messageId, lv, CAST(floor(classId / power(10, 4 - lv)) * power(10, 4 - lv) AS INTEGER))
+SELECT r.messageId, r.level, r.classId, t.name, r.probability
+FROM r LEFT JOIN tax t ON CAST(t.classId AS INTEGER) = r.classId""".replace("\\n, r AS", ",\\nr AS", 1),
+       ["probability"])
+def q_rollup_probabilities_named(spark, d):
+    """TAX1 + TAX3: roll-ups labelled with the taxonomy's class names."""
+    r = tx.rollup_probabilities(B.messages_emb(spark, d), ["messageId"])
+    names = F.broadcast(tx.taxonomy_table(spark).select("classId", "name"))   # fixed tens of rows
+    return r.join(names, "classId", "left").select("messageId", "level", "classId", "name", "probability")
