@@ -179,11 +179,13 @@ def q_mass_functions(spark, d):
 
 @query("time_conversions", with_(PHOT_EV) + """
 SELECT obs_id, (MJD - 40587) * 86400.0 - 315964800 + 18 AS gps,
-       (((MJD - 40587) * 86400.0 - 315964800 + 18) + 315964800 - 18) / 86400.0 + 40587 + 2400000.5 AS jd
+       (((MJD - 40587) * 86400.0 - 315964800 + 18) + 315964800 - 18) / 86400.0 + 40587 + 2400000.5 AS jd,
+       strftime(make_timestamp(CAST(round((MJD - 40587) * 86400000000.0) AS BIGINT)), '%Y-%m-%d %H:%M:%S.%f') AS utc
 FROM phot_ev""", ["gps", "jd"])
 def q_time_conversions(spark, d):
-    """FN15: MJD -> GPS seconds -> JD."""
-    p = B.phot_ev(spark, d).select("obs_id", tf.mjd_to_gps("MJD").alias("gps"))
+    """FN15: MJD -> GPS seconds -> JD, and MJD -> UTC timestamp (as text)."""
+    p = B.phot_ev(spark, d).select("obs_id", tf.mjd_to_gps("MJD").alias("gps"),
+                                   F.date_format(tf.mjd_to_timestamp("MJD"), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("utc"))
     return p.withColumn("jd", tf.gps_to_jd("gps"))
 
 
