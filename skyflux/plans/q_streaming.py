@@ -190,3 +190,18 @@ def q_message_to_json(spark, d):
     """FN18: records serialised as JSON message values (sorted keys) with a key."""
     a = B.alerts_ev(spark, d).select("filterName", "diaObjectId", "alertId")
     return sio.encode_payload(a, key="alertId")
+
+
+@query("stream_progress", """
+SELECT event_type AS topic, CAST(user_id % 3 AS INTEGER) AS partition, count(*) AS n_messages,
+       max(event_id) AS last_offset, strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS last_timestamp
+FROM events GROUP BY event_type, CAST(user_id % 3 AS INTEGER)""")
+def q_stream_progress(spark, d):
+    """STR7: messages handled and latest offset/time per topic partition
+    (topic = event type, partition = user % 3, offset = event id)."""
+    s = _events_stream(spark, d).select(F.col("event_type").alias("topic"),
+                                        (F.col("user_id") % 3).cast("int").alias("partition"),
+                                        F.col("event_id").alias("offset"), F.col("ts").alias("timestamp"))
+    out = _run(sops.stream_progress(s), "progress", mode="complete")
+    return out.select("topic", "partition", "n_messages", "last_offset",
+                      F.date_format("last_timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("last_timestamp"))
