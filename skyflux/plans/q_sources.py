@@ -161,3 +161,24 @@ def q_lightcurve_stored(spark, d):
         .write.mode("overwrite").parquet(path)
     _, head = B.phot_files(spark, d)
     return lc.lightcurve(spark.read.parquet(path), head, 7)
+
+
+@query("read_valid_class", with_(PHOT_EV, TRUTH_EV) + """
+SELECT p.SNID, count(*) AS npts FROM phot_ev p JOIN truth_ev t ON p.SNID = t.SNID
+WHERE t.GENTYPE = 7 GROUP BY p.SNID""")
+def q_read_valid_class(spark, d):
+    """SRC1 + FLT9 + SRC7: list the classes of a written dataset, check the
+    requested one (unknown -> ValueError), read only that class."""
+    from skyflux.operators.filters import validate_class
+    path = scratch_path(spark, "validcls")
+    c = _class_curves(spark, d).withColumn("dir", F.concat(F.lit("TRAIN_"), F.col("class").cast("string")))
+    pq.write_lightcurves(c.drop("class"), path, partition="dir")
+    known = [r["class"] for r in tx.list_classes(spark, path, prefix="TRAIN_").collect()]   # class names only
+    cls = validate_class(spark, "7", known)
+    try:
+        validate_class(spark, "not-a-class", known)
+        raise AssertionError("unknown class accepted")
+    except ValueError:
+        pass
+    r = pq.read_lightcurves(spark, path, [f"TRAIN_{cls}"], partition="dir")
+    return r.select("SNID", F.size("MJD").cast("long").alias("npts"))
