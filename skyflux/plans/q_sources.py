@@ -77,8 +77,8 @@ SELECT CAST(p_partkey AS INTEGER) AS index, p_size / 100.0 AS VK, -1.0 - (p_size
 FROM part""", ["VK", "LOGXLAN", "LOGMASS"])
 def q_read_template_index(spark, d):
     """SRC12: the template dimension written as JSON objects keyed by index
-    (one object per file, one file per input partition) and read back."""
-    t = B.template_index(spark, d).withColumn("__part", F.spark_partition_id())
+    (one object of at most 10,000 indices per file) and read back."""
+    t = B.template_index(spark, d).withColumn("__part", F.floor(F.col("index") / 10000))
     js = t.groupBy("__part").agg(F.to_json(F.map_from_entries(F.collect_list(
         F.struct(F.col("index").cast("string"), F.struct("VK", "LOGXLAN", "LOGMASS"))))).alias("value"))
     path = scratch_path(spark, "template")
