@@ -15,7 +15,7 @@ from skyflux.schemas import SEPARATOR_MJD
 # the embedding-derived broker messages.
 EVENT_BAND = [("click", "g"), ("view", "r"), ("purchase", "i"), ("signup", "z"), ("error", "Y")]
 MESSAGE_CLASSES = [2222, 2223, 2224, 2225, 2226]
-N_FILES = 4
+OBJECTS_PER_FILE = 100
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,13 +57,14 @@ def truth_ev(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def file_num_of(snid) -> "F.Column":
-    return F.lpad(((F.col(snid) % N_FILES) + 1).cast("string"), 4, "0")
+    """Pointer files hold at most OBJECTS_PER_FILE objects (consecutive ids)."""
+    return F.lpad((F.floor(F.col(snid) / OBJECTS_PER_FILE) + 1).cast("string"), 4, "0")
 
 
 def phot_files(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(phot_raw, head) in the pointer layout of the survey files.
 
-    Objects are spread over ``N_FILES`` files; inside a file, rows are ordered by
+    Files hold at most ``OBJECTS_PER_FILE`` objects; inside a file, rows are ordered by
     (object, time), with one separator row (MJD -777) after each object.
     ``row_idx`` is 0-based per file, pointers are 1-based inclusive.
 

@@ -37,7 +37,7 @@ def _fits_fixture(spark, d):
                             "MJD": pdf["MJD"].astype("float64"), "BAND": pdf["BAND"].fillna("").astype(object),
                             "FLUXCAL": pdf["FLUXCAL"].astype("float32"),
                             "PHOTFLAG": pdf["PHOTFLAG"].fillna(0).astype("int32")})
-        d = f"{base}/TRAIN_{'A' if fn in ('0001', '0002') else 'B'}"
+        d = f"{base}/TRAIN_{'A' if int(fn) % 2 == 1 else 'B'}"
         os.makedirs(d, exist_ok=True)
         with open(f"{d}/X-{fn}_PHOT.FITS.gz", "wb") as f:
             f.write(gzip.compress(fits.encode_bintable(out, {"BAND": 2})))
@@ -50,7 +50,7 @@ def _fits_fixture(spark, d):
                             "IAUC": pd.Series(["NULL"] * len(pdf), dtype=object),
                             "PTROBS_MIN": pdf["PTROBS_MIN"].astype("int32"),
                             "PTROBS_MAX": pdf["PTROBS_MAX"].astype("int32")})
-        d = f"{base}/TRAIN_{'A' if fn in ('0001', '0002') else 'B'}"
+        d = f"{base}/TRAIN_{'A' if int(fn) % 2 == 1 else 'B'}"
         os.makedirs(d, exist_ok=True)
         with open(f"{d}/X-{fn}_HEAD.FITS", "wb") as f:
             f.write(fits.encode_bintable(out))
@@ -78,7 +78,7 @@ def q_read_fits_lightcurves(spark, d):
 
 
 @query("convert_to_parquet", with_(PHOT_EV) + """
-SELECT SNID, CASE WHEN SNID % 4 + 1 <= 2 THEN 'A' ELSE 'B' END AS class, count(*) AS npts,
+SELECT SNID, CASE WHEN (SNID // 100 + 1) % 2 = 1 THEN 'A' ELSE 'B' END AS class, count(*) AS npts,
        string_agg(CAST(obs_id AS VARCHAR), ',' ORDER BY BAND, MJD, obs_id) AS obs_ids,
        CAST(min(MJD) AS DOUBLE) AS mjd_min
 FROM phot_ev GROUP BY SNID""", ["mjd_min"])
@@ -98,11 +98,13 @@ ALERT_JSON = "alertId long, diaSource struct<diaSourceId:long, diaObjectId:long,
 
 
 def _archive_fixture(spark, d):
-    a = B.alerts_ev(spark, d).withColumn("night", F.floor("midPointTai").cast("int"))
+    a = (B.alerts_ev(spark, d).withColumn("night", F.floor("midPointTai").cast("int"))
+         .withColumn("block", F.floor(F.col("alertId") / 1000)))      # bounded archives
     base = local_path(scratch_path(spark, "archive"))
 
     def write_night(pdf: pd.DataFrame) -> pd.DataFrame:
         night = int(pdf["night"].iloc[0])
+        block = int(pdf["block"].iloc[0])
         os.makedirs(f"{base}/{night}", exist_ok=True)
         members = []
         for r in pdf.itertuples(index=False):
@@ -111,7 +113,7 @@ def _archive_fixture(spark, d):
             name = f"alert_mjd{r.midPointTai:.6f}_obj{r.diaObjectId}_src{r.diaSourceId}.avro"
             members.append((name, json.dumps(rec).encode(), r.filterName))
         tar_members = [m for m in members if m[2] != "g"]
-        with tarfile.open(f"{base}/{night}/alerts.tar.gz", "w:gz") as tf:
+        with tarfile.open(f"{base}/{night}/alerts-{block}.tar.gz", "w:gz") as tf:
             for name, data, _ in tar_members:
                 blob = gzip.compress(data)
                 ti = tarfile.TarInfo(f"{night}/{name}.gz")
@@ -127,14 +129,14 @@ def _archive_fixture(spark, d):
                     f.write(data)
         return pd.DataFrame({"night": [night], "n": [len(pdf)]})
 
-    a.groupBy("night").applyInPandas(write_night, "night int, n long").collect()
+    a.groupBy("night", "block").applyInPandas(write_night, "night int, n long").collect()
     return base
 
 
 @query("read_alert_archive", with_(PHOT_EV, ALERTS_EV) + """
 SELECT alertId, diaObjectId, midPointTai, filterName FROM alerts_ev""", ["midPointTai"])
 def q_read_alert_archive(spark, d):
-    """SRC8: nightly tar.gz archives of gzipped alerts plus loose .avro files
+    """SRC8: nightly tar.gz archives (one per 1,000 alert ids) of gzipped alerts plus loose .avro files
     (payload codec here: JSON), non-alert members skipped."""
     base = _archive_fixture(spark, d)
     from pyspark.sql import types as T

@@ -25,12 +25,12 @@ FORCED_EV = """forced_ev AS (
          BAND AS filterName, FLUXCAL AS psFlux, FLUXCALERR AS psFluxErr
   FROM phot_ev)"""
 
-# row layout of the pointer files: 4 files by SNID % 4, ordered (SNID, MJD, obs_id),
+# row layout of the pointer files: file = SNID div 100 + 1, ordered (SNID, MJD, obs_id),
 # one gap (separator) after each object
 PHOT_RAW = """phot_pos AS (
-  SELECT *, lpad(CAST(SNID % 4 + 1 AS VARCHAR), 4, '0') AS file_num,
-         row_number() OVER (PARTITION BY SNID % 4 ORDER BY SNID, MJD, obs_id) - 1
-           + dense_rank() OVER (PARTITION BY SNID % 4 ORDER BY SNID) - 1 AS row_idx
+  SELECT *, lpad(CAST(SNID // 100 + 1 AS VARCHAR), 4, '0') AS file_num,
+         row_number() OVER (PARTITION BY SNID // 100 ORDER BY SNID, MJD, obs_id) - 1
+           + dense_rank() OVER (PARTITION BY SNID // 100 ORDER BY SNID) - 1 AS row_idx
   FROM phot_ev),
 head_ev AS (
   SELECT SNID, file_num, CAST(min(row_idx) + 1 AS INTEGER) AS PTROBS_MIN,

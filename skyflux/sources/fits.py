@@ -25,7 +25,7 @@ BLOCK = 2880
 TFORM = {"L": ("?", T.BooleanType()), "B": ("u1", T.ShortType()), "I": (">i2", T.ShortType()),
          "J": (">i4", T.IntegerType()), "K": (">i8", T.LongType()), "E": (">f4", T.FloatType()),
          "D": (">f8", T.DoubleType()), "A": ("S", T.StringType())}
-FILE_NUM = r"-(\d{4})_(HEAD|PHOT)\.FITS(\.gz)?$"
+FILE_NUM = r"-(\d{4,})_(HEAD|PHOT)\.FITS(\.gz)?$"
 
 
 def _cards(buf: bytes, start: int) -> tuple[dict, int]:
