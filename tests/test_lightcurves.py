@@ -146,3 +146,16 @@ def test_alert_history_sliced_equals_unsliced(spark):
     a = {r.diaSourceId: [x.diaSourceId for x in r.prvDiaSources] for r in al.alert_history(src).collect()}
     b = {r.diaSourceId: [x.diaSourceId for x in r.prvDiaSources] for r in al.alert_history(src, max_rows=5).collect()}
     assert a == b and max(len(v) for v in a.values()) > 5
+
+
+def test_hot_transients_chunks_keep_every_point(spark):
+    from skyflux.operators import alerts as al
+    rows = [(1, 100.0 + i * 0.1, "g", float(i), 1.0, 4096 if i == 8 else 0, i) for i in range(10)] + \
+           [(2, 100.0, "r", 5.0, 1.0, 0, 50)]
+    df = spark.createDataFrame(rows, "SNID long, MJD double, BAND string, FLUXCAL double, FLUXCALERR double, "
+                                     "PHOTFLAG int, obs_id long")
+    whole = al.hot_transients(df, 101.0, 0.5, layout=2).collect()
+    assert [r.SNID for r in whole] == [1] and len(whole[0].mjd) == 10
+    parts = al.hot_transients(df, 101.0, 0.5, layout=2, max_points=3).orderBy("chunk").collect()
+    assert [len(r.mjd) for r in parts] == [3, 3, 3, 1]
+    assert [m for r in parts for m in r.mjd] == whole[0].mjd
