@@ -109,3 +109,24 @@ def test_read_phot_row_idx_continuous_across_chunks(spark, scratch):
         f.write(fits.encode_bintable(p, {"BAND": 1}))
     rows = sorted((r.row_idx, r.MJD, r.BAND) for r in fits.read_phot(spark, base, ["MJD", "BAND"], chunk=2).collect())
     assert rows == [(i, 60000.0 + i, b) for i, b in enumerate("grgrgri")]
+
+
+def test_read_head_twin_rule_and_dropped_columns(spark, scratch):
+    import pandas as pd
+    from skyflux.sources import fits
+    base = local_path(scratch("twins"))
+    os.makedirs(base, exist_ok=True)
+    good = pd.DataFrame({"SNID": ["   12", "   13"], "IAUC": ["NULL", "NULL"],
+                         "PEAKMJD": pd.Series([60000.5, 60001.5], dtype="float32")})
+    stale = good.iloc[:1].assign(SNID=["   99"])
+    with open(f"{base}/X-0001_HEAD.FITS", "wb") as f:
+        f.write(fits.encode_bintable(good))
+    with gzip.open(f"{base}/X-0001_HEAD.FITS.gz", "wb") as f:
+        f.write(fits.encode_bintable(stale))
+    with gzip.open(f"{base}/X-0002_HEAD.FITS.gz", "wb") as f:
+        f.write(fits.encode_bintable(stale.assign(SNID=["   20"])))
+    h = fits.read_head(spark, base)
+    assert "IAUC" not in h.columns and dict(h.dtypes)["SNID"] == "bigint"
+    rows = sorted((r.SNID, r.file_num, r.head_filename) for r in h.collect())
+    assert rows == [(12, "0001", "X-0001_HEAD.FITS"), (13, "0001", "X-0001_HEAD.FITS"),
+                    (20, "0002", "X-0002_HEAD.FITS.gz")]
