@@ -47,3 +47,14 @@ def test_stream_progress_aggregation(spark):
                                "topic string, partition int, offset long, timestamp long")
     r = {(x.topic, x.partition): (x.n_messages, x.last_offset) for x in sops.stream_progress(df).collect()}
     assert r == {("a", 0): (2, 2), ("a", 1): (1, 7)}
+
+
+def test_append_new_only_is_idempotent(spark):
+    from skyflux.operators.loading import append_new_only, missing_keys
+    existing = spark.createDataFrame([(1, "a"), (2, "b")], "alertId long, v string")
+    new = spark.createDataFrame([(2, "b"), (3, "c"), (3, "c"), (4, "d")], existing.schema)
+    first = append_new_only(new, existing, ["alertId"])
+    assert sorted(r.alertId for r in first.collect()) == [3, 4]
+    stored = existing.unionByName(first)
+    assert append_new_only(new, stored, ["alertId"]).count() == 0
+    assert sorted(r.alertId for r in missing_keys(new, existing, "alertId").distinct().collect()) == [3, 4]
