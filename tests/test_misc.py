@@ -58,3 +58,13 @@ def test_append_new_only_is_idempotent(spark):
     stored = existing.unionByName(first)
     assert append_new_only(new, stored, ["alertId"]).count() == 0
     assert sorted(r.alertId for r in missing_keys(new, existing, "alertId").distinct().collect()) == [3, 4]
+
+
+def test_interval_join_boundaries(spark):
+    from skyflux.operators.intervals import interval_join
+    iv = spark.createDataFrame([(0.0, 1.5, "a"), (1.5, 4.0, "b"), (10.0, 10.5, "c")], "lo double, hi double, name string")
+    pts = spark.createDataFrame([(0.0,), (1.5,), (3.999,), (4.0,), (10.2,), (-1.0,)], "x double")
+    got = sorted((r.x, r.name) for r in interval_join(pts, iv, "x", "lo", "hi", bucket=0.7, integral=False).collect())
+    assert got == [(0.0, "a"), (1.5, "b"), (3.999, "b"), (10.2, "c")]
+    left = interval_join(pts, iv, "x", "lo", "hi", bucket=0.7, integral=False, how="left")
+    assert left.count() == 6
