@@ -68,3 +68,16 @@ def test_interval_join_boundaries(spark):
     assert got == [(0.0, "a"), (1.5, "b"), (3.999, "b"), (10.2, "c")]
     left = interval_join(pts, iv, "x", "lo", "hi", bucket=0.7, integral=False, how="left")
     assert left.count() == 6
+
+
+def test_nightly_totals_and_bounded_exposure_batches(spark):
+    from skyflux.operators import alerts as al
+    rows = [(i, 60000.0 + (i % 5) * 0.3 + i * 1e-4, "x" * (i % 3 + 1)) for i in range(50)]
+    df = spark.createDataFrame(rows, "alertId long, midPointTai double, payload string")
+    st = {r.night: (r.n_alerts, r.n_bytes) for r in al.nightly_stats(df).collect()}
+    total = st.pop(None)
+    assert total == (sum(v[0] for v in st.values()), sum(v[1] for v in st.values())) == (50, sum(i % 3 + 1 for i in range(50)))
+    b = al.exposure_batches(df.withColumn("exposure", F.floor(F.col("midPointTai") * 10) / 10), with_ids=True, max_ids=4)
+    got = b.collect()
+    assert max(len(r.alertIds) for r in got) <= 4 and sum(len(r.alertIds) for r in got) == 50
+    assert all(r.alertIds == sorted(r.alertIds) for r in got)
