@@ -81,3 +81,12 @@ def test_nightly_totals_and_bounded_exposure_batches(spark):
     got = b.collect()
     assert max(len(r.alertIds) for r in got) <= 4 and sum(len(r.alertIds) for r in got) == 50
     assert all(r.alertIds == sorted(r.alertIds) for r in got)
+
+
+def test_alert_file_metadata_ignores_other_names(spark):
+    from skyflux.operators.alerts import alert_file_metadata
+    names = ["alert_mjd60310.123456_obj12_src345.avro.gz", "alert_mjd60311_obj1_src2.avro", "README.txt",
+             "alert_mjdX_obj1_src2.avro.gz", "alert_mjd60310.5_obj7_src8.avro.gz.bak"]
+    df = spark.createDataFrame([(n,) for n in names], "name string")
+    got = sorted((r.mjd, r.objectId, r.sourceId) for r in alert_file_metadata(df).collect())
+    assert got == [(60310.123456, 12, 345), (60311.0, 1, 2)]
