@@ -77,3 +77,14 @@ def test_confusion_matrix_explicit_columns(spark):
     b = spark.createDataFrame([(2222, 2222), (2222, 2223), (2223, 2223)], "trueClassId int, bestClassId int")
     cm = {r.trueClassId: r for r in cl.confusion_matrix(b, [2222, 2223, 2224]).collect()}
     assert (cm[2222].pred_2222, cm[2222].pred_2223, cm[2222].pred_2224) == (1, 1, 0)
+
+
+def test_latest_message_picks_latest_then_highest_id(spark):
+    import datetime as dt
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(1, 10, 0, t0, "a"), (2, 10, 0, t0 + dt.timedelta(hours=1), "b"), (3, 10, 1, t0, "c"),
+            (4, 11, 0, t0, "d"), (5, 11, 0, t0, "e")]
+    df = spark.createDataFrame(rows, "messageId long, diaSourceId long, classifierId int, "
+                                     "brokerIngestTimestamp timestamp, version string")
+    got = {(r.diaSourceId, r.classifierId): r.version for r in cl.latest_message(df).collect()}
+    assert got == {(10, 0): "b", (10, 1): "c", (11, 0): "e"}
