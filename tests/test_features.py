@@ -90,3 +90,10 @@ def test_sliced_helpers_exact_on_a_hot_group(spark):
     med = {(r.SNID, r.BAND): r.m for r in exact_median(df, ["SNID", "BAND"], "MJD", "m", max_rows=200).collect()}
     ref = {(r.SNID, r.BAND): r.m for r in df.groupBy("SNID", "BAND").agg(F.median("MJD").alias("m")).collect()}
     assert med.keys() == ref.keys() and all(abs(med[k] - ref[k]) < 1e-9 for k in med)
+
+
+def test_cut_windows_null_rule(spark):
+    df = spark.createDataFrame([(1, 20.0, None), (2, 20.0, 30.0), (3, None, None)], "SNID long, PEAKMAG_g double, PEAKMAG_r double")
+    w = {"PEAKMAG_g": (14, 24), "PEAKMAG_r": (14, 24)}
+    assert sorted(r.SNID for r in flt.cut_windows(df, w, allow_null=True).collect()) == [1, 3]
+    assert sorted(r.SNID for r in flt.cut_windows(df, w).collect()) == []
