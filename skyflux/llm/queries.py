@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skyflux.llm.bpe import bpe_decode, bpe_encode
 from skyflux.llm.common import table
 from skyflux.llm.exact_dedup import exact_dedup
+from skyflux.llm.token_counts import token_counts
 from skyflux.llm.url_filter import host, page_key, temporal_url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,6 +85,26 @@ def op1_temporal_url_filter(spark, sf_dir):
     return temporal_url_filter(caps, list_entries(pages))
 
 
+# ------------------------------------------------------------- 5, 6: tokenizers
+@query("op5_byte_bpe")
+def op5_byte_bpe(spark, sf_dir):
+    """Digests of the ids of every document and of what they decode to."""
+    import public_tokenizers as P
+    vocab = P.path("byte_bpe_multi_50k.tiktoken")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ids = bpe_encode(docs, vocab, P.PATTERN)
+    return bpe_decode(ids, vocab).select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op6_token_counts")
+def op6_token_counts(spark, sf_dir):
+    """Bytes and tokens of every document."""
+    import public_tokenizers as P
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts(docs, P.path("byte_bpe_50k.json"), P.PATTERN)
+
+
 # -------------------------------------------------------------- 9: exact dedup
 @query("op9_exact_dedup", r"""
 WITH d AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents)
