@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from skyflux.llm.bpe import bpe_decode, bpe_encode
 from skyflux.llm.common import table
 from skyflux.llm.exact_dedup import exact_dedup
+from skyflux.llm.mixing import TARGETS, TOPICS, mix
 from skyflux.llm.token_counts import token_counts
 from skyflux.llm.url_filter import host, page_key, temporal_url_filter
 
@@ -115,3 +116,49 @@ FROM d WINDOW w AS (PARTITION BY text_sha256)
 def op9_exact_dedup(spark, sf_dir):
     """Every document with the row of its text that stays."""
     return exact_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+# ------------------------------------------------------------------ 10: mixing
+def _mixing_sql() -> str:
+    """The same raking, step by step: one axis a step, cells as rows."""
+    axes = {"s": "source", "l": "lang", "t": "topic"}
+    named = {a: [k for k in TARGETS.marginals[n] if k != "*"] for a, n in axes.items()}
+    lit = lambda ks: ", ".join(f"'{k}'" for k in ks)
+    topic = " ".join(f"WHEN regexp_matches(x, '{p}') THEN '{n}'" for n, p in TOPICS)
+    goal = {a: "CASE " + a + " " + " ".join(f"WHEN '{k}' THEN {v!r}" for k, v in TARGETS.marginals[n].items()) + " ELSE 0.0 END"
+            for a, n in axes.items()}
+    norm = ", ".join(f"CAST({goal[a]} AS DOUBLE) / (SELECT sum(CAST({goal[a]} AS DOUBLE)) FROM (SELECT DISTINCT {a} FROM c)) AS g{a}"
+                     for a in axes)
+    step = " ".join(f"WHEN {i} THEN w * (g{a} / nullif(sum(w) OVER (PARTITION BY {a}), 0))" for i, a in enumerate(axes))
+    return rf"""
+WITH RECURSIVE x AS (SELECT doc_id, source, lang, coalesce(text, '') AS x FROM documents),
+d AS (SELECT doc_id, len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')) AS n,
+        CASE WHEN source IN ({lit(named['s'])}) THEN source ELSE '*' END AS s,
+        CASE WHEN lang IN ({lit(named['l'])}) THEN lang ELSE '*' END AS l,
+        CASE {topic} ELSE 'prose' END AS t FROM x),
+c AS (SELECT s, l, t, CAST(sum(n) AS DOUBLE) AS n FROM d GROUP BY s, l, t HAVING sum(n) > 0),
+it AS (
+  SELECT 0 AS i, s, l, t, n, {norm}, n / sum(n) OVER () AS w FROM c
+  UNION ALL
+  SELECT i + 1, s, l, t, n, gs, gl, gt, coalesce(CASE i % 3 {step} END, 0) FROM it WHERE i < {3 * TARGETS.rounds}),
+r AS (SELECT s, l, t, n, w, w / n AS q FROM it WHERE i = {3 * TARGETS.rounds}),
+o AS (SELECT *, row_number() OVER v AS k, coalesce(sum(n) OVER (v ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS done,
+             sum(w) OVER (v ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rest,
+             least({TARGETS.keep} * sum(n) OVER (), sum(CASE WHEN q > 0 THEN n ELSE 0 END) OVER ()) AS budget
+      FROM r WINDOW v AS (ORDER BY q DESC, s, l, t)),
+z AS (SELECT arg_min((budget - done) / rest, k) FILTER (rest > 0 AND q * (budget - done) / rest <= 1 + 1e-12) AS f FROM o),
+p AS (SELECT s, l, t, least(1.0, q * (SELECT f FROM z)) AS p FROM r),
+u AS (SELECT d.*, coalesce(p.p, 1.0) AS p,
+             CAST(CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR) || '|{TARGETS.seed}'), 1, 12) AS BIGINT) AS DOUBLE) / 281474976710656 AS u
+      FROM d LEFT JOIN p USING (s, l, t))
+SELECT doc_id, CAST(n AS BIGINT) AS mix_tokens, s AS mix_source, l AS mix_lang, t AS mix_topic,
+       floor(p * 1e8 + 0.5) / 1e8 AS mix_p, u < p AS mix_kept FROM u
+"""
+
+
+@query("op10_source_mixing", _mixing_sql())
+def op10_source_mixing(spark, sf_dir):
+    """Every document with its cell, its calibrated probability and whether it was drawn."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    return mix(docs, TARGETS).select("doc_id", "mix_tokens", "mix_source", "mix_lang", "mix_topic",
+                                     (F.floor(F.col("mix_p") * 1e8 + 0.5).cast("double") / F.lit(1e8)).alias("mix_p"), "mix_kept")
