@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyflux.llm.bpe import bpe_decode, bpe_encode
+from skyflux.llm.bpe import bpe_encode
 from skyflux.llm.common import table
 from skyflux.llm.exact_dedup import exact_dedup
+from skyflux.llm.licenses import TEMPLATES, THRESHOLD, WORD, license_scan
 from skyflux.llm.mixing import TARGETS, TOPICS, mix
 from skyflux.llm.token_counts import token_counts
 from skyflux.llm.url_filter import host, page_key, temporal_url_filter
@@ -93,8 +94,7 @@ def op5_byte_bpe(spark, sf_dir):
     import public_tokenizers as P
     vocab = P.path("byte_bpe_multi_50k.tiktoken")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    ids = bpe_encode(docs, vocab, P.PATTERN)
-    return bpe_decode(ids, vocab).select(
+    return bpe_encode(docs, vocab, P.PATTERN, decoded_col="decoded").select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
@@ -162,3 +162,38 @@ def op10_source_mixing(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
     return mix(docs, TARGETS).select("doc_id", "mix_tokens", "mix_source", "mix_lang", "mix_topic",
                                      (F.floor(F.col("mix_p") * 1e8 + 0.5).cast("double") / F.lit(1e8)).alias("mix_p"), "mix_kept")
+
+
+# ------------------------------------------------------------------ 8: licences
+def _license_sql() -> str:
+    """All units against all templates, without the size bounds."""
+    quote = lambda x: x.replace("'", "''")
+    rows = ", ".join(f"('{k}', {i}, '{quote(t)}')" for k, ts in TEMPLATES.items() for i, t in enumerate(ts))
+    low = lambda c: f"translate({c}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    wl = lambda c: f"list_transform(regexp_extract_all({low(c)}, '{WORD}'), lambda w: regexp_replace(w, '\\.+$', ''))"
+    grams = lambda k, src: (
+        f"SELECT {k}, unnest(CASE WHEN len(w) >= 2 THEN list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) ELSE w END) AS g FROM {src}")
+    return rf"""
+WITH x AS (SELECT DISTINCT doc_id, coalesce(text, '') AS x FROM documents),
+u AS (SELECT DISTINCT doc_id, unnest(list_concat(regexp_split_to_array(x, '[\n\r]+'),
+        regexp_split_to_array(regexp_replace(x, '([.!?])[\x20\x09-\x0D]+', '\1' || chr(10), 'g'), '[\n\r]+'), [x])) AS unit FROM x),
+uw AS (SELECT doc_id, unit, {wl('unit')} AS w FROM u),
+ug AS ({grams('doc_id, unit', 'uw WHERE len(w) >= 1 AND len(w) <= 200')}),
+uc AS (SELECT doc_id, unit, g, count(*) AS c FROM ug GROUP BY ALL),
+us AS (SELECT doc_id, unit, sum(c) AS n FROM uc GROUP BY ALL),
+t AS (SELECT column0 AS license, column1 AS template, {wl('column2')} AS w FROM (VALUES {rows})),
+tc AS (SELECT license, template, g, count(*) AS c FROM ({grams('license, template', 't')}) GROUP BY ALL),
+ts AS (SELECT license, template, sum(c) AS n FROM tc GROUP BY ALL),
+b AS (SELECT uc.doc_id, uc.unit, tc.license, tc.template, sum(least(uc.c, tc.c)) AS shared FROM uc JOIN tc USING (g) GROUP BY ALL),
+m AS (SELECT b.*, CAST(2 * shared AS DOUBLE) / CAST(us.n + ts.n AS DOUBLE) AS dice
+      FROM b JOIN us USING (doc_id, unit) JOIN ts USING (license, template))
+SELECT doc_id, license, max(dice) AS dice, CAST(arg_max(template, [dice, -template]) AS INTEGER) AS template,
+       count(DISTINCT unit) AS n_units
+FROM m WHERE dice >= {THRESHOLD} GROUP BY doc_id, license
+"""
+
+
+@query("op8_license_scan", _license_sql())
+def op8_license_scan(spark, sf_dir):
+    """Licences named in each document."""
+    return license_scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
