@@ -17,6 +17,7 @@ bounded size. Decoding streams token bytes through a UTF-8 state machine.
 from __future__ import annotations
 
 import base64
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,11 +25,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from skyflux.llm.pretokens import Cutter, PieceCache, chunks, newer_code_points
+from skyflux.llm.common import by_chars
+from skyflux.llm.pretokens import Cutter, PieceCache, newer_code_points
 
-#: Pre-tokens and arcs kept by a worker; characters encoded at a time.
-CACHE = 500_000
-ARCS = 200_000
+#: Pre-tokens and states kept by a worker; characters encoded at a time.
+CACHE = 400_000
+STATES = 120_000
 CHUNK = 4_000_000
 
 
@@ -49,38 +51,50 @@ def merge_by_rank(piece: bytes, ranks: dict[bytes, int], stop: int = 1) -> list[
     return [ranks[p] for p in parts]
 
 
+class _State(dict):
+    """byte -> next state. ``out`` is what is emitted on reaching the state,
+    ``end`` what closing the pre-token here adds (None: no single thread)."""
+
+    __slots__ = ("threads", "out", "end")
+
+
 class Transducer:
-    """Pre-token bytes -> token ids. ``arcs[(state, byte)]`` = (emitted ids, next state)."""
+    """Pre-token bytes -> token ids (little-endian unsigned 32-bit integers).
+
+    At most ``max_states`` states are kept; beyond that, states are made for
+    the piece at hand and forgotten."""
 
-    def __init__(self, ranks: dict[bytes, int], max_arcs: int = ARCS):
-        self.ranks, self.max_arcs = ranks, max_arcs
+    def __init__(self, ranks: dict[bytes, int], max_states: int = STATES):
+        self.ranks, self.max_states = ranks, max_states
         self.bytes_of = {i: t for t, i in ranks.items()}
-        self._child: dict[int, int] = {}
-        self._token = [-1]
-        self._inner = [False]
+        self._kids: list[dict[int, int]] = [{}]           # trie
+        self._token: list[int] = [-1]
         for tok, i in ranks.items():
             node = 0
             for b in tok:
-                key = node << 8 | b
-                nxt = self._child.get(key)
+                nxt = self._kids[node].get(b)
                 if nxt is None:
-                    self._inner[node] = True
-                    nxt = self._child[key] = len(self._token)
+                    nxt = self._kids[node][b] = len(self._kids)
+                    self._kids.append({})
                     self._token.append(-1)
-                    self._inner.append(False)
                 node = nxt
             self._token[node] = i
         self._pairs: dict[int, bool] = {}
         self._splits: dict[int, tuple[int, int] | None] = {}
         self._edges: tuple[dict, dict] = ({}, {})
-        self._reset()
+        self._known: dict[tuple, _State] = {}
+        self._start = self._state(b"", ((0, -1, ()),))
 
-    def _reset(self) -> None:
-        start = ((0, -1, ()),)
-        self._threads = [start]
-        self._ids = {start: 0}
-        self._arcs: dict[int, tuple[bytes, int]] = {}
-        self._finals: dict[int, bytes | None] = {}
+    def _state(self, out: bytes, threads: tuple) -> _State:
+        got = self._known.get((out, threads))
+        if got is None:
+            got = _State()
+            got.threads, got.out = threads, out
+            ends = [held for node, _, held in threads if node == 0]
+            got.end = np.array(ends[0], dtype="<u4").tobytes() if len(ends) == 1 else None
+            if len(self._known) < self.max_states:
+                self._known[out, threads] = got
+        return got
 
     def _split(self, tok: int) -> tuple[int, int] | None:
         """The two tokens whose merge is ``tok``; None for one byte; (-1, -1) when no merges lead to it."""
@@ -121,7 +135,7 @@ class Transducer:
         pair = before << 32 | tok
         ok = self._pairs.get(pair)
         if ok is None:
-            if len(self._pairs) >= self.max_arcs:
+            if len(self._pairs) >= 4 * self.max_states:
                 self._pairs.clear()
             rank, left = self.ranks.get, self._edge(tok, 0)
             ok = True
@@ -136,78 +150,63 @@ class Transducer:
             self._pairs[pair] = ok
         return ok
 
-    def _arc(self, state: int, byte: int) -> tuple[bytes, int]:
+    def _next(self, state: _State, byte: int) -> _State:
         """Build one arc: move all threads by a byte, emit what they share."""
         moved = []
-        for node, before, held in self._threads[state]:
-            nxt = self._child.get(node << 8 | byte)
+        for node, before, held in state.threads:
+            nxt = self._kids[node].get(byte)
             if nxt is None:
                 continue
-            if self._inner[nxt]:
+            if self._kids[nxt]:
                 moved.append((nxt, before, held))
             tok = self._token[nxt]
             if tok >= 0 and self._fits(before, tok):
                 moved.append((0, tok, (*held, tok)))
-        out: tuple[int, ...] = ()
+        out = b""
         if moved:
             first = moved[0][2]
-            n = min(len(h) for _, _, h in moved)
-            k = 0
-            while k < n and all(h[k] == first[k] for _, _, h in moved):
-                k += 1
-            out = first[:k]
+            k = len(first)
+            for _, _, h in moved:
+                while h[:k] != first[:k]:
+                    k -= 1
             if k:
+                out = np.array(first[:k], dtype="<u4").tobytes()
                 moved = [(node, before, h[k:]) for node, before, h in moved]
-        threads = tuple(sorted(moved))
-        to = self._ids.get(threads)
-        if to is None:
-            to = self._ids[threads] = len(self._threads)
-            self._threads.append(threads)
-        arc = self._arcs[state << 8 | byte] = (np.array(out, dtype="<u4").tobytes(), to)
-        return arc
-
-    def _final(self, state: int) -> bytes | None:
-        ends = [h for node, _, h in self._threads[state] if node == 0]
-        got = self._finals[state] = np.array(ends[0], dtype="<u4").tobytes() if len(ends) == 1 else None
+        got = self._state(out, tuple(moved))
+        if len(self._known) < self.max_states:
+            state[byte] = got
         return got
 
     def encode(self, piece: bytes) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers."""
         return self.encode_sorted([piece])[0]
 
     def encode_sorted(self, pieces: list[bytes]) -> list[bytes]:
-        """The same for many pieces in sorted order: the path through the
-        machine is kept as far as a piece agrees with the one before.
+        """Ids of many pieces in sorted order: the path through the machine is
+        kept as far as a piece agrees with the one before.
 
         A piece that is itself a token is that token; a vocabulary whose merges
         leave no single thread falls back to the definition."""
-        ranks, result = self.ranks, []
-        last, states, outs = b"", [0], []
+        ranks, start, result = self.ranks, self._start, []
+        last, path, outs = b"", [start], []
         for piece in pieces:
             whole = ranks.get(piece)
             if whole is not None:
                 result.append(whole.to_bytes(4, "little"))
                 continue
-            if len(self._arcs) >= self.max_arcs:
-                self._reset()
-                last, states, outs = b"", [0], []
             k = 0
             for x, y in zip(piece, last):
                 if x != y:
                     break
                 k += 1
-            del states[k + 1:], outs[k:]
-            state, arcs = states[k], self._arcs
+            del path[k + 1:], outs[k:]
+            state = path[k]
             for b in piece[k:]:
-                arc = arcs.get(state << 8 | b) or self._arc(state, b)
-                outs.append(arc[0])
-                state = arc[1]
-                states.append(state)
+                nxt = state.get(b)
+                state = nxt if nxt is not None else self._next(state, b)
+                outs.append(state.out)
+                path.append(state)
             last = piece
-            end = self._finals.get(state)
-            if end is None:
-                end = self._final(state)
-            result.append(b"".join(outs) + end if end is not None
+            result.append(b"".join(outs) + state.end if state.end is not None
                           else np.array(merge_by_rank(piece, ranks), dtype="<u4").tobytes())
         return result
 
@@ -240,17 +239,30 @@ class Utf8Stream:
         return data[:cut].decode("utf-8", "replace")
 
 
-_CODERS: dict[tuple[int, str], tuple[Cutter, Transducer, PieceCache]] = {}
+class Coder:
+    """texts -> ids, by the pieces that a pattern cuts."""
 
+    def __init__(self, ranks: bytes, pattern: str, odd: str):
+        self._cut, fst = Cutter(pattern, odd), Transducer(parse_ranks(ranks))
+        self._cache = PieceCache(lambda ps: fst.encode_sorted([p.encode("utf-8", "surrogatepass") for p in ps]), CACHE)
 
-def _coder(ranks: bytes, pattern: str, odd: str):
-    """The worker's machine for a vocabulary; one is kept per worker."""
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        pieces = [self._cut(t) for t in texts]
+        self._cache.load(pieces)
+        get = self._cache.values.__getitem__
+        return [b"".join(map(get, p)) for p in pieces]
+
+
+_CODERS: dict[tuple[int, str], Coder] = {}
+
+
+def _coder(ranks: bytes, pattern: str, odd: str) -> Coder:
+    """The worker's coder of a vocabulary; one is kept per worker."""
     key = (hash(ranks), pattern)
     if key not in _CODERS:
         _CODERS.clear()
-        fst = Transducer(parse_ranks(ranks))
-        cache = PieceCache(lambda ps: fst.encode_sorted([p.encode("utf-8", "surrogatepass") for p in ps]), CACHE)
-        _CODERS[key] = (Cutter(pattern, odd), fst, cache)
+        gc.set_threshold(200_000, 20, 100)                # states and caches are long-lived: scan them rarely
+        _CODERS[key] = Coder(ranks, pattern, odd)
     return _CODERS[key]
 
 
@@ -259,57 +271,67 @@ def _vocabulary(spark: SparkSession, path: str):
         return spark.sparkContext.broadcast(f.read())      # one vocabulary file: its size is fixed
 
 
+def _decoder(bytes_of: dict[int, bytes], step: int):
+    """ids as bytes -> text, ``step`` tokens at a time through the UTF-8 machine."""
+    of = bytes_of.__getitem__
+
+    def decode(data: bytes) -> str:
+        ids = np.frombuffer(data, dtype="<u4")
+        utf8, out = Utf8Stream(), []
+        for at in range(0, len(ids), step):
+            out.append(utf8.feed(b"".join(map(of, ids[at:at + step].tolist()))))
+        out.append(utf8.feed(b"", end=True))
+        return "".join(out)
+    return decode
+
+
 def bpe_encode(docs: DataFrame, vocab_path: str, pattern: str, text_col: str = "text", ids_col: str = "ids",
-               n_col: str = "n_tokens", keep: list[str] | None = None) -> DataFrame:
+               n_col: str = "n_tokens", decoded_col: str | None = None, keep: list[str] | None = None,
+               step: int = 65_536) -> DataFrame:
     """``keep`` columns (all but the text by default) plus ``ids_col`` (binary:
-    little-endian unsigned 32-bit ids) and ``n_col`` (long).
+    little-endian unsigned 32-bit ids), ``n_col`` (long) and, when named,
+    ``decoded_col``: the text that the ids give back, decoded in the same pass.
 
     Every match of ``pattern`` is encoded separately, without special tokens.
     Null text counts as empty and gives no ids. Rows are neither dropped nor
     merged; columns named like the new ones are replaced.
     """
     vocab, odd = _vocabulary(docs.sparkSession, vocab_path), newer_code_points()
-    keep = [c for c in (keep if keep is not None else docs.columns) if c not in (text_col, ids_col, n_col)]
-    schema = T.StructType([docs.schema[c] for c in keep]
-                          + [T.StructField(ids_col, T.BinaryType()), T.StructField(n_col, T.LongType())])
+    new = [T.StructField(ids_col, T.BinaryType()), T.StructField(n_col, T.LongType())]
+    if decoded_col:
+        new.append(T.StructField(decoded_col, T.StringType()))
+    names = [f.name for f in new]
+    keep = [c for c in (keep if keep is not None else docs.columns) if c not in (text_col, *names)]
+    schema = T.StructType([docs.schema[c] for c in keep] + new)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cut, _, cache = _coder(vocab.value, pattern, odd)
-        for b in batches:
-            ids = []
-            for part in chunks([t or "" for t in b.column(text_col).to_pylist()], CHUNK):
-                pieces = [cut(t) for t in part]
-                cache.load(pieces)
-                get = cache.values.__getitem__
-                ids += [b"".join(map(get, p)) for p in pieces]
-            cols = [b.column(c) for c in keep] + [pa.array(ids, pa.binary()),
-                                                  pa.array([len(x) // 4 for x in ids], pa.int64())]
-            yield pa.RecordBatch.from_arrays(cols, names=[*keep, ids_col, n_col])
+        encode = _coder(vocab.value, pattern, odd)
+        decode = _decoder({i: t for t, i in parse_ranks(vocab.value).items()}, step) if decoded_col else None
+        for batch in batches:
+            for b in by_chars(batch, text_col, CHUNK):
+                ids = encode([t or "" for t in b.column(text_col).to_pylist()])
+                cols = [b.column(c) for c in keep] + [pa.array(ids, pa.binary()),
+                                                      pa.array([len(x) // 4 for x in ids], pa.int64())]
+                if decode:
+                    cols.append(pa.array(map(decode, ids), pa.string()))
+                yield pa.RecordBatch.from_arrays(cols, names=[*keep, *names])
 
     return docs.select(*keep, text_col).mapInArrow(run, schema)
 
 
 def bpe_decode(docs: DataFrame, vocab_path: str, ids_col: str = "ids", text_col: str = "decoded",
                step: int = 65_536) -> DataFrame:
-    """``docs`` with ``text_col``: the text of the ids, streamed ``step`` tokens
-    at a time through the UTF-8 machine. Null ids give an empty text; an id
-    outside the vocabulary is an error."""
+    """``docs`` with ``text_col``: the text of the ids. Null ids give an empty
+    text; an id outside the vocabulary is an error."""
     vocab = _vocabulary(docs.sparkSession, vocab_path)
     keep = [c for c in docs.columns if c != text_col]
     schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField(text_col, T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of = {i: t for t, i in parse_ranks(vocab.value).items()}.__getitem__
-        for b in batches:
-            texts = []
-            for x in b.column(ids_col):
-                ids = np.frombuffer(x.as_py() or b"", dtype="<u4")
-                utf8, out = Utf8Stream(), []
-                for at in range(0, len(ids), step):
-                    out.append(utf8.feed(b"".join(map(of, ids[at:at + step].tolist()))))
-                out.append(utf8.feed(b"", end=True))
-                texts.append("".join(out))
-            yield pa.RecordBatch.from_arrays([b.column(c) for c in keep] + [pa.array(texts, pa.string())],
-                                             names=[*keep, text_col])
+        decode = _decoder({i: t for t, i in parse_ranks(vocab.value).items()}, step)
+        for batch in batches:
+            for b in by_chars(batch, ids_col, CHUNK):
+                texts = pa.array([decode(x.as_py() or b"") for x in b.column(ids_col)], pa.string())
+                yield pa.RecordBatch.from_arrays([b.column(c) for c in keep] + [texts], names=[*keep, text_col])
 
     return docs.mapInArrow(run, schema)

@@ -6,13 +6,14 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyflux.session import checkpoint_table
 
-__all__ = ["checkpoint_table", "table", "text_or_empty", "word_hashes", "mix64", "fold_batches", "shuffle_partitions"]
+__all__ = ["checkpoint_table", "table", "text_or_empty", "word_hashes", "mix64", "by_chars", "shuffle_partitions"]
 
 #: ASCII white space as one character class (Java and RE2 read it alike).
 SPACES = r"[\x20\x09-\x0D]+"
@@ -62,7 +63,12 @@ def chain(h: np.ndarray, n: int) -> np.ndarray:
     return mix64(out)
 
 
-def fold_batches(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[list[list]]:
-    """The named columns of each Arrow batch as Python lists."""
-    for b in batches:
-        yield [b.column(c).to_pylist() for c in columns]
+def by_chars(batch: pa.RecordBatch, column: str, size: int) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with about ``size`` bytes in ``column`` each (a longer
+    value is its own slice), so that a worker holds few long texts at once."""
+    col = batch.column(column)
+    n = pc.fill_null(pc.binary_length(col), 0).to_numpy(zero_copy_only=False)
+    part = np.cumsum(n) // size
+    cuts = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1), len(n)] if len(n) else [0]
+    for a, b in zip(cuts, cuts[1:]):
+        yield batch.slice(int(a), int(b - a))

@@ -72,7 +72,7 @@ def template_rows(spark, templates: dict[str, list[str]]) -> DataFrame:
     """(license, template, t_plain, t_grams, t_size) of each template."""
     rows = [(k, i, t) for k, ts in templates.items() for i, t in enumerate(ts)]
     df = spark.createDataFrame(rows, "license string, template int, t_text string")
-    df = df.withColumn("t_plain", bigrams(words("t_text")))
+    df = df.withColumn("w", words("t_text")).withColumn("t_plain", bigrams(F.col("w")))
     return df.select("license", "template", "t_plain", numbered(F.col("t_plain")).alias("t_grams"),
                      F.size("t_plain").alias("t_size"))
 
@@ -81,8 +81,8 @@ def units(text: Column, lo: int, hi: int) -> Column:
     """Distinct lines, sentences and the whole text, those of ``lo`` to ``hi`` words."""
     lines = F.split(text, r"[\n\r]+")
     sentences = F.split(F.regexp_replace(text, r"([.!?])[\x20\x09-\x0D]+", "$1\n"), r"[\n\r]+")
-    count = lambda u: F.regexp_count(_lower(u), F.lit(WORD))
-    return F.array_distinct(F.filter(F.concat(lines, sentences, F.array(text)), lambda u: count(u).between(lo, hi)))
+    inside = lambda u: F.abs(2 * F.regexp_count(_lower(u), F.lit(WORD)) - (lo + hi)) <= hi - lo  # noqa: E731  lo <= count <= hi
+    return F.array_distinct(F.filter(F.concat(lines, sentences, F.array(text)), inside))
 
 
 def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD,
@@ -101,8 +101,9 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     lo = min(-(-x.t_size * r // 1) for x in t)                            # bigrams; one more in words
     hi = max(x.t_size / r // 1 for x in t)
     known = sorted({g for x in t for g in x.t_plain})
-    u = docs.select(F.col(id_col), F.explode(units(text_or_empty(text_col), 1 if lo <= 1 else int(lo) + 1, int(hi) + 1)).alias("unit"))
-    u = (u.withColumn("plain", bigrams(words("unit")))
+    u = docs.select(F.col(id_col), F.explode(
+        units(text_or_empty(text_col), 1 if lo <= 1 else int(lo) + 1, int(hi) + 1)).alias("unit"))
+    u = (u.withColumn("w", words("unit")).withColumn("plain", bigrams(F.col("w")))   # a column each: lambdas repeat expressions
          .filter(F.arrays_overlap("plain", F.array(*[F.lit(g) for g in known])))
          .withColumn("size", F.size("plain")).withColumn("grams", numbered(F.col("plain"))))
     sized = [(x.license, x.template, x.t_grams, x.t_size, n) for x in t

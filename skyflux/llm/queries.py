@@ -181,7 +181,7 @@ uw AS (SELECT doc_id, unit, {wl('unit')} AS w FROM u),
 ug AS ({grams('doc_id, unit', 'uw WHERE len(w) >= 1 AND len(w) <= 200')}),
 uc AS (SELECT doc_id, unit, g, count(*) AS c FROM ug GROUP BY ALL),
 us AS (SELECT doc_id, unit, sum(c) AS n FROM uc GROUP BY ALL),
-t AS (SELECT column0 AS license, column1 AS template, {wl('column2')} AS w FROM (VALUES {rows})),
+t AS (SELECT license, template, {wl('txt')} AS w FROM (VALUES {rows}) v(license, template, txt)),
 tc AS (SELECT license, template, g, count(*) AS c FROM ({grams('license, template', 't')}) GROUP BY ALL),
 ts AS (SELECT license, template, sum(c) AS n FROM tc GROUP BY ALL),
 b AS (SELECT uc.doc_id, uc.unit, tc.license, tc.template, sum(least(uc.c, tc.c)) AS shared FROM uc JOIN tc USING (g) GROUP BY ALL),

@@ -32,9 +32,8 @@ def page_key(url: str | Column) -> Column:
     return F.regexp_replace(F.concat(host(url), path), r"/+$", "")
 
 
-def _suffixes(h: Column) -> Column:
-    """a.b.c -> [a.b.c, b.c, c] as (kind, value, specificity) structs."""
-    parts = F.split(h, r"\.")
+def _suffixes(parts: Column) -> Column:
+    """[a, b, c] -> a.b.c, b.c, c as (kind, value, rank) structs."""
     n = F.size(parts)
     return F.transform(F.sequence(F.lit(1), n), lambda i: F.struct(
         F.lit("domain").alias("kind"), F.array_join(F.slice(parts, i, n), ".").alias("value"),
@@ -67,15 +66,16 @@ def temporal_url_filter(captures: DataFrame, entries: DataFrame, url_col: str =
     """
     day = F.to_date(F.col(time_col))
     asked = (captures.select(F.col(url_col).alias("_u"), day.alias("_d")).dropna().distinct()
-             .withColumn("_h", host("_u")).filter("_h != ''"))
+             .withColumn("_h", host("_u")).filter("_h != ''").withColumn("_p", F.split("_h", r"\.")))
     page = F.array(F.struct(F.lit("page").alias("kind"), page_key("_u").alias("value"), F.lit(1000).alias("rank")))
     block = lambda c: F.floor(F.unix_date(c) / F.lit(BLOCK_DAYS))
-    keys = (asked.select("_u", "_d", F.explode(F.concat(page, _suffixes(F.col("_h")))).alias("k"))
+    keys = (asked.select("_u", "_d", F.explode(F.concat(page, _suffixes(F.col("_p")))).alias("k"))
             .select("_u", "_d", block(F.col("_d")).alias("_b"), "k.kind", "k.value", "k.rank"))
-    span = captures.agg(F.min(day).alias("_lo"), F.max(day).alias("_hi"))
-    live = (intervals(entries).crossJoin(F.broadcast(span))           # one row: the span of fetch days
-            .withColumn("_from", F.greatest("valid_from", "_lo"))
-            .withColumn("_to", F.least(F.coalesce(F.date_sub("valid_to", 1), "_hi"), F.col("_hi")))
+    first, last = captures.agg(F.min(day), F.max(day)).first()          # the span of fetch days
+    lo, hi = F.lit(first).cast("date"), F.lit(last).cast("date")
+    live = (intervals(entries)
+            .withColumn("_from", F.greatest(F.col("valid_from"), lo))
+            .withColumn("_to", F.least(F.date_sub("valid_to", 1), hi))      # least() skips the null of an open end
             .filter("_from <= _to")
             .withColumn("_b", F.explode(F.sequence(block(F.col("_from")), block(F.col("_to")))))
             .select("kind", "value", "action", "valid_from", "valid_to", "_b"))
