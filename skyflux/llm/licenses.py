@@ -57,9 +57,8 @@ def words(text: str | Column) -> Column:
 
 def bigrams(w: Column) -> Column:
     """Pairs of neighbouring words; one word alone stands for itself."""
-    n = F.size(w)
-    return F.when(n >= 2, F.transform(F.sequence(F.lit(1), n - 1), lambda i: F.concat_ws(
-        " ", F.element_at(w, i), F.element_at(w, i + 1)))).otherwise(w)
+    pairs = F.zip_with(w, F.slice(w, F.lit(2), F.size(w)), lambda x, y: F.concat_ws(" ", x, y))
+    return F.slice(pairs, F.lit(1), F.greatest(F.size(w) - 1, F.lit(1)))     # the last word has no neighbour
 
 
 def numbered(grams: Column) -> Column:
