@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skyflux.llm.ann import nearest
 from skyflux.llm.bpe import bpe_encode
 from skyflux.llm.common import table
 from skyflux.llm.exact_dedup import exact_dedup
@@ -87,6 +88,14 @@ def op1_temporal_url_filter(spark, sf_dir):
     return temporal_url_filter(caps, list_entries(pages))
 
 
+# --------------------------------------------------------- 2: nearest neighbours
+@query("op2_vector_graph")
+def op2_vector_graph(spark, sf_dir):
+    """The 20 nearest found for every vector whose id is divisible by 20."""
+    v = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return nearest(v, v.filter("vec_id % 20 = 0"))
+
+
 # ------------------------------------------------------------- 5, 6: tokenizers
 @query("op5_byte_bpe")
 def op5_byte_bpe(spark, sf_dir):
