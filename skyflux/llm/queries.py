@@ -13,6 +13,7 @@ from skyflux.llm.common import table
 from skyflux.llm.exact_dedup import exact_dedup
 from skyflux.llm.licenses import TEMPLATES, THRESHOLD, WORD, license_scan
 from skyflux.llm.mixing import TARGETS, TOPICS, mix
+from skyflux.llm.shingle_join import shingle_components
 from skyflux.llm.token_counts import token_counts
 from skyflux.llm.url_filter import host, page_key, temporal_url_filter
 
@@ -96,6 +97,13 @@ def op2_vector_graph(spark, sf_dir):
     return nearest(v, v.filter("vec_id % 20 = 0"))
 
 
+# ------------------------------------------------------ 4: n-gram Jaccard join
+@query("op4_ngram_jaccard")
+def op4_ngram_jaccard(spark, sf_dir):
+    """Every document with the size of its shingle set and its component of links."""
+    return shingle_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 # ------------------------------------------------------------- 5, 6: tokenizers
 @query("op5_byte_bpe")
 def op5_byte_bpe(spark, sf_dir):
