@@ -12,6 +12,7 @@ from skyflux.llm.bpe import bpe_encode
 from skyflux.llm.common import table
 from skyflux.llm.exact_dedup import exact_dedup
 from skyflux.llm.licenses import TEMPLATES, THRESHOLD, WORD, license_scan
+from skyflux.llm.lm_score import MU, lm_scores
 from skyflux.llm.mixing import TARGETS, TOPICS, mix
 from skyflux.llm.shingle_join import shingle_components
 from skyflux.llm.token_counts import token_counts
@@ -214,3 +215,35 @@ FROM m WHERE dice >= {THRESHOLD} GROUP BY doc_id, license
 def op8_license_scan(spark, sf_dir):
     """Licences named in each document."""
     return license_scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+# --------------------------------------------------------------- 7: LM scores
+@query("op7_backoff_lm", rf"""
+WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS x FROM documents),
+w AS (SELECT doc_id, list_append(list_transform(regexp_extract_all(x, '[^\x20\x09-\x0D]+'), lambda v: 'w' || v), 'end') AS ws FROM d),
+t AS (SELECT doc_id, unnest(ws) AS w, unnest(list_prepend('start', ws[1:len(ws) - 1])) AS v FROM w),
+-- CRC-32 of the id's text: reflected polynomial 0xEDB88320, bit by bit
+ids AS (SELECT DISTINCT doc_id, CAST(doc_id AS VARCHAR) AS s FROM documents),
+held AS (SELECT doc_id, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(1, len(s) * 9 + 1), lambda i:
+           CASE WHEN i % 9 = 1 THEN 1000000 + CAST(ord(s[CAST(ceil(i / 9.0) AS INTEGER)]) AS BIGINT) ELSE -1 END)),
+         lambda c, o: CASE WHEN o >= 0 THEN xor(c, o - 1000000) WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END),
+         CAST(4294967295 AS BIGINT)) % 10 = 0 AS held_out FROM ids),
+tt AS (SELECT t.*, held_out FROM t JOIN held USING (doc_id)),
+u AS (SELECT w, count(*) AS c FROM tt WHERE NOT held_out GROUP BY w),
+b AS (SELECT v, w, count(*) AS c FROM tt WHERE NOT held_out GROUP BY v, w),
+cv AS (SELECT v, sum(c) AS c FROM b GROUP BY v),
+k AS (SELECT sum(c) AS n, count(*) AS types FROM u),
+s AS (SELECT tt.doc_id, tt.held_out, u.c IS NOT NULL AS known,
+        (coalesce(u.c, 0) + CAST(0.1 AS DOUBLE)) / (k.n + CAST(0.1 AS DOUBLE) * (k.types + 1)) AS p, coalesce(b.c, 0) AS cb, coalesce(cv.c, 0) AS cc, k.n
+      FROM tt CROSS JOIN k LEFT JOIN u ON u.w = tt.w LEFT JOIN b ON b.v = tt.v AND b.w = tt.w LEFT JOIN cv ON cv.v = tt.v)
+SELECT doc_id, held_out, count(*) AS n_tokens, CAST(sum(CAST(known AS INTEGER)) AS BIGINT) AS n_known, CAST(any_value(n) AS BIGINT) AS train_tokens,
+       floor(fsum(log10(p)) * 1e5 + 0.5) / 1e5 AS base_score,
+       floor(fsum(log10((cb + {MU} * p) / (cc + {MU}))) * 1e5 + 0.5) / 1e5 AS score
+FROM s GROUP BY doc_id, held_out
+""")
+def op7_backoff_lm(spark, sf_dir):
+    """Log-probability of every document under a model of nine tenths of them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    s = lm_scores(docs, F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10 == 0)
+    five = lambda c: (F.floor(F.col(c) * 1e5 + 0.5).cast("double") / F.lit(1e5)).alias(c)  # noqa: E731  sums differ in their last bits
+    return s.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", five("base_score"), five("score"))
