@@ -16,6 +16,7 @@ from skyflux.llm.lm_score import MU, lm_scores
 from skyflux.llm.mixing import TARGETS, TOPICS, mix
 from skyflux.llm.shingle_join import shingle_components
 from skyflux.llm.token_counts import token_counts
+from skyflux.llm.toxicity import classify
 from skyflux.llm.url_filter import host, page_key, temporal_url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -98,6 +99,14 @@ def op2_vector_graph(spark, sf_dir):
     return nearest(v, v.filter("vec_id % 20 = 0"))
 
 
+# -------------------------------------------------------------- 3: toxicity
+@query("op3_toxicity_chain")
+def op3_toxicity_chain(spark, sf_dir):
+    """Probabilities of the toxicity categories for every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return classify(docs, table(spark, sf_dir, "labels"))
+
+
 # ------------------------------------------------------ 4: n-gram Jaccard join
 @query("op4_ngram_jaccard")
 def op4_ngram_jaccard(spark, sf_dir):
