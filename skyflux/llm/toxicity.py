@@ -57,24 +57,53 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(0.5 * z))
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = 80, ridge: float = 1e-4) -> np.ndarray:
+class Rows:
+    """A 0/1 matrix by its ones, with a few dense columns after it and a column of ones last."""
+
+    def __init__(self, row: np.ndarray, col: np.ndarray, width: int, dense: np.ndarray):
+        self.row, self.col, self.width = row, col, width
+        self.dense = np.hstack([dense, np.ones((len(dense), 1))])
+
+    def take(self, keep: np.ndarray) -> Rows:
+        to = np.cumsum(keep) - 1
+        ones = keep[self.row]
+        return Rows(to[self.row[ones]], self.col[ones], self.width, self.dense[keep, :-1])
+
+    def dot(self, w: np.ndarray) -> np.ndarray:
+        return np.bincount(self.row, weights=w[self.col], minlength=len(self.dense)) + self.dense @ w[self.width:]
+
+    def back(self, r: np.ndarray) -> np.ndarray:
+        return np.concatenate([np.bincount(self.col, weights=r[self.row], minlength=self.width), self.dense.T @ r])
+
+
+def fit_logistic(x: Rows, y: np.ndarray, weight: np.ndarray, rounds: int = 250, ridge: float = 1e-5) -> np.ndarray:
     """Weights and, last, the bias: accelerated gradient steps on the weighted log-loss."""
-    x = np.hstack([x, np.ones((len(x), 1), dtype=x.dtype)])
-    weight = (weight / weight.sum()).astype(x.dtype)
-    v = np.ones(x.shape[1], dtype=x.dtype)
-    for _ in range(8):                                       # largest eigenvalue of the curvature bound
-        v = x.T @ (weight * (x @ v))
+    weight = weight / weight.sum()
+    size = x.width + x.dense.shape[1]
+    v = np.ones(size)
+    for _ in range(12):                                      # largest eigenvalue of the curvature bound
+        v = x.back(weight * x.dot(v))
         v /= max(np.linalg.norm(v), 1e-12)
-    step = 1.0 / (0.25 * float(v @ (x.T @ (weight * (x @ v)))) + ridge)
-    w = look = np.zeros(x.shape[1], dtype=x.dtype)
+    step = 1.0 / (0.26 * float(v @ x.back(weight * x.dot(v))) + ridge)
+    w = look = np.zeros(size)
     for k in range(rounds):
-        grad = x.T @ (weight * (_sigmoid(x @ look) - y)) + ridge * np.append(look[:-1], 0).astype(x.dtype)
+        grad = x.back(weight * (_sigmoid(x.dot(look)) - y)) + ridge * np.append(look[:-1], 0)
         new = look - step * grad
         look = new + (k / (k + 3)) * (new - w)
         w = new
     return w
 
 
+def best_threshold(p: np.ndarray, y: np.ndarray, weight: np.ndarray) -> float:
+    """The cut with the largest F1, half-way to the next lower probability."""
+    by = np.argsort(-p, kind="stable")
+    p, hit = p[by], np.cumsum((weight * y)[by])
+    f1 = 2 * hit / (np.cumsum(weight[by]) + (weight * y).sum())
+    f1[:-1][p[:-1] == p[1:]] = 0                             # a cut lies between different values
+    at = int(np.argmax(f1))
+    return float((p[at] + (p[at + 1] if at + 1 < len(p) else 0.0)) / 2)
+
+
 def _select(buckets: list[np.ndarray], y: np.ndarray, weight: np.ndarray, size: int) -> np.ndarray:
     """The ``size`` buckets with the largest chi-square, those in under 3 rows left out."""
     rows = np.repeat(np.arange(len(buckets)), [len(b) for b in buckets])
@@ -94,30 +123,28 @@ def _select(buckets: list[np.ndarray], y: np.ndarray, weight: np.ndarray, size:
 def fit_chain(buckets: list[np.ndarray], labels: np.ndarray, weight: np.ndarray, names: list[str], folds: int = FOLDS,
               size: int = FEATURES) -> list[dict]:
     """One model per category, in order. Each has its buckets, weights (buckets,
-    earlier probabilities, bias) and, where a category has one value only, that value."""
-    models, chained = [], np.zeros((len(buckets), 0), dtype=np.float32)
+    earlier probabilities, bias) and the threshold with the best out-of-fold F1;
+    where a category has one value only, that value."""
+    models, chained = [], np.zeros((len(buckets), 0))
     fold = np.arange(len(buckets)) % folds
     for c, name in enumerate(names):
-        y = labels[:, c].astype(np.float32)
+        y = labels[:, c].astype(float)
         if not len(y) or y.min() == y.max():
             models.append({"name": name, "constant": float(y[0]) if len(y) else 0.0})
-            chained = np.hstack([chained, np.full((len(y), 1), models[-1]["constant"], dtype=np.float32)])
+            chained = np.hstack([chained, np.full((len(y), 1), models[-1]["constant"])])
             continue
         cols = _select(buckets, y, weight, size)
         at = np.full(BUCKETS, -1, dtype=np.int64)
         at[cols] = np.arange(len(cols))
-        x = np.zeros((len(buckets), len(cols) + c), dtype=np.float32)
-        for i, b in enumerate(buckets):
-            hit = at[b]
-            x[i, hit[hit >= 0]] = 1
-        x[:, len(cols):] = chained
-        oof = np.zeros(len(y), dtype=np.float32)
+        hits = [h[h >= 0] for h in (at[b] for b in buckets)]
+        x = Rows(np.repeat(np.arange(len(hits)), [len(h) for h in hits]), np.concatenate(hits), len(cols), chained)
+        oof = np.zeros(len(y))
         for f in range(folds):
             test = fold == f
             if test.any() and (~test).any():
-                w = fit_logistic(x[~test], y[~test], weight[~test])
-                oof[test] = _sigmoid(x[test] @ w[:-1] + w[-1])
-        models.append({"name": name, "buckets": cols, "weights": fit_logistic(x, y, weight)})
+                oof[test] = _sigmoid(x.take(test).dot(fit_logistic(x.take(~test), y[~test], weight[~test])))
+        models.append({"name": name, "buckets": cols, "weights": fit_logistic(x, y, weight),
+                       "threshold": best_threshold(oof, y, weight)})
         chained = np.hstack([chained, oof[:, None]])
     return models
 
@@ -216,19 +243,18 @@ def predict(docs: DataFrame, models: list[dict], id_col: str = "doc_id", text_co
 
 
 #: Production chain: toxic in English, toxic in another language, then toxic at all.
-THRESHOLD = 0.5
-
-
 def toxic_categories() -> dict[str, Column]:
     toxic, english = F.col("toxic") == 1, F.coalesce(F.col("lang") == "en", F.lit(False))
     return {"toxic_english": toxic & english, "toxic_other": toxic & ~english, "toxic": toxic}
 
 
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-             threshold: float = THRESHOLD, keep: list[str] | None = None) -> DataFrame:
+             threshold: float | None = None, keep: list[str] | None = None) -> DataFrame:
     """Train on ``labels`` (id, toxic) and predict all of ``docs`` (id, text,
-    lang): p_toxic_english, p_toxic_other, p_toxic and toxic (p_toxic >= threshold)."""
+    lang): p_toxic_english, p_toxic_other, p_toxic and toxic (p_toxic >= threshold; by
+    default the one with the best out-of-fold F1)."""
     lang = docs.select(F.col(id_col), "lang")
     known = labels.select(id_col, "toxic").join(lang, id_col)
     models = train(docs, known, toxic_categories(), id_col, text_col)
-    return predict(docs, models, id_col, text_col, keep).withColumn("toxic", F.col("p_toxic") >= threshold)
+    cut = models[-1].get("threshold", 0.5) if threshold is None else threshold
+    return predict(docs, models, id_col, text_col, keep).withColumn("toxic", F.col("p_toxic") >= cut)
