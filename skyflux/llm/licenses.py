@@ -5,11 +5,16 @@ DataFrame functions only. Texts and templates are normalised the same way
 units compared are the lines and the sentences of the whole text and the
 text as one unit. A unit of ``a`` distinct bigrams can reach a Dice coefficient
 of ``t`` with a template of ``b`` only if t/(2-t) <= a/b <= (2-t)/t, so a
-unit's size picks the few templates worth comparing before any overlap is counted.
+unit's size picks the few templates worth comparing before any overlap is
+counted. Texts without any word that a match must hold are not cut into units at all.
 """
 
 from __future__ import annotations
 
+import math
+import re
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -76,6 +81,28 @@ def template_rows(spark, templates: dict[str, list[str]]) -> DataFrame:
                      F.size("t_plain").alias("t_size"))
 
 
+# Frequent English words, which make poor anchors.
+COMMON = frozenset("a and any are as be by following for free from in is it may of or that the this to under with you".split())
+
+
+def anchors(grams: list[list[str]], threshold: float) -> list[str]:
+    """Words of which every matching unit holds at least one.
+
+    A unit that reaches the threshold shares at least ``least`` pairs with the
+    template, so it holds a word of ``anchors`` once fewer pairs than that are
+    without one. Words are taken by how many such pairs they settle."""
+    r = threshold / (2.0 - threshold)
+    least = [math.ceil(threshold * (math.ceil(len(g) * r - 1e-9) + len(g)) / 2 - 1e-9) for g in grams]
+    chosen: list[str] = []
+    while True:
+        open_pairs = [p for g, m in zip(grams, least) for rest in [[p for p in g if not set(p.split()) & set(chosen)]]
+                      if len(rest) >= m for p in rest]
+        if not open_pairs:
+            return sorted(chosen)
+        gain = Counter(w for p in open_pairs for w in set(p.split()))
+        chosen.append(min(gain, key=lambda w: (w in COMMON, -gain[w] * min(len(w), 8), w)))     # longer words are rarer
+
+
 def units(text: Column, lo: int, hi: int) -> Column:
     """Distinct lines, sentences and the whole text, those of ``lo`` to ``hi`` words."""
     lines = F.split(text, r"[\n\r]+")
@@ -100,9 +127,12 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     lo = min(-(-x.t_size * r // 1) for x in t)                            # bigrams; one more in words
     hi = max(x.t_size / r // 1 for x in t)
     known = sorted({g for x in t for g in x.t_plain})
-    u = docs.select(F.col(id_col), F.explode(
+    # exact pre-filter on whole texts: Unicode lower case only ever adds ASCII letters
+    held = "|".join(re.escape(w) for w in anchors([x.t_plain for x in t], threshold))
+    held = f"(?<![a-z0-9])(?:{held})(?![a-z0-9])"
+    u = docs.filter(F.lower(F.col(text_col)).rlike(held)).select(F.col(id_col), F.explode(
         units(text_or_empty(text_col), 1 if lo <= 1 else int(lo) + 1, int(hi) + 1)).alias("unit"))
-    u = (u.withColumn("w", words("unit")).withColumn("plain", bigrams(F.col("w")))   # a column each: lambdas repeat expressions
+    u = (u.filter(F.lower("unit").rlike(held)).withColumn("w", words("unit")).withColumn("plain", bigrams(F.col("w")))   # a column each: lambdas repeat expressions
          .filter(F.arrays_overlap("plain", F.array(*[F.lit(g) for g in known])))
          .withColumn("size", F.size("plain")).withColumn("grams", numbered(F.col("plain"))))
     sized = [(x.license, x.template, x.t_grams, x.t_size, n) for x in t
