@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyflux.llm.common import WORD, text_or_empty
+from skyflux.llm.common import WORD, checkpoint_table, text_or_empty
 
 OTHER = "*"
 
@@ -22,7 +22,7 @@ OTHER = "*"
 #: All are read alike by Java and RE2.
 TOPICS = [
     ("legal", r"[Ll]icen[sc]e"),
-    ("contact", r"[A-Za-z0-9._]+@[A-Za-z0-9.]+"),
+    ("contact", r"@[A-Za-z0-9]"),
     ("table", r"\|"),
     ("numbers", r"[0-9]{3}"),
     ("emphatic", r"[!?]"),
@@ -99,24 +99,21 @@ def _class_of(col: Column, shares: dict[str, float]) -> Column:
     return F.when(col.cast("string").isin(named), col.cast("string")).otherwise(F.lit(OTHER))
 
 
-def mix(docs: DataFrame, targets: Targets, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` plus mix_tokens (words), mix_source, mix_lang, mix_topic (cell),
-    mix_p (keeping probability), mix_u (the document's draw in [0, 1)), mix_kept.
+def label(docs: DataFrame, targets: Targets, text_col: str = "text") -> DataFrame:
+    """``docs`` plus mix_tokens (words) and the cell: mix_source, mix_lang, mix_topic."""
+    text = text_or_empty(text_col)
+    return docs.drop(*_NEW).withColumns({
+        "mix_tokens": F.regexp_count(text, F.lit(WORD)).cast("long"),
+        "mix_source": _class_of(F.col("source"), targets.marginals["source"]),
+        "mix_lang": _class_of(F.col("lang"), targets.marginals["lang"]),
+        "mix_topic": _class_of(topic_of(text), targets.marginals["topic"])})
 
-    The marginals are named ``source``, ``lang`` and ``topic``; null or unnamed
-    categories count under ``*``. A text without words has no tokens: it follows
-    its cell's probability, 1 in a cell without tokens. Draws come from the id
-    and the seed, so equal ids (null included) share their fate and a rerun
-    gives the same sample. Columns of ``docs`` are kept; those with the new
-    names are replaced.
-    """
-    names, text = ["source", "lang", "topic"], text_or_empty(text_col)
-    made = {"mix_tokens": F.regexp_count(text, F.lit(WORD)).cast("long"),
-            "mix_source": _class_of(F.col("source"), targets.marginals["source"]),
-            "mix_lang": _class_of(F.col("lang"), targets.marginals["lang"]),
-            "mix_topic": _class_of(topic_of(text), targets.marginals["topic"])}
-    df = docs.withColumns(made)
-    cells = df.groupBy("mix_source", "mix_lang", "mix_topic").agg(F.sum("mix_tokens").alias("n")).collect()
+
+def draw(labelled: DataFrame, targets: Targets, id_col: str = "doc_id") -> DataFrame:
+    """``labelled`` plus mix_p (keeping probability), mix_u (the row's draw in
+    [0, 1)) and mix_kept."""
+    names = ["source", "lang", "topic"]
+    cells = labelled.groupBy("mix_source", "mix_lang", "mix_topic").agg(F.sum("mix_tokens").alias("n")).collect()
     cats = [sorted({*targets.marginals[n], OTHER}) for n in names]
     tokens = np.zeros([len(c) for c in cats])
     for r in cells:
@@ -125,15 +122,35 @@ def mix(docs: DataFrame, targets: Targets, id_col: str = "doc_id", text_col: str
     if tokens.sum() > 0:
         goal = [np.array([targets.marginals[n].get(c, 0.0) for c in cs]) for n, cs in zip(names, cats)]
         p = np.where(tokens > 0, calibrate(tokens, rake(tokens, goal, targets.rounds), targets.keep), 1.0)
-    prob = docs.sparkSession.createDataFrame(
+    prob = labelled.sparkSession.createDataFrame(
         [(s, la, t, float(p[i, j, k])) for i, s in enumerate(cats[0]) for j, la in enumerate(cats[1])
          for k, t in enumerate(cats[2])], "mix_source string, mix_lang string, mix_topic string, mix_p double")
-    draw = F.conv(F.substring(F.md5(F.concat_ws("|", F.coalesce(F.col(id_col).cast("string"), F.lit("")),
-                                                F.lit(targets.seed))), 1, 12), 16, 10).cast("double") / F.lit(2.0 ** 48)
-    out = df.join(F.broadcast(prob), ["mix_source", "mix_lang", "mix_topic"], "left").withColumn("mix_u", draw)
+    u = F.conv(F.substring(F.md5(F.concat_ws("|", F.coalesce(F.col(id_col).cast("string"), F.lit("")),
+                                             F.lit(targets.seed))), 1, 12), 16, 10).cast("double") / F.lit(2.0 ** 48)
     # the cells are at most the product of the target lists: a proven size
-    return out.withColumn("mix_kept", F.col("mix_u") < F.col("mix_p")).select(
-        *[c for c in docs.columns if c not in _NEW], *_NEW)
+    out = labelled.join(F.broadcast(prob), ["mix_source", "mix_lang", "mix_topic"], "left").withColumn("mix_u", u)
+    out = out.withColumn("mix_kept", F.col("mix_u") < F.col("mix_p"))
+    return out.select(*[c for c in labelled.columns if c not in _NEW], *_NEW)
+
+
+def mix(docs: DataFrame, targets: Targets, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` plus mix_tokens, mix_source, mix_lang, mix_topic, mix_p, mix_u, mix_kept.
+
+    The marginals are named ``source``, ``lang`` and ``topic``; null or unnamed
+    categories count under ``*``. A text without words has no tokens: it follows
+    its cell's probability, 1 in a cell without tokens. Draws come from the id
+    and the seed, so a rerun gives the same sample, and repeated rows share
+    their fate. Columns of ``docs`` are kept; those with the new names are
+    replaced. An empty table gives an empty result.
+
+    The input is read twice, for the cells and for the rows, and not shuffled.
+    """
+    return draw(label(docs, targets, text_col), targets, id_col)
+
+
+def mix_decisions(docs: DataFrame, targets: Targets, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The same without the text: labels are stored once and drawn from there."""
+    return draw(checkpoint_table(label(docs, targets, text_col).drop(text_col), "mix"), targets, id_col)
 
 
 _NEW = ["mix_tokens", "mix_source", "mix_lang", "mix_topic", "mix_p", "mix_u", "mix_kept"]

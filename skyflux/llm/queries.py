@@ -13,7 +13,7 @@ from skyflux.llm.common import table
 from skyflux.llm.exact_dedup import exact_dedup
 from skyflux.llm.licenses import TEMPLATES, THRESHOLD, WORD, license_scan
 from skyflux.llm.lm_score import MU, lm_scores
-from skyflux.llm.mixing import TARGETS, TOPICS, mix
+from skyflux.llm.mixing import TARGETS, TOPICS, mix_decisions
 from skyflux.llm.shingle_join import shingle_components
 from skyflux.llm.token_counts import token_counts
 from skyflux.llm.toxicity import classify
@@ -187,7 +187,7 @@ SELECT doc_id, CAST(n AS BIGINT) AS mix_tokens, s AS mix_source, l AS mix_lang,
 def op10_source_mixing(spark, sf_dir):
     """Every document with its cell, its calibrated probability and whether it was drawn."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
-    return mix(docs, TARGETS).select("doc_id", "mix_tokens", "mix_source", "mix_lang", "mix_topic",
+    return mix_decisions(docs, TARGETS).select("doc_id", "mix_tokens", "mix_source", "mix_lang", "mix_topic",
                                      (F.floor(F.col("mix_p") * 1e8 + 0.5).cast("double") / F.lit(1e8)).alias("mix_p"), "mix_kept")
 
 
