@@ -36,6 +36,15 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+#: Ids that a join may broadcast (about 60 MB); beyond it the join shuffles.
+BROADCAST_IDS = 1_000_000
+
+
+def small_side(ids: DataFrame) -> DataFrame:
+    """A stored table of ids, marked for broadcast if it has at most BROADCAST_IDS rows."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
 def words(text: str | None) -> list[bytes]:
     """Words of a text as UTF-8 bytes, A-Z lower-cased: ``bytes.lower`` touches
     ASCII letters only and ``bytes.split`` cuts at exactly x20 and x09-x0D."""

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyflux.llm.common import SPACES, checkpoint_table, shuffle_partitions, text_or_empty
+from skyflux.llm.common import SPACES, checkpoint_table, shuffle_partitions, small_side, text_or_empty
 
 _RUN = "cell long, sha string, len long, check long, id long, row long, n long, run long"
 _SAME = ["cell", "sha", "len", "check"]
@@ -111,10 +111,10 @@ def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     matched too, and equal rows under one id are reduced to one.
     """
     decided = checkpoint_table(exact_dedup(docs, id_col, text_col, fan_in), "dedup")
-    ids = decided.groupBy(id_col).agg(F.count("*").alias("_rows"), F.max("kept").alias("_kept"))
-    once = docs.join(ids.filter("_rows = 1 AND _kept").select(F.col(id_col).alias("_id")),
-                     docs[id_col].eqNullSafe(F.col("_id")), "left_semi")
-    again = ids.filter("_rows > 1 AND _kept").select(F.col(id_col).alias("_id"))
+    ids = checkpoint_table(decided.groupBy(id_col).agg(F.count("*").alias("_rows"), F.max("kept").alias("_kept"))
+                           .filter("_rows > 1 OR NOT _kept").withColumnRenamed(id_col, "_id"), "dedup-ids")
+    once = docs.join(small_side(ids.select("_id")), docs[id_col].eqNullSafe(F.col("_id")), "left_anti")
+    again = ids.filter("_kept").select("_id")
     if again.isEmpty():
         return once
     keep = decided.filter("kept").select(F.col(id_col).alias("_id"), F.col("text_sha256").alias("_sha"))

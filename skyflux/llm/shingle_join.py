@@ -38,13 +38,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyflux.llm.common import by_chars, chain, checkpoint_table, mix64, shuffle_partitions, word_hashes, words
+from skyflux.llm.common import by_chars, chain, checkpoint_table, mix64, shuffle_partitions, small_side, word_hashes, words
 
 WIDTH = 5
 GROUPS = 64
 TILE_ROWS = 4096
 TILE_BYTES = 16_000_000
-BROADCAST_IDS = 1_000_000
 _LEAF, _FAN = 16, 16
 _CHUNK = 8_000_000
 _LOG = math.log(4 / 3)
@@ -312,7 +311,6 @@ def shingle_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     shared = _shared_counts(sets.filter("n > 0 AND id IS NOT NULL"), shuffle_partitions(spark))
     live = checkpoint_table(heads.withColumn("node", node).join(shared, "node").filter(F.col("shared") >= need)
                             .select(F.col("head").alias("id"), "sig"), "live")
-    few = live.count() <= BROADCAST_IDS
 
     def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -324,8 +322,7 @@ def shingle_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                      pa.array([s.tobytes() for s, m in zip(got, mine) if m], pa.binary())], names=["id", "n", "set"])
 
     text = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    # ids are broadcast up to BROADCAST_IDS rows (under 60 MB); beyond that the join shuffles
-    text = text.join(F.broadcast(live) if few else live, "id")
+    text = text.join(small_side(live), "id")
     full = checkpoint_table(text.mapInArrow(again, "id long, n long, set binary").dropDuplicates(["id", "set"]), "live-sets")
     roots = components(_tile_links(full))
     of = heads.join(roots.withColumnRenamed("id", "head"), "head", "left").select(
