@@ -15,15 +15,14 @@ from skyflux.llm.common import checkpoint_table, small_side, table
 from skyflux.llm.exact_dedup import drop_exact_duplicates
 from skyflux.llm.mixing import TARGETS, mix
 from skyflux.llm.shingle_join import shingle_components
-from skyflux.llm.toxicity import classify
+from skyflux.llm.toxicity import predict, train_toxic
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier chain does not find toxic."""
-    found = classify(docs, table(spark, sf_dir, "labels"), keep=docs.columns)
-    if "toxic" in docs.columns:
-        raise ValueError("documents have a column named toxic")
-    return found.filter(~F.col("toxic")).select(*docs.columns)
+    models, cut = train_toxic(docs, table(spark, sf_dir, "labels"))
+    prefix = "p_" + "_" * max(map(len, docs.columns))                  # longer than any column of the documents
+    return predict(docs, models, keep=docs.columns, prefix=prefix).filter(F.col(f"{prefix}toxic") < cut).select(*docs.columns)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,7 +34,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents, the one with the smallest id."""
     found = shingle_components(docs)
     gone = checkpoint_table(found.filter("component_id <> doc_id").select(F.col("doc_id").alias("_gone")), "near-gone")
-    return docs.join(small_side(gone), docs["doc_id"] == F.col("_gone"), "left_anti")
+    side = small_side(gone)
+    return docs.join(side, docs["doc_id"] == side["_gone"], "left_anti")
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

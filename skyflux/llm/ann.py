@@ -120,7 +120,8 @@ def build_graph(x: np.ndarray, degree: int = DEGREE, beam: int = BEAM, relax: fl
         more = np.full((len(to), width), -1, dtype=np.int64)
         fits = slot < width
         more[np.repeat(np.arange(len(to)), count)[fits], slot[fits]] = p[fits]
-        both = np.concatenate([graph[to], more], 1)
+        both = np.sort(np.concatenate([graph[to], more], 1), axis=1)
+        both[:, 1:][both[:, 1:] == both[:, :-1]] = -1               # an edge that was there already
         room = (both >= 0).sum(1) <= degree
         for rows in np.array_split(np.flatnonzero(~room), max(1, (~room).sum() // _BATCH)):
             if len(rows):

@@ -113,13 +113,14 @@ def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     decided = checkpoint_table(exact_dedup(docs, id_col, text_col, fan_in), "dedup")
     ids = checkpoint_table(decided.groupBy(id_col).agg(F.count("*").alias("_rows"), F.max("kept").alias("_kept"))
                            .filter("_rows > 1 OR NOT _kept").withColumnRenamed(id_col, "_id"), "dedup-ids")
-    once = docs.join(small_side(ids.select("_id")), docs[id_col].eqNullSafe(F.col("_id")), "left_anti")
+    side = small_side(ids.select("_id"))
+    once = docs.join(side, docs[id_col].eqNullSafe(side["_id"]), "left_anti")
     again = ids.filter("_kept").select("_id")
     if again.isEmpty():
         return once
     keep = decided.filter("kept").select(F.col(id_col).alias("_id"), F.col("text_sha256").alias("_sha"))
     sha = F.sha2(F.regexp_replace(text_or_empty(text_col), SPACES, " "), 256)
-    rest = docs.join(again, docs[id_col].eqNullSafe(F.col("_id")), "left_semi").withColumn("_sha", sha)
+    rest = docs.join(again, docs[id_col].eqNullSafe(again["_id"]), "left_semi").withColumn("_sha", sha)
     rest = rest.alias("d").join(keep.alias("k"), F.col(f"d.{id_col}").eqNullSafe(F.col("k._id"))
                                 & (F.col("d._sha") == F.col("k._sha")), "left_semi").dropDuplicates([id_col, "_sha"])
     return once.unionByName(rest.drop("_sha"))

@@ -192,11 +192,12 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], id_
 
 
 def predict(docs: DataFrame, models: list[dict], id_col: str = "doc_id", text_col: str = "text",
-            keep: list[str] | None = None) -> DataFrame:
+            keep: list[str] | None = None, prefix: str = "p_") -> DataFrame:
     """``keep`` columns (the id by default) plus p_<category> (double) of each
-    model in turn. Null and empty texts have no features. Every row is kept."""
+    model in turn; columns with these names are replaced. Null and empty texts
+    have no features. Every row is kept."""
     keep = [id_col] if keep is None else keep
-    names = [f"p_{m['name']}" for m in models]
+    names = [prefix + m["name"] for m in models]
     keep = [c for c in keep if c not in names]
     schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField(n, T.DoubleType()) for n in names])
     every = np.unique(np.concatenate([m["buckets"] for m in models if "buckets" in m] or [np.zeros(0, dtype=np.int64)]))
@@ -248,13 +249,17 @@ def toxic_categories() -> dict[str, Column]:
     return {"toxic_english": toxic & english, "toxic_other": toxic & ~english, "toxic": toxic}
 
 
-def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-             threshold: float | None = None, keep: list[str] | None = None) -> DataFrame:
-    """Train on ``labels`` (id, toxic) and predict all of ``docs`` (id, text,
-    lang): p_toxic_english, p_toxic_other, p_toxic and toxic (p_toxic >= threshold; by
-    default the one with the best out-of-fold F1)."""
-    lang = docs.select(F.col(id_col), "lang")
-    known = labels.select(id_col, "toxic").join(lang, id_col)
+def train_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[list[dict], float]:
+    """The production chain and its threshold (the best out-of-fold F1 of the last category).
+    ``labels``: id and toxic (0 or 1; null is no label); an id labelled twice counts as toxic if any says so."""
+    known = labels.select(id_col, "toxic").join(docs.select(F.col(id_col), "lang"), id_col)
     models = train(docs, known, toxic_categories(), id_col, text_col)
-    cut = models[-1].get("threshold", 0.5) if threshold is None else threshold
-    return predict(docs, models, id_col, text_col, keep).withColumn("toxic", F.col("p_toxic") >= cut)
+    return models, models[-1].get("threshold", 0.5)
+
+
+def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+             threshold: float | None = None) -> DataFrame:
+    """One row per row of ``docs`` (id, text, lang): id, p_toxic_english,
+    p_toxic_other, p_toxic and toxic (p_toxic >= threshold), trained on ``labels``."""
+    models, best = train_toxic(docs, labels, id_col, text_col)
+    return predict(docs, models, id_col, text_col).withColumn("toxic", F.col("p_toxic") >= (best if threshold is None else threshold))

@@ -58,7 +58,8 @@ def temporal_url_filter(captures: DataFrame, entries: DataFrame, url_col: str =
     and each parent domain); the most specific one decides: the page before any
     domain, a longer domain before a shorter. A null URL or time, or one
     without a host, matches nothing and is not blocked. Columns of ``captures``
-    are kept as they are.
+    are kept, those with the new names replaced; repeated rows stay; an empty
+    list or table is no error.
 
     Decisions are made once per distinct (url, day) and joined back, so a page
     fetched a million times a day is evaluated once. Both joins are equi-joins
@@ -84,9 +85,10 @@ def temporal_url_filter(captures: DataFrame, entries: DataFrame, url_col: str =
     best = hit.groupBy("_u", "_d").agg(
         F.count("*").cast("int").alias("matched"),
         F.max_by(F.struct("kind", "value", "valid_from", "action"), "rank").alias("_r"))
+    new = {"matched", "rule_kind", "rule_value", "rule_since", "blocked"}
     out = captures.alias("c").join(best.alias("b"), (F.col(f"c.{url_col}") == F.col("b._u"))
                                    & (F.to_date(F.col(f"c.{time_col}")) == F.col("b._d")), "left")
-    return out.select("c.*", F.coalesce("b.matched", F.lit(0)).alias("matched"),
+    return out.select(*[F.col(f"c.`{c}`") for c in captures.columns if c not in new], F.coalesce("b.matched", F.lit(0)).alias("matched"),
                       F.col("b._r.kind").alias("rule_kind"), F.col("b._r.value").alias("rule_value"),
                       F.col("b._r.valid_from").alias("rule_since"),
                       F.coalesce(F.col("b._r.action") == "block", F.lit(False)).alias("blocked"))
