@@ -13,5 +13,6 @@ def strip_id(c, prefix: str = "GAL") -> Column:
 
 
 def pad_num(c, width: int = 4) -> Column:
-    """Zero-padded file number, e.g. 7 -> '0007'."""
-    return F.lpad(col(c).cast("string"), width, "0")
+    """Zero-padded file number, e.g. 7 -> '0007'; longer numbers are kept whole."""
+    t = col(c).cast("string")
+    return F.when(F.length(t) < width, F.lpad(t, width, "0")).otherwise(t)

@@ -20,6 +20,10 @@ WAVEFORM = "TaylorF2threePointFivePN"
 F_LOWER = 20.0
 MERGER_DELAY_S = 7200
 C_KM_S = 299792.458
+#: Step of the redshift grid.
+GRID_STEP = 1e-4
+# The Planck 2018 parameters (H0, Om0) and the default of the survey.
+PLANCK18 = {"h0": 67.66, "om0": 0.30966}
 
 
 def join_gw_head(gw: DataFrame, head: DataFrame, source: str = "source", key: str = "SNID",
@@ -70,26 +74,31 @@ def match_within_tolerance(targets: DataFrame, candidates: DataFrame, x: str = "
     within ``tol`` (ties -> lowest candidate id); none -> NULL (a failed
     inversion, kept so the caller can report it).
 
-    Candidates with equal values are first reduced to their lowest id and
-    targets to their distinct values (partial aggregations), so copies never
-    multiply pairs; candidates are bucketed by floor(x / tol) and copied to the
-    two neighbouring buckets; the join is an equi-join on the bucket, the exact
-    test and the arg-min follow, and targets rejoin their value's answer."""
-    c = candidates.groupBy(F.col(x).alias("__cx")).agg(F.min(cand_id).alias("__cid"))
-    cb = F.floor(F.col("__cx") / tol).cast("long")
-    c = c.select("__cx", "__cid", F.explode(F.array(cb - 1, cb, cb + 1)).alias("__b"))
-    # targets with equal values share one answer: match distinct values only
-    t = (targets.select(F.col(x).alias("__tx")).distinct()
-         .withColumn("__b", F.floor(F.col("__tx") / tol).cast("long")))
-    pairs = (t.join(c, "__b")
-             .withColumn("__d", F.abs(F.col("__cx") - F.col("__tx")))
-             .filter(F.col("__d") <= tol))
-    best = (pairs.groupBy("__tx")
-            .agg(F.min(F.struct("__d", "__cid", "__cx")).alias("__m")))
-    out = targets.select(F.col(target_id).alias("__tid"), F.col(x).alias("__tx")).join(best, "__tx", "left")
-    return out.select(F.col("__tid").alias(target_id), F.col("__tx").alias(x),
-                      F.col("__m.__cid").alias(cand_id), F.col("__m.__cx").alias(f"{cand_id}_x"),
-                      F.col("__m.__d").alias("abs_diff"))
+    The closest candidate is the last one at or before the target or the first
+    one after it, so no pairs are formed: distinct values of both sides are
+    ordered together in buckets of width ``tol``, the neighbours inside the
+    bucket are filled forward and backward, and the ends of the two
+    neighbouring buckets come from one row per bucket."""
+    bucket = F.floor(F.col("__x") / tol).cast("long")
+    c = candidates.groupBy(F.col(x).alias("__x")).agg(F.min(cand_id).alias("__cid")).filter("__x IS NOT NULL")
+    c = c.withColumn("__b", bucket).withColumn("__c", F.struct(F.col("__x").alias("v"), F.col("__cid").alias("id"))).drop("__cid")
+    t = targets.select(F.col(x).alias("__x")).distinct().filter("__x IS NOT NULL").withColumn("__b", bucket)
+    ends = c.groupBy("__b").agg(F.min("__c").alias("__lo"), F.max("__c").alias("__hi"))
+    both = (t.withColumn("__c", F.lit(None).cast(c.schema["__c"].dataType)).withColumn("__t", F.lit(1))
+            .unionByName(c.withColumn("__t", F.lit(0))))
+    w = Window.partitionBy("__b").orderBy("__x", "__t")             # a candidate before a target of the same value
+    near = (both.withColumn("__p", F.last("__c", True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+            .withColumn("__n", F.first("__c", True).over(w.rowsBetween(0, Window.unboundedFollowing)))
+            .filter("__t = 1").select("__x", "__b", "__p", "__n"))
+    near = near.join(ends.select((F.col("__b") + 1).alias("__b"), F.col("__hi").alias("__q")), "__b", "left") \
+        .join(ends.select((F.col("__b") - 1).alias("__b"), F.col("__lo").alias("__m")), "__b", "left")
+    far = lambda k: F.when(F.abs(F.col(k)["v"] - F.col("__x")) <= tol, F.struct(
+        F.abs(F.col(k)["v"] - F.col("__x")).alias("d"), F.col(k)["id"].alias("id"), F.col(k)["v"].alias("v")))
+    best = near.select("__x", F.least(*[far(k) for k in ("__p", "__n", "__q", "__m")]).alias("__best"))
+    out = targets.select(F.col(target_id).alias("__tid"), F.col(x).alias("__x")).join(best, "__x", "left")
+    return out.select(F.col("__tid").alias(target_id), F.col("__x").alias(x),
+                      F.col("__best.id").alias(cand_id), F.col("__best.v").alias(f"{cand_id}_x"),
+                      F.col("__best.d").alias("abs_diff"))
 
 
 def detector_frame(df: DataFrame, m1: str = "mass1_source", m2: str = "mass2_source",
@@ -118,8 +127,8 @@ def injection_rows(df: DataFrame, seed: int = 0, snid: str = "snid", ra: str = "
     """FN12: rows of the injection table. Deterministic part: radians, merger
     time = first detection (GPS) - 7200 s (or gps_start + i * gps_step when the
     column is missing), source 'GAL<snid>', symmetric mass ratio, constants.
-    Random parts (phases; isotropic inclination when costheta is all NaN/NULL)
-    come from a hash of (id, seed), so they repeat on retries."""
+    Random parts (phases; isotropic inclination, only when the whole costheta
+    column is NaN or NULL) come from a hash of (id, seed), so they repeat on retries."""
     from skyflux.operators.classification import uniform
     two_pi = 2 * math.pi
     if first_detection and first_detection in df.columns:
@@ -127,7 +136,8 @@ def injection_rows(df: DataFrame, seed: int = 0, snid: str = "snid", ra: str = "
     else:
         t = F.lit(gps_start) + F.col(id_col) * gps_step
     inc = F.acos(F.col(costheta))
-    rnd_inc = F.acos(F.lit(2.0) * uniform(seed, F.col(id_col), F.lit(0)) - 1.0)
+    if df.agg(F.coalesce(F.bool_and(F.col(costheta).isNull() | F.isnan(costheta)), F.lit(False))).first()[0]:
+        inc = F.acos(F.lit(2.0) * uniform(seed, F.col(id_col), F.lit(0)) - 1.0)
     return df.select(
         F.col(id_col),
         F.concat(F.lit("GAL"), F.col(snid).cast("string")).alias("source"),
@@ -137,7 +147,7 @@ def injection_rows(df: DataFrame, seed: int = 0, snid: str = "snid", ra: str = "
         F.col("distance"),
         (F.col(ra) / 180.0 * math.pi).alias("longitude"),
         (F.col(dec) / 180.0 * math.pi).alias("latitude"),
-        F.coalesce(F.when(~F.isnan(inc), inc), rnd_inc).alias("inclination"),
+        inc.alias("inclination"),
         t.alias("geocent_end_time"),
         (uniform(seed, F.col(id_col), F.lit(1)) * two_pi).alias("coa_phase"),
         (uniform(seed, F.col(id_col), F.lit(2)) * two_pi).alias("polarization"),
@@ -162,29 +172,52 @@ def distance_grid(spark: SparkSession, h0: float = 70.0, om0: float = 0.3, z_max
     return g.select("i", "z", ((1 + F.col("z")) * F.col("__dc")).alias("d_l"))
 
 
-def luminosity_distance(df: DataFrame, z: str, grid: DataFrame, name: str = "distance") -> DataFrame:
+def _grid_to(spark: SparkSession, z_max: float, **cosmology) -> DataFrame:
+    """A distance grid in steps of GRID_STEP that reaches past ``z_max``."""
+    n = int(math.ceil(max(z_max, 0.0) / GRID_STEP)) + 2
+    return distance_grid(spark, z_max=n * GRID_STEP, n=n, **cosmology)
+
+
+def luminosity_distance(df: DataFrame, z: str, grid: DataFrame | None = None, name: str = "distance",
+                        **cosmology) -> DataFrame:
     """FN13: distance of each z by linear interpolation on a uniform grid; the
-    grid index is computed, so the lookup is an equi-join (an exact as-of)."""
-    n = grid.agg(F.max("i")).first()[0]
+    grid index is computed, so the lookup is an equi-join (an exact as-of).
+    Without ``grid`` one is made that reaches the largest z of the data. A z
+    that is null, negative or past the end of a given grid has a null distance."""
+    if grid is None:
+        top = df.agg(F.max(F.when(~F.isnan(z), F.col(z)))).first()[0]
+        grid = _grid_to(df.sparkSession, top or 0.0, **cosmology)
+    n, z_end = grid.agg(F.max("i"), F.max("z")).first()
     dz = grid.filter(F.col("i") == 1).first()["z"]
     g0 = grid.select(F.col("i").alias("__i"), F.col("z").alias("__z0"), F.col("d_l").alias("__d0"))
     g1 = grid.select((F.col("i") - 1).alias("__i"), F.col("d_l").alias("__d1"))
     seg = g0.join(g1, "__i")
-    x = df.withColumn("__i", F.least(F.floor(F.col(z) / dz).cast("long"), F.lit(n - 1)))
+    i = F.floor(F.col(z) / dz).cast("long")
+    x = df.withColumn("__i", F.when((i >= n) & (F.col(z) <= z_end), F.lit(n - 1)).otherwise(i))
     out = x.join(seg, "__i", "left")
     frac = (F.col(z) - F.col("__z0")) / dz
     return out.withColumn(name, F.col("__d0") + frac * (F.col("__d1") - F.col("__d0"))) \
         .drop("__i", "__z0", "__d0", "__d1")
 
 
-def redshift_from_distance(df: DataFrame, d: str, grid: DataFrame, name: str = "z") -> DataFrame:
+def redshift_from_distance(df: DataFrame, d: str, grid: DataFrame | None = None, name: str = "z",
+                           **cosmology) -> DataFrame:
     """FN14: inverse of FN13 (distance is monotonic in z): each distance finds
-    its grid segment through an interval join, then interpolates."""
+    its grid segment through an interval join, then interpolates. Without
+    ``grid`` one is made that reaches the largest distance of the data. Every
+    row is kept; a distance outside a given grid has a null z."""
+    if grid is None:
+        top = df.agg(F.max(F.when(~F.isnan(d), F.col(d)))).first()[0] or 0.0
+        z_max = 1.0
+        grid = _grid_to(df.sparkSession, z_max, **cosmology)
+        while grid.agg(F.max("d_l")).first()[0] <= top:
+            z_max *= 2
+            grid = _grid_to(df.sparkSession, z_max, **cosmology)
     g0 = grid.select(F.col("i"), F.col("z").alias("__z0"), F.col("d_l").alias("__d0"))
     g1 = grid.select((F.col("i") - 1).alias("i"), F.col("z").alias("__z1"), F.col("d_l").alias("__d1"))
     seg = g0.join(g1, "i").drop("i")
     width = seg.agg(F.max(F.col("__d1") - F.col("__d0"))).first()[0]
-    hit = interval_join(df, seg, d, "__d0", "__d1", bucket=float(width), integral=False)
+    hit = interval_join(df, seg, d, "__d0", "__d1", bucket=float(width), integral=False, how="left")
     frac = (F.col(d) - F.col("__d0")) / (F.col("__d1") - F.col("__d0"))
     return hit.withColumn(name, F.col("__z0") + frac * (F.col("__z1") - F.col("__z0"))) \
         .drop("__z0", "__d0", "__z1", "__d1")
@@ -196,15 +229,16 @@ def gps_of_mjd(df: DataFrame, mjd: str, name: str = "first_detection") -> DataFr
 
 
 def skymap_manifest(maps: DataFrame, coinc: DataFrame, mjd: DataFrame, file_col: str = "path",
-                    sim: str = "simulation_id", key: str = "SNID", mjd_col: str = "MJD") -> DataFrame:
+                    sim: str = "simulation_id", key: str = "SNID", mjd_col: str = "MJD",
+                    decimals: int = 4) -> DataFrame:
     """SRC17: sky-map file (simulation id in the name) -> SNID -> MJD -> target
-    name ``SNID_<snid>_MJD_<mjd>.fits``. Each map must match exactly one
-    SNID and every map must be matched; violations raise (a small check job)."""
+    name ``SNID_<snid>_MJD_<mjd>.fits``. Each map must match exactly one SNID
+    with an MJD and every map must be matched; violations raise (a small check job)."""
     m = maps.withColumn(sim, F.regexp_extract(F.col(file_col), r"(\d+)\.fits$", 1).cast("long"))
     j = m.join(coinc.select(sim, key), sim, "left").join(mjd.select(key, mjd_col), key, "left")
-    bad = (j.groupBy(file_col).agg(F.count(key).alias("n"))
-           .filter(F.col("n") != 1).limit(1).count())
+    bad = (j.groupBy(file_col).agg(F.count(key).alias("n"), F.count(mjd_col).alias("t"), F.count(F.lit(1)).alias("rows"))
+           .filter("n <> 1 OR t <> 1 OR rows <> 1").limit(1).count())
     if bad:
-        raise ValueError("every sky map must match exactly one SNID")
+        raise ValueError("every sky map must match exactly one SNID that has an MJD")
     return j.select(file_col, sim, key, mjd_col,
-                    F.format_string("SNID_%d_MJD_%.4f.fits", F.col(key), F.col(mjd_col)).alias("target"))
+                    F.format_string(f"SNID_%d_MJD_%.{decimals}f.fits", F.col(key), F.col(mjd_col)).alias("target"))

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from skyflux.functions.ids import pad_num
 from skyflux.functions.timefn import mjd_from_timestamp
 from skyflux.schemas import SEPARATOR_MJD
 
@@ -58,7 +59,7 @@ def truth_ev(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def file_num_of(snid) -> "F.Column":
     """Pointer files hold at most OBJECTS_PER_FILE objects (consecutive ids)."""
-    return F.lpad((F.floor(F.col(snid) / OBJECTS_PER_FILE) + 1).cast("string"), 4, "0")
+    return pad_num(F.floor(F.col(snid) / OBJECTS_PER_FILE) + 1)
 
 
 def phot_files(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

@@ -309,7 +309,7 @@ def q_head(spark, d):
 
 @query("strip_pad_ids", """
 SELECT o_orderkey AS simulation_id, CAST(o_custkey AS BIGINT) AS SNID,
-       lpad(CAST(o_custkey % 40 + 1 AS VARCHAR), 4, '0') AS file_num
+       printf('%04d', CAST(o_custkey % 40 + 1 AS BIGINT)) AS file_num
 FROM orders""")
 def q_strip_pad_ids(spark, d):
     """FN17: 'GAL<id>' -> id, and zero-padded file numbers."""

@@ -270,6 +270,32 @@ def q_redshift_from_distance(spark, d):
                                      "distance", grid)
 
 
+_FAR_GRID_SQL = _GRID_SQL.replace("range(0, 30001)", "range(0, 100001)")
+
+
+@query("luminosity_distance_far", with_(TRUTH_EV, _FAR_GRID_SQL) + """
+SELECT t.SNID, t.ZCMB * 8 AS z,
+       round(s.d0 + ((t.ZCMB * 8 - s.z0) / CAST(0.0001 AS DOUBLE)) * (s.d1 - s.d0), 3) AS distance
+FROM truth_ev t LEFT JOIN seg s ON s.i = CAST(floor(t.ZCMB * 8 / CAST(0.0001 AS DOUBLE)) AS BIGINT)""", ["z", "distance"])
+def q_luminosity_distance_far(spark, d):
+    """FN13 up to z = 8 on a grid that reaches the largest z of the data."""
+    t = B.truth_ev(spark, d).select("SNID", (F.col("ZCMB") * 8).alias("z"))
+    return gw.luminosity_distance(t, "z").withColumn("distance", F.round("distance", 3))
+
+
+@query("redshift_from_distance_far", with_(_FAR_GRID_SQL) + """
+, sim AS (SELECT o_orderkey AS simulation_id, 40.0 + (o_custkey % 400) * 200.0 AS distance FROM orders)
+SELECT sim.simulation_id, sim.distance,
+       s.z0 + ((sim.distance - s.d0) / (s.d1 - s.d0)) * (s.z1 - s.z0) AS z
+FROM sim LEFT JOIN seg s ON sim.distance >= s.d0 AND sim.distance < s.d1""".replace("\n, sim AS", ",\nsim AS", 1),
+       ["distance", "z"])
+def q_redshift_from_distance_far(spark, d):
+    """FN14 up to 80 Gpc; every row is kept."""
+    sim = B.table(spark, d, "orders").select(F.col("o_orderkey").alias("simulation_id"),
+                                             (F.lit(40.0) + (F.col("o_custkey") % 400) * 200.0).alias("distance"))
+    return gw.redshift_from_distance(sim, "distance")
+
+
 @query("skymap_manifest", with_(PHOT_EV) + """
 , first AS (SELECT SNID, min(MJD) AS MJD FROM phot_ev GROUP BY SNID)
 SELECT 'skymaps/' || CAST(o.o_orderkey AS VARCHAR) || '.fits' AS path, o.o_orderkey AS simulation_id,
@@ -281,5 +307,4 @@ def q_skymap_manifest(spark, d):
     sim = B.sim_inspiral(spark, d).select("simulation_id", "source")
     coinc = gw.join_gw_head(sim, first.select("SNID"))
     maps = coinc.select(F.concat(F.lit("skymaps/"), F.col("simulation_id").cast("string"), F.lit(".fits")).alias("path"))
-    out = gw.skymap_manifest(maps, coinc, first)
-    return out.withColumn("target", F.format_string("SNID_%d_MJD_%.6f.fits", F.col("SNID"), F.col("MJD")))
+    return gw.skymap_manifest(maps, coinc, first, decimals=6)

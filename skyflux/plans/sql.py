@@ -28,7 +28,7 @@ FORCED_EV = """forced_ev AS (
 # row layout of the pointer files: file = SNID div 100 + 1, ordered (SNID, MJD, obs_id),
 # one gap (separator) after each object
 PHOT_RAW = """phot_pos AS (
-  SELECT *, lpad(CAST(SNID // 100 + 1 AS VARCHAR), 4, '0') AS file_num,
+  SELECT *, printf('%04d', CAST(SNID // 100 + 1 AS BIGINT)) AS file_num,
          row_number() OVER (PARTITION BY SNID // 100 ORDER BY SNID, MJD, obs_id) - 1
            + dense_rank() OVER (PARTITION BY SNID // 100 ORDER BY SNID) - 1 AS row_idx
   FROM phot_ev),
