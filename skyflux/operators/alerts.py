@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skyflux.functions.photometry import has_flag
+from skyflux.functions.photometry import has_flag, snr
 from skyflux.schemas import PHOTFLAG_DETECT
 
 # Fixed value: alert file names in an archive.
@@ -16,98 +16,49 @@ ALERT_NAME_PATTERN = r"^alert_mjd([0-9]+(?:\.[0-9]+)?)_obj([0-9]+)_src([0-9]+)\.
 
 
 def alert_history(sources: DataFrame, obj: str = "diaObjectId", mjd: str = "midPointTai",
-                  sid: str = "diaSourceId", name: str = "prvDiaSources",
-                  max_rows: int | None = None) -> DataFrame:
+                  sid: str = "diaSourceId", name: str = "prvDiaSources") -> DataFrame:
     """WIN8: for every source, the earlier sources of its object (by mjd, then
-    id) as an array of structs: ``build_alerts`` without forced photometry, so
-    objects above ``max_rows`` points are split into time slices."""
+    id) as an array of structs: ``build_alerts`` without forced photometry."""
     none = sources.select(F.col(sid).alias("__fid"), obj, mjd).limit(0)
-    a = build_alerts(sources, none, None, obj=obj, mjd=mjd, sid=sid, fid="__fid", max_rows=max_rows)
+    a = build_alerts(sources, none, None, obj=obj, mjd=mjd, sid=sid, fid="__fid")
     return a.select("diaSource.*", F.col("prvDiaSources").alias(name))
 
 
 def build_alerts(sources: DataFrame, forced: DataFrame, objects: DataFrame | None = None,
                  lookback: float = 30.0, min_age: float = 1.0, obj: str = "diaObjectId",
                  mjd: str = "midPointTai", sid: str = "diaSourceId",
-                 fid: str = "diaForcedSourceId", alert_id: str | None = None,
-                 max_rows: int | None = None) -> DataFrame:
+                 fid: str = "diaForcedSourceId", alert_id: str | None = None) -> DataFrame:
     """JOIN17: one alert per detection: the source, its object, all earlier
     sources, and, when the object's first detection is at least ``min_age`` days
     before this source, the forced photometry from ``lookback`` days before the
     first detection up to this source's time (inclusive; NULL otherwise).
 
-    Sources and forced points are unioned and ordered per object by time
-    (forced first on ties); a window gives, at each source, the earlier
-    sources and the forced points so far (a running prefix, since the lower
-    bound is fixed per object). Objects with more than ``max_rows`` points are
-    cut into time slices at fixed quantiles (``ordered._slice``); each slice
-    runs its own window and prepends the sources and in-range forced points of
-    its earlier slices, taken from a table with one row per (object, slice).
-    So a hot object's (inherently quadratic) output is produced by many tasks."""
-    from skyflux.operators.ordered import MAX_ROWS, _slice, group_max
+    First and last detection of each object come from one aggregation; forced
+    points that no alert can hold (outside [first - lookback, last], or of an
+    object without an eligible source) are dropped by it before anything is
+    collected. Each object's sources and remaining forced points are then
+    collected once, in time order: as much as its last alert holds. Every
+    source takes its part of them, so the (inherently quadratic) output of a
+    long-lived object is spread over its sources, whose side of the join AQE can
+    split."""
     aid = alert_id or sid
-    s_struct = F.struct(*[F.col(c) for c in sources.columns])
-    f_struct = F.struct(*[F.col(c) for c in forced.columns])
-    s_type = sources.select(s_struct).schema[0].dataType
-    f_type = forced.select(f_struct).schema[0].dataType
-    u = (sources.select(F.col(obj).alias("__o"), F.col(mjd).alias("__t"), F.lit(1).alias("__kind"),
-                        F.col(sid).cast("long").alias("__id"), F.col(aid).alias("__aid"),
-                        s_struct.alias("__s"), F.lit(None).cast(f_type).alias("__f"))
-         .unionByName(forced.select(F.col(obj).alias("__o"), F.col(mjd).alias("__t"), F.lit(0).alias("__kind"),
-                                    F.col(fid).cast("long").alias("__id"),
-                                    F.lit(None).cast(sources.schema[aid].dataType).alias("__aid"),
-                                    F.lit(None).cast(s_type).alias("__s"), f_struct.alias("__f"))))
-    limit = max_rows or MAX_ROWS
-    top = group_max(u, ["__o"])
-    if top <= limit:
-        return _alerts_one_window(u, objects, lookback, min_age, obj, mjd)
-    u, _ = _slice(u, ["__o"], "__t", False, limit, top=top, hot_flag="__hot")
-    w = Window.partitionBy("__o", "__k").orderBy("__t", "__kind", "__id")
-    x = u.select("*",
-                 F.collect_list("__s").over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("__prv"),
-                 F.collect_list("__f").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-                 .alias("__fs"))
-    # per (object, slice): first detection, and for sliced objects the slice's
-    # own sources / forced points in order (to be prepended to later slices)
-    ordered_s = F.struct("__t", "__kind", "__id", "__s")
-    ordered_f = F.struct("__t", "__kind", "__id", "__f")
-    per = u.groupBy("__o", "__k").agg(
-        F.min(F.when(F.col("__kind") == 1, F.col("__t"))).alias("__sfirst"),
-        F.array_sort(F.collect_list(F.when(F.col("__hot") & (F.col("__kind") == 1), ordered_s))).alias("__ss"),
-        F.array_sort(F.collect_list(F.when(F.col("__hot") & (F.col("__kind") == 0), ordered_f))).alias("__sf"))
-    wo = Window.partitionBy("__o")
-    before = Window.partitionBy("__o").orderBy("__k").rowsBetween(Window.unboundedPreceding, -1)
-    per = per.withColumn("__first", F.min("__sfirst").over(wo))
-    lo = F.col("__first") - lookback
-    per = per.withColumn("__sf", F.filter("__sf", lambda r: r["__t"] >= lo))
-    per = per.select("__o", "__k", "__first",
-                     F.flatten(F.collect_list(F.transform("__ss", lambda r: r["__s"])).over(before)).alias("__pre_s"),
-                     F.flatten(F.collect_list(F.transform("__sf", lambda r: r["__f"])).over(before)).alias("__pre_f"))
-    a = x.filter(F.col("__kind") == 1).join(per, ["__o", "__k"])
-    prv = F.concat(F.coalesce("__pre_s", F.array().cast(f"array<{s_type.simpleString()}>")), F.col("__prv"))
-    fs = F.concat(F.coalesce("__pre_f", F.array().cast(f"array<{f_type.simpleString()}>")), F.col("__fs"))
-    elig = F.col("__t") - F.col("__first") >= min_age
-    forced_arr = F.when(elig, F.filter(fs, lambda r: r[mjd] >= lo))
-    res = a.select(F.col("__aid").alias("alertId"), F.col("__s").alias("diaSource"), prv.alias("prvDiaSources"),
-                   forced_arr.alias("prvDiaForcedSources"), "__o")
-    if objects is not None:
-        res = res.join(objects.select(F.col(obj).alias("__o"), F.struct(*objects.columns).alias("diaObject")),
-                       "__o", "left")
-    return res.drop("__o")
-
-
-def _alerts_one_window(u: DataFrame, objects: DataFrame | None, lookback: float, min_age: float,
-                       obj: str, mjd: str) -> DataFrame:
-    """``build_alerts`` when no object needs slicing: one window per object."""
-    w = Window.partitionBy("__o").orderBy("__t", "__kind", "__id")
-    x = u.select("*",
-                 F.collect_list("__s").over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("prvDiaSources"),
-                 F.collect_list("__f").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("__fs"),
-                 F.min(F.when(F.col("__kind") == 1, F.col("__t"))).over(Window.partitionBy("__o")).alias("__first"))
-    a = x.filter(F.col("__kind") == 1)
-    lo = F.col("__first") - lookback
-    forced_arr = F.when(F.col("__t") - F.col("__first") >= min_age, F.filter("__fs", lambda r: r[mjd] >= lo))
-    res = a.select(F.col("__aid").alias("alertId"), F.col("__s").alias("diaSource"), "prvDiaSources",
+    s_struct, f_struct = F.struct(*[F.col(c) for c in sources.columns]), F.struct(*[F.col(c) for c in forced.columns])
+    s = sources.select(F.col(obj).alias("__o"), F.col(mjd).alias("__t"), F.col(sid).cast("long").alias("__id"),
+                       F.col(aid).alias("__aid"), s_struct.alias("__s"))
+    f = forced.select(F.col(obj).alias("__o"), F.col(mjd).alias("__t"), F.col(fid).cast("long").alias("__id"),
+                      f_struct.alias("__f"))
+    span = s.groupBy("__o").agg(F.min("__t").alias("__first"), F.max("__t").alias("__last"))
+    earlier = s.groupBy("__o").agg(
+        F.min("__t").alias("__first"), F.array_sort(F.collect_list(F.struct("__t", "__id", "__s"))).alias("__ss"))
+    points = (f.join(span.filter(F.col("__last") - F.col("__first") >= min_age), "__o")
+              .filter((F.col("__t") >= F.col("__first") - lookback) & (F.col("__t") <= F.col("__last")))
+              .groupBy("__o").agg(F.array_sort(F.collect_list(F.struct("__t", "__id", "__f"))).alias("__fs")))
+    a = s.join(earlier, "__o").join(points, "__o", "left")
+    before = F.filter("__ss", lambda r: (r["__t"] < F.col("__t")) | ((r["__t"] == F.col("__t")) & (r["__id"] < F.col("__id"))))
+    upto = F.filter(F.coalesce("__fs", F.array().cast(points.schema["__fs"].dataType)), lambda r: r["__t"] <= F.col("__t"))
+    forced_arr = F.when(F.col("__t") - F.col("__first") >= min_age, F.transform(upto, lambda r: r["__f"]))
+    res = a.select(F.col("__aid").alias("alertId"), F.col("__s").alias("diaSource"),
+                   F.transform(before, lambda r: r["__s"]).alias("prvDiaSources"),
                    forced_arr.alias("prvDiaForcedSources"), "__o")
     if objects is not None:
         res = res.join(objects.select(F.col(obj).alias("__o"), F.struct(*objects.columns).alias("diaObject")),
@@ -121,7 +72,7 @@ def nightly_stats(alerts: DataFrame, mjd: str = "midPointTai", payload: str = "p
     return (alerts.withColumn("night", F.floor(mjd).cast("int"))
             .rollup("night")
             .agg(F.count(F.lit(1)).alias("n_alerts"),
-                 F.sum(F.length(payload).cast("long")).alias("n_bytes")))
+                 F.sum(F.octet_length(payload).cast("long")).alias("n_bytes")))
 
 
 def exposure_batches(alerts: DataFrame, exposure: str = "exposure", aid: str = "alertId",
@@ -179,7 +130,7 @@ def hot_transients(phot: DataFrame, mjd_now: float, days: float, key: str = "SNI
     ``max_points`` splits a long curve into consecutive bounded chunks
     (column ``chunk``), as in ``nest_lightcurves``."""
     from skyflux.operators.lightcurves import nest_lightcurves
-    det = (F.col(flux) / F.col(err) >= min_snr) if min_snr is not None else has_flag(flag, PHOTFLAG_DETECT)
+    det = (snr(flux, err) >= min_snr) if min_snr is not None else has_flag(flag, PHOTFLAG_DETECT)
     upto = phot.filter(F.col(mjd) <= mjd_now)
     recent = upto.filter(det & (F.col(mjd) >= mjd_now - days)).select(key).distinct()
     pts = upto.join(recent, key, "left_semi").select(

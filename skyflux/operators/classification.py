@@ -42,8 +42,8 @@ def _class_array(pairs: list[tuple[int, Column]]) -> Column:
 class FixedClassifier(Classifier):
     """UDF2: always the same class with probability 1."""
 
-    def __init__(self, class_id: int = 111, broker_name="FakeBroker", broker_version="v1.0",
-                 classifier_name="NugentClassifier", classifier_params="100%"):
+    def __init__(self, class_id: int = 111, broker_name="ExampleBroker", broker_version="v1.0",
+                 classifier_name="FixedClass", classifier_params="100%"):
         super().__init__(broker_name, broker_version, classifier_name, classifier_params)
         self.class_id = class_id
 
@@ -52,9 +52,9 @@ class FixedClassifier(Classifier):
 
 
 def uniform(seed: int, *cols) -> Column:
-    """Repeatable U[0,1) from a 64-bit hash of the columns and the seed."""
-    h = F.xxhash64(*cols, F.lit(seed))
-    return F.pmod(h, F.lit(1 << 53)).cast("double") / float(1 << 53)
+    """Repeatable U[0,1): the first 48 bits of the MD5 of the columns and the seed, joined by '|'."""
+    h = F.md5(F.concat_ws("|", *[F.coalesce(c.cast("string"), F.lit("")) for c in cols], F.lit(str(seed))))
+    return F.conv(F.substring(h, 1, 12), 16, 10).cast("double") / F.lit(float(1 << 48))
 
 
 class RandomSplitClassifier(Classifier):
@@ -67,8 +67,8 @@ class RandomSplitClassifier(Classifier):
     REST = 131
 
     def __init__(self, seed: int = 0, types: list[int] | None = None, rest: int | None = None,
-                 id_col: str = "alertId", broker_name="FakeBroker", broker_version="v1.0",
-                 classifier_name="RandomSNType", classifier_params="Perfect"):
+                 id_col: str = "alertId", broker_name="ExampleBroker", broker_version="v1.0",
+                 classifier_name="RandomSplit", classifier_params="stick-breaking"):
         super().__init__(broker_name, broker_version, classifier_name, classifier_params)
         self.seed, self.id_col = seed, id_col
         self.types = types or self.TYPES

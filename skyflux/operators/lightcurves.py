@@ -238,10 +238,10 @@ def lightcurve(curves: DataFrame, head: DataFrame, snid: int, key: str = "SNID")
 
 # ------------------------------------------------------------- ORD3 / ORD4
 def sample_objects(df: DataFrame, key: str = "SNID", seed: int = 0, k: int = 1) -> DataFrame:
-    """ORD3: a repeatable random pick of ``k`` objects: order by a 64-bit hash of
-    (key, seed) and keep the first k (a top-k: each task keeps k candidates)."""
+    """ORD3: a repeatable random pick of ``k`` objects: order by the MD5 of
+    "key|seed" and keep the first k (a top-k: each task keeps k candidates)."""
     return (df.select(key).distinct()
-            .withColumn("__h", F.xxhash64(F.col(key), F.lit(seed)))
+            .withColumn("__h", F.md5(F.concat_ws("|", F.col(key).cast("string"), F.lit(str(seed)))))
             .orderBy("__h", key).limit(k).drop("__h"))
 
 

@@ -86,14 +86,16 @@ def rollup_probabilities(messages: DataFrame, keys: list[str], arr: str = "class
 
 def residual_fill(messages: DataFrame, arr: str = "classifications",
                   residual_id: int = RESIDUAL_ID, eps: float = 1e-6) -> DataFrame:
-    """TAX4: append (Residual, 1 - sum p) to messages whose probabilities do not
-    sum to 1 (within ``eps``). A per-row array expression, no shuffle."""
+    """TAX4: append (Residual, 1 - sum p) to messages whose probabilities sum to
+    less than 1 (by more than ``eps``). A sum above 1 leaves no remainder: such
+    a message is kept as it is, and ``probability_sum_check`` reports it. A
+    per-row array expression, no shuffle."""
     et = messages.schema[arr].dataType.elementType
     ptype = et["probability"].dataType
     total = F.aggregate(arr, F.lit(0.0).cast("double"), lambda acc, x: acc + x["probability"].cast("double"))
     extra = F.array(F.struct(F.lit(residual_id).cast(et["classId"].dataType).alias("classId"),
                              (F.lit(1.0) - total).cast(ptype).alias("probability")))
-    return messages.withColumn(arr, F.when(F.abs(total - 1.0) > eps, F.concat(F.col(arr), extra))
+    return messages.withColumn(arr, F.when(1.0 - total > eps, F.concat(F.col(arr), extra))
                                .otherwise(F.col(arr)))
 
 

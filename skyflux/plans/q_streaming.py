@@ -6,9 +6,11 @@ returns the sink's contents as a DataFrame."""
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skyflux.operators import classification as cl
 from skyflux.plans import bindings as B
+from skyflux.plans.q_classification import MESSAGE_ROUND, message_view, messages_sql
 from skyflux.plans.registry import query
 from skyflux.plans.sql import ALERTS_EV, PHOT_EV, with_
 from skyflux.session import scratch_path
@@ -54,13 +56,16 @@ def _events_stream(spark, d):
 @query("stream_nightly_counts", """
 SELECT strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') AS night_start, count(*) AS n_alerts
 FROM events WHERE (CAST(json_extract_string(props, '$.k') AS INTEGER) & 32) <> 0
-GROUP BY date_trunc('day', ts)""")
+GROUP BY date_trunc('day', ts)
+HAVING date_trunc('day', ts) + INTERVAL 2 DAY <= (
+  SELECT max(ts) FROM events WHERE (CAST(json_extract_string(props, '$.k') AS INTEGER) & 32) <> 0)""")
 def q_stream_nightly_counts(spark, d):
-    """STR9: detections per night on a stream (watermark 1 day, complete output)."""
+    """STR9: detections per night on a stream (watermark 1 day, append output:
+    the nights that are final when the stream ends)."""
     s = _events_stream(spark, d)
     s = (s.filter(F.get_json_object("props", "$.k").cast("int").bitwiseAND(32) != 0)
          .withColumn("ts", F.col("ts").cast("timestamp")))
-    out = _run(sops.nightly_counts_stream(s, "ts"), "nightly", mode="complete")
+    out = _run(sops.nightly_counts_stream(s, "ts"), "nightly")
     return out.select(F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("night_start"), "n_alerts")
 
 
@@ -71,8 +76,8 @@ def q_stream_dedupe(spark, d):
     path = scratch_path(spark, "dedupe-in")
     ev.write.mode("overwrite").parquet(f"{path}/a")
     ev.filter(F.col("event_type") == "click").write.mode("overwrite").parquet(f"{path}/b")
-    s = sio.read_alert_stream(spark, fmt="parquet", path=f"{path}/*", schema=ev.schema)
-    out = _run(sops.dedupe_stream(s, "event_id", "ts"), "dedupe")
+    s = sio.read_alert_stream(spark, fmt="parquet", path=f"{path}/*", schema=ev.schema, max_per_trigger=1)
+    out = _run(sops.dedupe_stream(s, "event_id", "ts", delay="60 days"), "dedupe")
     return out.select("event_id", "user_id", "event_type")
 
 
@@ -94,20 +99,18 @@ def q_stream_ingest_alert_ids(spark, d):
     return spark.read.parquet(sink)
 
 
-@query("stream_classify")
+@query("stream_classify", with_(PHOT_EV, ALERTS_EV) + messages_sql(1), MESSAGE_ROUND)
 def q_stream_classify(spark, d):
-    """STR2 + SRC15: two classifiers over the alert stream, published to a
-    sink (file sink here, Kafka topic on a cluster); rows-only check."""
+    """STR2 + SRC15: two classifiers over the alert stream, published as
+    serialised messages (file sink here, Kafka topic on a cluster) and read back."""
     recs = _alert_records(spark, d).withColumn("diaSourceId", F.col("diaSource.diaSourceId"))
     path = _stage(recs, "cls-in")
     s = sio.read_alert_stream(spark, fmt="parquet", path=path, schema=recs.schema)
     m = sops.classify_stream(s, [cl.FixedClassifier(), cl.RandomSplitClassifier(seed=1)])
     sink, ckpt = scratch_path(spark, "cls-out"), scratch_path(spark, "cls-ckpt")
     sio.run_bounded(sio.write_message_stream(m, ckpt, fmt="parquet", path=sink))     # SRC15
-    out = spark.read.parquet(sink)
-    return out.select("alertId", "classifierName", F.size("classifications").alias("nClasses"),
-                      F.aggregate("classifications", F.lit(0.0).cast("double"),
-                                  lambda a, x: a + x["probability"].cast("double")).alias("probabilitySum"))
+    schema = T.StructType([f for f in m.schema.fields if f.name in ("alertId", "classifierName", "classifications")])
+    return message_view(sio.decode_payload(spark.read.parquet(sink), schema).select("payload.*"))
 
 
 @query("stream_detections", with_(PHOT_EV) + """
@@ -117,13 +120,20 @@ t AS (SELECT det.SNID, min(det.MJD) AS trigger_mjd, min(f.first_mjd) AS first_mj
       FROM det JOIN f ON det.SNID = f.SNID WHERE det.MJD >= f.first_mjd + 0.021 GROUP BY det.SNID)
 SELECT t.SNID, t.first_mjd, t.trigger_mjd,
        (SELECT count(*) FROM det WHERE det.SNID = t.SNID AND det.MJD <= t.trigger_mjd) AS n_det
-FROM t""".replace("\n, det AS", ",\ndet AS", 1), ["first_mjd", "trigger_mjd"])
+FROM t WHERE t.trigger_mjd <= (SELECT max(MJD) FROM det) - 6""".replace("\n, det AS", ",\ndet AS", 1), ["first_mjd", "trigger_mjd"])
 def q_stream_detections(spark, d):
-    """STR11: stateful per-object trigger on a stream of photometry."""
+    """STR11: stateful per-object trigger on a stream of photometry that comes
+    in three micro-batches, up to five days out of order; triggers that are
+    final when the stream ends."""
     p = B.phot_ev(spark, d)
-    path = _stage(p, "det-in")
-    s = sio.read_alert_stream(spark, fmt="parquet", path=path, schema=p.schema)
-    out = _run(sops.detections_stream(s), "det")
+    lo, hi = p.agg(F.min("MJD"), F.max("MJD")).first()
+    shifted = F.col("MJD") + F.pmod(F.xxhash64("obs_id"), F.lit(500)) / 100.0     # arrival time
+    third = F.least(F.floor((shifted - lo) / F.lit((hi - lo) / 3 + 1e-6)), F.lit(2))
+    path = scratch_path(spark, "det-in")
+    for i in range(3):                                                             # one file, one micro-batch each
+        p.filter(third == i).coalesce(1).write.parquet(f"{path}/{i}")
+    s = sio.read_alert_stream(spark, fmt="parquet", path=f"{path}/*", schema=p.schema, max_per_trigger=1)
+    out = _run(sops.detections_stream(s, delay="6 days"), "det")
     return out.select("SNID", "first_mjd", "trigger_mjd", "n_det")
 
 

@@ -7,19 +7,27 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def write_lightcurves(curves: DataFrame, path: str, partition: str = "class", key: str = "SNID",
-                      mode: str = "overwrite") -> None:
-    """SRC6: one Parquet dataset partitioned by class; rows clustered by key
-    inside each file so row-group statistics serve point lookups."""
-    (curves.repartition(partition).sortWithinPartitions(partition, key)
-     .write.mode(mode).partitionBy(partition).parquet(path))
+def write_lightcurves(curves: DataFrame, path: str, partition: str | list[str] = "class", key: str = "SNID",
+                      mode: str = "overwrite", max_rows: int = 1_000_000) -> None:
+    """SRC6: one Parquet dataset partitioned by class (or class and file
+    number). Rows are range-partitioned by (partition, key), so a large class
+    is written by many tasks, each with a range of keys and files of at most
+    ``max_rows`` rows; row-group statistics serve point lookups."""
+    parts = [partition] if isinstance(partition, str) else list(partition)
+    (curves.repartitionByRange(*parts, key).sortWithinPartitions(*parts, key)
+     .write.mode(mode).option("maxRecordsPerFile", max_rows).partitionBy(*parts).parquet(path))
 
 
 def read_lightcurves(spark: SparkSession, path: str, classes: list | None = None,
-                     partition: str = "class") -> DataFrame:
-    """SRC7: read the dataset back; a class list prunes partitions."""
-    df = spark.read.parquet(path)
-    return df.filter(F.col(partition).isin(classes)) if classes else df
+                     partition: str = "class", file_num: str | list[str] | None = None) -> DataFrame:
+    """SRC7: read the dataset back; a class list and file numbers prune
+    partitions (where written with them) or reach the Parquet statistics."""
+    df = spark.read.option("inferSchema", False).parquet(path)
+    if classes:
+        df = df.filter(F.col(partition).isin(classes))
+    if file_num is not None:
+        df = df.filter(F.col("file_num").isin([file_num] if isinstance(file_num, str) else list(file_num)))
+    return df
 
 
 def read_gw_tables(spark: SparkSession, source: str, table: str, fmt: str = "parquet",

@@ -33,18 +33,31 @@ def infer_types(df: DataFrame, cols: list[str]) -> dict[str, str]:
 
 def read_object_truth(spark: SparkSession, path: str, types: dict[str, str] | None = None,
                       key_from: str = "CID", key_to: str = "SNID") -> DataFrame:
-    """SRC2: whitespace-separated DUMP text. The ``VARNAMES:`` line names the
-    columns of every data line; ``#`` comments and blank lines are skipped; the
-    leading tag column is dropped and CID is renamed SNID. Types are inferred
-    (long, double, string) in one aggregation unless given."""
-    lines = spark.read.text(path)
+    """SRC2: whitespace-separated DUMP text. The ``VARNAMES:`` line of each
+    file names the columns of its data lines, so files of a folder may differ
+    in columns and their order (a column missing in a file is NULL there);
+    ``#`` comments and blank lines are skipped; the leading tag column is
+    dropped and CID is renamed SNID. Types are inferred (long, double, string)
+    in one aggregation unless given."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("__file"))
     body = lines.filter((F.trim("value") != "") & ~F.trim("value").startswith("#"))
-    header = body.filter(F.trim("value").startswith("VARNAMES:")).limit(1).collect()
-    if not header:
+    is_header = F.trim("value").startswith("VARNAMES:")
+    header = (body.filter(is_header).groupBy("__file")
+              .agg(F.min_by(_split(), "value").alias("__h"), F.count_distinct(F.array_join(_split(), " ")).alias("__n")))
+    seen = header.groupBy("__h").agg(F.max("__n").alias("n"), F.min("__file").alias("f")).orderBy("f").collect()   # distinct headers
+    if not seen:
         raise ValueError(f"no VARNAMES line in {path}")
-    names = header[0]["value"].split()[1:]
-    data = body.filter(~F.trim("value").startswith("VARNAMES:")).select(_split().alias("__t"))
-    raw = data.select(*[F.col("__t")[i + 1].alias(n) for i, n in enumerate(names)])
+    if any(r["n"] > 1 for r in seen):
+        raise ValueError(f"two different VARNAMES lines in one file of {path}")
+    names = list(dict.fromkeys(n for r in seen for n in r["__h"][1:]))
+    # one header only: the files are parts of one table, and it serves those without their own
+    only = F.array(*[F.lit(x) for x in seen[0]["__h"]]) if len(seen) == 1 else F.lit(None).cast("array<string>")
+    data = body.filter(~is_header).select("__file", _split().alias("__t")).join(header.drop("__n"), "__file", "left")
+    # a line of a file without a header cannot be read: fail instead of losing it
+    data = data.withColumn("__h", F.coalesce("__h", only))
+    checked = F.when(F.col("__h").isNull(), F.raise_error(F.concat(F.lit("no VARNAMES line in "), F.col("__file")))).otherwise(F.col("__h"))
+    at = {n: F.array_position(F.slice(checked, F.lit(2), F.size(checked)), n) for n in names}
+    raw = data.select(*[F.when(at[n] > 0, F.get("__t", at[n].cast("int"))).alias(n) for n in names])
     types = types or infer_types(raw, names)
     typed = raw.select(*[F.expr(f"try_cast(nullif(`{n}`, '') as {types.get(n, 'string')})").alias(n)
                          for n in names])

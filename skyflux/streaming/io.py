@@ -53,15 +53,27 @@ def decode_payload(df: DataFrame, schema: T.StructType, codec: str = "json", val
     return df.withColumn("payload", rec)
 
 
+def sorted_fields(c, t: T.DataType):
+    """The value with the fields of its structs in name order, at all levels."""
+    if isinstance(t, T.StructType):
+        fields = [sorted_fields(c[f.name], f.dataType).alias(f.name) for f in sorted(t.fields, key=lambda f: f.name)]
+        return F.when(c.isNotNull(), F.struct(*fields))
+    if isinstance(t, T.ArrayType) and isinstance(t.elementType, (T.StructType, T.ArrayType)):
+        return F.transform(c, lambda x: sorted_fields(x, t.elementType))
+    return c
+
+
 def encode_payload(df: DataFrame, codec: str = "json", avro_schema: str | None = None,
                    key: str | None = None) -> DataFrame:
-    """Serialise each row as the message value (JSON with ISO timestamps, or Avro)."""
-    rec = F.struct(*[F.col(c) for c in sorted(df.columns)])
+    """Serialise each row as the message value: JSON with keys sorted at all
+    levels, ISO timestamps and NULL fields written as null; or Avro."""
     if codec == "json":
-        val = F.to_json(rec, {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"})
+        rec = F.struct(*[sorted_fields(F.col(c), df.schema[c].dataType).alias(c) for c in sorted(df.columns)])
+        val = F.to_json(rec, {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "ignoreNullFields": "false"})
     else:
         from pyspark.sql.avro.functions import to_avro
-        val = to_avro(rec, avro_schema)
+        rec = F.struct(*[F.col(c) for c in sorted(df.columns)])
+        val = to_avro(rec, avro_schema) if avro_schema else to_avro(rec)
     cols = [val.alias("value")]
     if key:
         cols.insert(0, F.col(key).cast("string").alias("key"))
@@ -71,9 +83,10 @@ def encode_payload(df: DataFrame, codec: str = "json", avro_schema: str | None =
 def write_message_stream(df: DataFrame, checkpoint: str, fmt: str = "kafka", topic: str | None = None,
                          servers: str | None = None, path: str | None = None, codec: str = "json",
                          key: str | None = None, trigger: dict | None = None,
-                         options: dict | None = None) -> StreamingQuery:
-    """SRC15: serialise records and publish them (Kafka topic, or files in tests)."""
-    out = encode_payload(df, codec, key=key) if fmt == "kafka" else df
+                         options: dict | None = None, avro_schema: str | None = None) -> StreamingQuery:
+    """SRC15: serialise records and publish them (Kafka topic, or files of
+    serialised messages). With codec "rows" a file sink gets the rows as they are."""
+    out = df if codec == "rows" else encode_payload(df, codec, avro_schema, key)
     w = out.writeStream.format(fmt).option("checkpointLocation", checkpoint).options(**(options or {}))
     if fmt == "kafka":
         w = w.option("kafka.bootstrap.servers", servers).option("topic", topic)

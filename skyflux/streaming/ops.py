@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,7 +56,9 @@ def replay_nights(spark: SparkSession, alerts: DataFrame, ledger_path: str, out_
     todo = [x["night"] for x in pending_nights(spark, r["n0"], r["n1"], ledger).collect()]
     if not todo:
         return []
-    part = (alerts.withColumn("night", F.floor(mjd).cast("int")).filter(F.col("night").isin(todo))
+    # the bounds on the time itself reach the scan; the list settles gaps between nights
+    part = (alerts.filter((F.col(mjd) >= float(min(todo))) & (F.col(mjd) < float(max(todo) + 1)))
+            .withColumn("night", F.floor(mjd).cast("int")).filter(F.col("night").isin(todo))
             .repartitionByRange("night", mjd).sortWithinPartitions(mjd, aid))
     (part.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("night").parquet(out_path))
@@ -126,43 +129,47 @@ def dedupe_stream(stream: DataFrame, key: str = "alertId", ts: str = "ts", delay
 DETECTION_STATE = T.StructType([
     T.StructField("n_det", T.LongType()), T.StructField("first_mjd", T.DoubleType()),
     T.StructField("last_mjd", T.DoubleType()), T.StructField("trigger_mjd", T.DoubleType()),
+    T.StructField("waiting", T.ArrayType(T.DoubleType())),
 ])
+_UNIX_MJD, _DAY_MS = 40587.0, 86_400_000.0
 
 
 def detections_stream(stream: DataFrame, key: str = "SNID", mjd: str = "MJD", flag: str = "PHOTFLAG",
-                      gap: float = 0.021, timeout_ms: int | None = None) -> DataFrame:
+                      gap: float = 0.021, delay: str = "1 day") -> DataFrame:
     """STR11: per object running detection count and first/last detection,
     emitting one row when the two-detection trigger fires (a detection at
-    least ``gap`` days after the first). State is per object (bounded: four
-    numbers); with ``timeout_ms`` (continuous triggers) it expires after that
-    long without data. Leave it unset for available-now runs, which would
-    otherwise keep scheduling clean-up batches. Points of one object
-    are assumed to arrive in time order across micro-batches (within one
-    batch they are sorted)."""
-    out_schema = T.StructType([T.StructField(key, T.LongType()), *DETECTION_STATE.fields])
+    least ``gap`` days after the first), with the numbers as of the trigger.
+
+    Detections may arrive in any order within ``delay``: they wait in the
+    object's state until the watermark (largest time so far less ``delay``) has
+    passed them, and are then counted in time order, so the result is that of
+    the batch operator for every trigger before the watermark. Later ones are
+    late and dropped. State is four numbers per object and the times within
+    ``delay``; once an object has fired only that is remembered, so it never
+    fires again."""
+    out_schema = T.StructType([T.StructField(key, T.LongType()), *DETECTION_STATE.fields[:-1]])
 
     def step(k, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        n, first, last, trig = state.get if state.exists else (0, None, None, None)
-        fired = None
-        for pdf in pdfs:
-            for t in sorted(pdf[mjd].tolist()):
-                n += 1
-                first = t if first is None else min(first, t)
-                last = t if last is None else max(last, t)
-                if trig is None and t >= first + gap:
-                    trig = t
-                    fired = (n, first, last, trig)
-        state.update((n, first, last, trig))
-        if timeout_ms:
-            state.setTimeoutDuration(int(timeout_ms))
-        if fired is not None:
-            yield pd.DataFrame([{key: k[0], "n_det": fired[0], "first_mjd": fired[1],
-                                 "last_mjd": fired[2], "trigger_mjd": fired[3]}])
-
-    det = stream.filter(has_flag(flag, PHOTFLAG_DETECT)).select(key, mjd)
-    return det.groupBy(key).applyInPandasWithState(
-        step, out_schema, DETECTION_STATE, "append",
-        GroupStateTimeout.ProcessingTimeTimeout if timeout_ms else GroupStateTimeout.NoTimeout)
+        n, first, last, trig, waiting = state.get if state.exists else (0, None, None, None, [])
+        if trig is None:
+            new = [pdf[mjd].to_numpy() for pdf in pdfs]
+            times = np.sort(np.concatenate([np.asarray(waiting, dtype=float), *new]))
+            mark = state.getCurrentWatermarkMs()
+            ready = times[:np.searchsorted(times, mark / _DAY_MS + _UNIX_MJD, side="right")]
+            waiting = times[len(ready):]
+            if len(ready):
+                first = ready[0] if first is None else first
+                at = int(np.searchsorted(ready, first + gap))
+                if at < len(ready):
+                    n, last, trig, waiting = n + at + 1, ready[at], ready[at], waiting[:0]
+                    yield pd.DataFrame([{key: k[0], "n_det": n, "first_mjd": first, "last_mjd": last, "trigger_mjd": trig}])
+                else:
+                    n, last = n + len(ready), ready[-1]
+            if len(waiting):
+                state.setTimeoutTimestamp(max(int((waiting[0] - _UNIX_MJD) * _DAY_MS), mark) + 1)
+            num = lambda x: None if x is None else float(x)
+            state.update((int(n), num(first), num(last), num(trig), [float(t) for t in waiting]))
+
+    at = F.timestamp_micros(((F.col(mjd) - _UNIX_MJD) * 86400e6).cast("long"))
+    det = stream.filter(has_flag(flag, PHOTFLAG_DETECT)).select(key, mjd, at.alias("__at")).withWatermark("__at", delay)
+    return det.groupBy(key).applyInPandasWithState(step, out_schema, DETECTION_STATE, "append", GroupStateTimeout.EventTimeTimeout)
