@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from skyflux.llm.common import chain, checkpoint_table, shuffle_partitions, text_or_empty, word_hashes, words
 
 MU = 5.0
-SHARD_BYTES = 16_000_000
+SHARD_BYTES = 12_000_000
 #: Token of the end of a text, and the state before its first word.
 END, START = np.uint64(0x9B0F6C1E5D2A4783), np.uint64(0x27D4EB2F165667C5)
 
@@ -67,6 +67,16 @@ def _tokens(texts: pd.Series) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return tok, chain(pair, 2)[::2] if len(tok) else tok, begin
 
 
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys, and the position among them of each."""
+    by = np.argsort(keys)
+    new = np.ones(len(keys), dtype=bool)
+    new[1:] = keys[by[1:]] != keys[by[:-1]]
+    at = np.empty(len(keys), dtype=np.int32)
+    at[by] = np.cumsum(new, dtype=np.int32) - 1
+    return keys[by[new]], at
+
+
 def _asked(keys: np.ndarray, train: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys and how often each occurs in training tokens."""
     known, n = np.unique(keys[train], return_counts=True)
@@ -129,10 +139,10 @@ class BackoffAutomaton:
         self.fail = np.log10(mu / (n + mu))
         self.fail_start = float(np.log10(mu / (self.starts + mu)))
 
-    def run(self, tok: np.ndarray, pair: np.ndarray, begin: np.ndarray):
-        """(weights, root weights, known) of every token, in one pass: the state
-        at a token is the word before it, or the start of its text."""
-        at, arc = np.searchsorted(self.word, tok), np.searchsorted(self.pair, pair)
+    def run(self, at: np.ndarray, arc: np.ndarray, begin: np.ndarray):
+        """(weights, root weights, known) of every token, in one pass. ``at`` and
+        ``arc`` are the positions of the tokens and of their pairs; the state at
+        a token is the word before it, or the start of its text."""
         state = np.concatenate([[0], at[:-1]])
         n_state, fail = self.n[state], self.fail[state]
         n_state[begin], fail[begin] = self.starts, self.fail_start
@@ -171,8 +181,9 @@ def lm_scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_co
         tok, pair, begin = _tokens(left["text"])
         got = right.sort_values("bucket")
         counts = {k: np.concatenate([_unpack_counts(x) for x in got["n"][got["kind"] == k]]) for k in (1, 2)}
-        fsa = BackoffAutomaton(np.unique(tok), counts[1], np.unique(pair), counts[2], tokens, types, mu)
-        weight, root, known = fsa.run(tok, pair, begin)
+        (word, at), (pairs, arc) = _distinct(tok), _distinct(pair)
+        fsa = BackoffAutomaton(word, counts[1], pairs, counts[2], tokens, types, mu)
+        weight, root, known = fsa.run(at, arc, begin)
         return pd.DataFrame({
             "id": left["id"], "held_out": left["held_out"], "n_tokens": np.diff(np.append(begin, len(tok))),
             "n_known": np.add.reduceat(known.astype(np.int64), begin), "base_score": np.add.reduceat(root, begin),
