@@ -5,12 +5,21 @@ from pyspark.sql import functions as F
 
 from skyflux.functions._util import col
 
-# MJD of the Unix epoch, JD of MJD 0, GPS epoch as Unix seconds,
-# and the GPS-UTC offset valid since 2017 (leap seconds before that are not modelled).
+# MJD of the Unix epoch, JD of MJD 0, GPS epoch as Unix seconds, and
+# the MJDs from which each leap second since the GPS epoch counts.
 MJD_UNIX_EPOCH = 40587
 JD_MJD_OFFSET = 2400000.5
 GPS_EPOCH_UNIX = 315964800
-GPS_UTC_LEAP = 18
+LEAP_MJD = [44786, 45151, 45516, 46247, 47161, 47892, 48257, 48804, 49169, 49534,
+            50083, 50630, 51179, 53736, 54832, 56109, 57204, 57754]
+
+
+def _leaps(c, starts: list[float]) -> Column:
+    """GPS - UTC in seconds: how many leap seconds have begun by ``c``."""
+    n = F.lit(0)
+    for s in starts:
+        n = n + F.when(col(c) >= F.lit(float(s)), 1).otherwise(0)
+    return n
 
 
 def mjd_from_timestamp(ts, decimals: int = 6) -> Column:
@@ -33,13 +42,14 @@ def mjd_to_timestamp(mjd) -> Column:
 
 
 def mjd_to_gps(mjd) -> Column:
-    """GPS seconds of an MJD (UTC), constant leap-second offset."""
-    return (col(mjd) - MJD_UNIX_EPOCH) * 86400.0 - GPS_EPOCH_UNIX + GPS_UTC_LEAP
+    """GPS seconds of an MJD (UTC), with the leap seconds of its date."""
+    return (col(mjd) - MJD_UNIX_EPOCH) * 86400.0 - GPS_EPOCH_UNIX + _leaps(mjd, LEAP_MJD)
 
 
 def gps_to_jd(gps) -> Column:
-    """Julian date of a GPS time."""
-    unix = col(gps) + GPS_EPOCH_UNIX - GPS_UTC_LEAP
+    """Julian date (UTC) of a GPS time, with the leap seconds of its date."""
+    starts = [(m - MJD_UNIX_EPOCH) * 86400.0 - GPS_EPOCH_UNIX + n for n, m in enumerate(LEAP_MJD, 1)]
+    unix = col(gps) + GPS_EPOCH_UNIX - _leaps(gps, starts)
     return unix / 86400.0 + MJD_UNIX_EPOCH + JD_MJD_OFFSET
 
 

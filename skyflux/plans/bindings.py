@@ -49,6 +49,12 @@ def phot_ev(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def nights(p: DataFrame, mjd: str = "MJD") -> tuple[int, int]:
+    """First and last night of the data."""
+    lo, hi = p.agg(F.min(mjd), F.max(mjd)).first()
+    return int(lo), int(hi)
+
+
 def truth_ev(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Object truth: SNID, ZCMB in [0, 1], GENTYPE."""
     c = table(spark, sf_dir, "customer")
@@ -122,9 +128,16 @@ def forced_ev(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def messages_emb(spark: SparkSession, sf_dir: str, normalise: bool = True) -> DataFrame:
     """Broker messages from embeddings: message/source id = vec_id, classes
-    2222..2226 with p_i = |e_i| / sum of the first five |e_j|; classifier = vec_id % 3."""
+    2222..2226, class number c getting the share of every fifth |e_i| from the
+    c-th on (all dimensions count); classifier = vec_id % 3."""
     e = table(spark, sf_dir, "embeddings")
-    a = [F.abs(F.col("embedding")[i].cast("double")) for i in range(len(MESSAGE_CLASSES))]
+    n = len(MESSAGE_CLASSES)
+
+    def every_nth(k):
+        return F.aggregate(F.filter("embedding", lambda x, i: i % n == k), F.lit(0.0), lambda s, x: s + F.abs(x.cast("double")))
+    a = [every_nth(k) for k in range(n)]
+    e = e.withColumns({f"__a{k}": x for k, x in enumerate(a)})
+    a = [F.col(f"__a{k}") for k in range(n)]
     tot = a[0] + a[1] + a[2] + a[3] + a[4]
     probs = [(x / tot) if normalise else x for x in a]
     cls = F.array(*[F.struct(F.lit(c).alias("classId"), p.alias("probability"))
@@ -191,9 +204,10 @@ def messages_resent(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.timestamp_add("SECOND", F.col("messageId"), t0).alias("brokerIngestTimestamp"),
                     F.lit("orig").alias("version"), "label")
     again = (base.filter(F.col("label") == 1)
-             .withColumn("messageId", F.col("messageId") + 1_000_000)
+             .withColumn("messageId", F.col("messageId") * 2 + 1)
              .withColumn("brokerIngestTimestamp", F.timestamp_add("HOUR", F.lit(1), F.col("brokerIngestTimestamp")))
              .withColumn("version", F.lit("resend")))
+    base = base.withColumn("messageId", F.col("messageId") * 2)            # even: sent first, odd: sent again
     return base.unionByName(again).drop("label")
 
 

@@ -111,43 +111,47 @@ def q_alerts_in_time_order(spark, d):
 
 
 @query("night_range", with_(PHOT_EV) + """
-, days AS (SELECT DISTINCT CAST(floor(MJD) AS BIGINT) - 60310 AS day FROM phot_ev)
+, b AS (SELECT CAST(min(floor(MJD)) AS BIGINT) AS f0, CAST(max(floor(MJD)) AS BIGINT) AS f1 FROM phot_ev),
+days AS (SELECT DISTINCT CAST(floor(MJD) AS BIGINT) - f0 AS day, f0, f1 FROM phot_ev, b)
 SELECT day,
-       CASE WHEN 60310 + day * 3 > 60339 OR 60310 + day * 3 + 2 < 60310 THEN NULL
-            ELSE greatest(60310 + day * 3, 60310) END AS n0,
-       CASE WHEN 60310 + day * 3 > 60339 OR 60310 + day * 3 + 2 < 60310 THEN NULL
-            ELSE least(60310 + day * 3 + 2, 60339) END AS n1
-FROM days""".replace("\n, days AS", ",\ndays AS", 1))
+       CASE WHEN f0 + day * 3 > f1 OR f0 + day * 3 + 2 < f0 THEN NULL ELSE greatest(f0 + day * 3, f0) END AS n0,
+       CASE WHEN f0 + day * 3 > f1 OR f0 + day * 3 + 2 < f0 THEN NULL ELSE least(f0 + day * 3 + 2, f1) END AS n1
+FROM days""".replace("\n, b AS", ",\nb AS", 1))
 def q_night_range(spark, d):
     """FN16 for each campaign day present in the data (3 nights per day)."""
-    days = B.phot_ev(spark, d).select((F.floor("MJD").cast("long") - 60310).alias("day")).distinct()
-    return al.night_range_table(days, "day", 60310, 60339, 3)
+    p = B.phot_ev(spark, d)
+    first, last = B.nights(p)
+    days = p.select((F.floor("MJD").cast("long") - first).alias("day")).distinct()
+    return al.night_range_table(days, "day", first, last, 3)
 
 
 @query("pending_nights", with_(PHOT_EV) + """
-SELECT CAST(i AS INTEGER) AS night FROM range(60305, 60346) r(i)
+SELECT CAST(i AS INTEGER) AS night
+FROM (SELECT unnest(range(CAST(min(floor(MJD)) AS BIGINT) - 5, CAST(max(floor(MJD)) AS BIGINT) + 7)) AS i FROM phot_ev)
 WHERE NOT EXISTS (SELECT 1 FROM phot_ev p WHERE p.BAND = 'i' AND p.FLUXCAL > 300
                   AND CAST(floor(p.MJD) AS INTEGER) = CAST(i AS INTEGER))""")
 def q_pending_nights(spark, d):
     """JOIN12: the ledger holds the nights of bright i-band points."""
     p = B.phot_ev(spark, d)
     ledger = p.filter((F.col("BAND") == "i") & (F.col("FLUXCAL") > 300)).select(F.floor("MJD").alias("night"))
-    return al.pending_nights(spark, 60305, 60345, ledger)
+    first, last = B.nights(p)
+    return al.pending_nights(spark, first - 5, last + 6, ledger)
 
 
 _HOT_SQL = with_(PHOT_EV) + """
 , recent AS (SELECT DISTINCT SNID FROM phot_ev
-             WHERE (PHOTFLAG & 4096) <> 0 AND MJD >= 60325.5 - 1.0 AND MJD <= 60325.5)
+             WHERE (PHOTFLAG & 4096) <> 0 AND MJD >= (SELECT floor(max(MJD)) - 13.5 FROM phot_ev) - 1.0
+               AND MJD <= (SELECT floor(max(MJD)) - 13.5 FROM phot_ev))
 SELECT p.SNID, count(*) AS npts, string_agg(p.BAND, '' ORDER BY p.MJD, p.obs_id) AS bands,
        max(p.MJD) AS mjd_last, list(p.FLUXCAL ORDER BY p.MJD, p.obs_id)[1] AS flux_first
 FROM phot_ev p JOIN recent r ON p.SNID = r.SNID
-WHERE p.MJD <= 60325.5 GROUP BY p.SNID""".replace("\n, recent AS", ",\nrecent AS", 1)
+WHERE p.MJD <= (SELECT floor(max(MJD)) - 13.5 FROM phot_ev) GROUP BY p.SNID""".replace("\n, recent AS", ",\nrecent AS", 1)
 
 
 @query("hot_transients", _HOT_SQL, ["mjd_last", "flux_first"])
 def q_hot_transients(spark, d):
-    """AGG18, nested-record layout; mjd_now = 60325.5, last 1 day."""
-    h = al.hot_transients(B.phot_ev(spark, d), 60325.5, 1.0, layout=1)
+    """AGG18, nested-record layout; mjd_now = 13.5 days before the last night, last 1 day."""
+    h = al.hot_transients(B.phot_ev(spark, d), B.nights(B.phot_ev(spark, d))[1] - 13.5, 1.0, layout=1)
     p = F.col("photometry")
     return h.select("SNID", F.size(p["mjd"]).cast("long").alias("npts"),
                     F.array_join(p["band"], "").alias("bands"),
@@ -158,7 +162,7 @@ def q_hot_transients(spark, d):
 @query("hot_transients_columnar", _HOT_SQL, ["mjd_last", "flux_first"])
 def q_hot_transients_columnar(spark, d):
     """AGG18, columnar layout."""
-    h = al.hot_transients(B.phot_ev(spark, d), 60325.5, 1.0, layout=2)
+    h = al.hot_transients(B.phot_ev(spark, d), B.nights(B.phot_ev(spark, d))[1] - 13.5, 1.0, layout=2)
     return h.select("SNID", F.size("mjd").cast("long").alias("npts"), F.array_join("band", "").alias("bands"),
                     F.array_max("mjd").alias("mjd_last"), F.element_at("flux", 1).alias("flux_first"))
 

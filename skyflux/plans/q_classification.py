@@ -148,9 +148,9 @@ def q_map_gentype_class(spark, d):
 @query("latest_message", with_(MESSAGES_EMB) + """
 , m AS (SELECT DISTINCT messageId, diaSourceId, classifierId FROM msg_long),
 e AS (SELECT vec_id, label FROM embeddings),
-u AS (SELECT m.messageId, m.diaSourceId, m.classifierId, 'orig' AS version, 0 AS t FROM m
+u AS (SELECT m.messageId * 2 AS messageId, m.diaSourceId, m.classifierId, 'orig' AS version, 0 AS t FROM m
       UNION ALL
-      SELECT m.messageId + 1000000, m.diaSourceId, m.classifierId, 'resend', 1 FROM m
+      SELECT m.messageId * 2 + 1, m.diaSourceId, m.classifierId, 'resend', 1 FROM m
       JOIN e ON m.messageId = e.vec_id WHERE e.label = 1)
 SELECT diaSourceId, classifierId, messageId, version FROM (
   SELECT *, row_number() OVER (PARTITION BY diaSourceId, classifierId ORDER BY t DESC, messageId DESC) AS rn
@@ -173,7 +173,7 @@ def q_classifier_dim(spark, d):
 
 
 @query("fixed_classifier", with_(PHOT_EV, ALERTS_EV) + """
-SELECT alertId, diaSourceId, 'NugentClassifier' AS classifierName, 111 AS classId,
+SELECT alertId, diaSourceId, 'FixedClass' AS classifierName, 111 AS classId,
        CAST(1.0 AS FLOAT) AS probability FROM alerts_ev""")
 def q_fixed_classifier(spark, d):
     """UDF2 over every alert."""

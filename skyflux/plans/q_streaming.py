@@ -162,17 +162,18 @@ def q_message_latency(spark, d):
 
 @query("replay_nights", with_(PHOT_EV, ALERTS_EV) + """
 SELECT alertId, CAST(floor(midPointTai) AS INTEGER) AS night FROM alerts_ev
-WHERE CAST(floor(midPointTai) AS INTEGER) IN (60316, 60318)""")
+WHERE CAST(floor(midPointTai) AS INTEGER) - (SELECT CAST(floor(min(MJD)) AS INTEGER) FROM phot_ev) IN (6, 8)""")
 def q_replay_nights(spark, d):
-    """STR5: campaign day 2 streams nights 60316-60318; 60317 is already in the ledger."""
+    """STR5: campaign day 2 streams the seventh to ninth night; the eighth is already in the ledger."""
+    first, last = B.nights(B.phot_ev(spark, d))
     ledger = scratch_path(spark, "ledger")
-    spark.createDataFrame([(60317,)], "night int").write.parquet(ledger)
+    spark.createDataFrame([(first + 7,)], "night int").write.parquet(ledger)
     out = scratch_path(spark, "replay")
-    done = sops.replay_nights(spark, B.alerts_ev(spark, d), ledger, out, day=2, first_night=60310,
-                              last_night=60339, factor=3)
-    assert done == [60316, 60318], done
-    again = sops.replay_nights(spark, B.alerts_ev(spark, d), ledger, out, day=2, first_night=60310,
-                               last_night=60339, factor=3)
+    done = sops.replay_nights(spark, B.alerts_ev(spark, d), ledger, out, day=2, first_night=first,
+                              last_night=last, factor=3)
+    assert done == [first + 6, first + 8], done
+    again = sops.replay_nights(spark, B.alerts_ev(spark, d), ledger, out, day=2, first_night=first,
+                               last_night=last, factor=3)
     assert again == [], again
     return spark.read.parquet(out).select("alertId", F.col("night").cast("int").alias("night"))
 

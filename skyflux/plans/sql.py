@@ -37,15 +37,17 @@ head_ev AS (
          CAST(max(row_idx) + 1 AS INTEGER) AS PTROBS_MAX
   FROM phot_pos GROUP BY SNID, file_num)"""
 
-MESSAGES_EMB = """msg_long AS (
+MESSAGES_EMB = """emb_raw AS (
+  SELECT vec_id, label, list_transform(range(1, 6), lambda i: list_reduce(
+           list_transform(range(i, len(embedding) + 1, 5), lambda j: abs(CAST(embedding[j] AS DOUBLE))), lambda a, b: a + b)) AS e
+  FROM embeddings),
+msg_long AS (
   SELECT vec_id AS messageId, vec_id AS diaSourceId, CAST(vec_id % 3 AS INTEGER) AS classifierId,
          CAST(2222 + label % 5 AS INTEGER) AS trueClassId,
          CAST(2221 + i AS INTEGER) AS classId,
-         abs(CAST(embedding[i] AS DOUBLE)) /
-           (abs(CAST(embedding[1] AS DOUBLE)) + abs(CAST(embedding[2] AS DOUBLE)) + abs(CAST(embedding[3] AS DOUBLE))
-            + abs(CAST(embedding[4] AS DOUBLE)) + abs(CAST(embedding[5] AS DOUBLE))) AS probability,
-         abs(CAST(embedding[i] AS DOUBLE)) AS raw_probability
-  FROM embeddings, range(1, 6) r(i))"""
+         e[i] / (e[1] + e[2] + e[3] + e[4] + e[5]) AS probability,
+         e[i] AS raw_probability
+  FROM emb_raw, range(1, 6) r(i))"""
 
 BULK_LI = """bulk_li AS (
   SELECT l_orderkey AS SNID,
