@@ -205,13 +205,20 @@ def confusion_matrix(best: DataFrame, classes: list[int], true_col: str = "trueC
 
 def classifier_dim(messages: DataFrame,
                    cols: tuple[str, ...] = ("brokerName", "brokerVersion", "classifierName",
-                                            "classifierParams")) -> DataFrame:
+                                            "classifierParams"),
+                   existing: DataFrame | None = None) -> DataFrame:
     """AGG15: distinct classifier identities with dense integer ids (1-based, in
-    identity order). The distinct set is tiny (one row per classifier), so the
-    global ranking runs on already-reduced data."""
+    identity order). With ``existing`` (identities and ``classifierId``) its ids
+    are kept and new identities follow the largest. The distinct set is tiny
+    (one row per classifier), so the global ranking runs on already-reduced data."""
     from pyspark.sql import Window
     d = messages.select(*cols).distinct()
-    return d.withColumn("classifierId", F.dense_rank().over(Window.orderBy(*cols)).cast("long"))
+    rank = F.dense_rank().over(Window.orderBy(*cols)).cast("long")
+    if existing is None:
+        return d.withColumn("classifierId", rank)
+    old = existing.select(*cols, F.col("classifierId").cast("long").alias("classifierId"))
+    top = old.agg(F.coalesce(F.max("classifierId"), F.lit(0))).first()[0]
+    return old.unionByName(d.join(old, list(cols), "left_anti").withColumn("classifierId", rank + F.lit(top)))
 
 
 def probability_sum_check(messages: DataFrame, arr: str = "classifications",

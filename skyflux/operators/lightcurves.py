@@ -29,6 +29,8 @@ def assign_object_ids(phot: DataFrame, head: DataFrame, key: str = "SNID",
     grows with the size of a file or of an object. Rows outside every interval
     (separators) are dropped, or kept with key -999 when ``keep_separators``."""
     files = [file] if isinstance(file, str) else list(file)
+    if "survey_dir" in phot.columns and "survey_dir" in head.columns and "survey_dir" not in files:
+        files.append("survey_dir")                     # file numbers repeat in every class folder
     iv = head.select(*files, F.col(key).alias("__k"),
                      (F.col(ptr_min).cast("long") - 1).alias("__lo"),
                      F.col(ptr_max).cast("long").alias("__hi"))
@@ -53,9 +55,9 @@ def join_with_suffix(left: DataFrame, right: DataFrame, key: str | list[str],
     return left.join(right, keys, how)
 
 
-def join_head(curves: DataFrame, head: DataFrame, key: str = "SNID") -> DataFrame:
+def join_head(curves: DataFrame, head: DataFrame, key: str | list[str] = "SNID") -> DataFrame:
     """JOIN2: curves inner-join HEAD on key; file columns dropped, clashes suffixed."""
-    return join_with_suffix(curves, head, key, drop=("file_num", "head_filename"))
+    return join_with_suffix(curves, head, key, drop=("file_num", "head_filename", "survey_dir"))
 
 
 def join_truth(curves: DataFrame, truth: DataFrame, key: str = "SNID") -> DataFrame:
@@ -78,7 +80,7 @@ def truth_with_detection_counts(truth: DataFrame, phot: DataFrame, key: str = "S
 
 
 # ---------------------------------------------------------------- AGG1/AGG2
-def nest_lightcurves(df: DataFrame, key: str = "SNID", order: tuple[str, ...] = ("BAND", "MJD"),
+def nest_lightcurves(df: DataFrame, key: str | list[str] = "SNID", order: tuple[str, ...] = ("BAND", "MJD"),
                      cols: list[str] | None = None, sort_output: bool = False,
                      max_points: int | None = None) -> DataFrame:
     """AGG1: one row per object; every other column becomes a list, all lists
@@ -91,19 +93,19 @@ def nest_lightcurves(df: DataFrame, key: str = "SNID", order: tuple[str, ...] =
     many points (extra column ``chunk``, 0-based, in list order), so no single
     value grows with the largest object; every point is kept. The chunk index
     comes from a per-object sort, which Spark spills to disk when large."""
-    rest = [c for c in (cols or df.columns) if c != key and c not in order]
+    keys = [key] if isinstance(key, str) else list(key)
+    rest = [c for c in (cols or df.columns) if c not in keys and c not in order]
     fields = list(order) + rest
-    keys = [key]
     if max_points:
-        df = _chunked(df.select(key, *fields), key, list(order), rest, max_points)
-        keys = [key, "chunk"]
+        df = _chunked(df.select(*keys, *fields), keys, list(order), rest, max_points)
+        keys = [*keys, "chunk"]
     nested = (df.groupBy(*keys)
               .agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("__pts")))
     out = nested.select(*keys, *[F.col("__pts")[c].alias(c) for c in fields])
     return out.orderBy(*keys) if sort_output else out
 
 
-def _chunked(df: DataFrame, key: str, order: list[str], rest: list[str], max_points: int) -> DataFrame:
+def _chunked(df: DataFrame, keys: list[str], order: list[str], rest: list[str], max_points: int) -> DataFrame:
     """``chunk`` = position in (order + rest) within the key, div ``max_points``.
 
     With two or more order columns the first one (e.g. the band) becomes part
@@ -113,13 +115,13 @@ def _chunked(df: DataFrame, key: str, order: list[str], rest: list[str], max_poi
     from pyspark.sql import Window
     from skyflux.operators.ordered import ranked
     if len(order) >= 2:
-        groups, within = [key, order[0]], order[1:] + rest
+        groups, within = [*keys, order[0]], order[1:] + rest
     else:
-        groups, within = [key], order + rest
+        groups, within = keys, order + rest
     r = ranked(df, groups, within)
-    if len(groups) == 2:
+    if len(order) >= 2:
         sizes = r.select(*groups, "__cnt").distinct()
-        w = Window.partitionBy(key).orderBy(order[0]).rowsBetween(Window.unboundedPreceding, -1)
+        w = Window.partitionBy(*keys).orderBy(order[0]).rowsBetween(Window.unboundedPreceding, -1)
         sizes = sizes.withColumn("__boff", F.coalesce(F.sum("__cnt").over(w), F.lit(0))).drop("__cnt")
         r = r.join(sizes, groups).withColumn("__rank", F.col("__rank") + F.col("__boff")).drop("__boff")
     return r.withColumn("chunk", (F.col("__rank") / F.lit(max_points)).cast("int")).drop("__rank", "__cnt")

@@ -105,6 +105,20 @@ def q_write_read_lightcurves(spark, d):
                     F.array_min("MJD").alias("mjd_min"))
 
 
+@query("read_lightcurves_file", with_(PHOT_EV, TRUTH_EV) + """
+SELECT p.SNID, t.GENTYPE AS class, printf('%04d', CAST(p.SNID // 100 + 1 AS BIGINT)) AS file_num, count(*) AS npts
+FROM phot_ev p JOIN truth_ev t ON p.SNID = t.SNID
+WHERE p.SNID // 100 + 1 = (SELECT min(SNID // 100 + 1) FROM phot_ev) GROUP BY p.SNID, t.GENTYPE""")
+def q_read_lightcurves_file(spark, d):
+    """SRC6 + SRC7: curves written by class and file number, one file number read back."""
+    path = scratch_path(spark, "curves-file")
+    curves = _class_curves(spark, d).withColumn("file_num", B.file_num_of("SNID"))
+    pq.write_lightcurves(curves, path, partition=["class", "file_num"])
+    first = B.phot_ev(spark, d).agg(F.min(B.file_num_of("SNID"))).first()[0]
+    r = pq.read_lightcurves(spark, path, file_num=first)
+    return r.select("SNID", F.col("class").cast("int").alias("class"), "file_num", F.size("MJD").cast("long").alias("npts"))
+
+
 @query("list_classes", with_(PHOT_EV, TRUTH_EV) + """
 SELECT DISTINCT CAST(t.GENTYPE AS VARCHAR) AS class FROM phot_ev p JOIN truth_ev t ON p.SNID = t.SNID""")
 def q_list_classes(spark, d):

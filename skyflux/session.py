@@ -35,8 +35,9 @@ def get_spark(master: str | None = None, app: str = "skyflux",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the session.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when nothing is set
-    (local tests) do we create one.
+    The cluster names it in ``spark.checkpoint.dir``. Only a local master, whose
+    one process is driver and executor, gets a folder of its own when nothing is
+    set; elsewhere a missing setting is an error.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
@@ -44,6 +45,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return d
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         conf_dir = tempfile.mkdtemp(prefix="skyflux-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     sc.setCheckpointDir(conf_dir)

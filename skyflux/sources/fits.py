@@ -22,10 +22,10 @@ from skyflux.schemas import HEAD_DROP_COLUMNS, PHOT_COLUMNS
 
 BLOCK = 2880
 # FITS binary-table column codes -> (numpy big-endian code, Spark type)
-TFORM = {"L": ("?", T.BooleanType()), "B": ("u1", T.ShortType()), "I": (">i2", T.ShortType()),
+TFORM = {"L": ("S1", T.BooleanType()), "B": ("u1", T.ShortType()), "I": (">i2", T.ShortType()),
          "J": (">i4", T.IntegerType()), "K": (">i8", T.LongType()), "E": (">f4", T.FloatType()),
          "D": (">f8", T.DoubleType()), "A": ("S", T.StringType())}
-FILE_NUM = r"-(\d{4,})_(HEAD|PHOT)\.FITS(\.gz)?$"
+FILE_NUM = r"-(\d+)_(HEAD|PHOT)\.FITS(\.gz)?$"
 
 
 def _cards(buf: bytes, start: int) -> tuple[dict, int]:
@@ -91,7 +91,7 @@ def records_to_pandas(arr: np.ndarray, cols: list[tuple[str, str, int]],
         if c == "A":
             out[n] = pd.Series(np.char.strip(np.char.decode(v, "ascii", "replace")), dtype=object)
         elif c == "L":
-            out[n] = v.astype(bool)
+            out[n] = v == b"T"
         else:
             out[n] = v.astype(v.dtype.newbyteorder("="))
     return pd.DataFrame(out)
@@ -131,7 +131,7 @@ def encode_bintable(pdf: pd.DataFrame, strings: dict[str, int] | None = None) ->
             c = codes[s.dtype]
             fields.append((n, TFORM[c][0]))
             forms.append(f"1{c}")
-            arrays.append(s.to_numpy())
+            arrays.append(np.where(s.to_numpy(), b"T", b"F") if c == "L" else s.to_numpy())
     rec = np.empty(len(pdf), dtype=np.dtype(fields))
     for (n, _), a in zip(fields, arrays):
         rec[n] = a
@@ -151,13 +151,16 @@ def encode_bintable(pdf: pd.DataFrame, strings: dict[str, int] | None = None) ->
 
 
 def list_survey_files(spark: SparkSession, base: str, kind: str = "HEAD") -> DataFrame:
-    """Files of one kind under ``base`` with their zero-padded file number; when
-    a plain file and its ``.gz`` twin exist in one directory, the plain file wins."""
+    """Files of one kind under ``base`` with their file number as written; when
+    a plain file and its ``.gz`` twin exist in one directory, the plain file
+    wins. A file of the kind whose name has no number is an error."""
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
              .option("pathGlobFilter", f"*_{kind}.FITS*").load(base).select("path"))
-    f = files.select("path", F.regexp_extract("path", FILE_NUM, 1).alias("file_num"),
+    num = F.regexp_extract("path", FILE_NUM, 1)
+    num = F.when(num == "", F.raise_error(F.concat(F.lit("no file number in "), F.col("path")))).otherwise(num)
+    f = files.select("path", num.alias("file_num"),
                      F.regexp_extract("path", r"^(.*)/[^/]*$", 1).alias("__dir"),
-                     F.col("path").endswith(".gz").alias("is_gz")).filter(F.col("file_num") != "")
+                     F.col("path").endswith(".gz").alias("is_gz"))
     # twins are the same file number in the same directory (one row per file)
     w = Window.partitionBy("__dir", "file_num").orderBy("is_gz", "path")
     return f.withColumn("__r", F.row_number().over(w)).filter("__r = 1").drop("__r", "is_gz", "__dir")
@@ -169,12 +172,31 @@ def _probe_schema(spark: SparkSession, path: str) -> T.StructType:
     return spark_schema(bytes(head))
 
 
+_WIDER = [T.ShortType(), T.IntegerType(), T.LongType(), T.FloatType(), T.DoubleType()]
+
+
+def merge_schemas(schemas: list[T.StructType]) -> T.StructType:
+    """All columns of all schemas; numbers of different types take the wider one."""
+    out: dict[str, T.DataType] = {}
+    for f in (f for s in schemas for f in s.fields):
+        have = out.setdefault(f.name, f.dataType)
+        if have != f.dataType:
+            if have not in _WIDER or f.dataType not in _WIDER:
+                raise ValueError(f"column {f.name} is {have.simpleString()} in one class and {f.dataType.simpleString()} in another")
+            out[f.name] = max(have, f.dataType, key=_WIDER.index)
+    return T.StructType([T.StructField(n, t) for n, t in out.items()])
+
+
 def _read_tables(spark: SparkSession, files: DataFrame, columns: list[str] | None,
                  with_row_idx: bool, chunk: int) -> DataFrame:
     paths = [r["path"] for r in files.select("path").orderBy("path").collect()]   # file names only
     if not paths:
         raise FileNotFoundError("no survey files found")
-    full = _probe_schema(spark, paths[0])
+    firsts: dict[str, str] = {}
+    for p in paths:
+        firsts.setdefault(p.rsplit("/", 1)[0], p)
+    full = merge_schemas([_probe_schema(spark, p) for p in firsts.values()])      # one header per class directory
+    known = {f.name for f in full.fields}
     keep = [f for f in full.fields if columns is None or f.name in columns]
     out_fields = ([T.StructField("row_idx", T.LongType(), False)] if with_row_idx else []) + keep + \
         [T.StructField("file_num", T.StringType()), T.StructField("filename", T.StringType()),
@@ -187,9 +209,16 @@ def _read_tables(spark: SparkSession, files: DataFrame, columns: list[str] | Non
             for path, content in zip(b["path"], b["content"]):
                 arr, cols = bintable_records(bytes(content))
                 m = re.search(FILE_NUM, path)
+                odd = [n for n, _, _ in cols if n not in known]
+                if odd:
+                    raise ValueError(f"{path} has columns that the first file of its class lacks: {odd}")
                 for lo in range(0, max(len(arr), 1), chunk):
                     # only one chunk is converted at a time
-                    part = records_to_pandas(arr[lo:lo + chunk], cols, names)[names]
+                    part = records_to_pandas(arr[lo:lo + chunk], cols, names)
+                    for n in names:                      # a column that this class does not have
+                        if n not in part.columns:
+                            part[n] = pd.Series([None] * len(part), dtype=object)
+                    part = part[names]
                     if with_row_idx:
                         part.insert(0, "row_idx", np.arange(lo, lo + len(part), dtype=np.int64))
                     part["file_num"] = m.group(1) if m else None
@@ -207,23 +236,23 @@ def read_head(spark: SparkSession, base: str, drop: list[str] | None = None,
               chunk: int = 500_000) -> DataFrame:
     """SRC3: union of the HEAD files under ``base`` (plain beats ``.gz``),
     SNID as long, strings trimmed, uninformative columns dropped, plus
-    ``file_num`` and ``head_filename``."""
+    ``file_num``, ``survey_dir`` (file numbers repeat in every class folder) and ``head_filename``."""
     files = list_survey_files(spark, base, "HEAD")
     df = _read_tables(spark, files, None, False, chunk)
     if "SNID" in df.columns and dict(df.dtypes)["SNID"] == "string":
         df = df.withColumn("SNID", F.trim("SNID").cast("long"))
-    return (df.drop(*(drop if drop is not None else HEAD_DROP_COLUMNS)).drop("dirname")
+    return (df.drop(*(drop if drop is not None else HEAD_DROP_COLUMNS)).withColumnRenamed("dirname", "survey_dir")
             .withColumnRenamed("filename", "head_filename"))
 
 
 def read_phot(spark: SparkSession, base: str, columns: list[str] | None = None,
               chunk: int = 500_000) -> DataFrame:
     """SRC4: photometry rows of every PHOT file with their 0-based ``row_idx``
-    in the file (needed by ``assign_object_ids``) and ``file_num``; by default
+    in the file (needed by ``assign_object_ids``), ``file_num`` and ``survey_dir``; by default
     the 13 survey columns (those present)."""
     files = list_survey_files(spark, base, "PHOT")
     cols = columns if columns is not None else PHOT_COLUMNS
-    return _read_tables(spark, files, cols, True, chunk).drop("filename", "dirname")
+    return _read_tables(spark, files, cols, True, chunk).drop("filename").withColumnRenamed("dirname", "survey_dir")
 
 
 def _with_class(df: DataFrame, prefix: str) -> DataFrame:
@@ -248,9 +277,8 @@ def convert_to_parquet(spark: SparkSession, base: str, out: str, prefix: str = "
     cols = phot_columns if phot_columns is not None else PHOT_COLUMNS
     phot = _with_class(_read_tables(spark, pfiles, cols, True, 500_000), prefix).drop("filename", "dirname")
     curves = assign_object_ids(phot, head, key=key, file=["class", "file_num"])
-    # object ids are unique across classes; the class comes back with HEAD
-    nested = nest_lightcurves(curves.drop("class", "file_num", "row_idx"), key)
-    full = join_head(nested, head, key)
+    nested = nest_lightcurves(curves.drop("file_num", "row_idx"), ["class", key])     # an id may occur in two classes
+    full = join_head(nested, head, ["class", key])
     if truth is not None:
         full = join_truth(full, truth, key)
     write_lightcurves(full, out, partition="class", key=key, mode=mode)

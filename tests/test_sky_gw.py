@@ -105,3 +105,55 @@ def test_running_sum_matches_window(spark):
     w = Window.partitionBy("map_id").orderBy(F.col("prob").desc(), "pix").rowsBetween(Window.unboundedPreceding, 0)
     b = {(r.map_id, r.pix): r.c for r in df.withColumn("c", F.sum("prob").over(w)).collect()}
     assert a.keys() == b.keys() and all(abs(a[k] - b[k]) < 1e-6 for k in a)
+
+
+def test_distances_past_any_grid(spark):
+    df = spark.createDataFrame([(0.5,), (3.0,), (6.0,), (None,)], "z double")
+    d = {r.z: r.distance for r in gw.luminosity_distance(df, "z").collect()}
+    assert d[None] is None and abs(d[6.0] - 57728) < 3 and d[0.5] < d[3.0] < d[6.0]
+    short = gw.distance_grid(spark, z_max=1.0, n=1000)
+    cut = {r.z: r.distance for r in gw.luminosity_distance(df, "z", short).collect()}
+    assert cut[6.0] is None and abs(cut[0.5] - d[0.5]) < 1e-2
+    back = gw.redshift_from_distance(spark.createDataFrame([(d[0.5],), (d[6.0],), (None,)], "x double"), "x")
+    assert sorted(round(r.z, 6) for r in back.collect() if r.z is not None) == [0.5, 6.0] and back.count() == 3
+    assert gw.redshift_from_distance(spark.createDataFrame([(1e6,)], "x double"), "x", short).first().z is None
+    planck = gw.luminosity_distance(df, "z", **gw.PLANCK18).filter("z = 0.5").first().distance
+    assert planck != d[0.5] and 2800 < planck < 3000
+
+
+def test_pad_num_keeps_long_numbers(spark):
+    from skyflux.functions.ids import pad_num
+    got = [r[0] for r in spark.createDataFrame([(7,), (12345,)], "n long").select(pad_num("n")).collect()]
+    assert got == ["0007", "12345"]
+
+
+def test_match_is_linear_and_nearest(spark):
+    import random
+    rnd = random.Random(1)
+    t = [(i, rnd.choice([rnd.random(), 0.5, 0.5001])) for i in range(300)] + [(999, None)]
+    c = [(i, rnd.choice([rnd.random(), 0.5, 0.4995])) for i in range(300)]
+    got = {r.target_id: (r.cand_id, r.abs_diff) for r in gw.match_within_tolerance(
+        spark.createDataFrame(t, "target_id long, x double"), spark.createDataFrame(c, "cand_id long, x double"), tol=0.003).collect()}
+    for i, x in t:
+        best = min(((abs(y - x), j) for j, y in c if abs(y - x) <= 0.003), default=None) if x is not None else None
+        assert got[i][1] == (best[0] if best else None)
+        assert got[i][0] == (best[1] if best else None)
+
+
+def test_unmatched_map_raises(spark):
+    import pytest
+    maps = spark.createDataFrame([("m/1.fits",), ("m/2.fits",)], "path string")
+    coinc = spark.createDataFrame([(1, 5), (2, 6)], "simulation_id long, SNID long")
+    ok = spark.createDataFrame([(5, 60000.5), (6, 60001.0)], "SNID long, MJD double")
+    assert {r.target for r in gw.skymap_manifest(maps, coinc, ok).collect()} == {"SNID_5_MJD_60000.5000.fits", "SNID_6_MJD_60001.0000.fits"}
+    for bad in (ok.filter("SNID = 5"), ok.withColumn("MJD", F.when(F.col("SNID") == 5, F.col("MJD")))):
+        with pytest.raises(ValueError):
+            gw.skymap_manifest(maps, coinc, bad)
+
+
+def test_leap_seconds(spark):
+    from skyflux.functions import timefn as tf
+    got = [r[0] for r in spark.createDataFrame([(44244.0,), (50000.0,), (60000.0,)], "m double").select(tf.mjd_to_gps("m")).collect()]
+    assert got == [0.0, (50000 - 44244) * 86400 + 10, (60000 - 44244) * 86400 + 18]
+    jd = spark.createDataFrame([(50000.25,)], "m double").select(tf.gps_to_jd(tf.mjd_to_gps("m"))).first()[0]
+    assert abs(jd - 2450000.75) < 1e-8

@@ -4,6 +4,9 @@ import gzip
 import json
 import os
 
+import pytest
+from pyspark.sql import functions as F
+
 from skyflux.session import local_path
 from skyflux.sources import text as tx
 
@@ -130,3 +133,72 @@ def test_read_head_twin_rule_and_dropped_columns(spark, scratch):
     rows = sorted((r.SNID, r.file_num, r.head_filename) for r in h.collect())
     assert rows == [(12, "0001", "X-0001_HEAD.FITS"), (13, "0001", "X-0001_HEAD.FITS"),
                     (20, "0002", "X-0002_HEAD.FITS.gz")]
+
+
+def _fits(path, pdf, strings=None):
+    from skyflux.sources import fits
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "wb") as f:
+        f.write(fits.encode_bintable(pdf, strings))
+
+
+def test_classes_with_other_columns_equal_ids_and_short_numbers(spark, scratch):
+    import pandas as pd
+    from skyflux.operators.lightcurves import assign_object_ids
+    from skyflux.sources import fits
+    base = local_path(scratch("mixed"))
+    for cls, extra in (("A", {}), ("B", {"SIM_TEMPLATE_INDEX": pd.Series([5], dtype="int32"), "OK": pd.Series([True])})):
+        h = pd.DataFrame({"SNID": ["   10"], "PTROBS_MIN": pd.Series([1], dtype="int32"), "PTROBS_MAX": pd.Series([2], dtype="int32"), **extra})
+        p = pd.DataFrame({"MJD": [1.0 if cls == "A" else 5.0, 2.0, -777.0], "BAND": ["g", "r", "-"],
+                          "FLUXCAL": pd.Series([1, 2, 0], dtype="float32")})
+        _fits(f"{base}/{cls}/X-7_HEAD.FITS", h)
+        _fits(f"{base}/{cls}/X-7_PHOT.FITS", p, {"BAND": 2})
+    head = fits.read_head(spark, base)
+    got = {r.survey_dir[-1]: (r.SIM_TEMPLATE_INDEX, r.OK) for r in head.collect()}
+    assert got == {"A": (None, None), "B": (5, True)}
+    points = assign_object_ids(fits.read_phot(spark, base, ["MJD", "BAND", "FLUXCAL"]), head)
+    assert points.count() == 4 and {r.file_num for r in points.collect()} == {"7"}
+    out = scratch("mixed-out")
+    fits.convert_to_parquet(spark, base, out)
+    curves = {r["class"]: (r.SNID, sorted(r.MJD), r.SIM_TEMPLATE_INDEX) for r in spark.read.parquet(out).collect()}
+    assert curves == {"A": (10, [1.0, 2.0], None), "B": (10, [2.0, 5.0], 5)}
+    _fits(f"{base}/A/X_HEAD.FITS", pd.DataFrame({"SNID": ["1"]}))
+    with pytest.raises(Exception, match="no file number"):
+        fits.read_head(spark, base).count()
+
+
+def test_fits_logicals(spark, scratch):
+    import pandas as pd
+    from skyflux.sources import fits
+    base = local_path(scratch("logical"))
+    _fits(f"{base}/X-0001_HEAD.FITS", pd.DataFrame({"SNID": ["1", "2"], "FLAG": [True, False]}))
+    assert {r.SNID: r.FLAG for r in fits.read_head(spark, base).collect()} == {1: True, 2: False}
+
+
+def test_dump_files_with_their_own_columns(spark, scratch):
+    base = local_path(scratch("dumps"))
+    _write(f"{base}/a.DUMP", "VARNAMES: CID GENTYPE\nSN: 1 20\n")
+    _write(f"{base}/b.DUMP", "# note\nVARNAMES: GENTYPE CID ZCMB\nSN: 30 2 0.5\n")
+    got = sorted((r.SNID, r.GENTYPE, r.ZCMB) for r in tx.read_object_truth(spark, base).collect())
+    assert got == [(1, 20, None), (2, 30, 0.5)]
+    _write(f"{base}/c.DUMP", "SN: 9 9 9\n")
+    with pytest.raises(Exception, match="no VARNAMES line"):
+        tx.read_object_truth(spark, base).count()
+
+
+def test_large_class_is_written_by_several_tasks(spark, scratch):
+    from skyflux.sources import parquet as pq
+    df = spark.range(4000).selectExpr("id as SNID", "cast(case when id < 3900 then 1 else 2 end as int) as class",
+                                      "lpad(cast(id % 3 as string), 4, '0') as file_num")
+    path = scratch("ranges")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        pq.write_lightcurves(df, path)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    files = spark.read.parquet(path).select(F.input_file_name().alias("f"), "class").distinct().groupBy("class").count().collect()
+    assert {r["class"]: r["count"] for r in files}[1] >= 3
+    assert pq.read_lightcurves(spark, path, [1], file_num="0002").count() == 1300
+    pq.write_lightcurves(df, path + "-f", partition=["class", "file_num"])
+    plan = pq.read_lightcurves(spark, path + "-f", file_num="0001")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(file_num" in plan

@@ -27,6 +27,19 @@ def _msgs(spark, rows):
     return spark.createDataFrame(rows, "messageId long, classifications array<struct<classId:int,probability:float>>")
 
 
+def test_taxonomy_ids_are_the_written_ones():
+    from skyflux.plans.q_classification import taxonomy_values
+    assert sorted((r[0], r[1]) for r in tx.taxonomy_rows()) == taxonomy_values()
+
+
+def test_classifier_dim_keeps_ids(spark):
+    from skyflux.operators import classification as cl
+    cols = "brokerName string, brokerVersion string, classifierName string, classifierParams string"
+    old = cl.classifier_dim(spark.createDataFrame([("b", "1", "x", ""), ("c", "1", "x", "")], cols))
+    new = cl.classifier_dim(spark.createDataFrame([("a", "1", "x", ""), ("c", "1", "x", ""), ("d", "1", "x", "")], cols), existing=old)
+    assert {r.brokerName: r.classifierId for r in new.collect()} == {"b": 1, "c": 2, "a": 3, "d": 4}
+
+
 def test_sum_check_and_residual(spark):
     m = _msgs(spark, [(1, [(2222, 0.6), (2223, 0.4)]), (2, [(2222, 0.33)]), (3, [(300, 1.0)])])
     bad = {r.messageId for r in cl.probability_sum_check(m).collect()}
