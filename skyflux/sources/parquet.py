@@ -22,7 +22,11 @@ def read_lightcurves(spark: SparkSession, path: str, classes: list | None = None
                      partition: str = "class", file_num: str | list[str] | None = None) -> DataFrame:
     """SRC7: read the dataset back; a class list and file numbers prune
     partitions (where written with them) or reach the Parquet statistics."""
-    df = spark.read.option("inferSchema", False).parquet(path)
+    df = spark.read.parquet(path)
+    if "file_num" in df.columns and df.schema["file_num"].dataType != T.StringType():
+        # a partition folder "file_num=0001" is read as a number; its text is the key
+        fields = [T.StructField(f.name, T.StringType()) if f.name == "file_num" else f for f in df.schema.fields]
+        df = spark.read.schema(T.StructType(fields)).parquet(path)
     if classes:
         df = df.filter(F.col(partition).isin(classes))
     if file_num is not None:
