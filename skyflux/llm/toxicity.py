@@ -33,8 +33,8 @@ FEATURES = 1024
 FOLDS = 3
 _PREFIXES = (4, 5, 6)
 _MARKS = b".,;:!?\"'()[]{}<>|*#%&$@-_~/\\"
-_CACHE = 400_000
-_CHUNK = 8_000_000
+_CACHE = 150_000
+_CHUNK = 4_000_000
 
 
 def word_features(word: bytes) -> tuple[int, ...]:
@@ -106,11 +106,11 @@ def best_threshold(p: np.ndarray, y: np.ndarray, weight: np.ndarray) -> float:
 
 def _select(buckets: list[np.ndarray], y: np.ndarray, weight: np.ndarray, size: int) -> np.ndarray:
     """The ``size`` buckets with the largest chi-square, those in under 3 rows left out."""
-    rows = np.repeat(np.arange(len(buckets)), [len(b) for b in buckets])
-    flat = np.concatenate(buckets) if len(rows) else np.zeros(0, dtype=np.int64)
-    n = np.bincount(flat, minlength=BUCKETS)
-    with_ = np.bincount(flat, weights=weight[rows], minlength=BUCKETS)
-    pos = np.bincount(flat, weights=(weight * y)[rows], minlength=BUCKETS)
+    n, with_, pos = (np.zeros(BUCKETS) for _ in range(3))
+    for b, w, hit in zip(buckets, weight, y):                # a row's buckets are distinct
+        n[b] += 1
+        with_[b] += w
+        pos[b] += w * hit
     total, p = weight.sum(), (weight * y).sum()
     expect = with_ * p / total
     other = (total - with_) * p / total
@@ -183,12 +183,14 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], id_
         models = [{"name": n, "constant": 0.0} for n in names]
         if got and sum(map(len, got)):
             pdf = pd.concat(got).drop_duplicates("_id").sort_values("_id")
+            got.clear()
             y = pdf[[f"_y{i}" for i in range(len(names))]].to_numpy()
             models = fit_chain([np.frombuffer(b, dtype=np.int32) for b in pdf["x"]], y, pdf["_w"].to_numpy(), names)
         yield pd.DataFrame({"model": [pickle.dumps(models)]})
 
-    # the bounded sample in one task; the models are FEATURES weights each
-    return pickle.loads(rows.coalesce(1).mapInPandas(fit, "model binary").first()[0])
+    # features are made where the texts are; only the bounded sample's meet in one task (a shuffle: coalesce()
+    # would pull the scan into it). What comes back is FEATURES weights a category.
+    return pickle.loads(rows.repartition(1).mapInPandas(fit, "model binary").first()[0])
 
 
 def predict(docs: DataFrame, models: list[dict], id_col: str = "doc_id", text_col: str = "text",
