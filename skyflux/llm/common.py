@@ -19,7 +19,7 @@ __all__ = ["checkpoint_table", "table", "text_or_empty", "word_hashes", "mix64",
 SPACES = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
-_MULT = np.uint64(0x9E3779B97F4A7C15)
+MULT = _MULT = np.uint64(0x9E3779B97F4A7C15)
 _SHIFT = np.uint64(31)
 
 

@@ -28,10 +28,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyflux.llm.common import chain, checkpoint_table, shuffle_partitions, text_or_empty, word_hashes, words
+from skyflux.llm.common import MULT, checkpoint_table, shuffle_partitions, text_or_empty, word_hashes, words
 
 MU = 5.0
-SHARD_BYTES = 12_000_000
+SHARD_BYTES = 8_000_000
 #: Token of the end of a text, and the state before its first word.
 END, START = np.uint64(0x9B0F6C1E5D2A4783), np.uint64(0x27D4EB2F165667C5)
 
@@ -60,11 +60,21 @@ def _tokens(texts: pd.Series) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     parts = [x for t in texts for x in (word_hashes(words(t)), end)]
     begin = np.cumsum([0] + [len(parts[i]) + 1 for i in range(0, len(parts), 2)])[:-1]
     tok = np.concatenate(parts) if parts else np.zeros(0, dtype=np.uint64)
-    before = np.concatenate([[START], tok[:-1]]).astype(np.uint64)
+    del parts
+    before = np.empty_like(tok)
+    before[1:] = tok[:-1]
     before[begin] = START
-    pair = np.empty(2 * len(tok), dtype=np.uint64)
-    pair[0::2], pair[1::2] = before, tok
-    return tok, chain(pair, 2)[::2] if len(tok) else tok, begin
+    return tok, pair_keys(before, tok), begin
+
+
+def pair_keys(before: np.ndarray, tok: np.ndarray) -> np.ndarray:
+    """One key per (state, token); ``before`` is used up."""
+    before *= MULT
+    before += tok
+    for _ in range(2):
+        before ^= before >> np.uint64(31)
+        before *= MULT
+    return before
 
 
 def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

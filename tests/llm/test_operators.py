@@ -278,7 +278,7 @@ def test_lm_arcs_add_up_to_one():
     fsa = lm_score.BackoffAutomaton(words, n, pairs, m, int(n.sum()), len(words))
     unknown = 0.1 / (n.sum() + 0.1 * (len(words) + 1))
     for state, c in [*zip(words, n), (lm_score.START, 3)]:
-        keys = lm_score.chain(np.column_stack([np.full(len(words), state), words]).ravel().astype(np.uint64), 2)[::2]
+        keys = lm_score.pair_keys(np.full(len(words), state, dtype=np.uint64), words)
         at = np.searchsorted(pairs, keys)
         seen = np.where((at < len(pairs)) & (pairs[np.minimum(at, len(pairs) - 1)] == keys), m[np.minimum(at, len(pairs) - 1)], 0)
         if state == lm_score.END:
