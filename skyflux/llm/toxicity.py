@@ -95,13 +95,16 @@ def fit_logistic(x: Rows, y: np.ndarray, weight: np.ndarray, rounds: int = 250,
 
 
 def best_threshold(p: np.ndarray, y: np.ndarray, weight: np.ndarray) -> float:
-    """The cut with the largest F1, half-way to the next lower probability."""
+    """The cut with the largest F1, half-way to the next lower probability, from
+    0.1 to 0.9; 0.5 where under ten rows are positive, too few to choose by."""
+    if (y > 0).sum() < 10:
+        return 0.5
     by = np.argsort(-p, kind="stable")
     p, hit = p[by], np.cumsum((weight * y)[by])
     f1 = 2 * hit / (np.cumsum(weight[by]) + (weight * y).sum())
     f1[:-1][p[:-1] == p[1:]] = 0                             # a cut lies between different values
     at = int(np.argmax(f1))
-    return float((p[at] + (p[at + 1] if at + 1 < len(p) else 0.0)) / 2)
+    return float(np.clip((p[at] + (p[at + 1] if at + 1 < len(p) else 0.0)) / 2, 0.1, 0.9))
 
 
 def _select(buckets: list[np.ndarray], y: np.ndarray, weight: np.ndarray, size: int) -> np.ndarray:
