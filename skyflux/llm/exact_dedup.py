@@ -118,9 +118,12 @@ def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     again = ids.filter("_kept").select("_id")
     if again.isEmpty():
         return once
+    mark = "_sha"
+    while mark in docs.columns:
+        mark = "_" + mark
     keep = decided.filter("kept").select(F.col(id_col).alias("_id"), F.col("text_sha256").alias("_sha"))
     sha = F.sha2(F.regexp_replace(text_or_empty(text_col), SPACES, " "), 256)
-    rest = docs.join(again, docs[id_col].eqNullSafe(again["_id"]), "left_semi").withColumn("_sha", sha)
+    rest = docs.join(again, docs[id_col].eqNullSafe(again["_id"]), "left_semi").withColumn(mark, sha)
     rest = rest.alias("d").join(keep.alias("k"), F.col(f"d.{id_col}").eqNullSafe(F.col("k._id"))
-                                & (F.col("d._sha") == F.col("k._sha")), "left_semi").dropDuplicates([id_col, "_sha"])
-    return once.unionByName(rest.drop("_sha"))
+                                & (F.col(f"d.{mark}") == F.col("k._sha")), "left_semi").dropDuplicates([id_col, mark])
+    return once.unionByName(rest.drop(mark))
