@@ -227,3 +227,19 @@ def probability_sum_check(messages: DataFrame, arr: str = "classifications",
     total = F.aggregate(arr, F.lit(0.0).cast("double"), lambda acc, x: acc + x["probability"].cast("double"))
     return (messages.select(key, total.alias("probabilitySum"), F.size(arr).alias("nClasses"))
             .filter(F.abs(F.col("probabilitySum") - 1.0) > eps))
+
+
+def to_table_form(messages: DataFrame, arr: str = "classifications") -> DataFrame:
+    """Messages as the warehouse stores them: parallel arrays ``classid``
+    (short) and ``probability`` (float) in place of the array of structs."""
+    return messages.select(*[c for c in messages.columns if c not in (arr, "classid", "probability")],
+                           F.transform(arr, lambda x: x["classId"].cast("short")).alias("classid"),
+                           F.transform(arr, lambda x: x["probability"].cast("float")).alias("probability"))
+
+
+def from_table_form(table: DataFrame, arr: str = "classifications") -> DataFrame:
+    """The array of structs of stored messages. Arrays of different length are an error."""
+    same = F.size("classid") == F.size("probability")
+    ids = F.when(same, F.col("classid")).otherwise(F.raise_error(F.lit("classid and probability differ in length")).cast("array<short>"))
+    zipped = F.zip_with(ids, "probability", lambda c, p: F.struct(c.cast("int").alias("classId"), p.cast("float").alias("probability")))
+    return table.select(*[c for c in table.columns if c not in (arr, "classid", "probability")], zipped.alias(arr))

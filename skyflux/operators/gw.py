@@ -242,3 +242,22 @@ def skymap_manifest(maps: DataFrame, coinc: DataFrame, mjd: DataFrame, file_col:
         raise ValueError("every sky map must match exactly one SNID that has an MJD")
     return j.select(file_col, sim, key, mjd_col,
                     F.format_string(f"SNID_%d_MJD_%.{decimals}f.fits", F.col(key), F.col(mjd_col)).alias("target"))
+
+
+def mass_inversion(head: DataFrame, templates: DataFrame, candidates: DataFrame, max_mej: float = 0.05, tol: float = 0.005,
+                   key: str = "SNID", z: str = "REDSHIFT_FINAL", forward: str = "mej", **cosmology) -> DataFrame:
+    """The mass inversion as one flow: positive redshifts, template parameters,
+    ejecta mass 10^LOGMASS up to ``max_mej``, the candidate whose ``forward``
+    value is closest within ``tol``, failed inversions removed, detector-frame
+    masses and chirp mass, luminosity distance (Planck 2018 unless given)."""
+    from skyflux.functions.physics import ejecta_from_log
+    from skyflux.operators.filters import drop_failed_masses, max_ejecta, positive_redshift
+    h = attach_template_params(positive_redshift(head, z), templates)
+    h = max_ejecta(h.withColumn("mej", ejecta_from_log("LOGMASS")), "mej", max_mej)
+    hit = match_within_tolerance(h.select(F.col(key).alias("target_id"), F.col("mej").alias("x")),
+                                 candidates.select("cand_id", F.col(forward).alias("x")), tol=tol)
+    hit = hit.select(F.col("target_id").alias(key), "cand_id").join(
+        candidates.select("cand_id", F.col("m1").alias("mass1_source"), F.col("m2").alias("mass2_source")), "cand_id", "left")
+    out = h.select(key, F.col(z).alias("redshift"), "mej").join(hit, key)
+    out = detector_frame(drop_failed_masses(out, "mass1_source", "mass2_source"))
+    return luminosity_distance(out, "redshift", **(cosmology or PLANCK18))

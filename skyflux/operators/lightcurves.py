@@ -250,3 +250,26 @@ def sample_objects(df: DataFrame, key: str = "SNID", seed: int = 0, k: int = 1)
 def head(df: DataFrame, key: str, n: int = 5) -> DataFrame:
     """ORD4: the first ``n`` rows in key order (top-k, not a full sort)."""
     return df.orderBy(key).limit(n)
+
+
+def class_lightcurves(phot: DataFrame, head: DataFrame, truth: DataFrame | None = None, key: str = "SNID",
+                      file_num: str | list[str] | None = None, agg: bool = False, include_header: bool = False,
+                      include_truth: bool = False) -> DataFrame:
+    """The whole reader in one call: photometry of a class (or of some of its
+    files) given its objects, separators removed. With ``agg`` one row per
+    object, to which HEAD columns and object truth are joined on request
+    (clashing names get ``_right``)."""
+    if file_num is not None:
+        some = [file_num] if isinstance(file_num, str) else list(file_num)
+        phot, head = phot.filter(F.col("file_num").isin(some)), head.filter(F.col("file_num").isin(some))
+    curves = assign_object_ids(phot, head, key)
+    if not agg:
+        return curves
+    out = nest_lightcurves(curves.drop("file_num", "row_idx", "survey_dir"), key)
+    if include_header:
+        out = join_head(out, head, key)
+    if include_truth:
+        if truth is None:
+            raise ValueError("include_truth needs the truth table")
+        out = join_truth(out, truth, key)
+    return out

@@ -118,3 +118,21 @@ def map_gentype_class(df: DataFrame, class_map: DataFrame, class_col: str = "cla
     key = class_at_level(class_col, level) if level is not None else F.col(class_col)
     x = df.withColumn("__lv", lv.cast("int")).withColumn("__anc", key.cast("int"))
     return x.join(m, ["__lv", "__anc"], "inner").drop("__lv", "__anc")
+
+
+def class_id_table(spark: SparkSession, class_map: DataFrame, map_class: str = "classId", gentype: str = "gentype") -> DataFrame:
+    """Every class of the taxonomy with its name, the sorted model types
+    (``gentypes``) whose class it is or contains, and how precise the id is:
+    one boolean per digit that is not 0, from most general to exact."""
+    level = class_level("classId")
+    t = taxonomy_table(spark).select("classId", F.col("name").alias("description")).withColumn("__lv", level)
+    anc = F.explode(F.array(*[F.struct(F.lit(lv).alias("lv"), class_at_level(map_class, lv).alias("anc"))
+                               for lv in (1, 2, 3, 4)])).alias("__a")
+    types = (class_map.select(F.col(gentype).alias("__g"), anc).select("__g", F.col("__a.lv").alias("__lv"), F.col("__a.anc").alias("classId"))
+             .groupBy("classId", "__lv").agg(F.array_sort(F.collect_set("__g")).alias("gentypes")))
+    digit = lambda k: (F.floor(F.col("classId") / k) % 10) != 0
+    out = t.join(types, ["classId", "__lv"], "left")
+    return out.select("classId", "description",
+                      F.coalesce("gentypes", F.array().cast(types.schema["gentypes"].dataType)).alias("gentypes"),
+                      digit(1000).alias("generalmatch"), digit(100).alias("broadmatch"),
+                      digit(10).alias("categorymatch"), digit(1).alias("exactmatch"))

@@ -247,3 +247,29 @@ def q_rollup_probabilities_named(spark, d):
     r = tx.rollup_probabilities(B.messages_emb(spark, d), ["messageId"])
     names = F.broadcast(tx.taxonomy_table(spark).select("classId", "name"))   # fixed tens of rows
     return r.join(names, "classId", "left").select("messageId", "level", "classId", "name", "probability")
+
+
+@query("class_id_table", with_(TRUTH_EV, _taxonomy_values()) + """
+, g AS (SELECT DISTINCT GENTYPE AS gentype, 2222 + GENTYPE % 5 AS c FROM truth_ev),
+lv AS (SELECT *, CASE WHEN classId = 0 THEN 0 WHEN classId % 1000 = 0 THEN 1000 WHEN classId % 100 = 0 THEN 100
+                      WHEN classId % 10 = 0 THEN 10 ELSE 1 END AS k FROM tax)
+SELECT lv.classId, lv.name AS description,
+       coalesce(string_agg(CAST(g.gentype AS VARCHAR), ',' ORDER BY g.gentype), '') AS gentypes,
+       (classId // 1000) % 10 <> 0 AS generalmatch, (classId // 100) % 10 <> 0 AS broadmatch,
+       (classId // 10) % 10 <> 0 AS categorymatch, classId % 10 <> 0 AS exactmatch
+FROM lv LEFT JOIN g ON lv.k > 0 AND (g.c // lv.k) * lv.k = lv.classId GROUP BY lv.classId, lv.name""".replace("\n, g AS", ",\ng AS", 1))
+def q_class_id_table(spark, d):
+    """Every class id with its description, model types of the data and match level."""
+    t = tx.class_id_table(spark, B.class_map_ev(spark, d))
+    return t.withColumn("gentypes", F.array_join(F.col("gentypes").cast("array<string>"), ","))
+
+
+@query("messages_table_form", with_(PHOT_EV, ALERTS_EV, MESSAGES_EMB, _MSG_OBJ) + """
+SELECT trueClassId, classifierId, diaObjectId, classId, max(CAST(CAST(probability AS FLOAT) AS DOUBLE)) AS maxProbability
+FROM mo GROUP BY trueClassId, classifierId, diaObjectId, classId""", ["maxProbability"])
+def q_messages_table_form(spark, d):
+    """Messages stored as parallel arrays, read back and aggregated (AGG12)."""
+    stored = cl.to_table_form(B.messages_emb(spark, d))
+    m = cl.from_table_form(stored).join(B.sources_ev(spark, d).select("diaSourceId", "diaObjectId"), "diaSourceId")
+    long = tx.explode_classifications(m.select("trueClassId", "classifierId", "diaObjectId", "classifications"))
+    return cl.max_probabilities(long)

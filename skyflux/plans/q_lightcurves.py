@@ -331,3 +331,20 @@ def q_apply_converters(spark, d):
         "BAND")
     out = apply_converters(p, {"PHOTFLAG": "int", "BAND": lambda c: F.upper(c)})
     return out.select("obs_id", F.col("PHOTFLAG").cast("int").alias("PHOTFLAG"), "BAND")
+
+
+@query("class_lightcurves", with_(PHOT_EV, PHOT_RAW, TRUTH_EV) + """
+SELECT p.SNID, count(*) AS npts, min(p.MJD) AS mjd_first, any_value(h.PTROBS_MIN) AS PTROBS_MIN,
+       any_value(t.ZCMB) AS ZCMB, any_value(h.PTROBS_MAX) AS PEAKMJD, any_value(t.GENTYPE) AS PEAKMJD_right
+FROM phot_pos p JOIN head_ev h ON p.SNID = h.SNID JOIN truth_ev t ON t.SNID = p.SNID
+WHERE p.file_num = (SELECT min(file_num) FROM phot_pos) GROUP BY p.SNID""", ["mjd_first", "ZCMB"])
+def q_class_lightcurves(spark, d):
+    """The whole reader: one file's curves, one row per object, with HEAD and
+    truth joined; both have a column PEAKMJD, so truth's gets the suffix."""
+    raw, head = B.phot_files(spark, d)
+    first = head.agg(F.min("file_num")).first()[0]
+    truth = B.truth_ev(spark, d).withColumn("PEAKMJD", F.col("GENTYPE"))
+    out = lc.class_lightcurves(raw, head.withColumn("PEAKMJD", F.col("PTROBS_MAX")), truth, file_num=first, agg=True,
+                               include_header=True, include_truth=True)
+    return out.select("SNID", F.size("MJD").cast("long").alias("npts"), F.array_min("MJD").alias("mjd_first"), "PTROBS_MIN",
+                      "ZCMB", "PEAKMJD", "PEAKMJD_right")

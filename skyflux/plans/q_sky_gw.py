@@ -308,3 +308,33 @@ def q_skymap_manifest(spark, d):
     coinc = gw.join_gw_head(sim, first.select("SNID"))
     maps = coinc.select(F.concat(F.lit("skymaps/"), F.col("simulation_id").cast("string"), F.lit(".fits")).alias("path"))
     return gw.skymap_manifest(maps, coinc, first, decimals=6)
+
+
+_PLANCK_GRID_SQL = _GRID_SQL.replace("0.3 AS", "0.30966 AS").replace("CAST(70 AS DOUBLE)", "CAST(67.66 AS DOUBLE)")
+
+
+@query("mass_inversion", with_(TRUTH_EV, _TEMPLATE_SQL, _PLANCK_GRID_SQL) + """
+, cand AS (
+  SELECT i AS cand_id, 0.87 + (i // 51) * (0.73 / 73) AS mc, 0.5 + (i % 51) * 0.01 AS q, (i // 51) * 0.0005 AS mej
+  FROM range(0, 3774) r(i)),
+one AS (SELECT mej, min(cand_id) AS cand_id FROM cand GROUP BY mej),
+tgt AS (SELECT h.SNID, h.REDSHIFT_FINAL AS redshift, pow(10.0, t.LOGMASS) AS mej
+        FROM head h JOIN tpl t ON h.SIM_TEMPLATE_INDEX = t.SIM_TEMPLATE_INDEX
+        WHERE h.REDSHIFT_FINAL > 0 AND pow(10.0, t.LOGMASS) <= 0.05),
+best AS (SELECT tgt.*, arg_min(one.cand_id, [abs(one.mej - tgt.mej), CAST(one.cand_id AS DOUBLE)]) AS cand_id
+         FROM tgt JOIN one ON abs(one.mej - tgt.mej) <= 0.0002 GROUP BY ALL),
+m AS (SELECT best.*, mc * pow(1 + q, 1.2) / pow(q, 0.6) / (1 + q) AS m1,
+             mc * pow(1 + q, 1.2) / pow(q, 0.6) - mc * pow(1 + q, 1.2) / pow(q, 0.6) / (1 + q) AS m2
+      FROM best JOIN cand USING (cand_id))
+SELECT m.SNID, m.redshift, m.mej, m.cand_id, m1 * (1 + redshift) AS mass1, m2 * (1 + redshift) AS mass2,
+       pow(m1 * (1 + redshift) * (m2 * (1 + redshift)), 0.6) / pow(m1 * (1 + redshift) + m2 * (1 + redshift), 0.2) AS chirp_mass,
+       round(s.d0 + ((redshift - s.z0) / CAST(0.0001 AS DOUBLE)) * (s.d1 - s.d0), 3) AS distance
+FROM m LEFT JOIN seg s ON s.i = CAST(floor(redshift / CAST(0.0001 AS DOUBLE)) AS BIGINT)""".replace("\n, cand AS", ",\ncand AS", 1),
+       ["redshift", "mej", "mass1", "mass2", "chirp_mass", "distance"])
+def q_mass_inversion(spark, d):
+    """Filter, template, ejecta mass, closest candidate of the grid (forward
+    value: 0.0005 per chirp-mass step), detector frame, distance."""
+    grid = gw.candidate_grid(spark)
+    cand = grid.withColumn("mej", F.floor(F.col("cand_id") / 51) * F.lit(0.0005))
+    out = gw.mass_inversion(B.head_kn(spark, d), B.template_index(spark, d), cand, tol=0.0002)
+    return out.select("SNID", "redshift", "mej", "cand_id", "mass1", "mass2", "chirp_mass", F.round("distance", 3).alias("distance"))

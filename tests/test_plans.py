@@ -10,7 +10,7 @@ BOUNDED_SINGLE_PARTITION = {
     "classifier_dim",          # rank over the distinct classifier identities
     "load_totals", "cumulative_counts",      # running sums over one row per batch
     "simulation_ids",          # offsets over one row per slice
-    "luminosity_distance", "redshift_from_distance", "luminosity_distance_far", "redshift_from_distance_far",   # fixed cosmology grid
+    "luminosity_distance", "redshift_from_distance", "luminosity_distance_far", "redshift_from_distance_far", "mass_inversion",   # cosmology grid
 }
 WRITES_FIXTURES = {"read_fits_lightcurves", "read_alert_archive", "convert_to_parquet", "stream_nightly_counts",
                    "stream_dedupe", "stream_ingest_alert_ids", "stream_classify", "stream_detections",
