@@ -112,17 +112,27 @@ def associate_by_position(sources: DataFrame, objects: DataFrame, radius_arcsec:
 
 def skymap_crossmatch(objects: DataFrame, pixels: DataFrame, obj_pix: str = "ipix",
                       map_id: str = "map_id", pix_lo: str = "pix_lo", pix_hi: str = "pix_hi",
-                      prob: str = "prob", area: str = "area", bucket: int = 4096) -> DataFrame:
+                      prob: str = "prob", area: str = "area", bucket: int = 4096, credible: float | None = None,
+                      pairs: DataFrame | None = None, obj_id: str = "objectId") -> DataFrame:
     """JOIN15: for each object and sky map, the probability density of the
     pixel holding it and the searched probability (the summed probability of
     all pixels at least as dense, ties by pixel start).
 
+    Without limits that is every object in every map. ``credible`` keeps only
+    the pixels of each map's credible region of that level (densest first, until
+    the level is reached), so an object meets the few maps that can hold it;
+    ``pairs`` (``obj_id``, ``map_id``) names the pairs to be scored. Both cut before the join.
+
     Objects find their pixel through a bucketed interval join; the cumulative
     probability is a running sum per map (``ordered.running_sum``), computed
     once per pixel (not per object)."""
     px = pixels.withColumn("density", F.col(prob) / F.col(area))
     # running sum per map, range-sliced so a large map spans many tasks
     ranked = running_sum(px, [map_id], ["density", pix_lo], prob, "searched_prob", descending=True)
-    hit = interval_join(objects, ranked.select(map_id, pix_lo, pix_hi, "density", "searched_prob"),
-                        obj_pix, pix_lo, pix_hi, by=None, bucket=bucket)
-    return hit
+    if credible is not None:
+        ranked = ranked.filter(F.col("searched_prob") - F.col(prob) < credible)
+    ranked = ranked.select(map_id, pix_lo, pix_hi, "density", "searched_prob")
+    if pairs is None:
+        return interval_join(objects, ranked, obj_pix, pix_lo, pix_hi, by=None, bucket=bucket)
+    wanted = objects.join(pairs.select(obj_id, map_id).distinct(), obj_id)
+    return interval_join(wanted, ranked, obj_pix, pix_lo, pix_hi, by=[map_id], bucket=bucket)

@@ -149,6 +149,34 @@ def q_band_features(spark, d):
     return bf.select(*cols)
 
 
+_ALL = ["mjd", "fluxcal", "fluxcalerr", "photflag", "mag", "magerr", "snr", "delta_t", "value2"]
+
+
+@query("band_features_all", with_(PHOT_EV) + """
+, pts AS (
+  SELECT SNID, BAND, MJD, FLUXCAL, FLUXCALERR, PHOTFLAG, MJD - lag(MJD) OVER (PARTITION BY SNID, BAND ORDER BY MJD, obs_id) AS dt,
+         least(1.086 * (FLUXCALERR / abs(FLUXCAL)), 0.5) <> 0 AND PHOTFLAG <> 0 AS keep
+  FROM phot_ev WHERE BAND IN ('g', 'r', 'i')),
+o AS (SELECT DISTINCT SNID FROM phot_ev),
+b AS (SELECT * FROM o CROSS JOIN (VALUES ('g'), ('r'), ('i')) v(BAND))
+SELECT b.SNID, b.BAND AS band, coalesce(sum(MJD) FILTER (keep), 0) AS mjd, coalesce(sum(FLUXCAL) FILTER (keep), 0) AS fluxcal,
+       coalesce(sum(FLUXCALERR) FILTER (keep), 0) AS fluxcalerr, CAST(coalesce(sum(PHOTFLAG) FILTER (keep), 0) AS DOUBLE) AS photflag,
+       coalesce(sum(-2.5 * log10(abs(FLUXCAL)) + 27.5) FILTER (keep), 0) AS mag,
+       coalesce(sum(least(1.086 * (FLUXCALERR / abs(FLUXCAL)), 0.5)) FILTER (keep), 0) AS magerr,
+       coalesce(sum(FLUXCALERR / abs(FLUXCAL)) FILTER (keep), 0) AS snr, coalesce(sum(dt), 0) AS delta_t,
+       coalesce(sum(FLUXCAL * 2), 0) AS value2, median(dt) AS median_delta_t, median(dt) AS magobs
+FROM b LEFT JOIN pts p ON p.SNID = b.SNID AND p.BAND = b.BAND GROUP BY b.SNID, b.BAND""".replace("\n, pts AS", ",\npts AS", 1),
+       [*_ALL, "median_delta_t", "magobs"])
+def q_band_features_all(spark, d):
+    """FN5: every column of every band, arrays shown as their sums; with an extra column."""
+    bf = fe.band_features(B.phot_ev(spark, d).withColumn("VALUE2", F.col("FLUXCAL") * 2), extra=["VALUE2"])
+    total = lambda c: F.aggregate(F.coalesce(F.col(c).cast("array<double>"), F.array().cast("array<double>")),
+                                  F.lit(0.0), lambda s, x: s + x)
+    row = lambda b: F.struct(F.lit(b).alias("band"), *[total(f"{c}_{b}").alias(c) for c in _ALL],
+                             F.col(f"median_delta_t_{b}").alias("median_delta_t"), F.col(f"magobs_{b}").alias("magobs"))
+    return bf.select("SNID", F.explode(F.array(*[row(b) for b in "gri"])).alias("r")).select("SNID", "r.*")
+
+
 @query("peakmag_cut", with_(PHOT_EV) + """
 , pb AS (SELECT SNID, BAND, -2.5 * log10(abs(max(FLUXCAL))) + 27.5 AS mag FROM phot_ev
          WHERE BAND IN ('g', 'r', 'i') GROUP BY SNID, BAND),

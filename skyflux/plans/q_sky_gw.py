@@ -64,6 +64,27 @@ def q_skymap_crossmatch(spark, d):
     return sky.skymap_crossmatch(objs, B.skymap_pixels(spark, d), bucket=16)
 
 
+@query("skymap_crossmatch_credible", with_(SKY_OBJECTS, _PIX_SQL) + """
+SELECT o.objectId, o.ipix, r.map_id, r.pix_lo, r.pix_hi, r.density, r.searched_prob
+FROM obj o JOIN ranked r ON o.ipix >= r.pix_lo AND o.ipix < r.pix_hi
+WHERE r.searched_prob - r.prob < 0.5""", ["density", "searched_prob"])
+def q_skymap_crossmatch_credible(spark, d):
+    """JOIN15 inside the 50% credible region of each map."""
+    objs = B.sky_objects(spark, d).select("objectId", B.sky_ipix().alias("ipix"))
+    return sky.skymap_crossmatch(objs, B.skymap_pixels(spark, d), bucket=16, credible=0.5)
+
+
+@query("skymap_crossmatch_pairs", with_(SKY_OBJECTS, _PIX_SQL) + """
+SELECT o.objectId, o.ipix, r.map_id, r.pix_lo, r.pix_hi, r.density, r.searched_prob
+FROM obj o JOIN (SELECT DISTINCT o_custkey AS c, o_orderpriority AS m FROM orders) p ON p.c = o.objectId
+JOIN ranked r ON r.map_id = p.m AND o.ipix >= r.pix_lo AND o.ipix < r.pix_hi""", ["density", "searched_prob"])
+def q_skymap_crossmatch_pairs(spark, d):
+    """JOIN15 for named (object, map) pairs: a customer and the priorities of its orders."""
+    objs = B.sky_objects(spark, d).select("objectId", B.sky_ipix().alias("ipix"))
+    pairs = B.table(spark, d, "orders").select(F.col("o_custkey").alias("objectId"), F.col("o_orderpriority").alias("map_id"))
+    return sky.skymap_crossmatch(objs, B.skymap_pixels(spark, d), bucket=16, pairs=pairs)
+
+
 @query("match_within_tolerance", with_(TARGETS) + """
 , best AS (
   SELECT target_id, cand_id, cx, d FROM (

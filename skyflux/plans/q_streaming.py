@@ -181,16 +181,16 @@ def q_replay_nights(spark, d):
 @query("ack_sent", with_(PHOT_EV, ALERTS_EV) + "SELECT alertId FROM alerts_ev")
 def q_ack_sent(spark, d):
     """STR6: acknowledgements of a stream with re-sent alerts, each id once."""
-    recs = _alert_records(spark, d)
+    recs = _alert_records(spark, d).withColumn("night", F.floor("diaSource.midPointTai").cast("int"))
     path = scratch_path(spark, "ack-in")
     recs.write.mode("overwrite").parquet(f"{path}/a")
     recs.filter(F.col("diaSource.filterName") == "g").write.mode("overwrite").parquet(f"{path}/b")
     s = sio.read_alert_stream(spark, fmt="parquet", path=f"{path}/*", schema=recs.schema, max_per_trigger=1)
     ack, ckpt = scratch_path(spark, "ack"), scratch_path(spark, "ack-ckpt")
     q = (s.writeStream.option("checkpointLocation", ckpt)
-         .foreachBatch(lambda b, _: sops.ack_sent(b, ack)).trigger(availableNow=True).start())
+         .foreachBatch(lambda b, _: sops.ack_sent(b, ack, night="night")).trigger(availableNow=True).start())
     sio.run_bounded(q)
-    return spark.read.parquet(ack)
+    return spark.read.parquet(ack).select("alertId")
 
 
 @query("message_to_json", with_(PHOT_EV, ALERTS_EV) + """

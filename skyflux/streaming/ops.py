@@ -66,16 +66,23 @@ def replay_nights(spark: SparkSession, alerts: DataFrame, ledger_path: str, out_
     return todo
 
 
-def ack_sent(batch: DataFrame, ack_path: str, keys: list[str] | None = None) -> int:
+def ack_sent(batch: DataFrame, ack_path: str, keys: list[str] | None = None, night: str | None = None) -> int:
     """STR6: record the ids of a sent batch in an ack table, once each
     (duplicates inside the batch and ids already acknowledged are skipped).
-    Use as the body of ``foreachBatch``. Returns rows appended."""
+    Use as the body of ``foreachBatch``. Returns rows appended.
+
+    With ``night`` (an integer column, a function of the keys) the table is
+    partitioned by it and a batch reads back only its own nights, so its cost
+    does not grow with the campaign."""
     from pyspark.sql.utils import AnalysisException
-    keys = keys or ["alertId"]
+    keys = [*(keys or ["alertId"]), *([night] if night else [])]
     spark = batch.sparkSession
     ids = batch.select(*keys)
     try:
         existing = spark.read.parquet(ack_path)
+        if night:
+            nights = [r[0] for r in ids.select(night).distinct().collect()]            # the nights of one micro-batch
+            existing = existing.filter(F.col(night).isin(nights)).select(*keys)
     except AnalysisException:
         existing = spark.createDataFrame([], ids.schema)
     new = append_new_only(ids, existing, keys)
@@ -85,7 +92,8 @@ def ack_sent(batch: DataFrame, ack_path: str, keys: list[str] | None = None) ->
     staged = checkpoint_table(new, "ack")
     n = staged.count()
     if n:
-        staged.write.mode("append").parquet(ack_path)
+        w = staged.write.mode("append")
+        (w.partitionBy(night) if night else w).parquet(ack_path)
     return n
 
 
