@@ -25,13 +25,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from skyflux.llm.common import by_chars
+from skyflux.llm.common import by_chars, give_back_memory
 from skyflux.llm.pretokens import Cutter, PieceCache, newer_code_points
 
 #: Pre-tokens and states kept by a worker; characters encoded at a time.
-CACHE = 400_000
-STATES = 120_000
-CHUNK = 4_000_000
+CACHE = 300_000
+STATES = 60_000
+CHUNK = 3_000_000
 
 
 def parse_ranks(data: bytes) -> dict[bytes, int]:
@@ -67,15 +67,18 @@ class Transducer:
     def __init__(self, ranks: dict[bytes, int], max_states: int = STATES):
         self.ranks, self.max_states = ranks, max_states
         self.bytes_of = {i: t for t, i in ranks.items()}
-        self._kids: list[dict[int, int]] = [{}]           # trie
+        self._kids: list[dict[int, int]] = [{}]           # trie; leaves share one empty dict
+        leaf: dict[int, int] = {}
         self._token: list[int] = [-1]
         for tok, i in ranks.items():
             node = 0
             for b in tok:
                 nxt = self._kids[node].get(b)
                 if nxt is None:
+                    if self._kids[node] is leaf:
+                        self._kids[node] = {}
                     nxt = self._kids[node][b] = len(self._kids)
-                    self._kids.append({})
+                    self._kids.append(leaf)
                     self._token.append(-1)
                 node = nxt
             self._token[node] = i
@@ -244,6 +247,7 @@ class Coder:
 
     def __init__(self, ranks: bytes, pattern: str, odd: str):
         self._cut, fst = Cutter(pattern, odd), Transducer(parse_ranks(ranks))
+        self.bytes_of = fst.bytes_of
         self._cache = PieceCache(lambda ps: fst.encode_sorted([p.encode("utf-8", "surrogatepass") for p in ps]), CACHE)
 
     def __call__(self, texts: list[str]) -> list[bytes]:
@@ -261,6 +265,7 @@ def _coder(ranks: bytes, pattern: str, odd: str) -> Coder:
     key = (hash(ranks), pattern)
     if key not in _CODERS:
         _CODERS.clear()
+        give_back_memory()                                # of earlier stages in a reused worker
         gc.set_threshold(200_000, 20, 100)                # states and caches are long-lived: scan them rarely
         _CODERS[key] = Coder(ranks, pattern, odd)
     return _CODERS[key]
@@ -306,7 +311,7 @@ def bpe_encode(docs: DataFrame, vocab_path: str, pattern: str, text_col: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _coder(vocab.value, pattern, odd)
-        decode = _decoder({i: t for t, i in parse_ranks(vocab.value).items()}, step) if decoded_col else None
+        decode = _decoder(encode.bytes_of, step) if decoded_col else None
         for batch in batches:
             for b in by_chars(batch, text_col, CHUNK):
                 ids = encode([t or "" for t in b.column(text_col).to_pylist()])

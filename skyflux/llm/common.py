@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -72,6 +75,25 @@ def chain(h: np.ndarray, n: int) -> np.ndarray:
     return mix64(out)
 
 
+def give_back_memory() -> None:
+    """Return freed memory to the system. Workers are reused from stage to
+    stage, and allocators keep what an earlier stage has freed."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)          # glibc only
+    if trim is not None:
+        trim(0)
+
+
+@contextmanager
+def lean():
+    """Around a task's work in a worker that later tasks reuse."""
+    try:
+        yield
+    finally:
+        give_back_memory()
+
+
 def by_chars(batch: pa.RecordBatch, column: str, size: int) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with about ``size`` bytes in ``column`` each (a longer
     value is its own slice), so that a worker holds few long texts at once."""

@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyflux.llm.common import MULT, checkpoint_table, shuffle_partitions, text_or_empty, word_hashes, words
+from skyflux.llm.common import MULT, checkpoint_table, give_back_memory, shuffle_partitions, text_or_empty, word_hashes, words
 
 MU = 5.0
 SHARD_BYTES = 8_000_000
@@ -101,6 +101,7 @@ def _requests(sharded: DataFrame, buckets: int) -> DataFrame:
     shift = np.uint64(64 - bits)
 
     def ask(pdf: pd.DataFrame) -> pd.DataFrame:
+        give_back_memory()
         tok, pair, begin = _tokens(pdf["text"])
         train = np.repeat(~pdf["held_out"].to_numpy(dtype=bool), np.diff(np.append(begin, len(tok))))
         rows = []
@@ -188,6 +189,7 @@ def lm_scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_co
     def score(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left):
             return pd.DataFrame({c: [] for c in ("id", "held_out", "n_tokens", "n_known", "base_score", "score")})
+        give_back_memory()
         tok, pair, begin = _tokens(left["text"])
         got = right.sort_values("bucket")
         counts = {k: np.concatenate([_unpack_counts(x) for x in got["n"][got["kind"] == k]]) for k in (1, 2)}

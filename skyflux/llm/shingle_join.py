@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyflux.llm.common import by_chars, chain, checkpoint_table, mix64, shuffle_partitions, small_side, word_hashes, words
+from skyflux.llm.common import by_chars, chain, checkpoint_table, lean, mix64, shuffle_partitions, small_side, word_hashes, words
 
 WIDTH = 5
 GROUPS = 64
@@ -155,7 +155,8 @@ def _shared_counts(sets: DataFrame, buckets: int) -> DataFrame:
             one[1:] = (h[1:] != h[:-1]) | (who[1:] != who[:-1]) | (step[1:] != step[:-1])
             h, who, step = h[one], who[one], step[one]
             node, n = np.unique(who[_linkable(h, step) & (who != 0)], return_counts=True)
-        return pd.DataFrame({"node": node.astype(np.int64), "shared": n.astype(np.int64)})
+        with lean():
+            return pd.DataFrame({"node": node.astype(np.int64), "shared": n.astype(np.int64)})
 
     packed = sets.select("sig", "n", "prefix").mapInArrow(pack, "bucket int, h binary, who binary, step binary")
     return packed.groupBy("bucket").applyInPandas(count, "node long, shared long").groupBy("node").agg(
@@ -267,7 +268,8 @@ def _tile_links(live: DataFrame) -> DataFrame:
         every, same = np.arange(len(ids)), pdf["i"].iloc[0] == pdf["j"].iloc[0]
         is_left = pdf["is_left"].to_numpy(dtype=bool)
         left, right = (every, every) if same else (every[is_left], every[~is_left])
-        return pd.DataFrame(_forest(ids, sets, left, right, same), columns=["a", "b"], dtype="int64")
+        with lean():
+            return pd.DataFrame(_forest(ids, sets, left, right, same), columns=["a", "b"], dtype="int64")
 
     routed = tiled.select("id", "tile", "set").mapInPandas(route, "i long, j long, is_left boolean, id long, set binary")
     return routed.groupBy("i", "j").applyInPandas(join, "a long, b long")

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skyflux.llm.common import by_chars, words
+from skyflux.llm.common import by_chars, give_back_memory, lean, words
 
 #: Labelled rows that a chain is fitted on, at most.
 SAMPLE = 20_000
@@ -188,7 +188,8 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], id_
             pdf = pd.concat(got).drop_duplicates("_id").sort_values("_id")
             got.clear()
             y = pdf[[f"_y{i}" for i in range(len(names))]].to_numpy()
-            models = fit_chain([np.frombuffer(b, dtype=np.int32) for b in pdf["x"]], y, pdf["_w"].to_numpy(), names)
+            with lean():
+                models = fit_chain([np.frombuffer(b, dtype=np.int32) for b in pdf["x"]], y, pdf["_w"].to_numpy(), names)
         yield pd.DataFrame({"model": [pickle.dumps(models)]})
 
     # features are made where the texts are; only the bounded sample's meet in one task (a shuffle: coalesce()
@@ -243,6 +244,8 @@ def predict(docs: DataFrame, models: list[dict], id_col: str = "doc_id", text_co
                             p[i, c] = _sigmoid(w[at].sum() + p[i, :c] @ chain + bias)
                 yield pa.RecordBatch.from_arrays([b.column(c) for c in keep] + [pa.array(p[:, c]) for c in range(len(models))],
                                                  names=[*keep, *names])
+        seen.clear()
+        give_back_memory()                                    # the worker is reused by later stages
 
     cols = [*keep, *([text_col] if text_col not in keep else [])]
     return docs.select(*cols).mapInArrow(run, schema)
