@@ -108,18 +108,20 @@ def nest_lightcurves(df: DataFrame, key: str | list[str] = "SNID", order: tuple[
 def _chunked(df: DataFrame, keys: list[str], order: list[str], rest: list[str], max_points: int) -> DataFrame:
     """``chunk`` = position in (order + rest) within the key, div ``max_points``.
 
-    With two or more order columns the first one (e.g. the band) becomes part
-    of the group and positions within (key, band) come from the skew-safe
-    ``ordered.ranked`` (sliced on the numeric second column); band offsets
-    come from a table with one row per (key, band)."""
+    A text column that comes first in the order (the band) becomes part of the
+    group: positions within (key, band) come from the skew-safe
+    ``ordered.ranked`` (sliced on the numeric second column) and band offsets
+    from a table with one row per (key, band). A number that comes first (the
+    time) is what the slices are cut on."""
     from pyspark.sql import Window
     from skyflux.operators.ordered import ranked
-    if len(order) >= 2:
+    by_band = len(order) >= 2 and dict(df.dtypes)[order[0]] == "string"
+    if by_band:
         groups, within = [*keys, order[0]], order[1:] + rest
     else:
         groups, within = keys, order + rest
     r = ranked(df, groups, within)
-    if len(order) >= 2:
+    if by_band:
         sizes = r.select(*groups, "__cnt").distinct()
         w = Window.partitionBy(*keys).orderBy(order[0]).rowsBetween(Window.unboundedPreceding, -1)
         sizes = sizes.withColumn("__boff", F.coalesce(F.sum("__cnt").over(w), F.lit(0))).drop("__cnt")

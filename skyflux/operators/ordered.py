@@ -83,7 +83,7 @@ def ranked(df: DataFrame, groups: list[str], order: list[str], value: str | None
     if not sliced:
         # every group has at most max_rows rows: a plain window per group
         w = Window.partitionBy(*groups).orderBy(*oc)
-        out = s.drop("__k").withColumn("__rank", F.row_number().over(w) - 1) \
+        out = s.drop("__k").withColumn("__rank", (F.row_number().over(w) - 1).cast("long")) \
             .withColumn("__cnt", F.count(F.lit(1)).over(Window.partitionBy(*groups)))
         return out.withColumn("__prev", F.lag(value).over(w)) if value else out
     w = Window.partitionBy(*groups, "__k").orderBy(*oc)
@@ -103,7 +103,7 @@ def ranked(df: DataFrame, groups: list[str], order: list[str], value: str | None
     if value:
         per = per.withColumn("__plast", F.lag("__last").over(wg))
     out = s.join(per.drop("__n", *(["__last"] if value else [])), [*groups, "__k"])
-    out = out.withColumn("__rank", F.col("__off") + F.col("__lr"))
+    out = out.withColumn("__rank", (F.col("__off") + F.col("__lr")).cast("long"))
     if value:
         out = out.withColumn("__prev", F.when(F.col("__lr") == 0, F.col("__plast")).otherwise(F.col("__lprev")))
     return out.drop("__k", "__lr", "__off", *(["__lprev", "__plast"] if value else []))
@@ -119,11 +119,14 @@ def ordered_lag(df: DataFrame, groups: list[str], order: list[str], value: str,
 def exact_median(df: DataFrame, groups: list[str], value: str, name: str = "median",
                  max_rows: int = MAX_ROWS, top: int | None = None) -> DataFrame:
     """Exact median per group (mean of the two middle values for even counts)
-    without holding any group in one task: rank, then keep the middle rows."""
-    v = df.filter(F.col(value).isNotNull()).select(*groups, value)
-    r = ranked(v, groups, [value], None, max_rows=max_rows, top=top)
-    mid = r.filter((F.col("__rank") == F.floor((F.col("__cnt") - 1) / 2))
-                   | (F.col("__rank") == F.ceil((F.col("__cnt") - 1) / 2)))
+    without holding any group in one task. Equal values are counted first, so
+    a value that most rows of a group share is one row; the running count over
+    distinct values then finds the one or two that hold the middle positions."""
+    v = (df.filter(F.col(value).isNotNull()).groupBy(*groups, value).agg(F.count(F.lit(1)).alias("__c")))
+    r = running_sum(v, groups, [value], "__c", "__upto", max_rows=max_rows)
+    r = r.join(v.groupBy(*groups).agg(F.sum("__c").alias("__cnt")), groups)
+    holds = lambda at: (F.col("__upto") - F.col("__c") <= at) & (at < F.col("__upto"))
+    mid = r.filter(holds(F.floor((F.col("__cnt") - 1) / 2)) | holds(F.ceil((F.col("__cnt") - 1) / 2)))
     return mid.groupBy(*groups).agg(F.avg(value).alias(name))
 
 
@@ -142,6 +145,6 @@ def running_sum(df: DataFrame, groups: list[str], order: list[str], value: str,
     s = s.withColumn("__local", F.sum(value).over(w))
     per = s.groupBy(*groups, "__k").agg(F.sum(value).alias("__tot"))
     wg = Window.partitionBy(*groups).orderBy("__k").rowsBetween(Window.unboundedPreceding, -1)
-    per = per.withColumn("__off", F.coalesce(F.sum("__tot").over(wg), F.lit(0.0)))
+    per = per.withColumn("__off", F.coalesce(F.sum("__tot").over(wg), F.lit(0)))    # the sum's own type
     return (s.join(per.drop("__tot"), [*groups, "__k"])
             .withColumn(name, F.col("__off") + F.col("__local")).drop("__k", "__local", "__off"))

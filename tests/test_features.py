@@ -97,3 +97,26 @@ def test_cut_windows_null_rule(spark):
     w = {"PEAKMAG_g": (14, 24), "PEAKMAG_r": (14, 24)}
     assert sorted(r.SNID for r in flt.cut_windows(df, w, allow_null=True).collect()) == [1, 3]
     assert sorted(r.SNID for r in flt.cut_windows(df, w).collect()) == []
+
+
+def test_ordered_types_and_ties(spark):
+    """One type below and above the slicing size, and a median where most values are equal."""
+    from skyflux.operators.ordered import exact_median, ranked, running_sum
+    df = spark.createDataFrame([(1, i % 7, i) for i in range(500)] + [(2, 5, 0)] * 300 + [(2, i, 0) for i in range(6)], "g int, v long, i long")
+    for n in (100, 10_000):
+        assert dict(ranked(df, ["g"], ["v", "i"], max_rows=n).dtypes)["__rank"] == "bigint"
+        assert dict(running_sum(df, ["g"], ["v", "i"], "v", "s", max_rows=n).dtypes)["s"] == "bigint"
+        assert {r.g: r["median"] for r in exact_median(df, ["g"], "v", max_rows=n).collect()} == {1: 3.0, 2: 5.0}
+
+
+def test_hot_transients_in_chunks(spark):
+    from skyflux.operators.alerts import hot_transients
+    rows = [(k, i, 60000.0 + i / 100, "gri"[i % 3], float(i), 1.0, 4096) for k in (1, 2) for i in range(100 * k)]
+    df = spark.createDataFrame(rows + [(3, 0, 60000.0, "g", 1.0, 0.0, 0)], "SNID long, obs_id long, MJD double, BAND string, FLUXCAL double, FLUXCALERR double, PHOTFLAG int")
+    whole = {r.SNID: r.mjd for r in hot_transients(df, 60002.0, 5.0, layout=2).collect()}
+    parts = {}
+    for r in sorted(hot_transients(df, 60002.0, 5.0, layout=2, max_points=30).collect(), key=lambda r: r.chunk):
+        assert len(r.mjd) <= 30
+        parts.setdefault(r.SNID, []).extend(r.mjd)
+    assert parts == whole and set(whole) == {1, 2}
+    assert hot_transients(df, 60002.0, 5.0, min_snr=50.0).count() == 2          # a zero error is no division by zero
