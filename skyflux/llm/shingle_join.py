@@ -155,12 +155,21 @@ def _shared_counts(sets: DataFrame, buckets: int) -> DataFrame:
             one[1:] = (h[1:] != h[:-1]) | (who[1:] != who[:-1]) | (step[1:] != step[:-1])
             h, who, step = h[one], who[one], step[one]
             node, n = np.unique(who[_linkable(h, step) & (who != 0)], return_counts=True)
+        # partial counts travel packed, by the leading bits of the node
+        at = (node >> shift).astype(np.int64)
+        cut = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1], [True]])) if len(at) else np.zeros(1, dtype=np.int64)
+        rows = [(int(at[a]), node[a:z].tobytes(), n[a:z].astype(np.int64).tobytes()) for a, z in zip(cut, cut[1:])]
         with lean():
-            return pd.DataFrame({"node": node.astype(np.int64), "shared": n.astype(np.int64)})
+            return pd.DataFrame(rows, columns=["part", "node", "n"])
+
+    def add(pdf: pd.DataFrame) -> pd.DataFrame:
+        node, inv = np.unique(np.frombuffer(b"".join(pdf["node"]), dtype=np.uint64), return_inverse=True)
+        n = np.bincount(inv, weights=np.frombuffer(b"".join(pdf["n"]), dtype=np.int64), minlength=len(node))
+        return pd.DataFrame({"node": node.astype(np.int64), "shared": n.astype(np.int64)})
 
     packed = sets.select("sig", "n", "prefix").mapInArrow(pack, "bucket int, h binary, who binary, step binary")
-    return packed.groupBy("bucket").applyInPandas(count, "node long, shared long").groupBy("node").agg(
-        F.sum("shared").alias("shared"))
+    parts = packed.groupBy("bucket").applyInPandas(count, "part int, node binary, n binary")
+    return parts.groupBy("part").applyInPandas(add, "node long, shared long")
 
 
 # ------------------------------------------------------------- 3, 4: R-tree
