@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from skyflux.llm.common import by_chars, give_back_memory
+from skyflux.llm.common import by_chars, claim, worker_cache
 from skyflux.llm.pretokens import Cutter, PieceCache, newer_code_points
 
 #: Pre-tokens and states kept by a worker; characters encoded at a time.
@@ -257,15 +257,15 @@ class Coder:
         return [b"".join(map(get, p)) for p in pieces]
 
 
-_CODERS: dict[tuple[int, str], Coder] = {}
+_CODERS: dict[tuple[int, str], Coder] = worker_cache()
 
 
 def _coder(ranks: bytes, pattern: str, odd: str) -> Coder:
     """The worker's coder of a vocabulary; one is kept per worker."""
+    claim("bpe")
     key = (hash(ranks), pattern)
     if key not in _CODERS:
         _CODERS.clear()
-        give_back_memory()                                # of earlier stages in a reused worker
         gc.set_threshold(200_000, 20, 100)                # states and caches are long-lived: scan them rarely
         _CODERS[key] = Coder(ranks, pattern, odd)
     return _CODERS[key]

@@ -85,6 +85,26 @@ def give_back_memory() -> None:
         trim(0)
 
 
+_CACHES: list[dict] = []
+_OWNER = [""]
+
+
+def worker_cache() -> dict:
+    """A dictionary that a worker keeps from task to task of one operator."""
+    _CACHES.append({})
+    return _CACHES[-1]
+
+
+def claim(owner: str) -> None:
+    """Called when an operator's task starts: what another operator has left in
+    the reused worker is dropped."""
+    if _OWNER[0] != owner:
+        _OWNER[0] = owner
+        for c in _CACHES:
+            c.clear()
+        give_back_memory()
+
+
 @contextmanager
 def lean():
     """Around a task's work in a worker that later tasks reuse."""

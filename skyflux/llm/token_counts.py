@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from skyflux.llm.common import claim, worker_cache
 from skyflux.llm.pretokens import Cutter, PieceCache, chunks, newer_code_points
 
 TABLE = 32_768
@@ -70,11 +71,12 @@ def frequent_words(docs: DataFrame, text_col: str = "text", size: int = TABLE) -
     return sorted(w for r in one.collect() for w in pickle.loads(r["summary"]))
 
 
-_TOKENIZERS: dict[int, tuple] = {}
+_TOKENIZERS: dict[int, tuple] = worker_cache()
 
 
 def _lengths(spec: bytes, pattern: str, odd: str, table: dict[str, int]):
     """The worker's cutter, tokenizer, special strings and piece cache."""
+    claim("token_counts")
     key = hash((spec, len(table)))
     if key not in _TOKENIZERS:
         import json

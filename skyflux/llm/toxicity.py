@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skyflux.llm.common import by_chars, give_back_memory, lean, words
+from skyflux.llm.common import by_chars, claim, give_back_memory, lean, words
 
 #: Labelled rows that a chain is fitted on, at most.
 SAMPLE = 20_000
@@ -172,6 +172,7 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], id_
         return [{"name": n, "constant": 0.0} for n in names]
 
     def featurize(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        claim("toxicity")
         for pdf in batches:
             pdf["x"] = [text_features(t).tobytes() for t in pdf["text"]]
             yield pdf.drop(columns="text")
@@ -182,6 +183,7 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], id_
     rows = rows.select(*cols).mapInPandas(featurize, f"_id {docs.schema[id_col].dataType.simpleString()}, {ys}, _w double, x binary")
 
     def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        claim("toxicity")
         got = list(batches)
         models = [{"name": n, "constant": 0.0} for n in names]
         if got and sum(map(len, got)):
@@ -210,6 +212,7 @@ def predict(docs: DataFrame, models: list[dict], id_col: str = "doc_id", text_co
     sent = docs.sparkSession.sparkContext.broadcast((models, every))      # at most FEATURES buckets per category
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("toxicity")
         models, every = sent.value
         wanted = frozenset(every.tolist())
         local = {b: i for i, b in enumerate(every.tolist())}
