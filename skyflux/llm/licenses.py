@@ -2,8 +2,10 @@
 
 DataFrame functions only. Texts and templates are normalised the same way
 (ASCII lower case, everything but letters, digits and dots is a space). The
-units compared are the lines and the sentences of the whole text and the
-text as one unit. A unit of ``a`` distinct bigrams can reach a Dice coefficient
+units compared are the lines, the paragraphs (runs of lines between lines
+without a word), the sentences of both, and the text as one unit: a notice that
+is wrapped, also behind comment marks, is a paragraph or a sentence of one.
+A unit of ``a`` distinct bigrams can reach a Dice coefficient
 of ``t`` with a template of ``b`` only if t/(2-t) <= a/b <= (2-t)/t, so a
 unit's size picks the few templates worth comparing before any overlap is
 counted. Texts without any word that a match must hold are not cut into units at all.
@@ -103,19 +105,41 @@ def anchors(grams: list[list[str]], threshold: float) -> list[str]:
         chosen.append(min(gain, key=lambda w: (w in COMMON, -gain[w] * min(len(w), 8), w)))     # longer words are rarer
 
 
-def units(text: Column, lo: int, hi: int) -> Column:
-    """Distinct lines, sentences and the whole text, those of ``lo`` to ``hi`` words."""
-    lines = F.split(text, r"[\n\r]+")
-    sentences = F.split(F.regexp_replace(text, r"([.!?])[\x20\x09-\x0D]+", "$1\n"), r"[\n\r]+")
+def paragraphs(text: Column) -> Column:
+    """``text`` with a paragraph a line: a line without any word ends one."""
+    blank = F.regexp_replace(text, r"(?md)^[^A-Za-z0-9\x{80}-\x{10FFFF}\n]+$", "")
+    return F.translate(F.regexp_replace(blank, r"\n\n+", "\r"), "\n\r", " \n")
+
+
+def _sentences(text: Column) -> Column:
+    return F.split(F.regexp_replace(text, r"([.!?])[\x20\x09-\x0D]+", "$1\n"), r"[\n\r]+")
+
+
+def _sized(units: Column, lo: int, hi: int) -> Column:
+    """The distinct units of ``lo`` to ``hi`` words."""
     inside = lambda u: F.abs(2 * F.regexp_count(_lower(u), F.lit(WORD)) - (lo + hi)) <= hi - lo  # noqa: E731  lo <= count <= hi
-    return F.array_distinct(F.filter(F.concat(lines, sentences, F.array(text)), inside))
+    return F.array_distinct(F.filter(units, inside))
+
+
+def units(text: Column, lo: int, hi: int) -> Column:
+    """Distinct lines, their sentences and the whole text, those of ``lo`` to ``hi`` words."""
+    return _sized(F.concat(F.split(text, r"[\n\r]+"), _sentences(text), F.array(text)), lo, hi)
+
+
+def wrapped_units(text: Column, lo: int, hi: int) -> Column:
+    """Distinct paragraphs and their sentences, which run over line breaks. A
+    colon at a line's end is tried both as the end of a sentence and as none."""
+    flat = F.regexp_replace(text, r"\r\n?", "\n")
+    whole, ended = paragraphs(flat), paragraphs(F.regexp_replace(flat, r":[\x20\x09]*\n", ":\n\n"))
+    return _sized(F.concat(F.split(whole, r"\n"), _sentences(whole), _sentences(ended)), lo, hi)
 
 
 def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD,
                  templates: dict[str, list[str]] = TEMPLATES) -> DataFrame:
     """One row per (id, licence) found: id, license, dice (the best unit's),
     template (the number of the template it matched) and n_units (distinct
-    units that matched).
+    units that matched; a paragraph or a sentence of one counts if no matching
+    line, sentence of a line or whole text holds the same words or lies in it).
 
     A unit matches a template when 2 |A n B| / (|A| + |B|) >= ``threshold`` over
     their multisets of word bigrams. Null and empty texts match nothing. Ties
@@ -130,8 +154,13 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     # exact pre-filter on whole texts: Unicode lower case only ever adds ASCII letters
     held = "|".join(re.escape(w) for w in anchors([x.t_plain for x in t], threshold))
     held = f"(?<![a-z0-9])(?:{held})(?![a-z0-9])"
-    u = docs.filter(F.lower(F.col(text_col)).rlike(held)).select(F.col(id_col), F.explode(
-        units(text_or_empty(text_col), 1 if lo <= 1 else int(lo) + 1, int(hi) + 1)).alias("unit"))
+    least, most, text = 1 if lo <= 1 else int(lo) + 1, int(hi) + 1, text_or_empty(text_col)
+    u = (docs.filter(F.lower(F.col(text_col)).rlike(held))
+         .select(F.col(id_col), F.md5(text).alias("of"), units(text, least, most).alias("single"), wrapped_units(text, least, most).alias("wrapped"))
+         .select(id_col, "of", F.explode(F.concat(
+             F.transform("single", lambda x: F.struct(x.alias("unit"), F.lit(False).alias("wrapped"))),
+             F.transform(F.array_except("wrapped", "single"), lambda x: F.struct(x.alias("unit"), F.lit(True).alias("wrapped"))))).alias("u"))
+         .select(id_col, "of", "u.unit", "u.wrapped"))
     u = (u.filter(F.lower("unit").rlike(held)).withColumn("w", words("unit")).withColumn("plain", bigrams(F.col("w")))   # a column each: lambdas repeat expressions
          .filter(F.arrays_overlap("plain", F.array(*[F.lit(g) for g in known])))
          .withColumn("size", F.size("plain")).withColumn("grams", numbered(F.col("plain"))))
@@ -142,6 +171,13 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     hit = u.join(F.broadcast(sized), "size")                              # templates by admissible size: fixed, small
     both = F.size(F.array_intersect("grams", "t_grams"))
     hit = hit.withColumn("dice", (F.lit(2.0) * both) / (F.col("size") + F.col("t_size"))).filter(F.col("dice") >= threshold)
+    # per text: a wrapped unit around or inside a unit that matched by itself is the same place
+    hit = hit.withColumn("u", F.struct("unit", F.concat(F.lit(" "), F.concat_ws(" ", "w"), F.lit(" ")).alias("said")))
+    hit = hit.groupBy(id_col, "of", "license").agg(
+        F.max("dice").alias("dice"), F.max_by("template", F.struct("dice", -F.col("template"))).alias("template"),
+        F.collect_set(F.when(~F.col("wrapped"), F.col("u"))).alias("single"), F.collect_set(F.when(F.col("wrapped"), F.col("u"))).alias("wrapped"))
+    more = F.filter("wrapped", lambda x: ~F.exists("single", lambda y: F.contains(x["said"], y["said"]) | F.contains(y["said"], x["said"])))
+    hit = hit.select(id_col, "license", "dice", "template", F.explode(F.concat("single", more)).alias("u"))
     return hit.groupBy(id_col, "license").agg(
         F.max("dice").alias("dice"), F.max_by("template", F.struct("dice", -F.col("template"))).alias("template"),
-        F.count_distinct("unit").alias("n_units"))
+        F.count_distinct("u.unit").alias("n_units"))

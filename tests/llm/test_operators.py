@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+import textwrap
 import zlib
 
 import numpy as np
@@ -297,6 +298,27 @@ def test_license_scan(spark, docs, empty):
     assert licenses.license_scan(empty).count() == 0
 
 
+def test_license_wrapped_notices(spark):
+    rows, want = [], set()
+    for name, ts in licenses.TEMPLATES.items():
+        for t in ts:
+            for width in (60, 68, 76, 80):
+                for mark, blank in (("", ""), ("# ", "#"), (" * ", " *"), ("// ", "//")):
+                    for end in ("\n", "\r\n"):
+                        for gap in (True, False):
+                            body = textwrap.wrap("This module reads the tables of the survey and joins them by object, night and band.", width)
+                            between = [blank] if gap else []
+                            lines = [mark + x for x in body] + [blank] + [mark + x for x in textwrap.wrap(t, width)] + between
+                            lines += [mark + x for x in textwrap.wrap("It has been used on many nights of data, without any loss of rows so far, and "
+                                                                      "its figures are given in the table below. " * 4, width)]
+                            want.add((len(rows), name))
+                            rows.append((len(rows), end.join(lines)))
+    got = {(r["doc_id"], r["license"]) for r in licenses.license_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert want <= got
+    plain = [(0, "\n \n" * 50_000 + "A permission\nof no\n\nlicence notice.\n" * 100)]
+    assert licenses.license_scan(spark.createDataFrame(plain, "doc_id long, text string")).count() == 0
+
+
 def test_license_anchor_words_are_needed():
     w = re.compile(r"\.*[a-z0-9][a-z0-9.]*")
     grams = []
