@@ -17,8 +17,11 @@ it; pairs that survive at the points are verified on the sets.
    members are shuffled packed, by hash range; a member that two sets of one
    batch share is settled there and travels once, so a passage found in a third
    of all texts is one row per batch.
-3. The rest is dealt to tiles: size class (steps of 4/3) and smallest hash, of
-   bounded rows and bytes. A document goes to the tile pairs that its bound
+3. The rest is dealt to tiles: size class (steps of 4/3) and smallest hash. A
+   tile above TILE_ROWS or TILE_BYTES, such as a group of near copies with one
+   smallest hash, is split: documents that link to one of a few pivots are
+   connected by these links, so they form hub tiles that are never joined with
+   each other; what is still too large is dealt by hash. A document goes to the tile pairs that its bound
    against the other tile's largest counts admits; every pair of tiles is one
    bounded group with an R-tree, joined by probing.
 4. Within a group a pair that is already connected is not verified again: a
@@ -28,7 +31,9 @@ it; pairs that survive at the points are verified on the sets.
 
 from __future__ import annotations
 
+import itertools
 import math
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,6 +49,7 @@ WIDTH = 5
 GROUPS = 64
 TILE_ROWS = 4096
 TILE_BYTES = 16_000_000
+PIVOTS, PIVOT_TURNS = 8, 3
 _LEAF, _FAN = 16, 16
 _CHUNK = 8_000_000
 _LOG = math.log(4 / 3)
@@ -209,6 +215,11 @@ class CountTree:
         return at
 
 
+def _linked(a: np.ndarray, b: np.ndarray) -> bool:
+    both = len(a) + len(b) - len(np.union1d(a, b))
+    return 7 * both >= 3 * (len(a) + len(b))
+
+
 def _forest(ids: np.ndarray, sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, same: bool):
     """Spanning forest of the links between documents ``left`` and ``right``
     (positions); with ``same`` they are one set of documents."""
@@ -226,25 +237,99 @@ def _forest(ids: np.ndarray, sets: list[np.ndarray], left: np.ndarray, right: np
         for b in cand[comp[cand] != comp[a]]:
             if comp[b] == comp[a]:
                 continue
-            both = len(sets[a]) + len(sets[b]) - len(np.union1d(sets[a], sets[b]))
-            if 7 * both >= 3 * (len(sets[a]) + len(sets[b])):
+            if _linked(sets[a], sets[b]):
                 out.append((ids[a], ids[b]))
                 comp[comp == comp[b]] = comp[a]
     return out
 
 
-def _tile_links(live: DataFrame) -> DataFrame:
-    """(a, b): forests of the links among ``live`` (id, n, set)."""
-    spark = live.sparkSession
+def _first_tiles(live: DataFrame) -> DataFrame | None:
+    """(id, set, tile): tiles by size class and smallest hash; none without rows."""
     classes = live.groupBy(F.floor(F.log("n") / _LOG).cast("int").alias("c")).agg(
         F.count("*").alias("rows"), F.sum(F.col("n") * 8).alias("bytes")).collect()      # size classes: under 100
     parts = {r["c"]: max(1, -(-r["rows"] // TILE_ROWS), -(-r["bytes"] // TILE_BYTES)) for r in classes}
     if not parts:
-        return spark.createDataFrame([], "a long, b long")
+        return None
     n_of = F.create_map(*[F.lit(x) for kv in parts.items() for x in kv])
     first = F.conv(F.hex(F.reverse(F.substring("set", 1, 8))), 16, 10).cast("decimal(20,0)")
-    tiled = (live.withColumn("c", F.floor(F.log("n") / _LOG).cast("int"))
-             .withColumn("tile", F.col("c").cast("long") * 2 ** 32 + F.pmod(F.xxhash64(first), F.element_at(n_of, F.col("c")))))
+    tile = F.col("c").cast("long") * 2 ** 32 + F.pmod(F.xxhash64(first), F.element_at(n_of, F.col("c")))
+    return live.withColumn("c", F.floor(F.log("n") / _LOG).cast("int")).select("id", "set", tile.alias("tile"))
+
+
+def _by_pivots(tiled: DataFrame, tiles: list[int], turn: int, fresh: Iterator[int], hubs: dict[int, int]):
+    """(tiled, links): in each of ``tiles`` the documents that link to a pivot
+    move to a hub tile; pivots with a common document share theirs."""
+    spark = tiled.sparkSession
+    chosen = F.broadcast(spark.createDataFrame([(t,) for t in tiles], "tile long"))
+    inside, outside = tiled.join(chosen, "tile", "left_semi"), tiled.join(chosen, "tile", "left_anti")
+    key = F.xxhash64("id", "set", F.lit(turn))
+    picked = inside.groupBy("tile", F.pmod(key, F.lit(PIVOTS)).alias("slot")).agg(F.min_by(F.struct("id", "set"), key).alias("p"))
+    pivots = defaultdict(list)
+    for r in picked.select("tile", "p.id", "p.set").collect():             # PIVOTS sets per tile of over TILE_ROWS or 1,024 rows
+        pivots[r["tile"]].append((r["id"], np.frombuffer(bytes(r["set"]), dtype=np.uint64)))
+    top = spark.sparkContext.broadcast(dict(pivots))
+
+    def near(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            sets = [np.frombuffer(s, dtype=np.uint64) for s in pdf["set"]]
+            to = [[i for i, p in top.value[t] if _linked(s, p)] for t, s in zip(pdf["tile"], sets)]
+            yield pdf.assign(to=to)
+
+    found = inside.select("id", "set", "tile").mapInPandas(near, "id long, set binary, tile long, to array<long>")
+    root = {(t, i): i for t, ps in pivots.items() for i, _ in ps}
+
+    def find(t: int, i: int) -> int:
+        while root[t, i] != i:
+            i = root[t, i]
+        return i
+
+    for r in found.filter(F.size("to") > 0).select("tile", "to").distinct().collect():     # 2^PIVOTS per tile at most
+        for i in r["to"][1:]:
+            root[r["tile"], find(r["tile"], i)] = find(r["tile"], r["to"][0])
+    named = {k: next(fresh) for k in sorted({(t, find(t, i)) for t, i in root})}
+    hubs.update({t: t for t in named.values()})
+    moves = spark.createDataFrame([(t, i, named[t, find(t, i)]) for t, i in root], "tile long, pivot long, hub long")
+    moved = (found.withColumn("pivot", F.get("to", F.lit(0))).join(F.broadcast(moves), ["tile", "pivot"], "left")
+             .select("id", "set", F.coalesce("hub", "tile").alias("tile")))
+    return outside.select("id", "set", "tile").unionByName(moved), found.select(F.col("id").alias("a"), F.explode("to").alias("b"))
+
+
+def _bounded(tiled: DataFrame):
+    """(tiled, links, hubs): (id, set, tile) with tiles of TILE_ROWS and
+    TILE_BYTES at most (a single set may be larger), links already found, and
+    the hub of each tile whose documents these links connect."""
+    spark = tiled.sparkSession
+    fresh, hubs, links = itertools.count(2 ** 45), {}, []
+    for turn in itertools.count():
+        rows, size = F.count("*").alias("rows"), F.sum(F.length("set")).alias("bytes")
+        large = (tiled.groupBy("tile").agg(rows, size)
+                 .filter((F.col("rows") > 1) & ((F.col("rows") > TILE_ROWS) | (F.col("bytes") > TILE_BYTES))).collect())
+        if not large:
+            return tiled, links, hubs
+        times = {r["tile"]: max(r["rows"] / TILE_ROWS, r["bytes"] / TILE_BYTES) for r in large}
+        mixed = [r["tile"] for r in large if turn < PIVOT_TURNS and r["tile"] not in hubs and times[r["tile"]] > 2
+                 and r["rows"] >= min(1024, TILE_ROWS)]
+        cut = []
+        for t in sorted(set(times) - set(mixed)):
+            to = [next(fresh) for _ in range(math.ceil(1.25 * times[t]))]
+            cut.append((t, to[0], len(to)))
+            hubs.update({x: hubs[t] for x in to if t in hubs})
+        if mixed:
+            tiled, more = _by_pivots(tiled, mixed, turn, fresh, hubs)
+            links.append(more)
+        if cut:
+            cuts = F.broadcast(spark.createDataFrame(cut, "tile long, first long, parts int"))
+            tiled = tiled.join(cuts, "tile", "left").select("id", "set", F.coalesce(
+                F.col("first") + F.pmod(F.xxhash64("id", "set", F.lit(-1 - turn)), F.col("parts")), "tile").alias("tile"))
+
+
+def _tile_links(live: DataFrame) -> DataFrame:
+    """(a, b): forests of the links among ``live`` (id, n, set)."""
+    spark = live.sparkSession
+    tiled = _first_tiles(live)
+    if tiled is None:
+        return spark.createDataFrame([], "a long, b long")
+    tiled, links, hubs = _bounded(tiled)
 
     def box(pdf: pd.DataFrame) -> pd.DataFrame:
         hi, lo_n, hi_n = np.zeros(GROUPS, dtype=np.int32), 1 << 60, 0
@@ -256,17 +341,19 @@ def _tile_links(live: DataFrame) -> DataFrame:
     # one box of 64 counts per tile, the tree's upper level: 300 bytes for every 4,096 live documents
     boxes = tiled.groupBy("tile").applyInPandas(box, "tile long, hi binary, lo_n long, hi_n long").orderBy("tile").collect()
     top = spark.sparkContext.broadcast((np.array([r["tile"] for r in boxes]), np.array([np.frombuffer(r["hi"], np.int32) for r in boxes]),
-                                        np.array([r["lo_n"] for r in boxes]), np.array([r["hi_n"] for r in boxes])))
+                                        np.array([r["lo_n"] for r in boxes]), np.array([r["hi_n"] for r in boxes]),
+                                        np.array([hubs.get(r["tile"], 0) for r in boxes])))
 
     def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tiles, hi, lo_n, hi_n = top.value
+        tiles, hi, lo_n, hi_n, hub = top.value
         for pdf in batches:
             for i in range(0, len(pdf), 256):
                 rows = []
                 for doc, tile, s in pdf[["id", "tile", "set"]].iloc[i:i + 256].itertuples(index=False):
                     a = np.frombuffer(s, dtype=np.uint64)
                     n = len(a)
-                    near = np.flatnonzero((4 * hi_n >= 3 * n) & (3 * lo_n <= 4 * n))
+                    own = hub[np.searchsorted(tiles, tile)]
+                    near = np.flatnonzero((4 * hi_n >= 3 * n) & (3 * lo_n <= 4 * n) & ((hub == 0) | (hub != own)))   # one hub is connected
                     bound = np.minimum(np.minimum(hi[near], _counts(a, GROUPS)).sum(1), hi_n[near])
                     for t in tiles[near[(7 * bound >= 3 * (n + lo_n[near])) | (tiles[near] == tile)]]:
                         rows.append((min(t, tile), max(t, tile), t > tile, doc, s))
@@ -281,7 +368,10 @@ def _tile_links(live: DataFrame) -> DataFrame:
             return pd.DataFrame(_forest(ids, sets, left, right, same), columns=["a", "b"], dtype="int64")
 
     routed = tiled.select("id", "tile", "set").mapInPandas(route, "i long, j long, is_left boolean, id long, set binary")
-    return routed.groupBy("i", "j").applyInPandas(join, "a long, b long")
+    found = routed.groupBy("i", "j").applyInPandas(join, "a long, b long")
+    for more in links:
+        found = found.unionByName(more)
+    return found
 
 
 def components(edges: DataFrame) -> DataFrame:

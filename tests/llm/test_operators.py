@@ -139,6 +139,37 @@ def test_shingle_components_random(spark, monkeypatch):
     assert len({c for _, c in want.values()}) < len(rows)
 
 
+def test_near_copies_with_one_smallest_hash(spark, monkeypatch):
+    """A group of near copies above the bound is more than one tile, and no link is lost."""
+    monkeypatch.setattr(shingle_join, "TILE_ROWS", 40)
+    rnd = random.Random(5)
+    rows, w = [], [str(rnd.randrange(10 ** 6)) for _ in range(120)]
+    least = min(range(116), key=lambda k: shingle_join.shingle_set(" ".join(w[k:k + 5]))[0])
+    spots = [k for k in range(120) if abs(k - least - 2) > 8]
+    for i in range(300):
+        v = list(w)
+        for _ in range(rnd.randrange(1, 7)):
+            v[rnd.choice(spots)] = str(rnd.randrange(10 ** 6))
+        rows.append((i, " ".join(v)))
+    for i in range(300, 360):
+        rows.append((i, " ".join(str(rnd.randrange(10 ** 6)) for _ in range(rnd.randrange(90, 140)))))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = [(i, shingle_join.shingle_set(t)) for i, t in rows]
+    live = spark.createDataFrame([(i, len(x), x.tobytes()) for i, x in sets], "id long, n long, set binary").cache()
+    first = shingle_join._first_tiles(live)
+    assert first.groupBy("tile").count().agg(F.max("count")).first()[0] > 150
+    tiled = shingle_join._bounded(first)[0]
+    assert tiled.count() == len(rows) == tiled.select("id").distinct().count()
+    assert tiled.groupBy("tile").count().agg(F.max("count")).first()[0] <= 40
+    monkeypatch.setattr(shingle_join, "PIVOT_TURNS", 0)
+    assert shingle_join._bounded(first)[0].groupBy("tile").count().agg(F.max("count")).first()[0] <= 40
+    want = brute_components(rows)
+    for turns in (0, 3):
+        monkeypatch.setattr(shingle_join, "PIVOT_TURNS", turns)
+        got = shingle_join.shingle_components(docs).collect()
+        assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == want
+
+
 def test_tree_bound_keeps_every_link():
     rnd = np.random.default_rng(5)
     base = [np.unique(rnd.integers(0, 1 << 62, n).astype(np.uint64)) for n in rnd.integers(1, 300, 60)]
