@@ -9,8 +9,12 @@ factor mends early edges. Every query is sent to every shard in blocks, found by
 beam search there, and the shards' best are merged.
 
 Nearness is the largest inner product. A vector gets one more coordinate,
-sqrt(M^2 - |x|^2) with M the shard's largest norm, which makes the order of
-inner products the order of Euclidean distances to (q, 0).
+M - sqrt(M^2 - |x|^2) with M the largest norm of its graph, which makes the order of
+inner products the order of Euclidean distances to (q, M). Written as
+|x|^2 / (M + sqrt(M^2 - |x|^2)) it is small for a small vector, so one vector
+of a large norm does not drown the differences of the others in rounding.
+Queries are ranked by -q.x, without the constant. A shard has a graph for each
+band of norms (a factor of two), and every query searches all of them.
 """
 
 from __future__ import annotations
@@ -38,7 +42,8 @@ _BATCH = 512
 
 def _search(x: np.ndarray, norms: np.ndarray, graph: np.ndarray, start: int, q: np.ndarray, beam: int):
     """(ids, distances) of the ``beam`` best found for each row of ``q``, nearest
-    first; missing ones are -1 / inf. Distances are squared, less |q|^2."""
+    first; missing ones are -1 / inf. Distances are squared, less |q|^2; with
+    zeros for ``norms`` the order is that of the inner products."""
     n = len(q)
     ids = np.full((n, beam), -1, dtype=np.int64)
     dist = np.full((n, beam), np.inf, dtype=np.float32)
@@ -115,11 +120,16 @@ def build_graph(x: np.ndarray, degree: int = DEGREE, beam: int = BEAM, relax: fl
         by = np.argsort(q, kind="stable")
         p, q = p[by], q[by]
         to, first, count = np.unique(q, return_index=True, return_counts=True)
-        width = min(int(count.max(initial=0)), 2 * degree)
         slot = np.arange(len(q)) - np.repeat(first, count)
-        more = np.full((len(to), width), -1, dtype=np.int64)
-        fits = slot < width
-        more[np.repeat(np.arange(len(to)), count)[fits], slot[fits]] = p[fits]
+        of = np.repeat(np.arange(len(to)), count)
+        for low in range(0, int(count.max(initial=0)), 2 * degree):   # in rounds: a hub gets all its edges proposed
+            merge(to, np.flatnonzero(count > low), p, of, slot - low, factor)
+
+    def merge(to: np.ndarray, some: np.ndarray, p: np.ndarray, of: np.ndarray, slot: np.ndarray, factor: float) -> None:
+        more = np.full((len(some), 2 * degree), -1, dtype=np.int64)
+        fits = (slot >= 0) & (slot < 2 * degree)
+        more[np.searchsorted(some, of[fits]), slot[fits]] = p[fits]
+        to = to[some]
         both = np.sort(np.concatenate([graph[to], more], 1), axis=1)
         both[:, 1:][both[:, 1:] == both[:, :-1]] = -1               # an edge that was there already
         room = (both >= 0).sum(1) <= degree
@@ -141,7 +151,8 @@ def build_graph(x: np.ndarray, degree: int = DEGREE, beam: int = BEAM, relax: fl
 
 
 def _pack(pdf: pd.DataFrame, degree: int, beam: int) -> bytes:
-    """The index of one shard: distinct vectors, the ids of each, graph."""
+    """The index of one shard: distinct vectors, the ids of each, a graph per
+    norm band; a band of at most ``beam`` vectors is read whole."""
     x = np.array(pdf["vector"].tolist(), dtype=np.float64)
     ids = pdf["id"].to_numpy()
     by = np.lexsort([*x.T[::-1], ids])                              # one vector an id: the smallest
@@ -152,10 +163,18 @@ def _pack(pdf: pd.DataFrame, degree: int, beam: int) -> bytes:
     order = np.lexsort([ids, of])
     begin = np.searchsorted(of[order], np.arange(len(u) + 1))
     sq = (u ** 2).sum(1)
-    aug = np.concatenate([u, np.sqrt(np.maximum(sq.max() - sq, 0))[:, None]], 1)
-    graph, start = build_graph(aug, degree, beam)
-    return pickle.dumps({"x": u, "aug": aug.astype(np.float32), "ids": ids[order], "begin": begin,
-                         "graph": graph.astype(np.int32), "start": start}, protocol=5)
+    band = np.floor(np.log2(np.maximum(sq, 1e-300)) / 2 + 0.5)        # norms within a factor of two, 1 in the middle
+    parts = []
+    for v in np.unique(band):
+        nodes = np.flatnonzero(band == v)
+        part = {"nodes": nodes}
+        if len(nodes) > beam:
+            w, wq = u[nodes], sq[nodes]
+            aug = np.concatenate([w, (wq / (np.sqrt(wq.max()) + np.sqrt(np.maximum(wq.max() - wq, 0))))[:, None]], 1)
+            graph, start = build_graph(aug, degree, beam)
+            part |= {"aug": aug.astype(np.float32), "graph": graph.astype(np.int32), "start": start}
+        parts.append(part)
+    return pickle.dumps({"x": u, "ids": ids[order], "begin": begin, "parts": parts}, protocol=5)
 
 
 def _inner(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -167,13 +186,21 @@ def _inner(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _ask(index: dict, qid: np.ndarray, q: np.ndarray, k: int, beam: int) -> Iterator[pd.DataFrame]:
-    x, aug, ids, begin = index["x"], index["aug"], index["ids"], index["begin"]
-    norms = np.einsum("ij,ij->i", aug, aug)
-    graph = index["graph"].astype(np.int64)
+    x, ids, begin = index["x"], index["ids"], index["begin"]
+    parts = [p | ({"graph": p["graph"].astype(np.int64)} if "graph" in p else {}) for p in index["parts"]]
     for at in range(0, len(q), _BATCH):
         part, part_id = q[at:at + _BATCH], qid[at:at + _BATCH]
         probe = np.concatenate([part, np.zeros((len(part), 1))], 1).astype(np.float32)
-        found, _ = _search(aug, norms, graph, index["start"], probe, min(max(beam, k + 1), max(len(x), _STEP)))
+        found = []
+        for p in parts:
+            if "graph" in p:
+                zero = np.zeros(len(p["aug"]), dtype=np.float32)       # ranked by -q.x
+                at_most = min(max(beam, k + 1), max(len(p["nodes"]), _STEP))
+                got, _ = _search(p["aug"], zero, p["graph"], p["start"], probe, at_most)
+                found.append(np.where(got >= 0, p["nodes"][got], -1))
+            else:
+                found.append(np.broadcast_to(p["nodes"], (len(part), len(p["nodes"]))))
+        found = np.concatenate(found, 1)
         row, col = np.nonzero(found >= 0)
         node = found[row, col]
         score = _inner(part[row], x[node])

@@ -4,12 +4,14 @@ nulls, empty and long texts, ties, repeated rows, empty tables, clashing names."
 import datetime as dt
 import hashlib
 import math
+import pickle
 import random
 import re
 import textwrap
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 
 pytest.importorskip("skyflux.llm")
@@ -447,6 +449,30 @@ def test_nearest(spark):
     assert ann.nearest(df.limit(0), df.limit(0)).count() == 0
 
 
+def recall(x, queries, k=20):
+    index = pickle.loads(ann._pack(pd.DataFrame({"id": np.arange(len(x)), "vector": list(x)}), ann.DEGREE, ann.BEAM))
+    got = pd.concat(ann._ask(index, queries, x[queries], k, ann.BEAM))
+    hit = 0
+    for q in queries:
+        s = x @ x[q]
+        want = [i for i in np.argsort(-s, kind="stable") if i != q][:k]
+        hit += len({*want} & {*got.loc[got["query_id"] == q, "vec_id"]})
+    return hit / (k * len(queries))
+
+
+def test_recall_with_large_norms():
+    rnd = np.random.default_rng(3)
+    x = rnd.normal(size=(3000, 16))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    queries = np.arange(0, 3000, 30)
+    for norm in (1, 100, 5_000, 1_000_000):
+        y = x.copy()
+        y[7] *= norm
+        assert recall(y, queries) >= 0.95
+    x[:30] *= 5_000
+    assert recall(x, queries) >= 0.95
+
+
 def test_graph_degree_and_reach():
     x = np.random.default_rng(2).normal(size=(700, 8))
     graph, start = ann.build_graph(x, degree=8, beam=24)
