@@ -348,3 +348,17 @@ def q_class_lightcurves(spark, d):
                                include_header=True, include_truth=True)
     return out.select("SNID", F.size("MJD").cast("long").alias("npts"), F.array_min("MJD").alias("mjd_first"), "PTROBS_MIN",
                       "ZCMB", "PEAKMJD", "PEAKMJD_right")
+
+
+@query("class_lightcurves_all", with_(PHOT_EV, PHOT_RAW, TRUTH_EV) + """
+SELECT p.SNID, count(*) AS npts, min(p.MJD) AS mjd_first, any_value(h.PTROBS_MIN) AS PTROBS_MIN,
+       any_value(t.ZCMB) AS ZCMB, any_value(h.PTROBS_MAX) AS PEAKMJD, any_value(t.GENTYPE) AS PEAKMJD_right
+FROM phot_pos p JOIN head_ev h ON p.SNID = h.SNID JOIN truth_ev t ON t.SNID = p.SNID GROUP BY p.SNID""", ["mjd_first", "ZCMB"])
+def q_class_lightcurves_all(spark, d):
+    """The whole reader over every file of the class."""
+    raw, head = B.phot_files(spark, d)
+    truth = B.truth_ev(spark, d).withColumn("PEAKMJD", F.col("GENTYPE"))
+    out = lc.class_lightcurves(raw, head.withColumn("PEAKMJD", F.col("PTROBS_MAX")), truth, agg=True,
+                               include_header=True, include_truth=True)
+    return out.select("SNID", F.size("MJD").cast("long").alias("npts"), F.array_min("MJD").alias("mjd_first"), "PTROBS_MIN",
+                      "ZCMB", "PEAKMJD", "PEAKMJD_right")

@@ -156,3 +156,11 @@ def test_hot_transients_chunks_keep_every_point(spark):
     parts = al.hot_transients(df, 101.0, 0.5, layout=2, max_points=3).orderBy("chunk").collect()
     assert [len(r.mjd) for r in parts] == [3, 3, 3, 1]
     assert [m for r in parts for m in r.mjd] == whole[0].mjd
+
+
+def test_reader_query_covers_every_object(spark):
+    import __spark_entry__ as E
+    d = "/root/testdata/sf0.01"
+    want = {r[0] for r in spark.read.parquet(f"{d}/events.parquet").select("user_id").distinct().collect()}
+    got = [r["SNID"] for r in E.queries()["class_lightcurves_all"](spark, d).collect()]
+    assert len(want) > 100 and sorted(got) == sorted(want)
