@@ -22,7 +22,7 @@ OTHER = "*"
 #: All are read alike by Java and RE2.
 TOPICS = [
     ("legal", r"[Ll]icen[sc]e"),
-    ("contact", r"@[A-Za-z0-9]"),
+    ("contact", r"[A-Za-z0-9._]@[A-Za-z0-9.]"),      # an address, not a bare mention
     ("table", r"\|"),
     ("numbers", r"[0-9]{3}"),
     ("emphatic", r"[!?]"),

@@ -388,6 +388,13 @@ def test_mix(docs, empty):
     assert sorted(map(str, plain)) == sorted(map(str, got.select("doc_id", "mix_kept").collect()))
 
 
+def test_contact_topic_is_an_address(spark):
+    old = re.compile(r"[A-Za-z0-9._]+@[A-Za-z0-9.]+")
+    rows = [(i, t) for i, t in enumerate(["by @name", "shop @5", "a@.x", "_@b", "x.@y", "é@z", "a@ b", "a@-b", "me.you@site.org now"])]
+    got = spark.createDataFrame(rows, "id long, text string").withColumn("topic", mixing.topic_of(F.col("text"))).collect()
+    assert [r["topic"] == "contact" for r in got] == [bool(old.search(t)) for _, t in rows]
+
+
 def test_toxicity(spark, empty):
     rnd = random.Random(4)
     bad, rows, labels = ["vile", "Nasty!", "awfulish"], [], []
