@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from skyflux.llm.ann import nearest
 from skyflux.llm.bpe import bpe_encode
 from skyflux.llm.common import table
+from skyflux.llm.conversations import damage, repair
 from skyflux.llm.exact_dedup import exact_dedup
 from skyflux.llm.licenses import TEMPLATES, THRESHOLD, WORD, license_scan
 from skyflux.llm.lm_score import MU, lm_scores
@@ -18,6 +19,7 @@ from skyflux.llm.shingle_join import shingle_components
 from skyflux.llm.token_counts import token_counts
 from skyflux.llm.toxicity import classify
 from skyflux.llm.url_filter import host, page_key, temporal_url_filter
+from skyflux.llm.whitening import whiten
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -256,3 +258,18 @@ def op7_backoff_lm(spark, sf_dir):
     s = lm_scores(docs, F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10 == 0)
     five = lambda c: (F.floor(F.col(c) * 1e5 + 0.5).cast("double") / F.lit(1e5)).alias(c)  # noqa: E731  sums differ in their last bits
     return s.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", five("base_score"), five("score"))
+
+
+# -------------------------------------------------------------- 11: whitening
+@query("op11_whitening")
+def op11_whitening(spark, sf_dir):
+    """Every vector on the leading components of the vectors' covariance."""
+    return whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+# --------------------------------------------------- 12: conversation repair
+@query("op12_conversation_repair")
+def op12_conversation_repair(spark, sf_dir):
+    """Every conversation, damaged by checksum, with its cheapest repair."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return repair(damage(rows), rows)
