@@ -15,6 +15,7 @@ from skyflux.llm.exact_dedup import exact_dedup
 from skyflux.llm.licenses import TEMPLATES, THRESHOLD, WORD, license_scan
 from skyflux.llm.lm_score import MU, lm_scores
 from skyflux.llm.mixing import TARGETS, TOPICS, mix_decisions
+from skyflux.llm.odd_sketch import near_duplicates
 from skyflux.llm.shingle_join import shingle_components
 from skyflux.llm.token_counts import token_counts
 from skyflux.llm.toxicity import classify
@@ -273,3 +274,10 @@ def op12_conversation_repair(spark, sf_dir):
     """Every conversation, damaged by checksum, with its cheapest repair."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     return repair(damage(rows), rows)
+
+
+# ------------------------------------------------- 13: MinHash near-dedup
+@query("op13_odd_sketch_dedup")
+def op13_odd_sketch_dedup(spark, sf_dir):
+    """Every document with its component of near duplicates and whether it stays."""
+    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
