@@ -88,7 +88,7 @@ SELECT c.page_id, c.url, c.fetched_at, coalesce(b.matched, 0) AS matched, b.rule
 FROM c LEFT JOIN b USING (page_id)
 """)
 def op1_temporal_url_filter(spark, sf_dir):
-    """Every capture of `pages` against the entries in force on its fetch day."""
+    """Every capture of `pages` against the entries in force when it was fetched."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     caps = pages.withColumn("fetched_at", F.expr("date_add(DATE'2024-01-01', cast((page_id * 37) % 366 as int))"))
     return temporal_url_filter(caps, list_entries(pages))
