@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from skyflux.llm.common import SPACES, checkpoint_table, shuffle_partitions, small_side, text_or_empty
 
-_RUN = "cell long, sha string, len long, check long, id long, row long, n long, run long"
+_RUN = "cell long, sha string, len long, check long, void boolean, id long, row long, n long, run long"
 _SAME = ["cell", "sha", "len", "check"]
 
 
@@ -72,7 +72,7 @@ def merge_runs(runs: DataFrame, partitions: int, fan_in: int = 8) -> DataFrame:
     width = fan_in ** levels
     # 48 leading bits of the digest as a number in [0, 2^48)
     head = F.conv(F.substring("sha", 1, 12), 16, 10).cast("long")
-    df = runs.select("sha", "len", "check", "id", "row", F.lit(1).cast("long").alias("n"),
+    df = runs.select("sha", "len", "check", F.col("id").isNull().alias("void"), F.coalesce("id", F.lit(0)).alias("id"), "row", F.lit(1).cast("long").alias("n"),
                      F.pmod(F.col("run"), F.lit(width)).alias("run"))
     for level in range(1, levels + 1):
         ranges = fan_in ** level
@@ -80,11 +80,9 @@ def merge_runs(runs: DataFrame, partitions: int, fan_in: int = 8) -> DataFrame:
         part = F.shiftright(head * F.lit(ranges), 48) if ranges <= 2 ** 14 else F.floor(head / (2.0 ** 48 / ranges))
         df = (df.withColumn("cell", group * F.lit(ranges) + part.cast("long"))
               .repartition(width, "cell")
-              .sortWithinPartitions("cell", "sha", "len", "check", F.col("id").asc_nulls_last(), "row")
-              .select("cell", "sha", "len", "check", "id", "row", "n", "run"))
-        df = df.withColumn("id", F.coalesce("id", F.lit(2 ** 63 - 1))).mapInPandas(_collapse, _RUN)
-        df = df.withColumn("id", F.expr("nullif(id, 9223372036854775807L)"))
-    return df.select("sha", "len", "check", F.col("id").alias("keep_id"), F.col("row").alias("keep_row"),
+              .sortWithinPartitions("cell", "sha", "len", "check", "void", "id", "row")
+              .select("cell", "sha", "len", "check", "void", "id", "row", "n", "run")).mapInPandas(_collapse, _RUN)
+    return df.select("sha", "len", "check", F.when(~F.col("void"), F.col("id")).alias("keep_id"), F.col("row").alias("keep_row"),
                      F.col("n").alias("group_size"))
 
 
