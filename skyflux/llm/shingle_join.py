@@ -43,12 +43,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyflux.llm.common import by_chars, chain, checkpoint_table, lean, mix64, shuffle_partitions, small_side, word_hashes, words
+from skyflux.llm.common import by_chars, chain, checkpoint_table, claim, lean, mix64, shuffle_partitions, small_side, word_hashes, words
 
 WIDTH = 5
 GROUPS = 64
 TILE_ROWS = 4096
 TILE_BYTES = 16_000_000
+BUCKET_BYTES = 16_000_000   # prefix members (18 bytes each) that one group counts
 PIVOTS, PIVOT_TURNS = 8, 3
 _LEAF, _FAN = 16, 16
 _CHUNK = 8_000_000
@@ -96,6 +97,7 @@ def _linkable(key: np.ndarray, step: np.ndarray) -> np.ndarray:
 # ------------------------------------------------------------------ 1: sets
 def _sets(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("shingle_join")
         for batch in batches:
             for b in by_chars(batch, "text", _CHUNK):
                 sets = [shingle_set(t.as_py(), width) for t in b.column("text")]
@@ -109,11 +111,18 @@ def _sets(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
 
 
 # ------------------------------------------------- 2: sets that share enough
+def _buckets(sets: DataFrame) -> int:
+    """Ranges of hashes so that each has about BUCKET_BYTES of prefix members, whatever the input."""
+    size = sets.agg(F.sum(F.length("prefix")).alias("b")).first()["b"] or 0
+    return max(shuffle_partitions(sets.sparkSession), math.ceil(size * 18 / 8 / BUCKET_BYTES))
+
+
 def _shared_counts(sets: DataFrame, buckets: int) -> DataFrame:
     """(node, shared): per set (64 bits of its digest) how many prefix members it shares, at least."""
     shift = np.uint64(64 - max(1, math.ceil(math.log2(buckets))))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("shingle_join")
         for batch in batches:
             for b in by_chars(batch, "prefix", _CHUNK):
                 node = np.array([int(x[:16], 16) for x in b.column("sig").to_pylist()], dtype=np.uint64)
@@ -147,6 +156,7 @@ def _shared_counts(sets: DataFrame, buckets: int) -> DataFrame:
                                                  names=["bucket", "h", "who", "step"])
 
     def count(pdf: pd.DataFrame) -> pd.DataFrame:
+        claim("shingle_join")
         who = np.frombuffer(b"".join(pdf["who"]), dtype=np.uint64)
         if pdf["bucket"].iloc[0] < 0:
             times = np.frombuffer(b"".join(pdf["step"]), dtype=np.uint32)
@@ -275,7 +285,7 @@ def _by_pivots(tiled: DataFrame, tiles: list[int], turn: int, fresh: Iterator[in
             to = [[i for i, p in top.value[t] if _linked(s, p)] for t, s in zip(pdf["tile"], sets)]
             yield pdf.assign(to=to)
 
-    found = inside.select("id", "set", "tile").mapInPandas(near, "id long, set binary, tile long, to array<long>")
+    found = checkpoint_table(inside.select("id", "set", "tile").mapInPandas(near, "id long, set binary, tile long, to array<long>"), "pivot-links")
     root = {(t, i): i for t, ps in pivots.items() for i, _ in ps}
 
     def find(t: int, i: int) -> int:
@@ -360,6 +370,7 @@ def _tile_links(live: DataFrame) -> DataFrame:
                 yield pd.DataFrame(rows, columns=["i", "j", "is_left", "id", "set"])
 
     def join(pdf: pd.DataFrame) -> pd.DataFrame:
+        claim("shingle_join")
         ids, sets = pdf["id"].to_numpy(), [np.frombuffer(s, dtype=np.uint64) for s in pdf["set"]]
         every, same = np.arange(len(ids)), pdf["i"].iloc[0] == pdf["j"].iloc[0]
         is_left = pdf["is_left"].to_numpy(dtype=bool)
@@ -404,16 +415,17 @@ def shingle_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     null id takes no part in links and gets a null component. An empty table
     gives an empty result; other columns are ignored.
     """
-    spark = docs.sparkSession
     sets = _sets(docs, id_col, text_col, width)
     heads = sets.filter("n > 0 AND id IS NOT NULL").groupBy("sig").agg(F.min("id").alias("head"), F.first("n").alias("n"))
     node = F.conv(F.substring("sig", 1, 16), 16, -10).cast("long")      # the same 64 bits, signed
     need = F.greatest(F.lit(1), F.floor(F.floor((F.col("n") * 3 + 3) / 4) / 8))
-    shared = _shared_counts(sets.filter("n > 0 AND id IS NOT NULL"), shuffle_partitions(spark))
+    real = sets.filter("n > 0 AND id IS NOT NULL")
+    shared = _shared_counts(real, _buckets(real))
     live = checkpoint_table(heads.withColumn("node", node).join(shared, "node").filter(F.col("shared") >= need)
                             .select(F.col("head").alias("id"), "sig"), "live")
 
     def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("shingle_join")
         for batch in batches:
             for b in by_chars(batch, "text", _CHUNK):
                 got = [shingle_set(t.as_py(), width) for t in b.column("text")]
@@ -425,7 +437,11 @@ def shingle_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     text = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     text = text.join(small_side(live), "id")
     full = checkpoint_table(text.mapInArrow(again, "id long, n long, set binary").dropDuplicates(["id", "set"]), "live-sets")
-    roots = components(_tile_links(full))
+    # a document with several texts belongs to the classes of all of them
+    several = real.groupBy("id").agg(F.min("sig").alias("lo"), F.max("sig").alias("hi")).filter("lo <> hi").select("id")
+    shared = real.join(several, "id", "left_semi").select("id", "sig").join(heads.select("sig", "head"), "sig").select(
+        F.col("id").alias("a"), F.col("head").alias("b"))
+    roots = components(_tile_links(full).unionByName(shared))
     of = heads.join(roots.withColumnRenamed("id", "head"), "head", "left").select(
         "sig", F.coalesce("root", "head").alias("component_id"))
     whole = sets.select("id", "n", F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.col("sig")).alias("sig")).join(of, "sig", "left")
