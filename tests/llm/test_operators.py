@@ -70,6 +70,23 @@ def test_url_filter(spark):
     assert url_filter.temporal_url_filter(caps, ents.limit(0)).filter("blocked").count() == 0
 
 
+def test_url_filter_instants_and_odd_years(spark):
+    """Entries and captures of one day, years from 1 to 9999, trailing dots, IPv6, upper case in the list."""
+    t = dt.datetime
+    caps = [(1, "http://a.com/x", t(2024, 1, 5, 8)), (2, "http://a.com./x", t(2024, 1, 5, 12)), (3, "http://a.com/x", t(2024, 1, 5, 13)),
+            (4, "http://a.com/x", t(2024, 1, 5, 18)), (5, "http://old.org/", t(1, 1, 2)), (6, "http://old.org/", t(999, 5, 5)),
+            (7, "http://old.org/", t(9999, 12, 30)), (8, "http://[::1]:80/p", t(2024, 1, 1)), (9, "http://UP.net/Path", t(2024, 1, 1))]
+    ents = [("domain", "a.com", "block", "2024-01-05 12:00:00"), ("domain", "a.com", "allow", "2024-01-05 13:00:00"),
+            ("domain", "A.com.", "block", "2024-01-05 18:00:00"), ("domain", "a.com", "allow", "2024-01-05 18:00:00"), ("domain", "a.com", "allow", "no time"),
+            ("domain", "old.org", "block", "0500-01-01 00:00:00"), ("domain", "[::1]", "block", "2023-01-01 00:00:00"),
+            ("page", "Up.NET/Path", "block", "2023-01-01 00:00:00")]
+    got = url_filter.temporal_url_filter(spark.createDataFrame(caps, "id int, url string, fetched_at timestamp_ntz").withColumn(
+        "fetched_at", F.col("fetched_at").cast("timestamp")), spark.createDataFrame(ents, "kind string, value string, action string, effective string"))
+    assert sorted((r["id"], r["blocked"]) for r in got.select("id", "blocked").collect()) == [
+        (1, False), (2, True), (3, False), (4, True), (5, False), (6, True), (7, True), (8, True), (9, True)]
+    assert got.filter("id = 3").first()["rule_since"].startswith("2024-01-05 13")
+
+
 def test_intervals_follow_each_other(spark):
     e = spark.createDataFrame([("d", "x", "block", dt.date(2024, 1, d)) for d in (1, 5, 9)], "kind string, value string, action string, effective date")
     got = sorted((r["valid_from"].day, r["valid_to"].day if r["valid_to"] else None) for r in url_filter.intervals(e).collect())
@@ -93,6 +110,13 @@ def test_exact_dedup(docs, empty, texts):
     assert exact_dedup.exact_dedup(empty).count() == 0 and exact_dedup.drop_exact_duplicates(empty).count() == 0
 
 
+def test_exact_dedup_largest_id(spark):
+    big = 2 ** 63 - 1
+    got = exact_dedup.exact_dedup(spark.createDataFrame([(big, "a"), (None, "a"), (big, "b")], "doc_id long, text string")).collect()
+    assert sorted(((r["doc_id"], r["keep_id"], r["group_size"], r["kept"]) for r in got), key=str) == sorted(
+        [(big, big, 2, True), (None, big, 2, False), (big, big, 1, True)], key=str)
+
+
 def brute_components(rows, width=5):
     sets = {}
     for i, t in rows:
@@ -141,6 +165,23 @@ def test_shingle_components_random(spark, monkeypatch):
     assert len({c for _, c in want.values()}) < len(rows)
 
 
+def test_document_with_several_texts_is_one_in_links(spark, texts):
+    a, b, c = (t for _, t in texts[10:13])
+    rows = [(5, a), (5, b), (2, b), (9, a), (7, c), (9, c)]
+    got = shingle_join.shingle_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r["doc_id"], r["component_id"]) for r in got} == {(5, 2), (2, 2), (9, 2), (7, 2)}
+
+
+def test_buckets_grow_with_the_members(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, " ".join(f"w{i}x{k}" for k in range(400))) for i in range(50)], "doc_id long, text string")
+    sets = shingle_join._sets(docs, "doc_id", "text", 5)
+    few = shingle_join._buckets(sets)
+    monkeypatch.setattr(shingle_join, "BUCKET_BYTES", 1000)
+    assert shingle_join._buckets(sets) > 10 * few
+    got = shingle_join.shingle_components(docs).collect()
+    assert all(r["component_id"] == r["doc_id"] for r in got)
+
+
 def test_near_copies_with_one_smallest_hash(spark, monkeypatch):
     """A group of near copies above the bound is more than one tile, and no link is lost."""
     monkeypatch.setattr(shingle_join, "TILE_ROWS", 40)
