@@ -10,14 +10,18 @@ threads agree on is emitted at once, so the lookahead is the length of the
 current ambiguity, at most the longest token plus its neighbours. Closing a
 pre-token emits what the thread that ends on a token boundary still holds.
 
-Texts are cut into pre-tokens first; a worker keeps their ids in a cache of
-bounded size. Decoding streams token bytes through a UTF-8 state machine.
+The trie is three flat arrays, and what a worker keeps (pre-tokens, states,
+pairs of tokens) is bounded in bytes. Texts are cut into pre-tokens first.
+Decoding streams token bytes through a UTF-8 state machine, STEP tokens at a
+time.
 """
 
 from __future__ import annotations
 
 import base64
 import gc
+import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,10 +32,12 @@ from pyspark.sql import types as T
 from skyflux.llm.common import by_chars, claim, worker_cache
 from skyflux.llm.pretokens import Cutter, PieceCache, newer_code_points
 
-#: Pre-tokens and states kept by a worker; characters encoded at a time.
-CACHE = 300_000
-STATES = 60_000
-CHUNK = 3_000_000
+#: Bytes of pre-tokens kept by a worker; states (under 1 kB each) and as many
+#: pairs; characters encoded and tokens decoded at a time.
+CACHE_BYTES = 60_000_000
+STATES = 48_000
+CHUNK = 2_000_000
+STEP = 512
 
 
 def parse_ranks(data: bytes) -> dict[bytes, int]:
@@ -51,6 +57,37 @@ def merge_by_rank(piece: bytes, ranks: dict[bytes, int], stop: int = 1) -> list[
     return [ranks[p] for p in parts]
 
 
+class Trie:
+    """Tokens by their bytes. Nodes are numbered level by level, so that the
+    children of a node follow each other: node n has the arcs ``labels[first[n]:
+    first[n + 1]]``, and arc k leads to node k + 1. ``token`` is -1 inside."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        tokens = sorted(ranks)
+        self.first, self.token, labels = array("I"), array("i"), bytearray()
+        level, depth = [(0, len(tokens))], 0
+        while level:
+            below = []
+            for lo, hi in level:
+                self.first.append(len(labels))
+                whole = lo < hi and len(tokens[lo]) == depth
+                self.token.append(ranks[tokens[lo]] if whole else -1)
+                lo += whole
+                while lo < hi:
+                    at, label = lo, tokens[lo][depth]
+                    while lo < hi and tokens[lo][depth] == label:
+                        lo += 1
+                    labels.append(label)
+                    below.append((at, lo))
+            level, depth = below, depth + 1
+        self.first.append(len(labels))
+        self.labels = bytes(labels)
+
+    def child(self, node: int, byte: int) -> int:
+        """The node an arc leads to; 0 without one."""
+        return self.labels.find(byte, self.first[node], self.first[node + 1]) + 1
+
+
 class _State(dict):
     """byte -> next state. ``out`` is what is emitted on reaching the state,
     ``end`` what closing the pre-token here adds (None: no single thread)."""
@@ -67,21 +104,7 @@ class Transducer:
     def __init__(self, ranks: dict[bytes, int], max_states: int = STATES):
         self.ranks, self.max_states = ranks, max_states
         self.bytes_of = {i: t for t, i in ranks.items()}
-        self._kids: list[dict[int, int]] = [{}]           # trie; leaves share one empty dict
-        leaf: dict[int, int] = {}
-        self._token: list[int] = [-1]
-        for tok, i in ranks.items():
-            node = 0
-            for b in tok:
-                nxt = self._kids[node].get(b)
-                if nxt is None:
-                    if self._kids[node] is leaf:
-                        self._kids[node] = {}
-                    nxt = self._kids[node][b] = len(self._kids)
-                    self._kids.append(leaf)
-                    self._token.append(-1)
-                node = nxt
-            self._token[node] = i
+        self._trie = Trie(ranks)
         self._pairs: dict[int, bool] = {}
         self._splits: dict[int, tuple[int, int] | None] = {}
         self._edges: tuple[dict, dict] = ({}, {})
@@ -138,7 +161,7 @@ class Transducer:
         pair = before << 32 | tok
         ok = self._pairs.get(pair)
         if ok is None:
-            if len(self._pairs) >= 4 * self.max_states:
+            if len(self._pairs) >= self.max_states:
                 self._pairs.clear()
             rank, left = self.ranks.get, self._edge(tok, 0)
             ok = True
@@ -155,14 +178,14 @@ class Transducer:
 
     def _next(self, state: _State, byte: int) -> _State:
         """Build one arc: move all threads by a byte, emit what they share."""
-        moved = []
+        moved, trie = [], self._trie
         for node, before, held in state.threads:
-            nxt = self._kids[node].get(byte)
-            if nxt is None:
+            nxt = trie.child(node, byte)
+            if not nxt:
                 continue
-            if self._kids[nxt]:
+            if trie.first[nxt] < trie.first[nxt + 1]:
                 moved.append((nxt, before, held))
-            tok = self._token[nxt]
+            tok = trie.token[nxt]
             if tok >= 0 and self._fits(before, tok):
                 moved.append((0, tok, (*held, tok)))
         out = b""
@@ -214,32 +237,50 @@ class Transducer:
         return result
 
 
+_RUNS = re.compile(rb"[\x00-\x7F]+|[\x80-\xFF]+")
+
+
 class Utf8Stream:
     """Incremental UTF-8: bytes of any cut in, text out. The state is how many
-    continuation bytes the open character still needs; its bytes wait until it
-    is whole. Ill-formed bytes become U+FFFD."""
+    bytes the open character still needs, its code point so far, and the bounds
+    of the next byte. Ill-formed bytes become U+FFFD, one for each longest
+    beginning of a character."""
 
     def __init__(self):
-        self._open = b""
-
-    @staticmethod
-    def _need(lead: int) -> int:
-        if lead < 0xC2 or lead > 0xF4:
-            return 0
-        return 1 if lead < 0xE0 else 2 if lead < 0xF0 else 3
+        self._need, self._code, self._low, self._high = 0, 0, 0x80, 0xBF
 
     def feed(self, data: bytes, end: bool = False) -> str:
-        data = self._open + data
-        cut = len(data)
-        if not end:
-            for back in range(1, min(3, len(data)) + 1):
-                b = data[-back]
-                if b & 0xC0 != 0x80:                      # not a continuation: the last lead or ASCII
-                    if self._need(b) >= back:
-                        cut -= back
-                    break
-        self._open = data[cut:]
-        return data[:cut].decode("utf-8", "replace")
+        out = []
+        need, code, low, high = self._need, self._code, self._low, self._high
+        for run in _RUNS.findall(data):
+            if run[0] < 0x80:                             # needs no state of its own
+                if need:
+                    out.append("\ufffd")
+                    need, low, high = 0, 0x80, 0xBF
+                out.append(run.decode("ascii"))
+                continue
+            for b in run:
+                if need:
+                    if low <= b <= high:
+                        code, need, low, high = code << 6 | b & 0x3F, need - 1, 0x80, 0xBF
+                        if not need:
+                            out.append(chr(code))
+                        continue
+                    out.append("\ufffd")
+                    need, low, high = 0, 0x80, 0xBF
+                if 0xC2 <= b <= 0xDF:
+                    need, code = 1, b & 0x1F
+                elif 0xE0 <= b <= 0xEF:
+                    need, code, low, high = 2, b & 0x0F, 0xA0 if b == 0xE0 else 0x80, 0x9F if b == 0xED else 0xBF
+                elif 0xF0 <= b <= 0xF4:
+                    need, code, low, high = 3, b & 0x07, 0x90 if b == 0xF0 else 0x80, 0x8F if b == 0xF4 else 0xBF
+                else:
+                    out.append("\ufffd")
+        if end and need:
+            out.append("\ufffd")
+            need, low, high = 0, 0x80, 0xBF
+        self._need, self._code, self._low, self._high = need, code, low, high
+        return "".join(out)
 
 
 class Coder:
@@ -248,7 +289,7 @@ class Coder:
     def __init__(self, ranks: bytes, pattern: str, odd: str):
         self._cut, fst = Cutter(pattern, odd), Transducer(parse_ranks(ranks))
         self.bytes_of = fst.bytes_of
-        self._cache = PieceCache(lambda ps: fst.encode_sorted([p.encode("utf-8", "surrogatepass") for p in ps]), CACHE)
+        self._cache = PieceCache(lambda ps: fst.encode_sorted([p.encode("utf-8", "surrogatepass") for p in ps]), CACHE_BYTES)
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         pieces = [self._cut(t) for t in texts]
@@ -292,7 +333,7 @@ def _decoder(bytes_of: dict[int, bytes], step: int):
 
 def bpe_encode(docs: DataFrame, vocab_path: str, pattern: str, text_col: str = "text", ids_col: str = "ids",
                n_col: str = "n_tokens", decoded_col: str | None = None, keep: list[str] | None = None,
-               step: int = 65_536) -> DataFrame:
+               step: int = STEP) -> DataFrame:
     """``keep`` columns (all but the text by default) plus ``ids_col`` (binary:
     little-endian unsigned 32-bit ids), ``n_col`` (long) and, when named,
     ``decoded_col``: the text that the ids give back, decoded in the same pass.
@@ -325,7 +366,7 @@ def bpe_encode(docs: DataFrame, vocab_path: str, pattern: str, text_col: str = "
 
 
 def bpe_decode(docs: DataFrame, vocab_path: str, ids_col: str = "ids", text_col: str = "decoded",
-               step: int = 65_536) -> DataFrame:
+               step: int = STEP) -> DataFrame:
     """``docs`` with ``text_col``: the text of the ids. Null ids give an empty
     text; an id outside the vocabulary is an error."""
     vocab = _vocabulary(docs.sparkSession, vocab_path)

@@ -57,19 +57,26 @@ class Cutter:
 
 class PieceCache:
     """Values of pre-tokens, kept by a worker. ``make`` gets all pieces of a
-    chunk that are not known yet at once. When more than ``size`` would be held,
-    only those of the current chunk stay."""
+    chunk that are not known yet at once. When more than ``size`` bytes would be
+    held, only those of the current chunk stay."""
 
     def __init__(self, make, size: int):
-        self._make, self._size, self.values = make, size, {}
+        self._make, self._size, self.values, self._held = make, size, {}, 0
+
+    @staticmethod
+    def _bytes(pieces) -> int:
+        return sum(map(len, pieces)) * 2 + 200 * len(pieces)   # key, value, their headers and the dictionary's slot
 
     def load(self, texts: list[list[str]]) -> None:
         """Afterwards ``values`` has every piece of these texts."""
         need = set().union(*texts)
         have = self.values
         new = sorted(need.difference(have))
-        if len(have) + len(new) > self._size:
+        more = self._bytes(new)
+        if self._held + more > self._size:
             have = self.values = {p: have[p] for p in need.intersection(have)}
+            self._held = self._bytes(have)
+        self._held += more
         have.update(zip(new, self._make(new)))
 
 

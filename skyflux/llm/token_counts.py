@@ -26,7 +26,7 @@ from skyflux.llm.common import claim, worker_cache
 from skyflux.llm.pretokens import Cutter, PieceCache, chunks, newer_code_points
 
 TABLE = 32_768
-CACHE = 500_000
+CACHE_BYTES = 100_000_000
 CHUNK = 4_000_000
 _FAN_IN = 32
 
@@ -93,7 +93,7 @@ def _lengths(spec: bytes, pattern: str, odd: str, table: dict[str, int]):
             got = dict(zip(asked, (len(e) for p in range(0, len(asked), 20_000)
                                    for e in tok.encode_batch_fast(asked[p:p + 20_000], add_special_tokens=False))))
             return [table[p] if p in table else got[p] for p in pieces]
-        _TOKENIZERS[key] = (Cutter(pattern, odd), tok, special, PieceCache(many, CACHE))
+        _TOKENIZERS[key] = (Cutter(pattern, odd), tok, special, PieceCache(many, CACHE_BYTES))
     return _TOKENIZERS[key]
 
 
