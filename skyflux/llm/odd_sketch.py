@@ -17,9 +17,12 @@ Equal sets form one class beforehand. Two turns keep large groups linear:
   bucket's smallest id; of those that its sketch admits it takes the smallest,
   and these pairs, one per document at most, are confirmed first;
 * within buckets that still hold documents of different components, all members
-  are compared, in blocks of BLOCK documents ordered by component; pairs of
-  blocks within one component are skipped. A pair is handled in the first band
-  that both share, and pairs of one component are not confirmed again.
+  are compared, in blocks of up to 1,024 documents ordered by component; pairs
+  of blocks within one component are skipped. A pair is handled in the first
+  band that both share. What the sketches admit travels as one row per pair of
+  blocks and is confirmed there, where the sets meet; pairs of components that
+  are already joined are not confirmed again, so that a pair of blocks returns
+  a spanning forest.
 
 So no link between candidates is lost, whatever the size of a bucket.
 """
@@ -43,7 +46,8 @@ SIMILARITY = (80, 100)
 BANDS, ROWS_PER_BAND = 32, 4
 SAMPLES = BANDS * ROWS_PER_BAND
 BITS = 512
-BLOCK_BITS = 8                        # blocks of 256 documents
+BLOCK_BITS = 10                       # blocks of 1,024 documents, of sets above LARGE of 16
+LARGE, LARGE_BITS = 8192, 6
 DEVIATIONS = 5
 _CHUNK = 8_000_000
 _STEP = 512                           # shingles hashed at a time
@@ -158,54 +162,108 @@ def _leader_pairs(heads: DataFrame, cut: int) -> tuple[DataFrame, DataFrame]:
     return pairs, members.select("key", "sig")
 
 
-def _block_pairs(members: DataFrame, heads: DataFrame, comp: DataFrame, cut: int, block_bits: int) -> DataFrame:
-    """(a, b): pairs of different components that share a bucket and that the
-    sketches admit, each once."""
-    labelled = heads.select("sig", "sketch", "bands", "id").join(comp, "id", "left").select(
-        "sig", "sketch", "bands", F.coalesce("root", "id").alias("root"))
-    rows = members.join(labelled, "sig")
+def _blocks(members: DataFrame, heads: DataFrame, block_bits: int) -> DataFrame:
+    """(key, block, docs, lo, hi): the members of buckets that hold several
+    components (``root`` of ``heads``), in blocks; ``lo`` and ``hi`` bound the roots."""
+    rows = members.join(heads.select("sig", "n", "sketch", "bands", "root"), "sig")
     mixed = rows.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("key")
     # a document's place in the order (key, component), numbered from each partition's start
     rows = rows.join(mixed, "key", "left_semi").repartitionByRange("key", "root", "sig").sortWithinPartitions("key", "root", "sig")
-    rows = rows.select(F.shiftright(F.monotonically_increasing_id(), block_bits).alias("block"), "key", "root", "sig", "sketch", "bands")
-    item = F.struct("sig", "root", "sketch", "bands")
-    blocks = checkpoint_table(rows.groupBy("key", "block").agg(F.collect_list(item).alias("docs"), F.min("root").alias("lo"),
-                                                               F.max("root").alias("hi")), "sketch-blocks")     # 2^block_bits documents a block
+    pos, small, large = F.monotonically_increasing_id(), block_bits, max(0, block_bits - LARGE_BITS)
+    block = F.when(F.col("n") > LARGE, F.shiftright(pos, large) * 2 + 1).otherwise(F.shiftright(pos, small) * 2)
+    rows = rows.select("key", block.alias("block"), "sig", "root", "sketch", "bands")
+    return checkpoint_table(rows.groupBy("key", "block").agg(F.collect_list(F.struct("sig", "root", "sketch", "bands")).alias("docs"),
+                                                             F.min("root").alias("lo"), F.max("root").alias("hi")), "sketch-blocks")
+
+
+def _block_pairs(blocks: DataFrame, cut: int) -> DataFrame:
+    """(key, i, j, left, right): per pair of blocks the places of the pairs of
+    documents of different components that the sketches admit."""
     a = blocks.select("key", F.col("block").alias("i"), F.col("docs").alias("left"), F.col("lo").alias("lo_i"), F.col("hi").alias("hi_i"))
     b = blocks.select("key", F.col("block").alias("j"), F.col("docs").alias("right"), "lo", "hi")
     one = (F.col("lo_i") == F.col("hi_i")) & (F.col("lo") == F.col("hi")) & (F.col("lo") == F.col("lo_i"))
-    both = a.join(b, "key").filter((F.col("i") <= F.col("j")) & ~one).select("key", (F.col("i") == F.col("j")).alias("same"), "left", "right")
+    both = a.join(b, "key").filter((F.col("i") <= F.col("j")) & ~one).select("key", "i", "j", "left", "right")
 
     def unpack(cell):
         docs = cell.values
         n = len(docs)
-        sig = docs.field("sig").to_pylist()
         sketch = docs.field("sketch").flatten().to_numpy().view(np.uint64).reshape(n, BITS // 64)
-        bands = docs.field("bands").flatten().to_numpy().reshape(n, BANDS)
-        return sig, docs.field("root").to_numpy(), sketch, bands
+        return docs.field("root").to_numpy(), sketch, docs.field("bands").flatten().to_numpy().reshape(n, BANDS)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("odd_sketch")
         for batch in batches:
-            for r in range(len(batch)):
-                key, same = batch.column("key")[r].as_py(), batch.column("same")[r].as_py()
-                sa, ra, xa, ba = unpack(batch.column("left")[r])
-                sb, rb, xb, bb = unpack(batch.column("right")[r])
-                out_a, out_b = [], []
-                for i in range(len(sa)):
-                    near = ra[i] != rb
-                    if same:
-                        near[:i + 1] = False
+            rows = []
+            for key, i, j, left, right in zip(*(batch.column(c) for c in ("key", "i", "j", "left", "right"))):
+                key, i, j = key.as_py(), i.as_py(), j.as_py()
+                (ra, xa, ba), (rb, xb, bb) = unpack(left), unpack(right)
+                at, to = [], []
+                for k in range(len(ra)):
+                    near = ra[k] != rb
+                    if i == j:
+                        near[:k + 1] = False
                     near = np.flatnonzero(near)
-                    near = near[np.bitwise_count(xb[near] ^ xa[i]).sum(1) <= cut]
+                    near = near[np.bitwise_count(xb[near] ^ xa[k]).sum(1) <= cut]
                     if len(near):                             # only in the first band that both share
-                        equal = bb[near] == ba[i]
-                        near = near[ba[i][equal.argmax(1)] == key]
-                        out_a += [sa[i]] * len(near)
-                        out_b += [sb[j] for j in near]
-                yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.binary()), pa.array(out_b, pa.binary())], names=["a", "b"])
+                        near = near[ba[k][(bb[near] == ba[k]).argmax(1)] == key]
+                        at.append(np.full(len(near), k, dtype=np.uint16))
+                        to.append(near.astype(np.uint16))
+                if sum(map(len, to)):
+                    rows.append((key, i, j, np.concatenate(at).tobytes(), np.concatenate(to).tobytes()))
+            cols = list(zip(*rows)) or [()] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, [pa.int64()] * 3 + [pa.binary()] * 2)],
+                                             names=["key", "i", "j", "left", "right"])
 
-    return both.mapInArrow(compare, "a binary, b binary")
+    return both.mapInArrow(compare, "key long, i long, j long, left binary, right binary")
+
+
+def _block_members(found: DataFrame, blocks: DataFrame) -> DataFrame:
+    """(key, block, at, sig, root) of the documents on any pair of ``found``."""
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, cells in (("i", "left"), ("j", "right")):
+                for key, b, cell in zip(batch.column("key"), batch.column(block), batch.column(cells)):
+                    at = np.unique(np.frombuffer(cell.as_buffer(), dtype=np.uint16)).astype(np.int32)
+                    n = len(at)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(n, key.as_py())), pa.array(np.full(n, b.as_py())), pa.array(at)],
+                                                     names=["key", "block", "at"])
+    used = (found.mapInArrow(places, "key long, block long, at int").groupBy("key", "block").agg(F.collect_set("at").alias("used"))
+            .join(blocks.select("key", "block", "docs"), ["key", "block"]))
+    each = F.transform("used", lambda k: F.struct(k.alias("at"), F.col("docs")[k]["sig"].alias("sig"), F.col("docs")[k]["root"].alias("root")))
+    return used.select("key", "block", F.inline(each))
+
+
+def _block_links(found: DataFrame, placed: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b): roots joined by a pair of ``found`` whose full sets are similar
+    enough; a spanning forest per pair of blocks."""
+    packed = placed.join(sets, "sig").groupBy("key", "block").agg(F.collect_list(F.struct("at", "root", "set")).alias("docs"))
+    both = (found.join(packed.withColumnRenamed("block", "i").withColumnRenamed("docs", "docs_i"), ["key", "i"])
+            .join(packed.withColumnRenamed("block", "j").withColumnRenamed("docs", "docs_j"), ["key", "j"]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("odd_sketch")
+        for batch in batches:
+            out = []
+            for left, right, a, b in zip(*(batch.column(c) for c in ("left", "right", "docs_i", "docs_j"))):
+                sides = []
+                for cell in (a, b):
+                    docs = cell.values
+                    sides.append({k: (r, np.frombuffer(x.as_buffer(), dtype=np.uint64))
+                                  for k, r, x in zip(docs.field("at").to_pylist(), docs.field("root").to_pylist(), docs.field("set"))})
+                up: dict[int, int] = {}
+
+                def find(x):
+                    while up.get(x, x) != x:
+                        x = up[x]
+                    return x
+                for k, m in zip(np.frombuffer(left.as_buffer(), dtype=np.uint16).tolist(), np.frombuffer(right.as_buffer(), dtype=np.uint16).tolist()):
+                    (rx, x), (ry, y) = sides[0][k], sides[1][m]
+                    fx, fy = find(rx), find(ry)
+                    if fx != fy and _similar(x, y):
+                        out.append((rx, ry))
+                        up[max(fx, fy)] = min(fx, fy)
+            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.int64())], names=["a", "b"])
+    return both.select("left", "right", "docs_i", "docs_j").mapInArrow(run, "a long, b long")
 
 
 # ------------------------------------------------------------- 3: full sets
@@ -223,10 +281,16 @@ def _sets(docs: DataFrame, live: DataFrame, id_col: str, text_col: str, width: i
     return text.join(live, "id").select("sig", "text").mapInArrow(run, "sig binary, set binary").dropDuplicates(["sig"])
 
 
+def _similar(x: np.ndarray, y: np.ndarray) -> bool:
+    need, of = SIMILARITY
+    both = np.sort(np.concatenate([x, y]), kind="stable")     # two sorted runs are merged
+    common = int((both[1:] == both[:-1]).sum())
+    return of * common >= need * (len(both) - common)
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs whose full sets are similar enough. A set with many partners is
     sent once for every _PART of them."""
-    need, of = SIMILARITY
     times = pairs.groupBy("b").agg(F.ceil(F.count("*") / _PART).cast("int").alias("parts"))
     spread = F.pmod(F.xxhash64("a"), F.col("parts")).cast("int")
     left = pairs.join(times, "b").select("a", "b", spread.alias("part")).join(sets.withColumnRenamed("sig", "a").withColumnRenamed("set", "x"), "a")
@@ -236,12 +300,8 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("odd_sketch")
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("x"), batch.column("y")):
-                x, y = (np.frombuffer(c.as_buffer(), dtype=np.uint64) for c in (x, y))
-                union = len(np.union1d(x, y))
-                keep.append(of * (len(x) + len(y) - union) >= need * union)
-            keep = pa.array(keep, pa.bool_())
+            keep = pa.array([_similar(*(np.frombuffer(c.as_buffer(), dtype=np.uint64) for c in pair))
+                             for pair in zip(batch.column("x"), batch.column("y"))], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in ("a", "b")], names=["a", "b"])
     return left.join(right, ["b", "part"]).select("a", "b", "x", "y").mapInArrow(run, "a binary, b binary")
 
@@ -267,7 +327,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     rows = _sketches(docs, id_col, text_col, width)
     real = rows.filter("n > 0 AND id IS NOT NULL")
-    heads = checkpoint_table(real.groupBy("sig").agg(F.min("id").alias("id"), F.min_by("bands", "id").alias("bands"),
+    heads = checkpoint_table(real.groupBy("sig").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.min_by("bands", "id").alias("bands"),
                                                      F.min_by("sketch", "id").alias("sketch")), "heads")
     cut = most_ones(SIMILARITY[0] / SIMILARITY[1])
     pairs, members = _leader_pairs(heads, cut)
@@ -280,15 +340,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
               .select(F.col("id").alias("a"), "b"))
     edges = checkpoint_table(_edges(_confirmed(pairs, sets), heads).unionByName(shared), "links")
     comp = checkpoint_table(components(edges), "first-components")
-    more = checkpoint_table(_block_pairs(members, heads, comp, cut, block_bits).distinct(), "block-pairs")
-    if not more.isEmpty():
-        known = sets.select("sig")
-        rest = more.select(F.col("a").alias("sig")).union(more.select(F.col("b").alias("sig"))).distinct().join(known, "sig", "left_anti")
-        rest = _sets(docs, rest.join(heads.select("sig", "id"), "sig"), id_col, text_col, width)
-        every = checkpoint_table(sets.unionByName(rest), "all-sets")
-        edges = edges.unionByName(_edges(_confirmed(more, every), heads))
-        comp = components(edges)
-    of = heads.join(comp, "id", "left").select("sig", F.coalesce("root", "id").alias("component_id"))
+    heads = heads.join(comp, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    blocks = _blocks(members, heads, block_bits)
+    found = checkpoint_table(_block_pairs(blocks, cut), "block-pairs")
+    if not found.isEmpty():
+        placed = checkpoint_table(_block_members(found, blocks), "block-members")
+        rest = placed.select("sig").distinct().join(sets.select("sig"), "sig", "left_anti").join(heads.select("sig", "id"), "sig")
+        every = sets.unionByName(_sets(docs, rest, id_col, text_col, width))
+        joined = components(_block_links(found, placed, every)).select(F.col("id").alias("root"), F.col("root").alias("least"))
+        heads = heads.join(joined, "root", "left").withColumn("root", F.coalesce("least", "root"))
+    of = heads.select("sig", F.col("root").alias("component_id"))
     whole = rows.select("id", "n", F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.col("sig")).alias("sig")).join(of, "sig", "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id"))
     return whole.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"),
