@@ -5,14 +5,15 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import numpy as np
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skyflux.functions.ids import strip_id
 from skyflux.functions.physics import chirp_mass, component_masses, symmetric_mass_ratio
 from skyflux.functions.timefn import mjd_to_gps
 from skyflux.operators.intervals import interval_join
-from skyflux.session import broadcast_if_small
+from skyflux.session import broadcast_if_small, checkpoint_table
 
 # Fixed values of the injection table: waveform, lower frequency, ad-hoc delay
 # between first optical detection and merger, and the speed of light in km/s.
@@ -20,8 +21,8 @@ WAVEFORM = "TaylorF2threePointFivePN"
 F_LOWER = 20.0
 MERGER_DELAY_S = 7200
 C_KM_S = 299792.458
-#: Step of the redshift grid.
-GRID_STEP = 1e-4
+#: Nodes of the distance integral and Newton steps of its inverse.
+NODES, NEWTON_STEPS = 24, 8
 # The Planck 2018 parameters (H0, Om0) and the default of the survey.
 PLANCK18 = {"h0": 67.66, "om0": 0.30966}
 
@@ -111,14 +112,22 @@ def detector_frame(df: DataFrame, m1: str = "mass1_source", m2: str = "mass2_sou
 
 def simulation_ids(df: DataFrame, order: str, name: str = "simulation_id",
                    max_rows: int | None = None) -> DataFrame:
-    """WIN4: dense 0-based ids in ``order``. Above ``max_rows`` rows the table
-    is cut at fixed quantiles of the key (``ordered.ranked`` with no group),
-    each slice numbers its rows and the sizes of earlier slices (one small row
-    per slice) give the offsets; below it, one window over at most
-    ``max_rows`` rows."""
-    from skyflux.operators.ordered import MAX_ROWS, ranked
-    r = ranked(df, [], [order], max_rows=max_rows or MAX_ROWS)
-    return r.withColumn(name, F.col("__rank").cast("long")).drop("__rank", "__cnt")
+    """WIN4: dense 0-based ids in ``order`` (a column of any sortable type;
+    nulls first, equal values in any order). The table is range-partitioned and
+    sorted once and stored; a row's id is its place in its partition plus the
+    sizes of the partitions before it (one small row per partition), so no task
+    sees more than a partition. ``max_rows`` bounds the rows of a partition."""
+    salted = df.withColumn("__salt", F.monotonically_increasing_id())       # equal values are split too
+    parts = [max(1, -(-df.count() // max_rows))] if max_rows else []
+    placed = (salted.repartitionByRange(*parts, order, "__salt").sortWithinPartitions(order, "__salt")
+              .drop("__salt").withColumn("__pos", F.monotonically_increasing_id()))
+    rows = checkpoint_table(placed, "ids")
+    part = F.shiftright("__pos", 33)
+    sizes = rows.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
+    out = rows.withColumn("__part", part).join(offsets, "__part")
+    return out.withColumn(name, F.col("__off") + F.col("__pos").bitwiseAND(F.lit(2 ** 33 - 1))).drop("__part", "__off", "__pos")
 
 
 def injection_rows(df: DataFrame, seed: int = 0, snid: str = "snid", ra: str = "ra", dec: str = "dec",
@@ -172,21 +181,32 @@ def distance_grid(spark: SparkSession, h0: float = 70.0, om0: float = 0.3, z_max
     return g.select("i", "z", ((1 + F.col("z")) * F.col("__dc")).alias("d_l"))
 
 
-def _grid_to(spark: SparkSession, z_max: float, **cosmology) -> DataFrame:
-    """A distance grid in steps of GRID_STEP that reaches past ``z_max``."""
-    n = int(math.ceil(max(z_max, 0.0) / GRID_STEP)) + 2
-    return distance_grid(spark, z_max=n * GRID_STEP, n=n, **cosmology)
+def _comoving(z: Column, om0: float) -> Column:
+    """Comoving distance to ``z`` in Hubble lengths, flat LambdaCDM. With t =
+    (1 + z)^(-1/2) the integrand dz / E(z) is 2 dt / sqrt(Om + OL t^6) on [t(z),
+    1], smooth and bounded up to any redshift, so one Gauss-Legendre rule holds
+    to rounding: an expression of the row, without a table, join or window."""
+    x, w = np.polynomial.legendre.leggauss(NODES)
+    width = -F.expm1(F.log1p(z) * -0.5)                       # 1 - t, exact for small z
+    total = None
+    for xi, wi in zip((x + 1) / 2, w / 2):
+        t = F.lit(1.0) - width * F.lit(float(xi))
+        t3 = t * t * t
+        term = F.lit(float(2 * wi)) / F.sqrt(F.lit(float(om0)) + F.lit(1.0 - om0) * t3 * t3)
+        total = term if total is None else total + term
+    return width * total
 
 
 def luminosity_distance(df: DataFrame, z: str, grid: DataFrame | None = None, name: str = "distance",
-                        **cosmology) -> DataFrame:
-    """FN13: distance of each z by linear interpolation on a uniform grid; the
-    grid index is computed, so the lookup is an equi-join (an exact as-of).
-    Without ``grid`` one is made that reaches the largest z of the data. A z
-    that is null, negative or past the end of a given grid has a null distance."""
+                        h0: float = 70.0, om0: float = 0.3) -> DataFrame:
+    """FN13: luminosity distance (Mpc) of each z in flat LambdaCDM, by
+    quadrature per row (``_comoving``). With ``grid`` (i, z, d_l: a caller's
+    tabulated cosmology) by linear interpolation instead; the grid index is
+    computed, so the lookup is an equi-join. A z that is null, NaN, negative or
+    past the end of a given grid has a null distance."""
     if grid is None:
-        top = df.agg(F.max(F.when(~F.isnan(z), F.col(z)))).first()[0]
-        grid = _grid_to(df.sparkSession, top or 0.0, **cosmology)
+        at = F.when((F.col(z) >= 0) & ~F.isnan(F.col(z).cast("double")), F.col(z).cast("double"))
+        return df.withColumn(name, (1 + at) * _comoving(at, om0) * (C_KM_S / h0))
     n, z_end = grid.agg(F.max("i"), F.max("z")).first()
     dz = grid.filter(F.col("i") == 1).first()["z"]
     g0 = grid.select(F.col("i").alias("__i"), F.col("z").alias("__z0"), F.col("d_l").alias("__d0"))
@@ -201,18 +221,23 @@ def luminosity_distance(df: DataFrame, z: str, grid: DataFrame | None = None, na
 
 
 def redshift_from_distance(df: DataFrame, d: str, grid: DataFrame | None = None, name: str = "z",
-                           **cosmology) -> DataFrame:
-    """FN14: inverse of FN13 (distance is monotonic in z): each distance finds
-    its grid segment through an interval join, then interpolates. Without
-    ``grid`` one is made that reaches the largest distance of the data. Every
-    row is kept; a distance outside a given grid has a null z."""
+                           h0: float = 70.0, om0: float = 0.3) -> DataFrame:
+    """FN14: inverse of FN13 by NEWTON_STEPS Newton steps of log distance in log
+    redshift, whose slope is between 1 and 2 everywhere, started at Hubble's
+    law; one projection per step. With ``grid`` each distance finds its segment
+    through an interval join and is interpolated. Every row is kept; a distance
+    that is null, NaN, negative or outside a given grid has a null z."""
     if grid is None:
-        top = df.agg(F.max(F.when(~F.isnan(d), F.col(d)))).first()[0] or 0.0
-        z_max = 1.0
-        grid = _grid_to(df.sparkSession, z_max, **cosmology)
-        while grid.agg(F.max("d_l")).first()[0] <= top:
-            z_max *= 2
-            grid = _grid_to(df.sparkSession, z_max, **cosmology)
+        far = F.when((F.col(d) >= 0) & ~F.isnan(F.col(d).cast("double")), F.col(d).cast("double") * (h0 / C_KM_S))
+        out = df.withColumn("__d", far).withColumn("__z", F.col("__d"))
+        for _ in range(NEWTON_STEPS):
+            zz = F.col("__z")
+            out = out.withColumn("__c", _comoving(zz, om0))
+            e = F.sqrt(F.lit(float(om0)) * F.pow(1 + zz, 3) + F.lit(1.0 - om0))
+            slope = zz * (1 / (1 + zz) + 1 / (e * F.col("__c")))
+            step = F.log((1 + zz) * F.col("__c") / F.col("__d")) / slope
+            out = out.withColumn("__z", F.when(F.col("__d") > 0, zz * F.exp(-step)).otherwise(F.col("__d")))
+        return out.withColumn(name, F.col("__z")).drop("__d", "__z", "__c")
     g0 = grid.select(F.col("i"), F.col("z").alias("__z0"), F.col("d_l").alias("__d0"))
     g1 = grid.select((F.col("i") - 1).alias("i"), F.col("z").alias("__z1"), F.col("d_l").alias("__d1"))
     seg = g0.join(g1, "i").drop("i")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from skyflux.functions import physics as phy
 from skyflux.functions import timefn as tf
 from skyflux.operators import filters as flt
-from skyflux.operators import gw
+from skyflux.operators import gw, pixels
 from skyflux.operators import sky
 from skyflux.plans import bindings as B
 from skyflux.plans.registry import query
@@ -85,6 +85,43 @@ def q_skymap_crossmatch_pairs(spark, d):
     return sky.skymap_crossmatch(objs, B.skymap_pixels(spark, d), bucket=16, pairs=pairs)
 
 
+def _morton_sql(order: int) -> str:
+    """Nested pixel in DuckDB, bit by bit."""
+    n = 1 << order
+    col = f"CAST(least(floor(ra / CAST(360 AS DOUBLE) * {n}), {n - 1}) AS BIGINT)"
+    row = f"CAST(least(floor((sin(radians(decl)) + 1) / 2 * {n}), {n - 1}) AS BIGINT)"
+    return " + ".join(f"(({col} >> {k}) & 1) * {1 << 2 * k} + (({row} >> {k}) & 1) * {1 << 2 * k + 1}" for k in range(order))
+
+
+@query("skymap_crossmatch_multiorder", with_(SKY_OBJECTS) + f"""
+, obj AS (SELECT objectId, {_morton_sql(3)} AS p3, {_morton_sql(5)} AS p5 FROM sky_objects),
+pix AS (
+  SELECT o_orderpriority AS map_id, CASE WHEN p3 % 2 = 0 THEN 3 ELSE 5 END AS "order",
+         CASE WHEN p3 % 2 = 0 THEN p3 ELSE p5 END AS map_pix, CAST(sum(o_totalprice) AS DOUBLE) AS w
+  FROM orders JOIN obj ON objectId = o_custkey GROUP BY ALL),
+prob AS (SELECT map_id, "order", map_pix, w / sum(w) OVER (PARTITION BY map_id) AS prob FROM pix),
+ranked AS (
+  SELECT *, prob / (4 * pi() / pow(4.0, "order")) AS density,
+         sum(prob) OVER (PARTITION BY map_id ORDER BY prob / (4 * pi() / pow(4.0, "order")) DESC, "order", map_pix
+                         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS searched_prob FROM prob)
+SELECT objectId, map_id, "order", map_pix, density, searched_prob
+FROM obj JOIN ranked ON CASE WHEN "order" = 3 THEN p3 ELSE p5 END = map_pix
+WHERE searched_prob - prob < 0.5""".replace("\n, obj AS", ",\nobj AS", 1), ["density", "searched_prob"])
+def q_skymap_crossmatch_multiorder(spark, d):
+    """JOIN15: maps of nested pixels of two orders, one per order priority;
+    objects inside the 50% credible region of each."""
+    objs = pixels.with_pixel(B.sky_objects(spark, d))
+    o = B.table(spark, d, "orders").join(objs, F.col("objectId") == F.col("o_custkey"))
+    even = pixels.parent("pix", 3) % 2 == 0
+    w = (o.groupBy(F.col("o_orderpriority").alias("map_id"), F.when(even, 3).otherwise(5).alias("order"),
+                   F.when(even, pixels.parent("pix", 3)).otherwise(pixels.parent("pix", 5)).alias("map_pix"))
+         .agg(F.sum("o_totalprice").cast("double").alias("w")))
+    total = w.groupBy("map_id").agg(F.sum("w").alias("t"))
+    maps = w.join(total, "map_id").withColumn("prob", F.col("w") / F.col("t"))
+    out = pixels.crossmatch_multiorder(objs.select("objectId", "pix"), maps, credible=0.5)
+    return out.select("objectId", "map_id", "order", "map_pix", "density", "searched_prob")
+
+
 @query("match_within_tolerance", with_(TARGETS) + """
 , best AS (
   SELECT target_id, cand_id, cx, d FROM (
@@ -291,27 +328,34 @@ def q_redshift_from_distance(spark, d):
                                      "distance", grid)
 
 
-_FAR_GRID_SQL = _GRID_SQL.replace("range(0, 30001)", "range(0, 100001)")
+def _distance_sql(z: str, om0: float = 0.3, h0: float = 70.0, panels: int = 400) -> str:
+    """Distance by Simpson's rule in t = (1 + z)^(-1/2), far finer than needed."""
+    dbl = lambda x: f"CAST({x!r} AS DOUBLE)"
+    t = f"(1 - k / {dbl(float(panels))} * (1 - 1 / sqrt(1 + {z})))"
+    term = f"(CASE WHEN k = 0 OR k = {panels} THEN 1 WHEN k % 2 = 1 THEN 4 ELSE 2 END) / sqrt({dbl(om0)} + {dbl(1 - om0)} * pow({t}, 6))"
+    return (f"(1 + {z}) * {dbl(299792.458 / h0)} * 2 * (1 - 1 / sqrt(1 + {z})) / {dbl(3.0 * panels)} "
+            f"* list_sum(list_transform(range(0, {panels + 1}), lambda k: {term}))")
 
 
-@query("luminosity_distance_far", with_(TRUTH_EV, _FAR_GRID_SQL) + """
-SELECT t.SNID, t.ZCMB * 8 AS z,
-       round(s.d0 + ((t.ZCMB * 8 - s.z0) / CAST(0.0001 AS DOUBLE)) * (s.d1 - s.d0), 3) AS distance
-FROM truth_ev t LEFT JOIN seg s ON s.i = CAST(floor(t.ZCMB * 8 / CAST(0.0001 AS DOUBLE)) AS BIGINT)""", ["z", "distance"])
+@query("luminosity_distance_far", with_(TRUTH_EV) + f"""
+SELECT SNID, z, round({_distance_sql('z')}, 3) AS distance
+FROM (SELECT SNID, CAST(ZCMB * 8 AS DOUBLE) AS z FROM truth_ev)""", ["z", "distance"])
 def q_luminosity_distance_far(spark, d):
-    """FN13 up to z = 8 on a grid that reaches the largest z of the data."""
-    t = B.truth_ev(spark, d).select("SNID", (F.col("ZCMB") * 8).alias("z"))
+    """FN13 up to z = 8, by quadrature per row."""
+    t = B.truth_ev(spark, d).select("SNID", (F.col("ZCMB") * 8).cast("double").alias("z"))
     return gw.luminosity_distance(t, "z").withColumn("distance", F.round("distance", 3))
 
 
-@query("redshift_from_distance_far", with_(_FAR_GRID_SQL) + """
-, sim AS (SELECT o_orderkey AS simulation_id, 40.0 + (o_custkey % 400) * 200.0 AS distance FROM orders)
-SELECT sim.simulation_id, sim.distance,
-       s.z0 + ((sim.distance - s.d0) / (s.d1 - s.d0)) * (s.z1 - s.z0) AS z
-FROM sim LEFT JOIN seg s ON sim.distance >= s.d0 AND sim.distance < s.d1""".replace("\n, sim AS", ",\nsim AS", 1),
-       ["distance", "z"])
+@query("redshift_from_distance_far", f"""
+WITH RECURSIVE sim AS (SELECT o_orderkey AS simulation_id, CAST(40.0 + (o_custkey % 400) * 200.0 AS DOUBLE) AS distance FROM orders),
+bisect AS (
+  SELECT 0 AS i, distance, CAST(0 AS DOUBLE) AS lo, CAST(64 AS DOUBLE) AS hi FROM (SELECT DISTINCT distance FROM sim)
+  UNION ALL
+  SELECT i + 1, distance, CASE WHEN far THEN lo ELSE (lo + hi) / 2 END, CASE WHEN far THEN (lo + hi) / 2 ELSE hi END
+  FROM (SELECT *, {_distance_sql('((lo + hi) / 2)', panels=200)} >= distance AS far FROM bisect WHERE i < 55))
+SELECT sim.simulation_id, sim.distance, b.lo AS z FROM sim JOIN bisect b ON b.distance = sim.distance AND b.i = 55""", ["distance", "z"])
 def q_redshift_from_distance_far(spark, d):
-    """FN14 up to 80 Gpc; every row is kept."""
+    """FN14 up to 80 Gpc, by Newton steps per row."""
     sim = B.table(spark, d, "orders").select(F.col("o_orderkey").alias("simulation_id"),
                                              (F.lit(40.0) + (F.col("o_custkey") % 400) * 200.0).alias("distance"))
     return gw.redshift_from_distance(sim, "distance")
@@ -331,10 +375,7 @@ def q_skymap_manifest(spark, d):
     return gw.skymap_manifest(maps, coinc, first, decimals=6)
 
 
-_PLANCK_GRID_SQL = _GRID_SQL.replace("0.3 AS", "0.30966 AS").replace("CAST(70 AS DOUBLE)", "CAST(67.66 AS DOUBLE)")
-
-
-@query("mass_inversion", with_(TRUTH_EV, _TEMPLATE_SQL, _PLANCK_GRID_SQL) + """
+@query("mass_inversion", with_(TRUTH_EV, _TEMPLATE_SQL) + """
 , cand AS (
   SELECT i AS cand_id, 0.87 + (i // 51) * (0.73 / 73) AS mc, 0.5 + (i % 51) * 0.01 AS q, (i // 51) * 0.0005 AS mej
   FROM range(0, 3774) r(i)),
@@ -349,8 +390,8 @@ m AS (SELECT best.*, mc * pow(1 + q, 1.2) / pow(q, 0.6) / (1 + q) AS m1,
       FROM best JOIN cand USING (cand_id))
 SELECT m.SNID, m.redshift, m.mej, m.cand_id, m1 * (1 + redshift) AS mass1, m2 * (1 + redshift) AS mass2,
        pow(m1 * (1 + redshift) * (m2 * (1 + redshift)), 0.6) / pow(m1 * (1 + redshift) + m2 * (1 + redshift), 0.2) AS chirp_mass,
-       round(s.d0 + ((redshift - s.z0) / CAST(0.0001 AS DOUBLE)) * (s.d1 - s.d0), 3) AS distance
-FROM m LEFT JOIN seg s ON s.i = CAST(floor(redshift / CAST(0.0001 AS DOUBLE)) AS BIGINT)""".replace("\n, cand AS", ",\ncand AS", 1),
+       round(%s, 3) AS distance
+FROM m""".replace("%s", _distance_sql("redshift", 0.30966, 67.66)).replace("\n, cand AS", ",\ncand AS", 1),
        ["redshift", "mej", "mass1", "mass2", "chirp_mass", "distance"])
 def q_mass_inversion(spark, d):
     """Filter, template, ejecta mass, closest candidate of the grid (forward

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from skyflux.operators import gw
-from skyflux.operators import sky
+from skyflux.operators import pixels
 from skyflux.plans.q_sky_gw import _hav
 from skyflux.operators import lightcurves as lc
 from skyflux.plans import bindings as B
@@ -157,11 +157,12 @@ def q_read_gw_tables(spark, d):
 SELECT objectId, ra, decl, {_hav('100.0', '20.0', 'ra', 'decl')} AS sep_deg
 FROM sky_objects WHERE {_hav('100.0', '20.0', 'ra', 'decl')} <= 10.0""", ["ra", "decl", "sep_deg"])
 def q_cone_search_stored(spark, d):
-    """JOIN13 on a stored object table: the declination band is pushed to the
-    Parquet scan (row groups outside it are skipped)."""
+    """JOIN13 on a stored object table ordered by nested pixels: the cone's id
+    ranges are pushed to the Parquet scan (row groups outside them, in either
+    coordinate, are skipped)."""
     path = scratch_path(spark, "objects")
-    sky.sort_by_declination(B.sky_objects(spark, d)).write.mode("overwrite").parquet(path)
-    return sky.cone_search(spark.read.parquet(path), 100.0, 20.0, 10.0)
+    pixels.sort_by_pixel(B.sky_objects(spark, d)).write.mode("overwrite").parquet(path)
+    return pixels.cone_search(spark.read.parquet(path), 100.0, 20.0, 10.0).drop("pix")
 
 
 @query("lightcurve_stored", with_(PHOT_EV) + """

@@ -120,20 +120,22 @@ t AS (SELECT det.SNID, min(det.MJD) AS trigger_mjd, min(f.first_mjd) AS first_mj
       FROM det JOIN f ON det.SNID = f.SNID WHERE det.MJD >= f.first_mjd + 0.021 GROUP BY det.SNID)
 SELECT t.SNID, t.first_mjd, t.trigger_mjd,
        (SELECT count(*) FROM det WHERE det.SNID = t.SNID AND det.MJD <= t.trigger_mjd) AS n_det
-FROM t WHERE t.trigger_mjd <= (SELECT max(MJD) FROM det) - 6""".replace("\n, det AS", ",\ndet AS", 1), ["first_mjd", "trigger_mjd"])
+FROM t""".replace("\n, det AS", ",\ndet AS", 1), ["first_mjd", "trigger_mjd"])
 def q_stream_detections(spark, d):
     """STR11: stateful per-object trigger on a stream of photometry that comes
-    in three micro-batches, up to five days out of order; triggers that are
-    final when the stream ends."""
+    in three micro-batches of several files, up to five days out of order; a
+    closing row ends the stream, so that every trigger comes out."""
     p = B.phot_ev(spark, d)
     lo, hi = p.agg(F.min("MJD"), F.max("MJD")).first()
     shifted = F.col("MJD") + F.pmod(F.xxhash64("obs_id"), F.lit(500)) / 100.0     # arrival time
     third = F.least(F.floor((shifted - lo) / F.lit((hi - lo) / 3 + 1e-6)), F.lit(2))
     path = scratch_path(spark, "det-in")
-    for i in range(3):                                                             # one file, one micro-batch each
-        p.filter(third == i).coalesce(1).write.parquet(f"{path}/{i}")
-    s = sio.read_alert_stream(spark, fmt="parquet", path=f"{path}/*", schema=p.schema, max_per_trigger=1)
-    out = _run(sops.detections_stream(s, delay="6 days"), "det")
+    for i in range(3):                                                             # four files, one micro-batch each
+        p.filter(third == i).repartition(4).write.parquet(f"{path}/{i}")
+    sops.closing_rows(p, after=30.0).coalesce(1).write.parquet(f"{path}/3")
+    s = sio.read_alert_stream(spark, fmt="parquet", path=f"{path}/*", schema=p.schema, max_per_trigger=4)
+    with sops.rocksdb_state(spark):
+        out = _run(sops.detections_stream(s, delay="6 days"), "det")
     return out.select("SNID", "first_mjd", "trigger_mjd", "n_det")
 
 

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from skyflux.functions.photometry import has_flag
 from skyflux.functions.timefn import night_range
@@ -134,12 +135,63 @@ def dedupe_stream(stream: DataFrame, key: str = "alertId", ts: str = "ts", delay
     return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
 
 
-DETECTION_STATE = T.StructType([
-    T.StructField("n_det", T.LongType()), T.StructField("first_mjd", T.DoubleType()),
-    T.StructField("last_mjd", T.DoubleType()), T.StructField("trigger_mjd", T.DoubleType()),
-    T.StructField("waiting", T.ArrayType(T.DoubleType())),
-])
 _UNIX_MJD, _DAY_MS = 40587.0, 86_400_000.0
+_NUMBERS = "n_det long, first_mjd double, last_mjd double, fired boolean"
+
+
+class _Trigger(StatefulProcessor):
+    """State of one object: a value (count, first and last detection, whether it
+    has fired), a list of the detections that still wait for the watermark, and
+    one event-time timer at the earliest of them."""
+
+    def __init__(self, key: str, mjd: str, gap: float):
+        self.key, self.mjd, self.gap = key, mjd, gap
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.numbers = handle.getValueState("numbers", _NUMBERS)
+        self.waiting = handle.getListState("waiting", "mjd double")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        held = self.numbers.get()
+        new = [float(t) for pdf in rows for t in pdf[self.mjd]]
+        if new and not (held and held[3]):                   # an object fires once
+            self.waiting.appendList([(t,) for t in new])
+            self._arm(min(new))
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        mark = timerValues.getCurrentWatermarkInMs() / _DAY_MS + _UNIX_MJD
+        n, first, last, fired = self.numbers.get() or (0, None, None, False)
+        times = np.sort(np.array([t[0] for t in self.waiting.get()], dtype=float))
+        ready, later = np.split(times, [np.searchsorted(times, mark, side="right")])
+        if len(ready) and not fired:
+            first = float(ready[0]) if first is None else first
+            at = int(np.searchsorted(ready, first + self.gap))
+            fired = at < len(ready)
+            last = float(ready[min(at, len(ready) - 1)])
+            n += at + 1 if fired else len(ready)
+            self.numbers.update((int(n), first, last, fired))
+            if fired:
+                yield pd.DataFrame([{self.key: key[0], "n_det": n, "first_mjd": first, "last_mjd": last, "trigger_mjd": last}])
+        if fired or not len(later):
+            self.waiting.clear()
+        elif len(ready):
+            self.waiting.put([(float(t),) for t in later])
+        if len(later) and not fired:
+            self._arm(float(later[0]))
+
+    def _arm(self, t: float) -> None:
+        """The object's only timer: at the earliest waiting detection."""
+        due = int(math.ceil((t - _UNIX_MJD) * _DAY_MS))
+        timers = list(self.handle.listTimers())
+        if not timers or min(timers) > due:
+            for old in timers:
+                self.handle.deleteTimer(old)
+            self.handle.registerTimer(due)
+
+    def close(self) -> None:
+        pass
 
 
 def detections_stream(stream: DataFrame, key: str = "SNID", mjd: str = "MJD", flag: str = "PHOTFLAG",
@@ -148,36 +200,40 @@ def detections_stream(stream: DataFrame, key: str = "SNID", mjd: str = "MJD", fl
     emitting one row when the two-detection trigger fires (a detection at
     least ``gap`` days after the first), with the numbers as of the trigger.
 
-    Detections may arrive in any order within ``delay``: they wait in the
-    object's state until the watermark (largest time so far less ``delay``) has
-    passed them, and are then counted in time order, so the result is that of
-    the batch operator for every trigger before the watermark. Later ones are
-    late and dropped. State is four numbers per object and the times within
-    ``delay``; once an object has fired only that is remembered, so it never
-    fires again."""
-    out_schema = T.StructType([T.StructField(key, T.LongType()), *DETECTION_STATE.fields[:-1]])
-
-    def step(k, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        n, first, last, trig, waiting = state.get if state.exists else (0, None, None, None, [])
-        if trig is None:
-            new = [pdf[mjd].to_numpy() for pdf in pdfs]
-            times = np.sort(np.concatenate([np.asarray(waiting, dtype=float), *new]))
-            mark = state.getCurrentWatermarkMs()
-            ready = times[:np.searchsorted(times, mark / _DAY_MS + _UNIX_MJD, side="right")]
-            waiting = times[len(ready):]
-            if len(ready):
-                first = ready[0] if first is None else first
-                at = int(np.searchsorted(ready, first + gap))
-                if at < len(ready):
-                    n, last, trig, waiting = n + at + 1, ready[at], ready[at], waiting[:0]
-                    yield pd.DataFrame([{key: k[0], "n_det": n, "first_mjd": first, "last_mjd": last, "trigger_mjd": trig}])
-                else:
-                    n, last = n + len(ready), ready[-1]
-            if len(waiting):
-                state.setTimeoutTimestamp(max(int((waiting[0] - _UNIX_MJD) * _DAY_MS), mark) + 1)
-            num = lambda x: None if x is None else float(x)
-            state.update((int(n), num(first), num(last), num(trig), [float(t) for t in waiting]))
-
+    Detections may arrive in any order within ``delay``: they are appended to
+    the object's list state, and a timer wakes the object when the watermark
+    (largest time so far less ``delay``) has passed the earliest; those passed
+    are then counted in time order, so the result is that of the batch operator
+    for every trigger before the watermark. Later ones are late and dropped. A
+    batch touches only the objects that it has rows or due timers for. Once an
+    object has fired only that is remembered. Ids are longs; rows without a time
+    are no detections. ``closing_rows`` ends a bounded stream.
+
+    Needs the RocksDB state store (``rocksdb_state``)."""
+    out = T.StructType([T.StructField(key, T.LongType()), T.StructField("n_det", T.LongType()), T.StructField("first_mjd", T.DoubleType()),
+                        T.StructField("last_mjd", T.DoubleType()), T.StructField("trigger_mjd", T.DoubleType())])
     at = F.timestamp_micros(((F.col(mjd) - _UNIX_MJD) * 86400e6).cast("long"))
-    det = stream.filter(has_flag(flag, PHOTFLAG_DETECT)).select(key, mjd, at.alias("__at")).withWatermark("__at", delay)
-    return det.groupBy(key).applyInPandasWithState(step, out_schema, DETECTION_STATE, "append", GroupStateTimeout.EventTimeTimeout)
+    det = (stream.filter(has_flag(flag, PHOTFLAG_DETECT) & F.col(mjd).isNotNull())
+           .select(F.col(key).cast("long").alias(key), mjd, at.alias("__at")).withWatermark("__at", delay))
+    return det.groupBy(key).transformWithStateInPandas(_Trigger(key, mjd, gap), out, outputMode="Append", timeMode="EventTime")
+
+
+def closing_rows(rows: DataFrame, after: float, key: str = "SNID", mjd: str = "MJD", flag: str = "PHOTFLAG") -> DataFrame:
+    """The last file of a bounded detection stream: one detection of no object
+    (null id) ``after`` days past the largest time of ``rows``, which carries the
+    watermark past every other row. It never fires, having no second detection."""
+    end = rows.agg((F.max(mjd) + after).alias(mjd))
+    cols = {mjd: F.col(mjd), flag: F.lit(PHOTFLAG_DETECT)}
+    return end.select(*[cols.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in rows.schema.fields])
+
+
+@contextmanager
+def rocksdb_state(spark: SparkSession):
+    """Queries started inside keep their state in RocksDB."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)

@@ -1,11 +1,13 @@
 """Sky association edges (RA wrap, poles) and GW catalogue helpers."""
 
+import datetime
 import math
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
-from skyflux.operators import gw, sky
+from skyflux.operators import gw, pixels, sky
 
 
 def _plan(df):
@@ -157,3 +159,113 @@ def test_leap_seconds(spark):
     assert got == [0.0, (50000 - 44244) * 86400 + 10, (60000 - 44244) * 86400 + 18]
     jd = spark.createDataFrame([(50000.25,)], "m double").select(tf.gps_to_jd(tf.mjd_to_gps("m"))).first()[0]
     assert abs(jd - 2450000.75) < 1e-8
+
+
+def test_distance_by_quadrature(spark):
+    """Against a fine sum up to z = 1,100, edge values, and the inverse at any distance."""
+    zs = [0.0, 1e-12, 1e-4, 0.1, 0.7, 3.0, 20.0, 1100.0]
+    df = spark.createDataFrame([(z,) for z in zs] + [(None,), (float("nan"),), (-0.5,)], "z double")
+    for cosmology in ({}, gw.PLANCK18):
+        h0, om = cosmology.get("h0", 70.0), cosmology.get("om0", 0.3)
+        out = gw.luminosity_distance(df, "z", **cosmology)
+        got = {r.z: r.distance for r in out.collect()}
+        for z in zs:
+            t = np.linspace(0, 1, 200_001)
+            y = np.log1p(z) * t                                  # midpoint rule in log(1 + z)
+            mid = (y[1:] + y[:-1]) / 2
+            fine = (np.exp(mid) / np.sqrt(om * np.exp(3 * mid) + 1 - om)).mean() * np.log1p(z)
+            assert got[z] == pytest.approx((1 + z) * fine * gw.C_KM_S / h0, rel=1e-8, abs=1e-300)
+        assert all(r.distance is None for r in out.filter("z is null or isnan(z) or z < 0").collect())
+        back = gw.redshift_from_distance(out.filter("z >= 0 and not isnan(z)").select("z", F.col("distance").alias("x")), "x", name="back", **cosmology)
+        assert all(r.back == pytest.approx(r.z, rel=1e-9, abs=1e-300) for r in back.collect())
+    odd = spark.createDataFrame([(1, None), (2, float("nan")), (3, -1.0), (4, 1e9), (5, 0.0)], "i int, x double")
+    got = {r.i: r.z for r in gw.redshift_from_distance(odd, "x").collect()}
+    assert got[1] is None and got[2] is None and got[3] is None and got[5] == 0.0 and got[4] > 1e4
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Window" not in plan
+
+
+@pytest.mark.parametrize("key,values", [("string", ["b", "a", None, "a", "c", "ä", "", "z", "a", "y"]), ("date", None), ("double", [3.5, -1.0, None, 2.0, 2.0, 9.0])])
+def test_simulation_ids_of_any_key(spark, key, values):
+    values = values or [datetime.date(2024, 1, d) for d in (9, 1, 5, 5, 30)]
+    df = spark.createDataFrame([(v,) for v in values], f"k {key}")
+    order = sorted(values, key=lambda v: (v is not None, v if not isinstance(v, str) else v.encode()))if None in values else sorted(values)
+    for most in (None, 1, 4, 2_000_000):
+        got = gw.simulation_ids(df, "k", max_rows=most).orderBy("simulation_id").collect()
+        assert [r.simulation_id for r in got] == list(range(len(values))) and [r.k for r in got] == order
+    assert gw.simulation_ids(df.limit(0), "k").count() == 0
+
+
+def _points(n=4000):
+    rnd = np.random.default_rng(4)
+    ra, dec = rnd.uniform(0, 360, n), np.degrees(np.arcsin(rnd.uniform(-1, 1, n)))
+    rows = [(i, float(a), float(d)) for i, (a, d) in enumerate(zip(ra, dec))]
+    near = [(0.0, 0.0), (359.9999, 0.5), (0.0001, -0.5), (360.0, 1.0), (-0.3, 0.2), (720.2, 0.1), (10.0, 89.9), (190.0, 89.95), (77.0, 90.0),
+            (200.0, -90.0), (33.0, -89.8), (180.0, 0.0), (180.0, 60.0)]
+    return rows + [(n + i, a, d) for i, (a, d) in enumerate(near)] + [(n + 50, None, 1.0), (n + 51, 1.0, None), (n + 52, float("nan"), 0.0)]
+
+
+def test_nested_pixels_hold_their_children(spark):
+    df = spark.createDataFrame(_points(), "id long, ra double, dec double").withColumn("p", pixels.pixel("ra", "dec"))
+    for k in (0, 1, 5, 13):
+        own = df.withColumn("k", pixels.pixel("ra", "dec", k)).withColumn("up", pixels.parent("p", k))
+        assert own.filter("k <> up").count() == 0 and own.filter(f"k < 0 OR k >= {4 ** k}").count() == 0
+    assert df.filter("p IS NULL").count() == 3
+    share = df.filter("id < 4000").groupBy(pixels.parent("p", 1)).count().collect()
+    assert len(share) == 4 and all(abs(r["count"] - 1000) < 150 for r in share)            # equal areas
+
+
+@pytest.mark.parametrize("ra0,dec0,r", [(0.0, 0.0, 1.0), (359.9, 0.4, 2.0), (100.0, 20.0, 10.0), (10.0, 89.5, 1.0), (200.0, -89.9, 0.5),
+                                        (45.0, 90.0, 3.0), (180.0, 0.0, 0.0), (180.0, 60.0, 40.0), (30.0, 10.0, 95.0), (0.0, 0.0, 180.0), (-0.3, 0.2, 1e-6)])
+def test_cone_search_by_pixels_is_the_plain_one(spark, ra0, dec0, r):
+    pts = _points()
+    df = spark.createDataFrame(pts, "id long, ra double, decl double")
+    want = {x.id for x in df.withColumn("s", sky.angular_separation(F.lit(ra0), F.lit(dec0), F.col("ra"), F.col("decl")))
+            .filter(F.col("s") <= r).filter("NOT isnan(ra) AND ra IS NOT NULL AND decl IS NOT NULL").collect()}
+    got = {x.id for x in pixels.cone_search(pixels.with_pixel(df), ra0, dec0, r).collect()}
+    assert got == want
+    ranges = pixels.cone_cover(ra0, dec0, r)
+    assert 0 < len(ranges) <= pixels.MAX_RANGES and all(a < b for a, b in ranges) and all(x[1] < y[0] for x, y in zip(ranges, ranges[1:]))
+    if 0 < r < 5 and abs(dec0) < 45:
+        assert sum(b - a for a, b in ranges) / 4 ** pixels.ORDER < 40 * (r / 57) ** 2      # both axes are cut
+
+
+def test_cone_ranges_reach_the_scan(spark, scratch):
+    path = scratch("pixels")
+    pixels.sort_by_pixel(spark.createDataFrame(_points(), "id long, ra double, decl double"), partitions=4).write.parquet(path)
+    found = pixels.cone_search(spark.read.parquet(path), 100.0, 20.0, 3.0)
+    found.count()
+    assert "PushedFilters: [Or(" in _plan(found).replace("PushedFilters: [IsNotNull(pix), Or(", "PushedFilters: [Or(") and "GreaterThanOrEqual(pix" in _plan(found)
+    import glob
+
+    import pyarrow.parquet as pq
+    spans = [pq.read_metadata(f).row_group(0).column(3).statistics for f in glob.glob(path.replace("file:", "") + "/*.parquet")]
+    cover = pixels.cone_cover(100.0, 20.0, 3.0)
+    hit = [any(s.min < b and s.max >= a for a, b in cover) for s in spans]
+    assert len(spans) == 4 and sum(hit) < 4                                                # files that cannot match are skipped
+
+
+def test_multiorder_crossmatch(spark):
+    """Against every object and pixel; nothing outside a region is paired."""
+    rnd = np.random.default_rng(8)
+    objs = pixels.with_pixel(spark.createDataFrame(_points(300), "objectId long, ra double, decl double"))
+    maps = []
+    for m in ("a", "b"):
+        for p in range(16):                                                                # order 2, some cut into order 4, one into order 6
+            k = {0: 2, 1: 4, 2: 6}[min(p % 5, 2)]
+            maps += [(m, k, (p << 2 * (k - 2)) + c, float(rnd.random())) for c in range(4 ** (k - 2))]
+    total = {m: sum(x[3] for x in maps if x[0] == m) for m in "ab"}
+    maps = [(m, k, p, w / total[m]) for m, k, p, w in maps] + [("a", None, 3, 0.1), (None, 2, 1, 0.5)]
+    got = pixels.crossmatch_multiorder(objs, spark.createDataFrame(maps, "map_id string, order int, map_pix long, prob double"), credible=0.6).collect()
+    want = set()
+    for m in "ab":
+        mine = sorted(((w / (4 * math.pi / 4 ** k), k, p, w) for n, k, p, w in maps if n == m and k is not None), key=lambda x: (-x[0], x[1], x[2]))
+        done, region = 0.0, set()
+        for _, k, p, w in mine:
+            if done < 0.6:
+                region.add((k, p))
+            done += w
+        want |= {(o.objectId, m, k, p) for o in objs.collect() if o.pix is not None for k, p in region if o.pix >> 2 * (pixels.ORDER - k) == p}
+    assert {(r.objectId, r.map_id, r.order, r.map_pix) for r in got} == want and len(got) == len(want)
+    empty = spark.createDataFrame([], "map_id string, order int, map_pix long, prob double")
+    assert pixels.crossmatch_multiorder(objs, empty).count() == 0

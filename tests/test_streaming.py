@@ -35,18 +35,25 @@ def _collect(spark, scratch, stream):
 
 
 def test_detections_stream_matches_batch(spark, scratch):
-    """One, three and shuffled micro-batches give the batch result, once per object."""
+    """One, three and out-of-order micro-batches give the batch result, once per
+    object and whole; also after a restart from the checkpoint between batches."""
     rows = [(s, m + 60000, *rest) for s, m, *rest in _rows()]                  # a watermark starts in 1970
     df = spark.createDataFrame(rows, SCHEMA)
     batch = {r.SNID: r.MJD_TRIGGER2 for r in fe.trigger_after_two(df).collect()}
-    end = [(99, 60150.0, 4096, rows[0][3], 9900), (99, 60200.0, 4096, rows[0][3], 9901)]   # moves the watermark past the rest
     orders = [[rows], [rows[:3], rows[3:5], rows[5:]], [[rows[3]], [rows[2], rows[5], rows[6]], [rows[1], rows[4], rows[0]]]]
+    again = [(1, 60120.0, 4096, rows[0][3], 9900)]                              # a third detection: fires no second time
     for parts in orders:
-        base = scratch("sin")
-        for i, part in enumerate([*parts, end[:1], end[1:], [(98, 60201.0, 4096, rows[0][3], 9800)]]):
-            spark.createDataFrame(part, SCHEMA).coalesce(1).write.parquet(f"{base}/b{i}")
-        s = sio.read_alert_stream(spark, fmt="parquet", path=f"{base}/*", schema=df.schema, max_per_trigger=1)
-        out = _collect(spark, scratch, sops.detections_stream(s, delay="5 days")).filter("SNID < 90").collect()
+        base, sink, ckpt = scratch("sin"), scratch("sout"), scratch("sck")
+        last = sops.closing_rows(spark.createDataFrame(rows + again, SCHEMA), after=30.0)
+        files = [spark.createDataFrame(part, SCHEMA) for part in [*parts, again]] + [last]
+        for i, f in enumerate(files):
+            f.coalesce(1).write.parquet(f"{base}/b{i}")
+            if i in (len(parts) - 1, len(files) - 1):                           # two runs of the query on one checkpoint
+                s = sio.read_alert_stream(spark, fmt="parquet", path=f"{base}/*", schema=df.schema, max_per_trigger=1)
+                with sops.rocksdb_state(spark):
+                    sio.run_bounded(sops.detections_stream(s, delay="5 days").writeStream.format("parquet").option("checkpointLocation", ckpt)
+                                    .trigger(availableNow=True).outputMode("append").start(sink))
+        out = spark.read.parquet(sink).collect()
         assert sorted((r.SNID, r.trigger_mjd) for r in out) == sorted(batch.items()) == [(1, 60100.05), (2, 60100.03)]
         assert {r.SNID: r.n_det for r in out} == {1: 3, 2: 2}
 
