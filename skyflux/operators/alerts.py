@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 
 from skyflux.functions.photometry import has_flag, snr
 from skyflux.schemas import PHOTFLAG_DETECT
+from skyflux.session import checkpoint_table
+
+#: Points of a history chunk, as a power of two.
+CHUNK_BITS = 10
 
 # Fixed value: alert file names in an archive.
 ALERT_NAME_PATTERN = r"^alert_mjd([0-9]+(?:\.[0-9]+)?)_obj([0-9]+)_src([0-9]+)\.avro(?:\.gz)?$"
@@ -24,6 +28,67 @@ def alert_history(sources: DataFrame, obj: str = "diaObjectId", mjd: str = "midP
     return a.select("diaSource.*", F.col("prvDiaSources").alias(name))
 
 
+def history_chunks(sources: DataFrame, forced: DataFrame, lookback: float = 30.0, min_age: float = 1.0,
+                   obj: str = "diaObjectId", mjd: str = "midPointTai", sid: str = "diaSourceId",
+                   fid: str = "diaForcedSourceId", bits: int = CHUNK_BITS) -> DataFrame:
+    """(obj, block, entries): every object's points, sources and forced ones
+    together, in order of (time, forced first, id) and cut into stored, immutable
+    chunks of at most 2^bits entries (pos, t, s, f). ``pos`` numbers all points
+    of the table in that order, so a source's history is the points of its
+    object with a smaller ``pos``: all earlier chunks and the start of its own.
+
+    Points are ordered over the whole cluster (range partitions), so that an
+    object of any length is many chunks on many tasks. Forced points that no
+    alert can hold are dropped by one aggregation before: those outside [first
+    detection - lookback, last], or of an object younger than ``min_age``."""
+    s_struct, f_struct = F.struct(*[F.col(c) for c in sources.columns]), F.struct(*[F.col(c) for c in forced.columns])
+    s = sources.select(F.col(obj).alias("__o"), F.col(mjd).alias("__t"), F.lit(1).alias("__k"), F.col(sid).cast("long").alias("__id"),
+                       s_struct.alias("s"))
+    f = forced.select(F.col(obj).alias("__o"), F.col(mjd).alias("__t"), F.lit(0).alias("__k"), F.col(fid).cast("long").alias("__id"),
+                      f_struct.alias("f"))
+    span = s.groupBy("__o").agg(F.min("__t").alias("__first"), F.max("__t").alias("__last")).filter(F.col("__last") - F.col("__first") >= min_age)
+    f = (f.join(span, "__o").filter((F.col("__t") >= F.col("__first") - lookback) & (F.col("__t") <= F.col("__last")))
+         .drop("__first", "__last"))
+    order = ["__o", "__t", "__k", "__id"]
+    rows = (s.unionByName(f, allowMissingColumns=True).repartitionByRange(*order).sortWithinPartitions(*order)
+            .select(F.col("__o").alias(obj), F.monotonically_increasing_id().alias("pos"), F.col("__t").alias("t"), "s", "f"))
+    chunks = rows.groupBy(obj, F.shiftright("pos", bits).alias("block")).agg(
+        F.array_sort(F.collect_list(F.struct("pos", "t", "s", "f"))).alias("entries"))
+    return checkpoint_table(chunks, "history")
+
+
+def alert_prefixes(chunks: DataFrame, obj: str = "diaObjectId", alert_id: str = "diaSourceId") -> DataFrame:
+    """One short row per alert: alertId, the object, its chunk (``block``) and its
+    place in it (``offset``). With ``history_chunks`` that is every alert's
+    history, stored once whatever the number of alerts that share it."""
+    at = chunks.select(obj, "block", F.posexplode("entries").alias("offset", "e")).filter(F.col("e.s").isNotNull())
+    return at.select(F.col(f"e.s.{alert_id}").alias("alertId"), obj, "block", "offset")
+
+
+def expand_alerts(chunks: DataFrame, prefixes: DataFrame | None = None, min_age: float = 1.0, obj: str = "diaObjectId",
+                  alert_id: str = "diaSourceId") -> DataFrame:
+    """(alertId, diaSource, prvDiaSources, prvDiaForcedSources, obj) of all
+    alerts, or of those in ``prefixes``. A chunk meets the earlier chunks of its
+    object once, for all of its alerts; an object of one chunk meets none."""
+    mine = chunks if prefixes is None else chunks.join(prefixes.select(obj, "block").distinct(), [obj, "block"], "left_semi")
+    first = chunks.groupBy(F.col(obj).alias("__o")).agg(F.min("block").alias("__low"), F.max("block").alias("__high")).filter("__low < __high")
+    later = mine.join(first, (F.col(obj) == F.col("__o")) & (F.col("block") > F.col("__low")), "left_semi").select(obj, "block")
+    old = chunks.select(F.col(obj).alias("__o"), F.col("block").alias("__b"), F.col("entries").alias("__e"))
+    earlier = (later.join(old, (F.col(obj) == F.col("__o")) & (F.col("__b") < F.col("block"))).groupBy(obj, "block")
+               .agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("__b", "__e"))), lambda c: c["__e"])).alias("__old")))
+    whole = mine.join(earlier, [obj, "block"], "left")
+    points = F.concat(F.coalesce("__old", F.array().cast(chunks.schema["entries"].dataType)), "entries")
+    a = whole.select(obj, "block", points.alias("__all"), F.posexplode("entries").alias("offset", "a")).filter(F.col("a.s").isNotNull())
+    if prefixes is not None:
+        a = a.join(prefixes.select(obj, "block", "offset"), [obj, "block", "offset"], "left_semi")
+    here = F.filter("__all", lambda r: (r["pos"] < F.col("a.pos")) & (r["t"] <= F.col("a.t")))
+    a = a.withColumn("__upto", here).withColumn("__first", F.filter("__all", lambda r: r["s"].isNotNull())[0]["t"])
+    forced = F.transform(F.filter("__upto", lambda r: r["f"].isNotNull()), lambda r: r["f"])
+    return a.select(F.col(f"a.s.{alert_id}").alias("alertId"), F.col("a.s").alias("diaSource"),
+                    F.transform(F.filter("__upto", lambda r: r["s"].isNotNull()), lambda r: r["s"]).alias("prvDiaSources"),
+                    F.when(F.col("a.t") - F.col("__first") >= min_age, forced).alias("prvDiaForcedSources"), obj)
+
+
 def build_alerts(sources: DataFrame, forced: DataFrame, objects: DataFrame | None = None,
                  lookback: float = 30.0, min_age: float = 1.0, obj: str = "diaObjectId",
                  mjd: str = "midPointTai", sid: str = "diaSourceId",
@@ -33,37 +98,15 @@ def build_alerts(sources: DataFrame, forced: DataFrame, objects: DataFrame | Non
     before this source, the forced photometry from ``lookback`` days before the
     first detection up to this source's time (inclusive; NULL otherwise).
 
-    First and last detection of each object come from one aggregation; forced
-    points that no alert can hold (outside [first - lookback, last], or of an
-    object without an eligible source) are dropped by it before anything is
-    collected. Each object's sources and remaining forced points are then
-    collected once, in time order: as much as its last alert holds. Every
-    source takes its part of them, so the (inherently quadratic) output of a
-    long-lived object is spread over its sources, whose side of the join AQE can
-    split."""
-    aid = alert_id or sid
-    s_struct, f_struct = F.struct(*[F.col(c) for c in sources.columns]), F.struct(*[F.col(c) for c in forced.columns])
-    s = sources.select(F.col(obj).alias("__o"), F.col(mjd).alias("__t"), F.col(sid).cast("long").alias("__id"),
-                       F.col(aid).alias("__aid"), s_struct.alias("__s"))
-    f = forced.select(F.col(obj).alias("__o"), F.col(mjd).alias("__t"), F.col(fid).cast("long").alias("__id"),
-                      f_struct.alias("__f"))
-    span = s.groupBy("__o").agg(F.min("__t").alias("__first"), F.max("__t").alias("__last"))
-    earlier = s.groupBy("__o").agg(
-        F.min("__t").alias("__first"), F.array_sort(F.collect_list(F.struct("__t", "__id", "__s"))).alias("__ss"))
-    points = (f.join(span.filter(F.col("__last") - F.col("__first") >= min_age), "__o")
-              .filter((F.col("__t") >= F.col("__first") - lookback) & (F.col("__t") <= F.col("__last")))
-              .groupBy("__o").agg(F.array_sort(F.collect_list(F.struct("__t", "__id", "__f"))).alias("__fs")))
-    a = s.join(earlier, "__o").join(points, "__o", "left")
-    before = F.filter("__ss", lambda r: (r["__t"] < F.col("__t")) | ((r["__t"] == F.col("__t")) & (r["__id"] < F.col("__id"))))
-    upto = F.filter(F.coalesce("__fs", F.array().cast(points.schema["__fs"].dataType)), lambda r: r["__t"] <= F.col("__t"))
-    forced_arr = F.when(F.col("__t") - F.col("__first") >= min_age, F.transform(upto, lambda r: r["__f"]))
-    res = a.select(F.col("__aid").alias("alertId"), F.col("__s").alias("diaSource"),
-                   F.transform(before, lambda r: r["__s"]).alias("prvDiaSources"),
-                   forced_arr.alias("prvDiaForcedSources"), "__o")
+    Histories are stored as shared chunks (``history_chunks``) and expanded
+    here; keep the chunks with ``alert_prefixes`` where the (inherently
+    quadratic) expanded form of long-lived objects is not needed whole."""
+    chunks = history_chunks(sources, forced, lookback, min_age, obj, mjd, sid, fid)
+    res = expand_alerts(chunks, None, min_age, obj, alert_id or sid)
     if objects is not None:
-        res = res.join(objects.select(F.col(obj).alias("__o"), F.struct(*objects.columns).alias("diaObject")),
-                       "__o", "left")
-    return res.drop("__o")
+        res = res.join(objects.select(F.col(obj).alias("__o"), F.struct(*objects.columns).alias("diaObject")), F.col(obj) == F.col("__o"), "left")
+        res = res.drop("__o")
+    return res.drop(obj)
 
 
 def nightly_stats(alerts: DataFrame, mjd: str = "midPointTai", payload: str = "payload") -> DataFrame:

@@ -5,6 +5,7 @@ returns the sink's contents as a DataFrame."""
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -56,31 +57,77 @@ def _events_stream(spark, d):
 @query("stream_nightly_counts", """
 SELECT strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') AS night_start, count(*) AS n_alerts
 FROM events WHERE (CAST(json_extract_string(props, '$.k') AS INTEGER) & 32) <> 0
-GROUP BY date_trunc('day', ts)
-HAVING date_trunc('day', ts) + INTERVAL 2 DAY <= (
-  SELECT max(ts) FROM events WHERE (CAST(json_extract_string(props, '$.k') AS INTEGER) & 32) <> 0)""")
+GROUP BY date_trunc('day', ts)""")
 def q_stream_nightly_counts(spark, d):
-    """STR9: detections per night on a stream (watermark 1 day, append output:
-    the nights that are final when the stream ends)."""
+    """STR9: detections per night on a stream (watermark 1 day, append output).
+    A second source holds one row 30 days past the end, which closes all nights."""
     s = _events_stream(spark, d)
     s = (s.filter(F.get_json_object("props", "$.k").cast("int").bitwiseAND(32) != 0)
-         .withColumn("ts", F.col("ts").cast("timestamp")))
+         .select(F.col("ts").cast("timestamp").alias("ts")))
+    end = B.table(spark, d, "events").agg((F.max(F.col("ts").cast("timestamp")) + F.expr("INTERVAL 30 DAYS")).alias("ts"))
+    path = _stage(end, "nightly-end")
+    s = s.union(sio.read_alert_stream(spark, fmt="parquet", path=path, schema=end.schema))
     out = _run(sops.nightly_counts_stream(s, "ts"), "nightly")
     return out.select(F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("night_start"), "n_alerts")
 
 
 @query("stream_dedupe", "SELECT event_id, user_id, event_type FROM events")
 def q_stream_dedupe(spark, d):
-    """STR10: a stream with re-sent click events is deduplicated on event_id."""
+    """STR10: a stream with re-sent click events is deduplicated on event_id;
+    ids are remembered for the time span of the data, so none is late."""
     ev = B.table(spark, d, "events").select("event_id", "user_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
     path = scratch_path(spark, "dedupe-in")
     ev.write.mode("overwrite").parquet(f"{path}/a")
     ev.filter(F.col("event_type") == "click").write.mode("overwrite").parquet(f"{path}/b")
+    span = ev.agg(F.date_diff(F.max("ts"), F.min("ts"))).first()[0] or 0
     s = sio.read_alert_stream(spark, fmt="parquet", path=f"{path}/*", schema=ev.schema, max_per_trigger=1)
-    out = _run(sops.dedupe_stream(s, "event_id", "ts", delay="60 days"), "dedupe")
+    out = _run(sops.dedupe_stream(s, "event_id", "ts", delay=f"{span + 1} days"), "dedupe")
     return out.select("event_id", "user_id", "event_type")
 
 
+@query("stream_restart", with_(PHOT_EV, ALERTS_EV) + """
+SELECT alertId, diaSourceId, diaObjectId, 1 AS epoch FROM alerts_ev""")
+def q_stream_restart(spark, d):
+    """STR4: the alert stream is read, then restarted from its beginning; the
+    last complete epoch holds every alert once."""
+    recs = _alert_records(spark, d)
+    path = _stage(recs, "restart-in")
+
+    def stream():
+        s = sio.read_alert_stream(spark, fmt="parquet", path=path, schema=recs.schema, max_per_trigger=2)
+        return s.select("alertId", F.col("diaSource.diaSourceId").alias("diaSourceId"), F.col("diaSource.diaObjectId").alias("diaObjectId"))
+    sink, ckpt = scratch_path(spark, "restart-out"), scratch_path(spark, "restart-ckpt")
+    sio.run_epoch(spark, stream, sink, ckpt)
+    epoch = sio.run_epoch(spark, stream, sink, ckpt)
+    return sio.latest_epoch(spark, sink).withColumn("epoch", F.lit(epoch))
+
+
+@query("batch_handler", with_(PHOT_EV, ALERTS_EV) + """
+SELECT diaObjectId, count(*) AS n_alerts, max(midPointTai) AS last_mjd FROM alerts_ev GROUP BY diaObjectId""", ["last_mjd"])
+def q_batch_handler(spark, d):
+    """UDF4: a handler adds up each micro-batch per object; the ledger and the
+    batch ids make it count once although the handler fails after its first write."""
+    recs = _alert_records(spark, d).select("diaSource.diaObjectId", "diaSource.midPointTai")
+    path, out, base = _stage(recs, "handler-in"), scratch_path(spark, "handler-out"), scratch_path(spark, "handler")
+    failed = []
+
+    def handler(batch, batch_id):
+        sio.write_batch(batch.groupBy("diaObjectId").agg(F.count(F.lit(1)).alias("n"), F.max("midPointTai").alias("last")), batch_id, out)
+        if not failed:
+            failed.append(batch_id)
+            raise RuntimeError("lost after the write")
+
+    def start():
+        s = sio.read_alert_stream(spark, fmt="parquet", path=path, schema=recs.schema, max_per_trigger=2)
+        return sio.foreach_batch(s, handler, "handler", f"{base}/ckpt", f"{base}/ledger")
+    try:
+        start().awaitTermination()
+    except StreamingQueryException:
+        sio.run_bounded(start())
+    done = spark.read.parquet(out)
+    return done.groupBy("diaObjectId").agg(F.sum("n").alias("n_alerts"), F.max("last").alias("last_mjd"))
+
+
 def _alert_records(spark, d):
     a = B.alerts_ev(spark, d)
     return a.select("alertId", F.struct("diaSourceId", "diaObjectId", "midPointTai", "filterName",

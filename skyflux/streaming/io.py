@@ -5,7 +5,9 @@ rate sources in tests; payloads are JSON or (with the Avro package) Avro."""
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -113,6 +115,63 @@ def restart_from_start(options: dict, checkpoint_base: str) -> tuple[dict, str]:
     return opts, f"{checkpoint_base.rstrip('/')}/restart-{uuid.uuid4().hex[:8]}"
 
 
+def _rows_at(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A ledger table, empty while nothing has been written."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException:
+        return spark.createDataFrame([], schema)
+
+
+def run_epoch(spark: SparkSession, make_stream: Callable[[], DataFrame], sink: str, checkpoint_base: str,
+              options: dict | None = None, stop_after_s: float | None = None) -> int:
+    """STR4 as an operation: read a stream into ``sink``/epoch=N, from the
+    beginning of its source (``make_stream`` asks for the earliest offsets) with
+    a checkpoint of the epoch's own. While an epoch is not complete a call goes
+    on with it, exactly once; after that the next call is a restart: a new epoch
+    reads everything again. ``latest_epoch`` shows the last complete one, so a
+    replay never doubles rows and a half-read one is never seen. Returns N."""
+    ledger = f"{sink}-epochs"
+    last = _rows_at(spark, ledger, "epoch int").agg(F.max("epoch")).first()[0]
+    epoch = 0 if last is None else last + 1
+    q = (make_stream().writeStream.format("parquet").option("checkpointLocation", f"{checkpoint_base.rstrip('/')}/epoch-{epoch}")
+         .options(**(options or {})).outputMode("append").trigger(availableNow=True).start(f"{sink}/epoch={epoch}"))
+    if stop_after_s is not None and not q.awaitTermination(stop_after_s):
+        q.stop()
+        return epoch                                           # still open
+    q.awaitTermination()
+    spark.createDataFrame([(epoch,)], "epoch int").write.mode("append").parquet(ledger)
+    return epoch
+
+
+def latest_epoch(spark: SparkSession, sink: str) -> DataFrame | None:
+    """The rows of the last complete epoch of ``run_epoch``; None before the first."""
+    last = _rows_at(spark, f"{sink}-epochs", "epoch int").agg(F.max("epoch")).first()[0]
+    return None if last is None else spark.read.parquet(f"{sink}/epoch={last}")
+
+
+def foreach_batch(stream: DataFrame, fn: Callable[[DataFrame, int], None], name: str, checkpoint: str, ledger: str,
+                  trigger: dict | None = None) -> StreamingQuery:
+    """UDF4: ``fn(batch, batch_id)`` for every micro-batch of the query ``name``,
+    with a ledger of the batches it has finished: a batch that is delivered
+    again after that is skipped. A batch that failed halfway is handed over
+    again with the same id; ``write_batch`` makes its output replace what the
+    failed try left. So each batch counts once."""
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark, mark = batch.sparkSession, f"{ledger}/query={name}/batch={batch_id}"
+        if not _rows_at(spark, mark, "done long").isEmpty():
+            return
+        fn(batch, batch_id)
+        spark.createDataFrame([(batch_id,)], "done long").coalesce(1).write.mode("overwrite").parquet(mark)
+    return (stream.writeStream.option("checkpointLocation", checkpoint).queryName(name).foreachBatch(run)
+            .trigger(**(trigger or {"availableNow": True})).start())
+
+
+def write_batch(batch: DataFrame, batch_id: int, path: str) -> None:
+    """Output of one micro-batch in a folder of its own, replaced on a retry."""
+    batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+
 def rows_dropped_late(query: StreamingQuery) -> int:
     """Rows dropped by the watermark so far in this run (sum over the
     stateful operators of the recent progress reports)."""

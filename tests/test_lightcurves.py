@@ -145,6 +145,33 @@ def test_build_alerts_holds_what_a_loop_finds(spark):
 
 
 
+def test_shared_history_of_a_long_object(spark):
+    """One object of thousands of points is stored once, in bounded chunks;
+    prefixes name each alert's part, and expanding them gives the plain form."""
+    from skyflux.operators import alerts as al
+    src = spark.range(700).selectExpr("case when id < 600 then 1 else id end as diaObjectId", "1000 + id * 0.5 as midPointTai",
+                                      "id * 3 as diaSourceId", "concat('s', id) as note")
+    frc = spark.range(3000).selectExpr("1L as diaObjectId", "900 + id * 0.15 as midPointTai", "id as diaForcedSourceId")
+    chunks = al.history_chunks(src, frc, bits=4)
+    sizes = [r[0] for r in chunks.selectExpr("size(entries)").collect()]
+    held = [970 <= 900 + i * 0.15 <= 1000 + 599 * 0.5 for i in range(3000)]
+    assert sum(sizes) == 700 + sum(held) and max(sizes) <= 16                   # linear in the points
+    assert chunks.filter("diaObjectId = 1").count() > 100
+    prefixes = al.alert_prefixes(chunks)
+    assert prefixes.count() == 700
+    got = {r.alertId: r for r in al.expand_alerts(chunks, prefixes.filter("alertId % 50 = 0")).collect()}
+    assert set(got) == {i * 3 for i in range(700) if i * 3 % 50 == 0}
+    whole = {r.alertId: r for r in al.build_alerts(src, frc).collect()}
+    assert len(whole) == 700
+    for a, r in got.items():
+        i = a // 3
+        t = 1000 + i * 0.5
+        assert [x.diaSourceId for x in r.prvDiaSources] == ([k * 3 for k in range(i)] if i < 600 else [])
+        want = [k for k in range(3000) if held[k] and 900 + k * 0.15 <= t] if 1 < i + 1 <= 600 and t - 1000 >= 1 else None
+        assert (None if r.prvDiaForcedSources is None else [x.diaForcedSourceId for x in r.prvDiaForcedSources]) == (want if i < 600 else None)
+        assert whole[a].prvDiaSources == r.prvDiaSources and whole[a].prvDiaForcedSources == r.prvDiaForcedSources
+
+
 def test_hot_transients_chunks_keep_every_point(spark):
     from skyflux.operators import alerts as al
     rows = [(1, 100.0 + i * 0.1, "g", float(i), 1.0, 4096 if i == 8 else 0, i) for i in range(10)] + \
