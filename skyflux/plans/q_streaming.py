@@ -265,3 +265,59 @@ def q_stream_progress(spark, d):
     out = _run(sops.stream_progress(s), "progress", mode="complete")
     return out.select("topic", "partition", "n_messages", "last_offset",
                       F.date_format("last_timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("last_timestamp"))
+
+
+@query("stream_progress_observed", """
+SELECT event_type AS topic, CAST(user_id % 3 AS INTEGER) AS partition, count(*) AS n_messages,
+       max(event_id) AS last_offset, strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS last_timestamp
+FROM events GROUP BY event_type, CAST(user_id % 3 AS INTEGER)""")
+def q_stream_progress_observed(spark, d):
+    """STR7 beside a stream's own sink: observed metrics, written by a listener."""
+    ev = B.table(spark, d, "events").select(F.col("event_type").alias("topic"), (F.col("user_id") % 3).cast("int").alias("partition"),
+                                            F.col("event_id").alias("offset"), F.col("ts").cast("timestamp").alias("timestamp"))
+    path, log_path = scratch_path(spark, "observed-in"), scratch_path(spark, "observed-log")
+    ev.repartition(6).write.parquet(path)
+    parts = sorted(tuple(r) for r in ev.select("topic", "partition").distinct().collect())        # the subscription
+    log = sops.ProgressLog(parts)
+    spark.streams.addListener(log)
+    try:
+        s = sio.read_alert_stream(spark, fmt="parquet", path=path, schema=ev.schema, max_per_trigger=2)
+        q = (sops.observed_progress(s, parts).select("offset").writeStream.format("parquet").trigger(availableNow=True)
+             .option("checkpointLocation", scratch_path(spark, "observed-ckpt")).start(scratch_path(spark, "observed-out")))
+        sio.run_bounded(q)
+        log.wait(q)
+    finally:
+        spark.streams.removeListener(log)
+    log.drain(spark, log_path)
+    out = sops.progress_totals(spark.read.parquet(log_path))
+    return out.select("topic", F.col("partition").cast("int").alias("partition"), "n_messages", "last_offset",
+                      F.date_format("last_timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("last_timestamp"))
+
+
+@query("message_latency_tail", """
+WITH m AS (SELECT date_trunc('day', ts) AS w, event_type AS c,
+             CAST(json_extract_string(props, '$.k') AS DOUBLE) + CAST(round(value * 1000000) AS BIGINT) / 1000000.0 AS lag FROM events),
+b AS (SELECT w, c, CASE WHEN lag > 1e-6 THEN CAST(ceil(ln(lag) / ln(CAST(1.01 AS DOUBLE) / 0.99)) AS INTEGER) END AS bucket, count(*) AS n
+      FROM m GROUP BY ALL),
+r AS (SELECT *, sum(n) OVER (PARTITION BY w, c ORDER BY bucket NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto,
+             sum(n) OVER (PARTITION BY w, c) AS total, coalesce(2 * pow(CAST(1.01 AS DOUBLE) / 0.99, bucket) / (1 + CAST(1.01 AS DOUBLE) / 0.99), 0) AS v FROM b)
+SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, c AS classifierName, CAST(sum(n) AS BIGINT) AS n_messages,
+       min(v) FILTER (upto >= ceil(total * 0.5)) AS p50, min(v) FILTER (upto >= ceil(total * 0.95)) AS p95,
+       min(v) FILTER (upto >= ceil(total * 0.99)) AS p99
+FROM r GROUP BY w, c""", ["p50", "p95", "p99"])
+def q_message_latency_tail(spark, d):
+    """STR8 tails: sketch of the publish-to-warehouse lag kept in a stream's state."""
+    ev = B.table(spark, d, "events")
+    pub = F.col("ts").cast("timestamp")
+    store = F.timestamp_add("MICROSECOND", F.round(F.col("value") * 1e6).cast("long"),
+                            F.timestamp_add("SECOND", F.get_json_object("props", "$.k").cast("int"), pub))
+    m = ev.select(pub.alias("publishTimestamp"), store.alias("dbIngestTimestamp"), F.col("event_type").alias("classifierName"))
+    end = m.agg((F.max("publishTimestamp") + F.expr("INTERVAL 30 DAYS")).alias("publishTimestamp")).select(
+        "publishTimestamp", F.col("publishTimestamp").alias("dbIngestTimestamp"), F.lit("end").alias("classifierName"))
+    path, last = scratch_path(spark, "lag-in"), _stage(end, "lag-end")
+    m.repartition(6).write.parquet(path)
+    s = sio.read_alert_stream(spark, fmt="parquet", path=path, schema=m.schema)
+    s = s.union(sio.read_alert_stream(spark, fmt="parquet", path=last, schema=m.schema))
+    sketch = _run(sops.lag_sketch(s, watermark="1 day"), "lag")
+    out = sops.lag_quantiles(sketch, {"p50": 0.5, "p95": 0.95, "p99": 0.99})
+    return out.select(F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "classifierName", "n_messages", "p50", "p95", "p99")

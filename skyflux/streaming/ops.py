@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 import math
+import threading
 from collections.abc import Iterator
 from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery, StreamingQueryListener
 
 from skyflux.functions.photometry import has_flag
 from skyflux.functions.timefn import night_range
@@ -106,6 +107,101 @@ def stream_progress(stream: DataFrame, groups: tuple[str, ...] = ("topic", "part
                                        F.max(offset).alias("last_offset"), F.max(ts).alias("last_timestamp"))
 
 
+def observed_progress(stream: DataFrame, parts: list[tuple], groups: tuple[str, ...] = ("topic", "partition"),
+                      offset: str = "offset", ts: str = "timestamp", name: str = "progress") -> DataFrame:
+    """STR7 while a stream runs to its own sink: per micro-batch the messages,
+    the last offset and the last time of each topic partition in ``parts`` (what
+    the stream is subscribed to), as observed metrics. They cost no state, no
+    shuffle and no second query; ``ProgressLog`` takes them up."""
+    metrics = []
+    for i, part in enumerate(parts):
+        mine = F.lit(True)
+        for g, v in zip(groups, part):
+            mine = mine & F.col(g).eqNullSafe(F.lit(v))
+        metrics += [F.count_if(mine).alias(f"n_{i}"), F.max(F.when(mine, F.col(offset))).alias(f"offset_{i}"),
+                    F.max(F.when(mine, F.unix_micros(F.col(ts)))).alias(f"ts_{i}")]
+    return stream.observe(name, *metrics)
+
+
+class ProgressLog(StreamingQueryListener):
+    """Listener that keeps the metrics of ``observed_progress`` per micro-batch
+    (a few numbers per partition and batch) until ``drain`` appends them to a
+    table. ``spark.streams.addListener`` it before the query starts."""
+
+    def __init__(self, parts: list[tuple], name: str = "progress"):
+        self.parts, self.name = parts, name
+        self._rows, self._lock, self._ended = [], threading.Lock(), {}
+
+    def onQueryStarted(self, event) -> None:
+        self._ended.setdefault(str(event.runId), threading.Event())
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        seen = p.observedMetrics.get(self.name)
+        if seen is not None:
+            with self._lock:
+                self._rows += [(str(p.runId), int(p.batchId), i, seen[f"n_{i}"], seen[f"offset_{i}"], seen[f"ts_{i}"])
+                               for i in range(len(self.parts)) if seen[f"n_{i}"]]
+
+    def onQueryTerminated(self, event) -> None:
+        self._ended.setdefault(str(event.runId), threading.Event()).set()
+
+    def wait(self, query: StreamingQuery, seconds: float = 60.0) -> None:
+        """Until all events of a query that has ended are in."""
+        if not self._ended.setdefault(str(query.runId), threading.Event()).wait(seconds):
+            raise TimeoutError(f"no end of query {query.runId} seen")
+
+    def drain(self, spark: SparkSession, path: str, groups: tuple[str, ...] = ("topic", "partition")) -> None:
+        """Append what came in since the last call to the table at ``path``:
+        run, batch, the partition, n_messages, last_offset, last_timestamp."""
+        with self._lock:
+            rows, self._rows = self._rows, []
+        if not rows:
+            return
+        parts = spark.createDataFrame([(i, *p) for i, p in enumerate(self.parts)], ["part", *groups])
+        log = spark.createDataFrame(rows, "run string, batch long, part long, n_messages long, last_offset long, micros long")
+        (log.join(parts, "part").select("run", "batch", *groups, "n_messages", "last_offset", F.timestamp_micros("micros").alias("last_timestamp"))
+         .coalesce(1).write.mode("append").parquet(path))
+
+
+def progress_totals(log: DataFrame, groups: tuple[str, ...] = ("topic", "partition")) -> DataFrame:
+    """STR7 from the table of ``ProgressLog``: totals per topic partition; a
+    micro-batch that was reported by several runs counts once."""
+    once = log.groupBy("batch", *groups).agg(F.max("n_messages").alias("n_messages"), F.max("last_offset").alias("last_offset"),
+                                             F.max("last_timestamp").alias("last_timestamp"))
+    return once.groupBy(*groups).agg(F.sum("n_messages").alias("n_messages"), F.max("last_offset").alias("last_offset"),
+                                     F.max("last_timestamp").alias("last_timestamp"))
+
+
+def lag_sketch(messages: DataFrame, window: str = "1 day", by: str = "classifierName", publish: str = "publishTimestamp",
+               stored: str = "dbIngestTimestamp", accuracy: float = 0.01, watermark: str | None = None) -> DataFrame:
+    """STR8, tails: (w, by, bucket, n), a mergeable quantile sketch of the lag
+    per classifier and window of publish time. Bucket b holds lags in
+    (g^(b-1), g^b] seconds with g = (1 + accuracy) / (1 - accuracy); lags of a
+    microsecond or less are bucket null. On a stream (``watermark``) the counts are the
+    state: two thousand buckets span a microsecond to ten thousand years.
+    Counts add up, so any split of the messages gives the same sketch."""
+    m = messages.withWatermark(publish, watermark) if watermark else messages
+    lag = (F.unix_micros(F.col(stored).cast("timestamp")) - F.unix_micros(F.col(publish).cast("timestamp"))) / 1e6
+    growth = math.log((1 + accuracy) / (1 - accuracy))
+    m = m.withColumn("__lag", lag).filter(F.col("__lag").isNotNull())
+    bucket = F.when(F.col("__lag") > 1e-6, F.ceil(F.log("__lag") / growth).cast("int"))
+    return (m.groupBy(F.window(publish, window).alias("w"), by, bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n")))
+
+
+def lag_quantiles(sketch: DataFrame, quantiles: dict[str, float], by: str = "classifierName", accuracy: float = 0.01) -> DataFrame:
+    """(w, by, n_messages, one column per quantile): the lag at rank ceil(q n)
+    of a ``lag_sketch``, off by at most ``accuracy`` of its value."""
+    g = (1 + accuracy) / (1 - accuracy)
+    value = F.coalesce(F.lit(2.0) * F.pow(F.lit(g), F.col("bucket")) / (1 + g), F.lit(0.0))
+    order = Window.partitionBy("w", by).orderBy(F.col("bucket").asc_nulls_first())       # the sketch's buckets, not the messages
+    run = (sketch.groupBy("w", by, "bucket").agg(F.sum("n").alias("n"))
+           .withColumn("__upto", F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+           .withColumn("__all", F.sum("n").over(Window.partitionBy("w", by))))
+    at = [F.min(F.when(F.col("__upto") >= F.ceil(F.col("__all") * F.lit(q)), value)).alias(c) for c, q in quantiles.items()]
+    return run.groupBy("w", by).agg(F.sum("n").alias("n_messages"), *at)
+
+
 def message_latency(messages: DataFrame, window: str = "1 day", by: str = "classifierName",
                     publish: str = "publishTimestamp", broker: str = "brokerIngestTimestamp",
                     store: str = "dbIngestTimestamp", watermark: str | None = None) -> DataFrame:

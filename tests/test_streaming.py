@@ -183,3 +183,49 @@ def test_batch_handler_counts_a_retried_batch_once(spark, scratch):
     assert sorted(r.alertId for r in spark.read.parquet(out).collect()) == sorted(r[4] for r in _rows())
     sio.run_bounded(start(scratch("hck2")))                                      # delivered again under the same ids: skipped
     assert calls == [0, 1, 1, 2]
+
+
+def test_lag_quantiles_are_within_the_accuracy(spark):
+    import datetime as dt
+
+    import numpy as np
+    rnd = np.random.default_rng(3)
+    t0 = dt.datetime(2024, 1, 1, 5)
+    lags = [float(x) for x in rnd.lognormal(2, 3, 3000)] + [0.0] * 40
+    rows = [(t0, t0 + dt.timedelta(microseconds=round(x * 1e6)), "a") for x in lags] + [(t0, None, "a"), (None, t0, "a"), (t0, t0, "b")]
+    df = spark.createDataFrame(rows, "publishTimestamp timestamp, dbIngestTimestamp timestamp, classifierName string")
+    qs = {"p01": 0.01, "p50": 0.5, "p95": 0.95, "p99": 0.99, "top": 1.0}
+    whole = sops.lag_sketch(df)
+    got = {r.classifierName: r for r in sops.lag_quantiles(whole, qs).collect()}
+    assert got["a"].n_messages == len(lags) and got["b"].p99 == 0.0
+    exact = sorted(round(x * 1e6) / 1e6 for x in lags)
+    for c, q in qs.items():
+        want = exact[int(np.ceil(len(lags) * q)) - 1]
+        assert abs(got["a"][c] - want) <= 0.01 * want + 1e-6
+    halves = sops.lag_sketch(df.filter("second(dbIngestTimestamp) < 20")).union(sops.lag_sketch(df.filter("second(dbIngestTimestamp) >= 20")))
+    assert sorted(map(str, sops.lag_quantiles(halves, qs).collect())) == sorted(map(str, sops.lag_quantiles(whole, qs).collect()))
+
+
+def test_observed_progress_over_two_runs(spark, scratch):
+    """Counts and offsets per partition; a restart goes on where the first run ended."""
+    import datetime as dt
+    rows = [("t", i % 2, i, dt.datetime(2024, 1, 1) + dt.timedelta(seconds=i)) for i in range(20)] + [("u", 0, 100, dt.datetime(2024, 1, 2))]
+    schema = "topic string, partition int, offset long, timestamp timestamp"
+    base, ckpt, sink, path = (scratch(n) for n in ("pr", "prc", "pro", "prl"))
+    parts = [("t", 0), ("t", 1), ("u", 0), ("silent", 7)]
+    log = sops.ProgressLog(parts)
+    spark.streams.addListener(log)
+    try:
+        for i, some in enumerate((rows[:9], rows[9:])):
+            spark.createDataFrame(some, schema).coalesce(1).write.parquet(f"{base}/{i}")
+            s = sio.read_alert_stream(spark, fmt="parquet", path=f"{base}/*", schema=spark.createDataFrame([], schema).schema, max_per_trigger=1)
+            q = (sops.observed_progress(s, parts).writeStream.format("parquet").option("checkpointLocation", ckpt)
+                 .trigger(availableNow=True).start(sink))
+            sio.run_bounded(q)
+            log.wait(q)
+            log.drain(spark, path)
+    finally:
+        spark.streams.removeListener(log)
+    got = {(r.topic, r.partition): (r.n_messages, r.last_offset, r.last_timestamp) for r in sops.progress_totals(spark.read.parquet(path)).collect()}
+    assert got == {("t", 0): (10, 18, rows[18][3]), ("t", 1): (10, 19, rows[19][3]), ("u", 0): (1, 100, rows[20][3])}
+    assert spark.read.parquet(sink).count() == 21
