@@ -6,11 +6,10 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyflux.functions.photometry import has_flag
-from skyflux.operators.intervals import interval_join
 from skyflux.schemas import PHOTFLAG_DETECT, SEPARATOR_SNID
 
 
@@ -18,28 +17,36 @@ from skyflux.schemas import PHOTFLAG_DETECT, SEPARATOR_SNID
 def assign_object_ids(phot: DataFrame, head: DataFrame, key: str = "SNID",
                       idx: str = "row_idx", file: str | list[str] = "file_num",
                       ptr_min: str = "PTROBS_MIN", ptr_max: str = "PTROBS_MAX",
-                      bucket: int = 32, keep_separators: bool = False) -> DataFrame:
+                      bucket: int = 4096, keep_separators: bool = False) -> DataFrame:
     """Give every photometry row its object: same ``file`` and
-    ``PTROBS_MIN - 1 <= idx < PTROBS_MAX`` (1-based inclusive pointers).
-
-    A range join written as a bucketed equi-join (``interval_join``): HEAD
-    intervals are exploded into the ``bucket``-wide index blocks they cover, so
-    the join key is (file, block). With blocks shorter than a typical curve,
-    candidate pairs stay close to the number of photometry rows, and no key
-    grows with the size of a file or of an object. Rows outside every interval
-    (separators) are dropped, or kept with key -999 when ``keep_separators``."""
+    ``PTROBS_MIN - 1 <= idx < PTROBS_MAX`` (1-based inclusive pointers, disjoint
+    within a file).
+
+    No join: the starts of the HEAD intervals are sorted in among the
+    photometry, and a row takes the last start before it, if that interval
+    reaches it. The table is shuffled once, by (file, block of ``bucket``
+    indices); an interval that runs over several blocks starts anew in each, so
+    no task sees more than a block of a file or of an object. Rows outside every
+    interval (separators) are dropped, or kept with key -999 when
+    ``keep_separators``."""
     files = [file] if isinstance(file, str) else list(file)
     if "survey_dir" in phot.columns and "survey_dir" in head.columns and "survey_dir" not in files:
         files.append("survey_dir")                     # file numbers repeat in every class folder
-    iv = head.select(*files, F.col(key).alias("__k"),
-                     (F.col(ptr_min).cast("long") - 1).alias("__lo"),
-                     F.col(ptr_max).cast("long").alias("__hi"))
     p = phot.drop(key) if key in phot.columns else phot
-    out = interval_join(p, iv, idx, "__lo", "__hi", by=files, bucket=bucket,
-                        how="left" if keep_separators else "inner")
-    kcol = (F.coalesce(F.col("__k"), F.lit(SEPARATOR_SNID).cast("long")) if keep_separators
-            else F.col("__k"))
-    return out.select(kcol.alias(key), *[F.col(c) for c in p.columns])
+    block = lambda c: F.floor(c / F.lit(bucket)).cast("long")
+    lo, hi = F.col(ptr_min).cast("long") - 1, F.col(ptr_max).cast("long")
+    starts = (head.select(*files, F.col(key).alias("__k"), lo.alias("__lo"), hi.alias("__hi")).filter("__hi > __lo").dropna(subset=files)
+              .withColumn("__b", F.explode(F.sequence(block(F.col("__lo")), block(F.col("__hi") - 1))))
+              .select(*files, "__b", F.greatest(F.col("__lo"), F.col("__b") * bucket).alias("__i"), F.struct("__k", "__hi").alias("__s")))
+    rows = p.select(*files, block(F.col(idx)).alias("__b"), F.col(idx).cast("long").alias("__i"), F.struct(*[F.col(c) for c in p.columns]).alias("__p"))
+    both = rows.unionByName(starts, allowMissingColumns=True)
+    w = (Window.partitionBy(*files, "__b").orderBy("__i", F.col("__s").isNull())       # a start before the row it begins at
+         .rowsBetween(Window.unboundedPreceding, 0))
+    got = both.withColumn("__o", F.last("__s", True).over(w)).filter(F.col("__p").isNotNull())
+    mine = F.when(F.col("__i") < F.col("__o.__hi"), F.col("__o.__k"))
+    if keep_separators:
+        mine = F.coalesce(mine, F.lit(SEPARATOR_SNID).cast("long"))
+    return got.select(mine.alias(key), "__p.*") if keep_separators else got.filter(mine.isNotNull()).select(mine.alias(key), "__p.*")
 
 
 # ---------------------------------------------------------------- JOIN2/3/4

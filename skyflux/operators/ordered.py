@@ -123,8 +123,14 @@ def exact_median(df: DataFrame, groups: list[str], value: str, name: str = "medi
     a value that most rows of a group share is one row; the running count over
     distinct values then finds the one or two that hold the middle positions."""
     v = (df.filter(F.col(value).isNotNull()).groupBy(*groups, value).agg(F.count(F.lit(1)).alias("__c")))
-    r = running_sum(v, groups, [value], "__c", "__upto", max_rows=max_rows)
-    r = r.join(v.groupBy(*groups).agg(F.sum("__c").alias("__cnt")), groups)
+    if top is not None and top <= max_rows:
+        # no group is large: running and whole counts in one pass over the sorted values
+        w = Window.partitionBy(*groups)
+        r = v.withColumn("__upto", F.sum("__c").over(w.orderBy(value).rowsBetween(Window.unboundedPreceding, 0)))
+        r = r.withColumn("__cnt", F.sum("__c").over(w))
+    else:
+        r = running_sum(v, groups, [value], "__c", "__upto", max_rows=max_rows)
+        r = r.join(v.groupBy(*groups).agg(F.sum("__c").alias("__cnt")), groups)
     holds = lambda at: (F.col("__upto") - F.col("__c") <= at) & (at < F.col("__upto"))
     mid = r.filter(holds(F.floor((F.col("__cnt") - 1) / 2)) | holds(F.ceil((F.col("__cnt") - 1) / 2)))
     return mid.groupBy(*groups).agg(F.avg(value).alias(name))

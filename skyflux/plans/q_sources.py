@@ -5,6 +5,8 @@ from the original tables."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from skyflux.operators import gw
@@ -199,3 +201,16 @@ def q_read_valid_class(spark, d):
         pass
     r = pq.read_lightcurves(spark, path, [f"TRAIN_{cls}"], partition="dir")
     return r.select("SNID", F.size("MJD").cast("long").alias("npts"))
+
+
+@query("join_truth_colocated", with_(PHOT_EV, TRUTH_EV) + """
+SELECT p.SNID, t.GENTYPE, t.ZCMB, count(*) AS npts, max(p.MJD) AS last_mjd
+FROM phot_ev p JOIN truth_ev t ON p.SNID = t.SNID GROUP BY ALL""", ["ZCMB", "last_mjd"])
+def q_join_truth_colocated(spark, d):
+    """SRC6 + JOIN3: curves and truth stored in like buckets of SNID; the join and
+    the count per object run without a shuffle."""
+    name = "skyflux_" + uuid.uuid4().hex[:10]
+    phot = pq.write_colocated(B.phot_ev(spark, d), f"{name}_phot", scratch_path(spark, "colocated-phot"), buckets=8)
+    truth = pq.write_colocated(B.truth_ev(spark, d), f"{name}_truth", scratch_path(spark, "colocated-truth"), buckets=8)
+    return (lc.join_truth(phot, truth).groupBy("SNID", "GENTYPE", "ZCMB")
+            .agg(F.count(F.lit(1)).alias("npts"), F.max("MJD").alias("last_mjd")))

@@ -8,14 +8,38 @@ from pyspark.sql import types as T
 
 
 def write_lightcurves(curves: DataFrame, path: str, partition: str | list[str] = "class", key: str = "SNID",
-                      mode: str = "overwrite", max_rows: int = 1_000_000) -> None:
+                      mode: str = "overwrite", max_rows: int = 1_000_000, bloom: bool = True) -> None:
     """SRC6: one Parquet dataset partitioned by class (or class and file
     number). Rows are range-partitioned by (partition, key), so a large class
     is written by many tasks, each with a range of keys and files of at most
-    ``max_rows`` rows; row-group statistics serve point lookups."""
+    ``max_rows`` rows; row-group statistics, and Bloom filters unless ``bloom``
+    is false, serve point lookups."""
     parts = [partition] if isinstance(partition, str) else list(partition)
     (curves.repartitionByRange(*parts, key).sortWithinPartitions(*parts, key)
-     .write.mode(mode).option("maxRecordsPerFile", max_rows).partitionBy(*parts).parquet(path))
+     .write.mode(mode).option("maxRecordsPerFile", max_rows).options(**(bloom_options(key) if bloom else {})).partitionBy(*parts).parquet(path))
+
+
+def bloom_options(key: str, distinct: int | None = None) -> dict[str, str]:
+    """Writer options for a Parquet Bloom filter on ``key`` in every row group, sized
+    for ``distinct`` values: a point lookup skips row groups whose range of ids
+    holds the wanted one but whose rows do not."""
+    out = {f"parquet.bloom.filter.enabled#{key}": "true"}
+    if distinct:
+        out[f"parquet.bloom.filter.expected.ndv#{key}"] = str(distinct)
+    return out
+
+
+def write_colocated(df: DataFrame, table: str, path: str, key: str = "SNID", buckets: int = 64, mode: str = "overwrite",
+                    distinct: int | None = None) -> DataFrame:
+    """SRC6, co-located: ``df`` as the catalogue table ``table`` (files at
+    ``path``), bucketed and sorted by ``key`` with Bloom filters on it. Tables
+    written with the same key and number of buckets, such as HEAD, truth and
+    curves, are joined and grouped by the key without a shuffle, and a lookup
+    of one key reads one bucket. One file per bucket: choose ``buckets`` so that
+    one is some hundred MB."""
+    (df.repartition(buckets, key).write.mode(mode).bucketBy(buckets, key).sortBy(key)
+     .options(**bloom_options(key, distinct)).option("path", path).format("parquet").saveAsTable(table))
+    return df.sparkSession.table(table)
 
 
 def read_lightcurves(spark: SparkSession, path: str, classes: list | None = None,

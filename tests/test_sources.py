@@ -202,3 +202,48 @@ def test_large_class_is_written_by_several_tasks(spark, scratch):
     pq.write_lightcurves(df, path + "-f", partition=["class", "file_num"])
     plan = pq.read_lightcurves(spark, path + "-f", file_num="0001")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(file_num" in plan
+
+
+def test_colocated_tables_join_without_a_shuffle(spark, scratch):
+    import uuid
+
+    from skyflux.operators import lightcurves as lc
+    from skyflux.sources import parquet as pq
+    name = "t_" + uuid.uuid4().hex[:8]
+    phot = pq.write_colocated(spark.range(3000).selectExpr("id % 300 as SNID", "id as obs_id", "id * 0.1 as MJD"), f"{name}_p", scratch("cp"), buckets=4)
+    head = pq.write_colocated(spark.range(300).selectExpr("id as SNID", "id % 5 as file_num", "id * 2 as RA"), f"{name}_h", scratch("ch"), buckets=4)
+    truth = pq.write_colocated(spark.range(100, 300).selectExpr("id as SNID", "id % 7 as GENTYPE"), f"{name}_t", scratch("ct"), buckets=4)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = lc.join_truth(lc.join_head(phot, head), truth).groupBy("SNID").count()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "SortMergeJoin" in plan
+        assert {(r.SNID, r["count"]) for r in out.collect()} == {(i, 10) for i in range(100, 300)}
+        assert phot.filter("SNID = 7").count() == 10
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        for t in "pht":
+            spark.sql(f"DROP TABLE {name}_{t}")
+
+
+def test_bloom_filters_skip_row_groups(spark, scratch):
+    """An id inside every row group's range but in none of them: only with
+    Bloom filters does the scan give no rows to the filter."""
+    from skyflux.sources import parquet as pq
+    curves = spark.range(20_000).selectExpr("id * 2 as SNID", "'A' as class", "id as obs_id")
+
+    def scanned(bloom, snid):
+        path = scratch("bloom")
+        w = curves.coalesce(1).write.partitionBy("class").option("parquet.enable.dictionary", "false")
+        w.options(**(pq.bloom_options("SNID", 20_000) if bloom else {})).parquet(path)
+        df = pq.read_lightcurves(spark, path, ["A"]).filter(F.col("SNID") == snid).select("SNID", "obs_id")
+        rows = df.collect()
+        leaf = df._jdf.queryExecution().executedPlan().collectLeaves().head()
+        return len(rows), leaf.metrics().apply("numOutputRows").value()
+    assert scanned(True, 20_001) == (0, 0) and scanned(False, 20_001)[1] > 0
+    assert scanned(True, 20_002)[0] == 1
+    path = scratch("bloom-curves")
+    pq.write_lightcurves(curves, path)
+    df = pq.read_lightcurves(spark, path, ["A"]).filter("SNID = 20001")
+    assert df.count() == 0
