@@ -33,7 +33,11 @@ from skyflux.llm.common import checkpoint_table
 DEGREE = 24
 BEAM = 64
 RELAX = 1.2
-SHARD_ROWS = 200_000
+#: Norm bands in a doubling: a query has no share in the added coordinate, and
+#: the wider a band, the more of its points' length lies there.
+BANDS = 8
+#: Rows and components of a shard: recall falls with the points of a graph.
+SHARD_ROWS, SHARD_VALUES = 8_192, 1_048_576
 MIN_SHARDS = 12
 QUERY_BLOCK = 50_000
 _STEP = 4          # beam entries opened at a time
@@ -162,14 +166,14 @@ def _pack(pdf: pd.DataFrame, degree: int, beam: int) -> bytes:
     of = of.ravel()
     order = np.lexsort([ids, of])
     begin = np.searchsorted(of[order], np.arange(len(u) + 1))
-    sq = (u ** 2).sum(1)
-    band = np.floor(np.log2(np.maximum(sq, 1e-300)) / 2 + 0.5)        # norms within a factor of two, 1 in the middle
+    band = np.floor(np.log2(_norms(u)) * BANDS + 0.5)                 # norms within a factor of 2^(1/BANDS), 1 in the middle
     parts = []
     for v in np.unique(band):
         nodes = np.flatnonzero(band == v)
         part = {"nodes": nodes}
         if len(nodes) > beam:
-            w, wq = u[nodes], sq[nodes]
+            w = np.ldexp(u[nodes], -int(v // BANDS))                            # norms near 1: nothing overflows or vanishes in float32
+            wq = (w ** 2).sum(1)
             aug = np.concatenate([w, (wq / (np.sqrt(wq.max()) + np.sqrt(np.maximum(wq.max() - wq, 0))))[:, None]], 1)
             graph, start = build_graph(aug, degree, beam)
             part |= {"aug": aug.astype(np.float32), "graph": graph.astype(np.int32), "start": start}
@@ -177,6 +181,12 @@ def _pack(pdf: pd.DataFrame, degree: int, beam: int) -> bytes:
     return pickle.dumps({"x": u, "ids": ids[order], "begin": begin, "parts": parts}, protocol=5)
 
 
+def _norms(x: np.ndarray) -> np.ndarray:
+    """Lengths of non-zero rows of any finite size."""
+    top = np.abs(x).max(1)
+    return top * np.sqrt(((x / top[:, None]) ** 2).sum(1))
+
+
 def _inner(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Row-wise inner products, summed in order of the components."""
     s = np.zeros(len(a))
@@ -190,7 +200,8 @@ def _ask(index: dict, qid: np.ndarray, q: np.ndarray, k: int, beam: int) -> Iter
     parts = [p | ({"graph": p["graph"].astype(np.int64)} if "graph" in p else {}) for p in index["parts"]]
     for at in range(0, len(q), _BATCH):
         part, part_id = q[at:at + _BATCH], qid[at:at + _BATCH]
-        probe = np.concatenate([part, np.zeros((len(part), 1))], 1).astype(np.float32)
+        unit = part / np.abs(part).max(1)[:, None]                  # the order of -q.x is that of any multiple of q
+        probe = np.concatenate([unit, np.zeros((len(part), 1))], 1).astype(np.float32)
         found = []
         for p in parts:
             if "graph" in p:
@@ -248,13 +259,16 @@ def nearest(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vect
     rows with the same id the smallest vector counts. Equal vectors are one
     point of the graph with all their ids. Empty tables give an empty result.
 
-    A shard holds ``SHARD_ROWS`` rows at most on average, and a task one shard
-    and ``QUERY_BLOCK`` queries.
+    A shard holds ``SHARD_ROWS`` rows and ``SHARD_VALUES`` components at most on
+    average, and a task one shard and ``QUERY_BLOCK`` queries. Every query asks
+    every shard: with queries a fixed share of the rows the work grows with the
+    square of the rows.
     """
     v, q = valid_vectors(vectors, id_col, vector_col), valid_vectors(queries, id_col, vector_col)
     q = q.groupBy("id").agg(F.min(F.struct("vector", "dim")).alias("s")).select("id", "s.vector", "s.dim")
     if shards is None:
-        shards = max(MIN_SHARDS, -(-v.count() // SHARD_ROWS))
+        rows, values = v.agg(F.count(F.lit(1)), F.coalesce(F.sum("dim"), F.lit(0))).first()
+        shards = max(MIN_SHARDS, -(-rows // SHARD_ROWS), -(-values // SHARD_VALUES))
     blocks = max(1, -(-q.count() // QUERY_BLOCK))
     index = build_index(v, shards, degree, beam).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     asked = (q.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))

@@ -533,3 +533,20 @@ def test_graph_degree_and_reach():
                 seen.add(int(j))
                 todo.append(int(j))
     assert len(seen) > 690
+
+
+@pytest.mark.parametrize("scale", [1.0, 1e19, 1e25, 1e120, 1e-30])
+def test_recall_with_lengths_of_any_size(scale):
+    """A tenth of the vectors is longer or shorter by ``scale``; lengths vary in all of them."""
+    rnd = np.random.default_rng(3)
+    x = rnd.standard_normal((1500, 32))
+    x[::10] *= scale
+    index = pickle.loads(ann._pack(pd.DataFrame({"vector": list(x), "id": np.arange(len(x))}), ann.DEGREE, ann.BEAM))
+    asked = np.arange(0, 1500, 25)
+    got = pd.concat(ann._ask(index, asked, x[asked], 20, ann.BEAM))
+    hit = 0
+    for i in asked:
+        s = ann._inner(x, np.broadcast_to(x[i], x.shape))
+        s[i] = -np.inf
+        hit += len(set(np.argsort(-s, kind="stable")[:20]) & set(got[got["query_id"] == i]["vec_id"]))
+    assert hit >= 0.95 * 20 * len(asked)
