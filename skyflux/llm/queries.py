@@ -111,7 +111,26 @@ def op3_toxicity_chain(spark, sf_dir):
 
 
 # ------------------------------------------------------ 4: n-gram Jaccard join
-@query("op4_ngram_jaccard")
+def _links_sql(width: int, percent: int, kept: str = "") -> str:
+    """All pairs of documents with a common shingle, their links, and everything reachable from each document."""
+    return rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+') AS ws
+  FROM documents),
+g AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) >= {width} THEN list_transform(range(1, len(ws) - {width - 2}), lambda i: array_to_string(ws[i:i + {width - 1}], ' '))
+                                      WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS s FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM g a JOIN g b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= {percent} * (x.n + y.n - c)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id AS i, doc_id AS root FROM documents UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.i),
+c AS (SELECT i, min(root) AS component_id FROM r GROUP BY i)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id{kept} FROM w LEFT JOIN n USING (doc_id) JOIN c ON c.i = w.doc_id
+"""
+
+
+@query("op4_ngram_jaccard", _links_sql(5, 75))
 def op4_ngram_jaccard(spark, sf_dir):
     """Every document with the size of its shingle set and its component of links."""
     return shingle_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -269,7 +288,68 @@ def op11_whitening(spark, sf_dir):
 
 
 # --------------------------------------------------- 12: conversation repair
-@query("op12_conversation_repair")
+def _repair_sql() -> str:
+    """Row by row from the front: for each of the four states the cheapest way there, of equal costs the one with
+    the least edits; inserts between rows, then the row's edit."""
+    far = 1 << 40
+    best = lambda *ways: f"list_min([{', '.join(ways)}])"
+    way = lambda cost, edit, line, old: (  # noqa: E731  (cost, edits, repaired lines)
+        f"{{'c': {old}.c + {cost}, 'e': {old}.e || '{edit}', 'l': list_concat({old}.l, {line})}}")
+    none = f"{{'c': {far}, 'e': '', 'l': CAST([] AS VARCHAR[])}}"
+    ins = lambda role, old: way(3, "I", f"['{role}:']", old)
+    # closed under inserts: nothing/s -> u, u -> a, a -> u
+    u1 = best("q2", ins("user", "q0"), ins("user", "q1"), ins("user", "q3"))
+    a1 = best("q3", ins("assistant", "q2"), ins("assistant", f"({best('q2', ins('user', 'q0'), ins('user', 'q1'))})"))
+    drop = lambda q: way(4, "D", "[]", q)
+    more = "(CASE WHEN fault = 'truncated' THEN 3 ELSE 0 END)"
+    keep = lambda initial, q: f"CASE WHEN left(role, 1) = '{initial}' AND NOT must THEN {way(more, 'K', '[role || chr(58) || text]', q)} ELSE {none} END"
+    redo = lambda role, q: f"CASE WHEN NOT must THEN {way(f'3 + {more}', 'R', f'[{chr(39)}{role}:{chr(39)} || text]', q)} ELSE {none} END"
+    crc = """xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(1, len(s) * 9 + 1), lambda i:
+           CASE WHEN i % 9 = 1 THEN 1000000 + CAST(ord(s[CAST(ceil(i / 9.0) AS INTEGER)]) AS BIGINT) ELSE -1 END)),
+         lambda c, o: CASE WHEN o >= 0 THEN xor(c, o - 1000000) WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END),
+         CAST(4294967295 AS BIGINT)) % 20"""
+    space = r"[\x20\x09-\x0D]"
+    return rf"""
+WITH RECURSIVE src AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS s FROM conversations),
+k AS (SELECT *, {crc} AS k FROM src),
+dam AS (
+  SELECT conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN k = 1 THEN '' WHEN k = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(CASE WHEN k = 3 THEN [0, 1] ELSE [0] END) AS copy FROM k WHERE k <> 0),
+num AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+         regexp_replace(text, '{space}+$', '') AS body FROM dam),
+f AS (
+  SELECT *, CASE WHEN regexp_replace(body, '{space}', '', 'g') = '' THEN 'blank'
+                 WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+                 WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+         lag(role) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM num),
+r AS (SELECT *, fault IN ('blank', 'duplicate') AS must FROM f),
+ids AS (SELECT DISTINCT conv_id FROM conversations),
+dp AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS i, {{'c': CAST(0 AS BIGINT), 'e': '', 'l': CAST([] AS VARCHAR[])}} AS q0, {none} AS q1, {none} AS q2, {none} AS q3 FROM ids
+  UNION ALL
+  SELECT conv_id, i + 1, {drop('q0')}, {best(drop('q1'), keep('s', 'q0'))},
+         {best(drop('u'), keep('u', 'q0'), keep('u', 'q1'), keep('u', 'a'), redo('user', 'q0'), redo('user', 'q1'), redo('user', 'a'))},
+         {best(drop('a'), keep('a', 'u'), redo('assistant', 'u'))}
+  FROM (SELECT dp.conv_id, dp.i, q0, q1, {u1} AS u, {a1} AS a, r.role, r.text, r.fault, r.must
+        FROM dp JOIN r ON r.conv_id IS NOT DISTINCT FROM dp.conv_id AND r.i = dp.i + 1)),
+fin AS (
+  SELECT conv_id, {best('q0', a1)} AS z FROM dp
+  WHERE i = (SELECT count(*) FROM r WHERE r.conv_id IS NOT DISTINCT FROM dp.conv_id)),
+agg AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+         count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (before IS NOT NULL AND left(before, 1) || left(role, 1) NOT IN ('su', 'ua', 'au')) AS illegal FROM r GROUP BY conv_id)
+SELECT fin.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, z.c AS cost, z.e AS audit, sha256(array_to_string(z.l, chr(10))) AS repaired_sha256
+FROM fin LEFT JOIN agg ON agg.conv_id IS NOT DISTINCT FROM fin.conv_id
+"""
+
+
+@query("op12_conversation_repair", _repair_sql())
 def op12_conversation_repair(spark, sf_dir):
     """Every conversation, damaged by checksum, with its cheapest repair."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -277,7 +357,7 @@ def op12_conversation_repair(spark, sf_dir):
 
 
 # ------------------------------------------------- 13: MinHash near-dedup
-@query("op13_odd_sketch_dedup")
+@query("op13_odd_sketch_dedup", _links_sql(4, 80, ", w.doc_id = c.component_id AS kept"))
 def op13_odd_sketch_dedup(spark, sf_dir):
     """Every document with its component of near duplicates and whether it stays."""
     return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
