@@ -32,12 +32,12 @@ from pyspark.sql import types as T
 from skyflux.llm.common import by_chars, claim, worker_cache
 from skyflux.llm.pretokens import Cutter, PieceCache, newer_code_points
 
-#: Bytes of pre-tokens kept by a worker; states (under 1 kB each) and as many
-#: pairs; characters encoded and tokens decoded at a time.
+#: Bytes of pre-tokens kept by a worker; states (under 1 kB each) and a quarter
+#: of the pairs (100 bytes each); characters encoded and tokens decoded at a time.
 CACHE_BYTES = 60_000_000
-STATES = 48_000
-CHUNK = 2_000_000
-STEP = 512
+STATES = 60_000
+CHUNK = 3_000_000
+STEP = 4_096
 
 
 def parse_ranks(data: bytes) -> dict[bytes, int]:
@@ -83,10 +83,6 @@ class Trie:
         self.first.append(len(labels))
         self.labels = bytes(labels)
 
-    def child(self, node: int, byte: int) -> int:
-        """The node an arc leads to; 0 without one."""
-        return self.labels.find(byte, self.first[node], self.first[node + 1]) + 1
-
 
 class _State(dict):
     """byte -> next state. ``out`` is what is emitted on reaching the state,
@@ -161,7 +157,7 @@ class Transducer:
         pair = before << 32 | tok
         ok = self._pairs.get(pair)
         if ok is None:
-            if len(self._pairs) >= self.max_states:
+            if len(self._pairs) >= 4 * self.max_states:
                 self._pairs.clear()
             rank, left = self.ranks.get, self._edge(tok, 0)
             ok = True
@@ -178,14 +174,14 @@ class Transducer:
 
     def _next(self, state: _State, byte: int) -> _State:
         """Build one arc: move all threads by a byte, emit what they share."""
-        moved, trie = [], self._trie
+        moved, first, token, find = [], self._trie.first, self._trie.token, self._trie.labels.find
         for node, before, held in state.threads:
-            nxt = trie.child(node, byte)
+            nxt = find(byte, first[node], first[node + 1]) + 1
             if not nxt:
                 continue
-            if trie.first[nxt] < trie.first[nxt + 1]:
+            if first[nxt] < first[nxt + 1]:
                 moved.append((nxt, before, held))
-            tok = trie.token[nxt]
+            tok = token[nxt]
             if tok >= 0 and self._fits(before, tok):
                 moved.append((0, tok, (*held, tok)))
         out = b""
@@ -286,8 +282,8 @@ class Utf8Stream:
 class Coder:
     """texts -> ids, by the pieces that a pattern cuts."""
 
-    def __init__(self, ranks: bytes, pattern: str, odd: str):
-        self._cut, fst = Cutter(pattern, odd), Transducer(parse_ranks(ranks))
+    def __init__(self, ranks: bytes, pattern: str, odd: str, states: int = STATES):
+        self._cut, fst = Cutter(pattern, odd), Transducer(parse_ranks(ranks), states)
         self.bytes_of = fst.bytes_of
         self._cache = PieceCache(lambda ps: fst.encode_sorted([p.encode("utf-8", "surrogatepass") for p in ps]), CACHE_BYTES)
 
@@ -298,17 +294,17 @@ class Coder:
         return [b"".join(map(get, p)) for p in pieces]
 
 
-_CODERS: dict[tuple[int, str], Coder] = worker_cache()
+_CODERS: dict[tuple[int, str, int], Coder] = worker_cache()
 
 
-def _coder(ranks: bytes, pattern: str, odd: str) -> Coder:
+def _coder(ranks: bytes, pattern: str, odd: str, states: int) -> Coder:
     """The worker's coder of a vocabulary; one is kept per worker."""
     claim("bpe")
-    key = (hash(ranks), pattern)
+    key = (hash(ranks), pattern, states)
     if key not in _CODERS:
         _CODERS.clear()
         gc.set_threshold(200_000, 20, 100)                # states and caches are long-lived: scan them rarely
-        _CODERS[key] = Coder(ranks, pattern, odd)
+        _CODERS[key] = Coder(ranks, pattern, odd, states)
     return _CODERS[key]
 
 
@@ -333,14 +329,16 @@ def _decoder(bytes_of: dict[int, bytes], step: int):
 
 def bpe_encode(docs: DataFrame, vocab_path: str, pattern: str, text_col: str = "text", ids_col: str = "ids",
                n_col: str = "n_tokens", decoded_col: str | None = None, keep: list[str] | None = None,
-               step: int = STEP) -> DataFrame:
+               step: int = STEP, states: int = STATES, chunk: int = CHUNK) -> DataFrame:
     """``keep`` columns (all but the text by default) plus ``ids_col`` (binary:
     little-endian unsigned 32-bit ids), ``n_col`` (long) and, when named,
     ``decoded_col``: the text that the ids give back, decoded in the same pass.
 
     Every match of ``pattern`` is encoded separately, without special tokens.
     Null text counts as empty and gives no ids. Rows are neither dropped nor
-    merged; columns named like the new ones are replaced.
+    merged; columns named like the new ones are replaced. ``states`` and
+    ``chunk`` (bytes of text encoded at a time) bound a worker's memory and
+    change its speed only.
     """
     vocab, odd = _vocabulary(docs.sparkSession, vocab_path), newer_code_points()
     new = [T.StructField(ids_col, T.BinaryType()), T.StructField(n_col, T.LongType())]
@@ -351,10 +349,10 @@ def bpe_encode(docs: DataFrame, vocab_path: str, pattern: str, text_col: str = "
     schema = T.StructType([docs.schema[c] for c in keep] + new)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _coder(vocab.value, pattern, odd)
+        encode = _coder(vocab.value, pattern, odd, states)
         decode = _decoder(encode.bytes_of, step) if decoded_col else None
         for batch in batches:
-            for b in by_chars(batch, text_col, CHUNK):
+            for b in by_chars(batch, text_col, chunk):
                 ids = encode([t or "" for t in b.column(text_col).to_pylist()])
                 cols = [b.column(c) for c in keep] + [pa.array(ids, pa.binary()),
                                                       pa.array([len(x) // 4 for x in ids], pa.int64())]
