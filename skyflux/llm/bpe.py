@@ -34,8 +34,8 @@ from skyflux.llm.pretokens import Cutter, PieceCache, newer_code_points
 
 #: Bytes of pre-tokens kept by a worker; states (under 1 kB each) and a quarter
 #: of the pairs (100 bytes each); characters encoded and tokens decoded at a time.
-CACHE_BYTES = 60_000_000
-STATES = 60_000
+CACHE_BYTES = 100_000_000
+STATES = 150_000
 CHUNK = 3_000_000
 STEP = 4_096
 
@@ -282,10 +282,10 @@ class Utf8Stream:
 class Coder:
     """texts -> ids, by the pieces that a pattern cuts."""
 
-    def __init__(self, ranks: bytes, pattern: str, odd: str, states: int = STATES):
+    def __init__(self, ranks: bytes, pattern: str, odd: str, states: int = STATES, cache_bytes: int = CACHE_BYTES):
         self._cut, fst = Cutter(pattern, odd), Transducer(parse_ranks(ranks), states)
         self.bytes_of = fst.bytes_of
-        self._cache = PieceCache(lambda ps: fst.encode_sorted([p.encode("utf-8", "surrogatepass") for p in ps]), CACHE_BYTES)
+        self._cache = PieceCache(lambda ps: fst.encode_sorted([p.encode("utf-8", "surrogatepass") for p in ps]), cache_bytes)
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         pieces = [self._cut(t) for t in texts]
@@ -294,17 +294,17 @@ class Coder:
         return [b"".join(map(get, p)) for p in pieces]
 
 
-_CODERS: dict[tuple[int, str, int], Coder] = worker_cache()
+_CODERS: dict[tuple[int, str, int, int], Coder] = worker_cache()
 
 
-def _coder(ranks: bytes, pattern: str, odd: str, states: int) -> Coder:
+def _coder(ranks: bytes, pattern: str, odd: str, states: int, cache_bytes: int) -> Coder:
     """The worker's coder of a vocabulary; one is kept per worker."""
     claim("bpe")
-    key = (hash(ranks), pattern, states)
+    key = (hash(ranks), pattern, states, cache_bytes)
     if key not in _CODERS:
         _CODERS.clear()
         gc.set_threshold(200_000, 20, 100)                # states and caches are long-lived: scan them rarely
-        _CODERS[key] = Coder(ranks, pattern, odd, states)
+        _CODERS[key] = Coder(ranks, pattern, odd, states, cache_bytes)
     return _CODERS[key]
 
 
@@ -329,15 +329,15 @@ def _decoder(bytes_of: dict[int, bytes], step: int):
 
 def bpe_encode(docs: DataFrame, vocab_path: str, pattern: str, text_col: str = "text", ids_col: str = "ids",
                n_col: str = "n_tokens", decoded_col: str | None = None, keep: list[str] | None = None,
-               step: int = STEP, states: int = STATES, chunk: int = CHUNK) -> DataFrame:
+               step: int = STEP, states: int = STATES, cache_bytes: int = CACHE_BYTES, chunk: int = CHUNK) -> DataFrame:
     """``keep`` columns (all but the text by default) plus ``ids_col`` (binary:
     little-endian unsigned 32-bit ids), ``n_col`` (long) and, when named,
     ``decoded_col``: the text that the ids give back, decoded in the same pass.
 
     Every match of ``pattern`` is encoded separately, without special tokens.
     Null text counts as empty and gives no ids. Rows are neither dropped nor
-    merged; columns named like the new ones are replaced. ``states`` and
-    ``chunk`` (bytes of text encoded at a time) bound a worker's memory and
+    merged; columns named like the new ones are replaced. ``states``,
+    ``cache_bytes`` and ``chunk`` (bytes of text encoded at a time) bound a worker's memory and
     change its speed only.
     """
     vocab, odd = _vocabulary(docs.sparkSession, vocab_path), newer_code_points()
@@ -349,7 +349,7 @@ def bpe_encode(docs: DataFrame, vocab_path: str, pattern: str, text_col: str = "
     schema = T.StructType([docs.schema[c] for c in keep] + new)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _coder(vocab.value, pattern, odd, states)
+        encode = _coder(vocab.value, pattern, odd, states, cache_bytes)
         decode = _decoder(encode.bytes_of, step) if decoded_col else None
         for batch in batches:
             for b in by_chars(batch, text_col, chunk):
