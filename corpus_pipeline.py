@@ -47,7 +47,8 @@ def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every document's tokens, and digests of the ids and of the decoded text."""
     import public_tokenizers as P
     out = bpe_encode(docs, P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN, decoded_col="decoded",
-                     keep=["doc_id", "lang", "source"], states=24_000, chunk=2_000_000)   # executors hold the earlier stages' memory
+                     keep=["doc_id", "lang", "source"], states=24_000, cache_bytes=60_000_000,
+                     chunk=2_000_000)                           # executors hold the earlier stages' memory
     return out.select("doc_id", "lang", "source", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                       F.sha2("decoded", 256).alias("decoded_sha256"))
 
