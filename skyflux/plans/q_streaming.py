@@ -146,6 +146,44 @@ def q_stream_ingest_alert_ids(spark, d):
     return spark.read.parquet(sink)
 
 
+def _night_stream(spark, d, name, batches):
+    """SRC14: the alerts as night folders, read a share of the messages at a time."""
+    recs = _alert_records(spark, d).withColumn("night", F.floor("diaSource.midPointTai").cast("int"))
+    path = scratch_path(spark, name)
+    recs.repartition("night").sortWithinPartitions("night", "alertId").write.option("maxRecordsPerFile", 1_000_000).partitionBy("night").parquet(path)
+    schema = T.StructType([*recs.schema.fields, T.StructField("offset", T.LongType())])
+    limit = recs.count() // batches + 1
+    return lambda: sio.read_alert_stream(spark, fmt="alert_nights", path=path, schema=schema, max_per_trigger=limit)
+
+
+@query("stream_night_ids", with_(PHOT_EV, ALERTS_EV) + """
+SELECT alertId, diaSourceId, diaObjectId FROM alerts_ev""")
+def q_stream_night_ids(spark, d):
+    """STR1 on SRC14: ids of the alerts of all nights; the query stops after its
+    first micro-batch and a second run goes on from the offset of the first."""
+    stream = _night_stream(spark, d, "night-ids-in", 3)
+    sink, ckpt = scratch_path(spark, "night-ids-out"), scratch_path(spark, "night-ids-ckpt")
+    sio.run_bounded(sops.ingest_alert_ids(stream(), sink, ckpt))                      # available now: one micro-batch
+    sio.run_to_end(sops.ingest_alert_ids(stream(), sink, ckpt, trigger={"processingTime": "0 seconds"}))
+    return spark.read.parquet(sink)
+
+
+@query("stream_night_progress", with_(PHOT_EV, ALERTS_EV) + """
+SELECT CAST(floor(midPointTai) AS INTEGER) AS night, count(*) AS n_messages, max(alertId) AS last_offset
+FROM alerts_ev GROUP BY 1""")
+def q_stream_night_progress(spark, d):
+    """STR7 on SRC14: messages and the latest alert of each night, counted by a
+    handler of micro-batches that are handed over with their ids."""
+    stream = _night_stream(spark, d, "night-progress-in", 4)
+    out, base = scratch_path(spark, "night-progress"), scratch_path(spark, "night-progress-run")
+
+    def handler(batch, batch_id):
+        sio.write_batch(sops.stream_progress(batch.withColumn("timestamp", F.lit(None).cast("timestamp")), ("night",), "alertId"), batch_id, out)
+    sio.run_to_end(sio.foreach_batch(stream(), handler, "night-progress", f"{base}/ckpt", f"{base}/ledger", {"processingTime": "0 seconds"}))
+    return (spark.read.parquet(out).groupBy("night")
+            .agg(F.sum("n_messages").alias("n_messages"), F.max("last_offset").alias("last_offset")))
+
+
 @query("stream_classify", with_(PHOT_EV, ALERTS_EV) + messages_sql(1), MESSAGE_ROUND)
 def q_stream_classify(spark, d):
     """STR2 + SRC15: two classifiers over the alert stream, published as

@@ -13,13 +13,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from skyflux.sources.nightly import FORMAT as NIGHTS
+from skyflux.sources.nightly import AlertNights
+
 
 def read_alert_stream(spark: SparkSession, fmt: str = "kafka", topics: list[str] | str | None = None,
                       servers: str | None = None, group_id: str | None = None,
                       starting: str = "earliest", max_per_trigger: int | None = None,
                       path: str | None = None, schema: T.StructType | None = None,
                       options: dict | None = None) -> DataFrame:
-    """SRC14: subscribe to one topic or a list (Kafka), or stream files."""
+    """SRC14: subscribe to one topic or a list (Kafka), to nights of alerts in
+    folders (``alert_nights``; topics are night numbers, all if none), or stream
+    files. Of the nights an available-now run reads one micro-batch, so with
+    ``max_per_trigger`` use ``run_to_end``."""
+    if fmt == NIGHTS:
+        spark.dataSource.register(AlertNights)
     r = spark.readStream.format(fmt)
     if fmt == "kafka":
         tl = topics if isinstance(topics, str) else ",".join(topics or [])
@@ -29,6 +37,12 @@ def read_alert_stream(spark: SparkSession, fmt: str = "kafka", topics: list[str]
             r = r.option("kafka.group.id", group_id)
         if max_per_trigger:
             r = r.option("maxOffsetsPerTrigger", max_per_trigger)
+    elif fmt == NIGHTS:
+        r = r.schema(schema).option("startingOffsets", starting)
+        if topics:
+            r = r.option("nights", topics if isinstance(topics, str) else ",".join(str(t) for t in topics))
+        if max_per_trigger:
+            r = r.option("maxMessagesPerTrigger", max_per_trigger)
     else:
         if schema is not None:
             r = r.schema(schema)
@@ -107,6 +121,16 @@ def run_bounded(query: StreamingQuery, stop_after_s: float | None = None) -> Str
     return query
 
 
+def run_to_end(query: StreamingQuery) -> StreamingQuery:
+    """STR3 for a query with a processing-time trigger: micro-batches until its
+    sources have nothing new, then stop."""
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return query
+
+
 def restart_from_start(options: dict, checkpoint_base: str) -> tuple[dict, str]:
     """STR4: replay a topic from its beginning: earliest offsets and a new,
     empty checkpoint (offsets of the old one are left untouched)."""

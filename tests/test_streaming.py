@@ -229,3 +229,64 @@ def test_observed_progress_over_two_runs(spark, scratch):
     got = {(r.topic, r.partition): (r.n_messages, r.last_offset, r.last_timestamp) for r in sops.progress_totals(spark.read.parquet(path)).collect()}
     assert got == {("t", 0): (10, 18, rows[18][3]), ("t", 1): (10, 19, rows[19][3]), ("u", 0): (1, 100, rows[20][3])}
     assert spark.read.parquet(sink).count() == 21
+
+
+def _nights(spark, scratch, nights, base=None):
+    """Alerts of some nights, in two files of several row groups each."""
+    base = base or scratch("nights")
+    df = spark.range(0, 1000).select(F.explode(F.array(*[F.lit(n) for n in nights])).alias("night"), "id")
+    df = df.select("night", (F.col("night") * 1000 + F.col("id")).alias("alertId"),
+                   F.struct(F.col("id").alias("diaSourceId"), (F.col("id") % 7).alias("diaObjectId")).alias("diaSource"))
+    df.repartitionByRange(2, "alertId").sortWithinPartitions("alertId").write.mode("append").option("parquet.block.size", 2048) \
+        .option("maxRecordsPerFile", 600).partitionBy("night").parquet(base)
+    return base, df
+
+
+NIGHT_SCHEMA = "alertId long, diaSource struct<diaSourceId: long, diaObjectId: long>, night int, file string, offset long, extra string"
+
+
+def test_alert_nights_offsets_and_restart(spark, scratch):
+    """N messages a micro-batch, across files and nights; a restart goes on with the
+    next message, and nights released later are read by the next run."""
+    base, df = _nights(spark, scratch, [9, 10])
+    sink, ckpt = scratch("nights-out"), scratch("nights-ck")
+    sizes = []
+
+    def run(stop_after=None):
+        def take(batch, i):
+            if stop_after is not None and len(sizes) >= stop_after:
+                raise RuntimeError("lost")
+            batch.write.mode("overwrite").parquet(f"{sink}/batch={i}")
+            sizes.append(batch.count())
+        s = sio.read_alert_stream(spark, "alert_nights", path=base, schema=NIGHT_SCHEMA, max_per_trigger=450)
+        return s.writeStream.option("checkpointLocation", ckpt).foreachBatch(take).trigger(processingTime="0 seconds").start()
+    with pytest.raises(Exception, match="lost"):
+        sio.run_to_end(run(stop_after=2))
+    sio.run_to_end(run())
+    assert sizes == [450, 450, 450, 450, 200]
+    _nights(spark, scratch, [11], base)
+    sio.run_to_end(run())
+    assert sizes[5:] == [450, 450, 100]
+    out = spark.read.parquet(sink)
+    assert out.count() == 3000 and out.select("alertId").distinct().count() == 3000
+    assert out.filter("alertId div 1000 <> night OR extra IS NOT NULL OR diaSource.diaSourceId <> alertId % 1000").isEmpty()
+    files = out.groupBy("file").agg(F.min("offset").alias("a"), F.max("offset").alias("z"), F.countDistinct("offset").alias("n")).collect()
+    assert all(f.a == 0 and f.z == f.n - 1 for f in files) and sum(f.n for f in files) == 3000
+    first = out.filter("batch = 0").agg(F.max("night")).first()[0]
+    assert first == 9                                              # 9 comes before 10: nights are numbers
+
+
+def test_alert_nights_subscription(spark, scratch):
+    base, df = _nights(spark, scratch, [3, 4, 5])
+
+    def ids(**kw):
+        s = sio.read_alert_stream(spark, "alert_nights", path=kw.pop("path", base), schema=NIGHT_SCHEMA, **kw)
+        return {r.alertId // 1000 for r in _collect(spark, scratch, s).select("alertId").collect()}
+    assert ids() == {3, 4, 5}                                      # one available-now micro-batch reads all
+    assert ids(topics=[3, 5]) == {3, 5} and ids(topics="4") == {4}
+    assert ids(options={"taskBytes": "1000"}) == {3, 4, 5}         # files cut into ranges of rows
+    assert ids(starting="latest") == set()
+    empty = scratch("no-nights")
+    q = sio.read_alert_stream(spark, "alert_nights", path=empty, schema=NIGHT_SCHEMA).writeStream.format("noop") \
+        .option("checkpointLocation", scratch("ck")).trigger(availableNow=True).start()
+    q.awaitTermination()
