@@ -77,22 +77,23 @@ def match_within_tolerance(targets: DataFrame, candidates: DataFrame, x: str = "
 
     The closest candidate is the last one at or before the target or the first
     one after it, so no pairs are formed: distinct values of both sides are
-    ordered together in buckets of width ``tol``, the neighbours inside the
-    bucket are filled forward and backward, and the ends of the two
-    neighbouring buckets come from one row per bucket."""
-    bucket = F.floor(F.col("__x") / tol).cast("long")
+    ordered together in range partitions of like size, however dense the values
+    are; the neighbours inside a partition are filled forward and backward, and
+    those beyond its ends come from one row per partition."""
     c = candidates.groupBy(F.col(x).alias("__x")).agg(F.min(cand_id).alias("__cid")).filter("__x IS NOT NULL")
-    c = c.withColumn("__b", bucket).withColumn("__c", F.struct(F.col("__x").alias("v"), F.col("__cid").alias("id"))).drop("__cid")
-    t = targets.select(F.col(x).alias("__x")).distinct().filter("__x IS NOT NULL").withColumn("__b", bucket)
-    ends = c.groupBy("__b").agg(F.min("__c").alias("__lo"), F.max("__c").alias("__hi"))
-    both = (t.withColumn("__c", F.lit(None).cast(c.schema["__c"].dataType)).withColumn("__t", F.lit(1))
-            .unionByName(c.withColumn("__t", F.lit(0))))
-    w = Window.partitionBy("__b").orderBy("__x", "__t")             # a candidate before a target of the same value
+    c = c.select("__x", F.struct(F.col("__x").alias("v"), F.col("__cid").alias("id")).alias("__c"), F.lit(0).alias("__t"))
+    t = targets.select(F.col(x).alias("__x")).distinct().filter("__x IS NOT NULL")
+    both = t.select("__x", F.lit(None).cast(c.schema["__c"].dataType).alias("__c"), F.lit(1).alias("__t")).unionByName(c)
+    both = checkpoint_table(both.repartitionByRange("__x", "__t").withColumn("__s", F.spark_partition_id()), "match")
+    w = Window.partitionBy("__s").orderBy("__x", "__t")             # a candidate before a target of the same value
     near = (both.withColumn("__p", F.last("__c", True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
             .withColumn("__n", F.first("__c", True).over(w.rowsBetween(0, Window.unboundedFollowing)))
-            .filter("__t = 1").select("__x", "__b", "__p", "__n"))
-    near = near.join(ends.select((F.col("__b") + 1).alias("__b"), F.col("__hi").alias("__q")), "__b", "left") \
-        .join(ends.select((F.col("__b") - 1).alias("__b"), F.col("__lo").alias("__m")), "__b", "left")
+            .filter("__t = 1").select("__x", "__s", "__p", "__n"))
+    parts = Window.orderBy("__s")                                   # one row per partition
+    ends = (both.groupBy("__s").agg(F.min("__c").alias("__lo"), F.max("__c").alias("__hi"))
+            .select("__s", F.last("__hi", True).over(parts.rowsBetween(Window.unboundedPreceding, -1)).alias("__q"),
+                    F.first("__lo", True).over(parts.rowsBetween(1, Window.unboundedFollowing)).alias("__m")))
+    near = near.join(F.broadcast(ends), "__s", "left")
     far = lambda k: F.when(F.abs(F.col(k)["v"] - F.col("__x")) <= tol, F.struct(
         F.abs(F.col(k)["v"] - F.col("__x")).alias("d"), F.col(k)["id"].alias("id"), F.col(k)["v"].alias("v")))
     best = near.select("__x", F.least(*[far(k) for k in ("__p", "__n", "__q", "__m")]).alias("__best"))

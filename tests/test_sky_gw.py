@@ -269,3 +269,17 @@ def test_multiorder_crossmatch(spark):
     assert {(r.objectId, r.map_id, r.order, r.map_pix) for r in got} == want and len(got) == len(want)
     empty = spark.createDataFrame([], "map_id string, order int, map_pix long, prob double")
     assert pixels.crossmatch_multiorder(objs, empty).count() == 0
+
+
+def test_match_dense_values_fill_several_partitions(spark):
+    """All values within one tolerance: the work is still dealt to several partitions, with equal results."""
+    t = spark.range(4000).select(F.col("id").alias("target_id"), (0.5 + F.col("id") * 1e-7).alias("x"))
+    c = spark.range(0, 4000, 37).select(F.col("id").alias("cand_id"), (0.5 + F.col("id") * 1e-7 + 3e-8).alias("x"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = gw.match_within_tolerance(t, c, tol=0.01)
+        got = {r.target_id: r.cand_id for r in out.collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    xs = [(0.5 + i * 1e-7 + 3e-8, i) for i in range(0, 4000, 37)]
+    assert got == {i: min((abs(v - (0.5 + i * 1e-7)), j) for v, j in xs)[1] for i in range(4000)}
