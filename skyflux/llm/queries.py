@@ -115,7 +115,8 @@ def _links_sql(width: int, percent: int, kept: str = "") -> str:
     """All pairs of documents with a common shingle, their links, and everything reachable from each document."""
     return rf"""
 WITH RECURSIVE w AS (
-  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+') AS ws
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-
+]+') AS ws
   FROM documents),
 g AS (
   SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) >= {width} THEN list_transform(range(1, len(ws) - {width - 2}), lambda i: array_to_string(ws[i:i + {width - 1}], ' '))
@@ -252,7 +253,8 @@ def op8_license_scan(spark, sf_dir):
 @query("op7_backoff_lm", rf"""
 WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS x FROM documents),
 w AS (SELECT doc_id, list_append(list_transform(regexp_extract_all(x, '[^\x20\x09-\x0D]+'), lambda v: 'w' || v), 'end') AS ws FROM d),
-t AS (SELECT doc_id, unnest(ws) AS w, unnest(list_prepend('start', ws[1:len(ws) - 1])) AS v FROM w),
+t AS (SELECT doc_id, unnest(ws) AS w, unnest(list_prepend('start', ws[1:len(ws) - 1])) AS v,
+        unnest(list_concat([NULL, 'start'], ws[1:len(ws) - 2])[1:len(ws)]) AS u FROM w),
 -- CRC-32 of the id's text: reflected polynomial 0xEDB88320, bit by bit
 ids AS (SELECT DISTINCT doc_id, CAST(doc_id AS VARCHAR) AS s FROM documents),
 held AS (SELECT doc_id, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(1, len(s) * 9 + 1), lambda i:
@@ -263,13 +265,18 @@ tt AS (SELECT t.*, held_out FROM t JOIN held USING (doc_id)),
 u AS (SELECT w, count(*) AS c FROM tt WHERE NOT held_out GROUP BY w),
 b AS (SELECT v, w, count(*) AS c FROM tt WHERE NOT held_out GROUP BY v, w),
 cv AS (SELECT v, sum(c) AS c FROM b GROUP BY v),
+b3 AS (SELECT u, v, w, count(*) AS c FROM tt WHERE NOT held_out AND u IS NOT NULL GROUP BY u, v, w),
+cuv AS (SELECT u, v, sum(c) AS c FROM b3 GROUP BY u, v),
 k AS (SELECT sum(c) AS n, count(*) AS types FROM u),
 s AS (SELECT tt.doc_id, tt.held_out, u.c IS NOT NULL AS known,
-        (coalesce(u.c, 0) + CAST(0.1 AS DOUBLE)) / (k.n + CAST(0.1 AS DOUBLE) * (k.types + 1)) AS p, coalesce(b.c, 0) AS cb, coalesce(cv.c, 0) AS cc, k.n
-      FROM tt CROSS JOIN k LEFT JOIN u ON u.w = tt.w LEFT JOIN b ON b.v = tt.v AND b.w = tt.w LEFT JOIN cv ON cv.v = tt.v)
+        (coalesce(u.c, 0) + CAST(0.1 AS DOUBLE)) / (k.n + CAST(0.1 AS DOUBLE) * (k.types + 1)) AS p, coalesce(b.c, 0) AS cb, coalesce(cv.c, 0) AS cc, k.n,
+        coalesce(b3.c, 0) AS c3, CASE WHEN tt.u IS NOT NULL THEN coalesce(cuv.c, 0) END AS cc3
+      FROM tt CROSS JOIN k LEFT JOIN u ON u.w = tt.w LEFT JOIN b ON b.v = tt.v AND b.w = tt.w LEFT JOIN cv ON cv.v = tt.v
+      LEFT JOIN b3 ON b3.u = tt.u AND b3.v = tt.v AND b3.w = tt.w LEFT JOIN cuv ON cuv.u = tt.u AND cuv.v = tt.v)
 SELECT doc_id, held_out, count(*) AS n_tokens, CAST(sum(CAST(known AS INTEGER)) AS BIGINT) AS n_known, CAST(any_value(n) AS BIGINT) AS train_tokens,
        floor(fsum(log10(p)) * 1e5 + 0.5) / 1e5 AS base_score,
-       floor(fsum(log10((cb + {MU} * p) / (cc + {MU}))) * 1e5 + 0.5) / 1e5 AS score
+       floor(fsum(log10(CASE WHEN cc3 IS NULL THEN (cb + {MU} * p) / (cc + {MU})
+         ELSE (c3 + {MU} * ((cb + {MU} * p) / (cc + {MU}))) / (cc3 + {MU}) END)) * 1e5 + 0.5) / 1e5 AS score
 FROM s GROUP BY doc_id, held_out
 """)
 def op7_backoff_lm(spark, sf_dir):

@@ -316,14 +316,14 @@ def test_lm_scores(docs, empty, texts):
     held = lambda i: zlib.crc32(str(i).encode()) % 10 == 0
     toks = lambda t: re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(LOWER)) + ["</s>"]
     rows = [*texts, texts[8], (None, "null id text")]
-    uni, bi = {}, {}
+    uni, bi, tri = {}, {}, {}
     for i, t in rows:
         if i is None or not held(i):
-            prev = "<s>"
+            last, prev = None, "<s>"
             for w in toks(t):
-                uni[w] = uni.get(w, 0) + 1
-                bi[prev, w] = bi.get((prev, w), 0) + 1
-                prev = w
+                for table, gram in ((uni, w), (bi, (prev, w)), (tri, (last, prev, w))):
+                    table[gram] = table.get(gram, 0) + 1
+                last, prev = prev, w
     n, v, mu = sum(uni.values()), len(uni), lm_score.MU
     ctx = {**uni, "<s>": uni.get("</s>", 0)}
     got = lm_score.lm_scores(docs, F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10 == 0, shard_bytes=20_000).collect()
@@ -331,12 +331,15 @@ def test_lm_scores(docs, empty, texts):
     by = {r["doc_id"]: r for r in got}
     for i, t in rows:
         base = score = 0.0
-        prev = "<s>"
+        last, prev = None, "<s>"
         for w in toks(t):
             p = (uni.get(w, 0) + 0.1) / (n + 0.1 * (v + 1))
             base += math.log10(p)
-            score += math.log10((bi.get((prev, w), 0) + mu * p) / (ctx.get(prev, 0) + mu))
-            prev = w
+            p = (bi.get((prev, w), 0) + mu * p) / (ctx.get(prev, 0) + mu)
+            if last is not None:
+                p = (tri.get((last, prev, w), 0) + mu * p) / (bi.get((last, prev), 0) + mu)
+            score += math.log10(p)
+            last, prev = prev, w
         r = by[i]
         assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == (len(toks(t)), sum(w in uni for w in toks(t)), n)
         assert r["base_score"] == pytest.approx(base, rel=1e-9) and r["score"] == pytest.approx(score, rel=1e-9)
@@ -345,20 +348,49 @@ def test_lm_scores(docs, empty, texts):
     assert all(r["train_tokens"] == 0 and r["base_score"] == pytest.approx(0) for r in alone)
 
 
+def _automaton(texts, train=None):
+    """Learned from the first ``train`` texts."""
+    keys, begin = lm_score._tokens(texts)
+    at = [lm_score._places(k) for k in keys]
+    size = len(at[0]) if train is None else begin[train]
+    n = [np.bincount(x[:size], minlength=x.max() + 1) for x in at]
+    return lm_score.BackoffAutomaton(at, n, begin, len(texts) if train is None else train, size, int((n[0] > 0).sum())), at, n
+
+
 def test_lm_arcs_add_up_to_one():
-    """Over all words and the unknown one, every state's weights are a distribution."""
-    tok, pair, begin = lm_score._tokens(["a b a c", "b a", ""])
-    words, n = np.unique(tok, return_counts=True)
-    pairs, m = np.unique(pair, return_counts=True)
-    fsa = lm_score.BackoffAutomaton(words, n, pairs, m, int(n.sum()), len(words))
-    unknown = 0.1 / (n.sum() + 0.1 * (len(words) + 1))
-    for state, c in [*zip(words, n), (lm_score.START, 3)]:
-        keys = lm_score.pair_keys(np.full(len(words), state, dtype=np.uint64), words)
-        at = np.searchsorted(pairs, keys)
-        seen = np.where((at < len(pairs)) & (pairs[np.minimum(at, len(pairs) - 1)] == keys), m[np.minimum(at, len(pairs) - 1)], 0)
-        if state == lm_score.END:
+    """Over all words and the unknown one, the arcs of every state and what its failure arc leads to are a distribution."""
+    texts = ["a b a c", "b a", "", "a b a b c a b"]
+    fsa, at, n = _automaton(texts)
+    toks = [w for t in texts for w in [*t.split(), None]]
+    last = [None if i == 0 or toks[i - 1] is None else toks[i - 1] for i in range(len(toks))]
+    types = sorted({w for w in toks if w}) + [None]
+    unknown = 0.1 / (len(toks) + 0.1 * (len(types) + 1))
+    word = {w: at[0][toks.index(w)] for w in types}
+    pair = {(last[i], toks[i]): at[1][i] for i in range(len(toks))}
+    triple = {(last[i - 1], last[i], toks[i]): at[2][i] for i in range(1, len(toks)) if last[i]}
+    assert fsa.p[0].sum() + unknown == pytest.approx(1)
+    one = {}
+    for v, state in [(None, fsa.start), *((w, 1 + word[w]) for w in types[:-1])]:
+        leave = 10 ** fsa.fail[state]
+        one[v] = {w: fsa.p[1][pair[v, w]] if (v, w) in pair else leave * fsa.p[0][word[w]] for w in types}
+        assert fsa.fail_to[state] == 0 and sum(one[v].values()) + leave * unknown == pytest.approx(1)
+    for (u, v), j in pair.items():
+        if v is None:
             continue
-        assert ((seen + fsa.mu * fsa.p) / (c + fsa.mu)).sum() + fsa.mu / (c + fsa.mu) * unknown == pytest.approx(1)
+        state = fsa.pairs + j
+        leave = 10 ** fsa.fail[state]
+        assert fsa.fail_to[state] == 1 + word[v]
+        rest = leave * 10 ** fsa.fail[1 + word[v]] * unknown
+        assert sum(fsa.p[2][triple[u, v, w]] if (u, v, w) in triple else leave * one[v][w] for w in types) + rest == pytest.approx(1)
+
+
+def test_lm_lanes_carry_the_state():
+    rnd = random.Random(8)
+    texts = [" ".join(rnd.choice("abcdefghijkl"[:k]) for _ in range(n)) for n, k in ((0, 9), (1, 9), (60, 9), (2, 12), (3, 12), (400, 12))]
+    fsa, at, n = _automaton(texts, 3)                              # n-grams of all lengths are unseen in the rest
+    whole = fsa.run(10_000)
+    assert [bool((x[i] == 0).any()) for x, i in zip(n, at)] == [True] * 3 and (n[2][at[2][-400:]] > 0).any()
+    assert all(np.allclose(fsa.run(k), whole) for k in (1, 2, 3, 7, 64))
 
 
 def test_license_scan(spark, docs, empty):
