@@ -28,17 +28,19 @@ are more rows than n-grams.
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyflux.llm.common import MULT, checkpoint_table, give_back_memory, shuffle_partitions, text_or_empty, word_hashes, words
+from skyflux.llm.common import MULT, by_chars, checkpoint_table, give_back_memory, shuffle_partitions, text_or_empty, word_hashes
 
 MU = 5.0
 ORDER = 3
-SHARD_BYTES = 6_000_000
+SHARD_BYTES = 12_000_000
 #: Bytes of text whose n-grams one hash range is to hold, over all shards.
 RANGE_BYTES = 12_000_000
 #: Tokens that one lane of the automaton's run reads.
@@ -47,15 +49,30 @@ LANE = 512
 END, START = np.uint64(0x9B0F6C1E5D2A4783), np.uint64(0x27D4EB2F165667C5)
 
 
-def _planes(values: np.ndarray) -> bytes:
-    """Eight-byte numbers with the bytes of one place together, compressed, after their length."""
-    raw = values.view(np.uint8).reshape(-1, 8).T.tobytes()
+def _squeeze(raw) -> bytes:
+    """Bytes compressed, after their length."""
     return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
 
 
+def _loosen(data: bytes) -> bytes:
+    return pa.decompress(memoryview(data)[8:], decompressed_size=int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True)
+
+
+def _squeezed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts compressed one by one, before the shuffle to their shards."""
+    for batch in batches:
+        for part in by_chars(batch, "text", 8_000_000):
+            text = pa.array([_squeeze(x.as_buffer()) for x in part.column("text")], pa.binary())
+            yield part.set_column(part.schema.get_field_index("text"), "text", text)
+
+
+def _planes(values: np.ndarray) -> bytes:
+    """Eight-byte numbers with the bytes of one place together."""
+    return _squeeze(values.view(np.uint8).reshape(-1, 8).T.tobytes())
+
+
 def _values(data: bytes) -> np.ndarray:
-    raw = pa.decompress(data[8:], decompressed_size=int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True)
-    return np.frombuffer(raw, dtype=np.uint8).reshape(8, -1).T.copy().view(np.uint64).ravel()
+    return np.frombuffer(_loosen(data), dtype=np.uint8).reshape(8, -1).T.copy().view(np.uint64).ravel()
 
 
 def _pack(keys: np.ndarray) -> bytes:
@@ -75,13 +92,13 @@ def _unpack_counts(data: bytes) -> np.ndarray:
     return _values(data).astype(np.int64)
 
 
-def _tokens(texts: pd.Series) -> tuple[list[np.ndarray], np.ndarray]:
+def _tokens(texts: Iterable[bytes]) -> tuple[list[np.ndarray], np.ndarray]:
     """(keys, begin): for all texts' tokens in a row the keys of the n-grams of
     one, two and three words that end there, and where each text begins. The
     start of a text is a word before its first, so the first has no triple; its
     place holds START alone, which no state asks for."""
     end = np.array([END])
-    parts = [x for t in texts for x in (word_hashes(words(t)), end)]
+    parts = [x for t in texts for x in (word_hashes(t.lower().split()), end)]       # as common.words does
     begin = np.cumsum([0] + [len(parts[i]) + 1 for i in range(0, len(parts), 2)])[:-1]
     keys = [np.concatenate(parts) if parts else np.zeros(0, dtype=np.uint64)]
     del parts
@@ -130,7 +147,7 @@ def _requests(sharded: DataFrame, buckets: int) -> DataFrame:
 
     def ask(pdf: pd.DataFrame) -> pd.DataFrame:
         give_back_memory()
-        every, begin = _tokens(pdf["text"])
+        every, begin = _tokens(map(_loosen, pdf["text"]))
         train = np.repeat(~pdf["held_out"].to_numpy(dtype=bool), np.diff(np.append(begin, len(every[0]))))
         shard = int(pdf["shard"].iloc[0])
         rows = []
@@ -246,7 +263,9 @@ def lm_scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_co
                       F.coalesce(held_out, F.lit(False)).alias("held_out"))
     size = src.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(1, -(-size // shard_bytes))
-    sharded = src.withColumn("shard", F.pmod(F.xxhash64("id", "text"), F.lit(shards)))
+    sharded = src.select("id", F.col("text").cast("binary").alias("text"), "held_out",
+                         F.pmod(F.xxhash64("id", "text"), F.lit(shards)).alias("shard"))
+    sharded = sharded.mapInArrow(_squeezed, sharded.schema)
     answers = _answers(_requests(sharded, max(shuffle_partitions(spark), -(-size // range_bytes))))
     tokens, types = answers.filter("kind = 0").agg(F.sum("tokens"), F.sum("types")).first()
     tokens, types = tokens or 0, types or 0
@@ -256,7 +275,7 @@ def lm_scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_co
         if not len(left):
             return pd.DataFrame({c: [] for c in ("id", "held_out", "n_tokens", "n_known", "base_score", "score")})
         give_back_memory()
-        keys, begin = _tokens(left["text"])
+        keys, begin = _tokens(map(_loosen, left["text"]))
         got = right.sort_values("bucket")
         n = [np.concatenate([_unpack_counts(x) for x in got["n"][got["kind"] == k]]) for k in range(1, ORDER + 1)]
         del got

@@ -350,7 +350,7 @@ def test_lm_scores(docs, empty, texts):
 
 def _automaton(texts, train=None):
     """Learned from the first ``train`` texts."""
-    keys, begin = lm_score._tokens(texts)
+    keys, begin = lm_score._tokens(t.encode() for t in texts)
     at = [lm_score._places(k) for k in keys]
     size = len(at[0]) if train is None else begin[train]
     n = [np.bincount(x[:size], minlength=x.max() + 1) for x in at]
