@@ -14,6 +14,10 @@ one word less. The root has an arc for every word. Weights are log10 of
 
 so that failure arcs and the arc found after them give the smoothed probability
 of an unseen n-gram. One left-to-right pass carries the state and adds weights up.
+Weights are whole multiples of 1 / UNIT and a text's are added as 64-bit whole
+numbers, so that a score is the same double whatever the order of the sum; it is
+within half a unit a weight of the real number, and holds for texts whose score is
+over -1.3e8.
 
 Documents are dealt to shards of bounded size. A shard sends its distinct words,
 pairs and triples with their training counts, packed and by hash range, to the
@@ -43,6 +47,8 @@ ORDER = 3
 SHARD_BYTES = 12_000_000
 #: Bytes of text whose n-grams one hash range is to hold, over all shards.
 RANGE_BYTES = 12_000_000
+#: Weights are multiples of its inverse.
+UNIT = 2.0 ** 36
 #: Tokens that one lane of the automaton's run reads.
 LANE = 512
 #: Token of the end of a text, and the state before its first word.
@@ -180,6 +186,15 @@ def _answers(requests: DataFrame) -> DataFrame:
         add, "shard long, bucket int, kind int, n binary, tokens long, types long"), "lm")
 
 
+def _weight(p: np.ndarray) -> np.ndarray:
+    return np.floor(np.log10(p) * UNIT + 0.5) / UNIT
+
+
+def _add_up(weights: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """The exact sum of each text's weights, as the nearest double."""
+    return np.add.reduceat((weights * UNIT).astype(np.int64), begin) / UNIT
+
+
 class BackoffAutomaton:
     """The part of the automaton that some texts can reach. ``at`` has for every
     token the places of its word, pair and triple among the distinct ones, ``n``
@@ -207,8 +222,8 @@ class BackoffAutomaton:
         p.append((n[1] + mu * p[0][at[0][here]]) / (count[history] + mu))
         here = some[2]
         p.append((n[2] + mu * p[1][at[1][here]]) / (n[1][at[1][here - 1]] + mu))
-        self.p, self.arc = p, [np.log10(x) for x in p]
-        self.fail = np.log10(mu / (count + mu))
+        self.p, self.arc = p, [_weight(x) for x in p]
+        self.fail = _weight(mu / (count + mu))
         self.fail_to = np.zeros(len(count), dtype=np.int64)
         self.fail_to[self.pairs:] = 1 + at[0][some[1]]
 
@@ -286,7 +301,7 @@ def lm_scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_co
         return pd.DataFrame({
             "id": left["id"], "held_out": left["held_out"], "n_tokens": np.diff(np.append(begin, len(at[0]))),
             "n_known": np.add.reduceat((n[0] > 0)[at[0]].astype(np.int64), begin),
-            "base_score": np.add.reduceat(fsa.arc[0][at[0]], begin), "score": np.add.reduceat(fsa.run(), begin)})
+            "base_score": _add_up(fsa.arc[0][at[0]], begin), "score": _add_up(fsa.run(), begin)})
 
     id_type = src.schema["id"].dataType.simpleString()
     out = sharded.groupBy("shard").cogroup(answers.filter("kind > 0").select("shard", "bucket", "kind", "n").groupBy("shard")).applyInPandas(

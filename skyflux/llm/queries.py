@@ -13,7 +13,7 @@ from skyflux.llm.common import table
 from skyflux.llm.conversations import damage, repair
 from skyflux.llm.exact_dedup import exact_dedup
 from skyflux.llm.licenses import TEMPLATES, THRESHOLD, WORD, license_scan
-from skyflux.llm.lm_score import MU, lm_scores
+from skyflux.llm.lm_score import MU, UNIT, lm_scores
 from skyflux.llm.mixing import TARGETS, TOPICS, mix_decisions
 from skyflux.llm.odd_sketch import near_duplicates
 from skyflux.llm.shingle_join import shingle_components
@@ -250,6 +250,11 @@ def op8_license_scan(spark, sf_dir):
 
 
 # --------------------------------------------------------------- 7: LM scores
+def _weight_sql(p: str) -> str:
+    """log10 in units, as a whole number."""
+    return f"CAST(floor(log10({p}) * CAST({UNIT!r} AS DOUBLE) + 0.5) AS BIGINT)"
+
+
 @query("op7_backoff_lm", rf"""
 WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS x FROM documents),
 w AS (SELECT doc_id, list_append(list_transform(regexp_extract_all(x, '[^\x20\x09-\x0D]+'), lambda v: 'w' || v), 'end') AS ws FROM d),
@@ -274,17 +279,17 @@ s AS (SELECT tt.doc_id, tt.held_out, u.c IS NOT NULL AS known,
       FROM tt CROSS JOIN k LEFT JOIN u ON u.w = tt.w LEFT JOIN b ON b.v = tt.v AND b.w = tt.w LEFT JOIN cv ON cv.v = tt.v
       LEFT JOIN b3 ON b3.u = tt.u AND b3.v = tt.v AND b3.w = tt.w LEFT JOIN cuv ON cuv.u = tt.u AND cuv.v = tt.v)
 SELECT doc_id, held_out, count(*) AS n_tokens, CAST(sum(CAST(known AS INTEGER)) AS BIGINT) AS n_known, CAST(any_value(n) AS BIGINT) AS train_tokens,
-       floor(fsum(log10(p)) * 1e5 + 0.5) / 1e5 AS base_score,
-       floor(fsum(log10(CASE WHEN cc3 IS NULL THEN (cb + {MU} * p) / (cc + {MU})
-         ELSE (c3 + {MU} * ((cb + {MU} * p) / (cc + {MU}))) / (cc3 + {MU}) END)) * 1e5 + 0.5) / 1e5 AS score
-FROM s GROUP BY doc_id, held_out
+       CAST(CAST(sum({_weight_sql('p')}) AS BIGINT) AS DOUBLE) / CAST({UNIT!r} AS DOUBLE) AS base_score,
+       CAST(CAST(sum(CASE WHEN c3 > 0 THEN {_weight_sql('(c3 + mu * p2) / (cc3 + mu)')}
+         ELSE CASE WHEN cc3 > 0 THEN {_weight_sql('mu / (cc3 + mu)')} ELSE 0 END
+            + CASE WHEN cb > 0 THEN {_weight_sql('p2')} ELSE {_weight_sql('mu / (cc + mu)')} + {_weight_sql('p')} END END) AS BIGINT) AS DOUBLE)
+         / CAST({UNIT!r} AS DOUBLE) AS score
+FROM (SELECT *, (cb + mu * p) / (cc + mu) AS p2 FROM (SELECT *, CAST({MU} AS DOUBLE) AS mu FROM s)) GROUP BY doc_id, held_out
 """)
 def op7_backoff_lm(spark, sf_dir):
     """Log-probability of every document under a model of nine tenths of them."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    s = lm_scores(docs, F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10 == 0)
-    five = lambda c: (F.floor(F.col(c) * 1e5 + 0.5).cast("double") / F.lit(1e5)).alias(c)  # noqa: E731  sums differ in their last bits
-    return s.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", five("base_score"), five("score"))
+    return lm_scores(docs, F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10 == 0)
 
 
 # -------------------------------------------------------------- 11: whitening
