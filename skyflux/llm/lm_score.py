@@ -14,10 +14,9 @@ one word less. The root has an arc for every word. Weights are log10 of
 
 so that failure arcs and the arc found after them give the smoothed probability
 of an unseen n-gram. One left-to-right pass carries the state and adds weights up.
-Weights are whole multiples of 1 / UNIT and a text's are added as 64-bit whole
-numbers, so that a score is the same double whatever the order of the sum; it is
-within half a unit a weight of the real number, and holds for texts whose score is
-over -1.3e8.
+Weights are whole multiples of 1 / UNIT and a text's are added as whole numbers
+and rounded once, so that a score is the same double whatever the order of the
+sum, and within half a unit a weight of the real number.
 
 Documents are dealt to shards of bounded size. A shard sends its distinct words,
 pairs and triples with their training counts, packed and by hash range, to the
@@ -48,7 +47,7 @@ SHARD_BYTES = 12_000_000
 #: Bytes of text whose n-grams one hash range is to hold, over all shards.
 RANGE_BYTES = 12_000_000
 #: Weights are multiples of its inverse.
-UNIT = 2.0 ** 36
+UNIT = 2.0 ** 44
 #: Tokens that one lane of the automaton's run reads.
 LANE = 512
 #: Token of the end of a text, and the state before its first word.
@@ -192,7 +191,9 @@ def _weight(p: np.ndarray) -> np.ndarray:
 
 def _add_up(weights: np.ndarray, begin: np.ndarray) -> np.ndarray:
     """The exact sum of each text's weights, as the nearest double."""
-    return np.add.reduceat((weights * UNIT).astype(np.int64), begin) / UNIT
+    units = (weights * UNIT).astype(np.int64)
+    high, low = (np.add.reduceat(x, begin).astype(float) for x in (units >> 24, units & 0xFFFFFF))     # neither can overflow
+    return (high * 2.0 ** 24 + low) / UNIT
 
 
 class BackoffAutomaton:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyflux.llm.common import WORD, checkpoint_table, text_or_empty
@@ -99,14 +99,15 @@ def _class_of(col: Column, shares: dict[str, float]) -> Column:
     return F.when(col.cast("string").isin(named), col.cast("string")).otherwise(F.lit(OTHER))
 
 
-def label(docs: DataFrame, targets: Targets, text_col: str = "text") -> DataFrame:
-    """``docs`` plus mix_tokens (words) and the cell: mix_source, mix_lang, mix_topic."""
+def label(docs: DataFrame, targets: Targets, text_col: str = "text", topic: Column | None = None) -> DataFrame:
+    """``docs`` plus mix_tokens (words) and the cell: mix_source, mix_lang, mix_topic.
+    ``topic``: the caller's topic of a row, such as a classifier's, else ``topic_of`` its text."""
     text = text_or_empty(text_col)
     return docs.drop(*_NEW).withColumns({
         "mix_tokens": F.regexp_count(text, F.lit(WORD)).cast("long"),
         "mix_source": _class_of(F.col("source"), targets.marginals["source"]),
         "mix_lang": _class_of(F.col("lang"), targets.marginals["lang"]),
-        "mix_topic": _class_of(topic_of(text), targets.marginals["topic"])})
+        "mix_topic": _class_of(topic_of(text) if topic is None else topic, targets.marginals["topic"])})
 
 
 def draw(labelled: DataFrame, targets: Targets, id_col: str = "doc_id") -> DataFrame:
@@ -133,7 +134,7 @@ def draw(labelled: DataFrame, targets: Targets, id_col: str = "doc_id") -> DataF
     return out.select(*[c for c in labelled.columns if c not in _NEW], *_NEW)
 
 
-def mix(docs: DataFrame, targets: Targets, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def mix(docs: DataFrame, targets: Targets, id_col: str = "doc_id", text_col: str = "text", topic: Column | None = None) -> DataFrame:
     """``docs`` plus mix_tokens, mix_source, mix_lang, mix_topic, mix_p, mix_u, mix_kept.
 
     The marginals are named ``source``, ``lang`` and ``topic``; null or unnamed
@@ -145,12 +146,39 @@ def mix(docs: DataFrame, targets: Targets, id_col: str = "doc_id", text_col: str
 
     The input is read twice, for the cells and for the rows, and not shuffled.
     """
-    return draw(label(docs, targets, text_col), targets, id_col)
+    return draw(label(docs, targets, text_col, topic), targets, id_col)
 
 
-def mix_decisions(docs: DataFrame, targets: Targets, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def mix_decisions(docs: DataFrame, targets: Targets, id_col: str = "doc_id", text_col: str = "text",
+                  topic: Column | None = None) -> DataFrame:
     """The same without the text: labels are stored once and drawn from there."""
-    return draw(checkpoint_table(label(docs, targets, text_col).drop(text_col), "mix"), targets, id_col)
+    return draw(checkpoint_table(label(docs, targets, text_col, topic).drop(text_col), "mix"), targets, id_col)
+
+
+def mix_report(mixed: DataFrame, targets: Targets, tolerance: float = 0.01) -> DataFrame:
+    """How far the targets are reached, one row per marginal and category of a
+    result of ``mix``: target (its share as asked for), there (share of the
+    input's tokens), expected (share by the probabilities), drawn (share of the
+    kept tokens), missed (expected and target differ by more than ``tolerance``).
+
+    Targets are missed where a category has no tokens, where marginals exclude
+    each other, and where cells are kept whole and still fall short. A share of
+    nothing is null. One aggregation per cell; the marginals come from its rows."""
+    names = ["source", "lang", "topic"]
+    cells = mixed.groupBy(*[f"mix_{n}" for n in names]).agg(
+        F.sum("mix_tokens").alias("n"), F.sum(F.col("mix_tokens") * F.col("mix_p")).alias("e"),
+        F.sum(F.when(F.col("mix_kept"), F.col("mix_tokens")).otherwise(0)).alias("d"))
+    long = cells.select("n", "e", "d", F.explode(F.array(*[
+        F.struct(F.lit(n).alias("marginal"), F.col(f"mix_{n}").alias("category")) for n in names])).alias("m"))
+    got = long.groupBy("m.marginal", "m.category").agg(*[F.sum(c).alias(c) for c in "ned"])
+    asked = mixed.sparkSession.createDataFrame(
+        [(n, c, float(targets.marginals[n].get(c, 0.0))) for n in names for c in sorted({*targets.marginals[n], OTHER})],
+        "marginal string, category string, target double")
+    every = Window.partitionBy("marginal")                                  # at most the categories of one target list
+    share = lambda c: F.coalesce(F.col(c), F.lit(0)) / F.nullif(F.sum(c).over(every), F.lit(0))
+    out = asked.join(got, ["marginal", "category"], "left").select(
+        "marginal", "category", "target", share("n").alias("there"), share("e").alias("expected"), share("d").alias("drawn"))
+    return out.withColumn("missed", F.coalesce(F.abs(F.col("expected") - F.col("target")) > tolerance, F.lit(True)))
 
 
 _NEW = ["mix_tokens", "mix_source", "mix_lang", "mix_topic", "mix_p", "mix_u", "mix_kept"]

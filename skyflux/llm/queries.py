@@ -255,6 +255,11 @@ def _weight_sql(p: str) -> str:
     return f"CAST(floor(log10({p}) * CAST({UNIT!r} AS DOUBLE) + 0.5) AS BIGINT)"
 
 
+def _score_sql(total: str) -> str:
+    """A sum of units as the nearest double."""
+    return f"(CAST({total} // 16777216 AS DOUBLE) * 16777216 + CAST({total} % 16777216 AS DOUBLE)) / CAST({UNIT!r} AS DOUBLE)"
+
+
 @query("op7_backoff_lm", rf"""
 WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS x FROM documents),
 w AS (SELECT doc_id, list_append(list_transform(regexp_extract_all(x, '[^\x20\x09-\x0D]+'), lambda v: 'w' || v), 'end') AS ws FROM d),
@@ -278,13 +283,14 @@ s AS (SELECT tt.doc_id, tt.held_out, u.c IS NOT NULL AS known,
         coalesce(b3.c, 0) AS c3, CASE WHEN tt.u IS NOT NULL THEN coalesce(cuv.c, 0) END AS cc3
       FROM tt CROSS JOIN k LEFT JOIN u ON u.w = tt.w LEFT JOIN b ON b.v = tt.v AND b.w = tt.w LEFT JOIN cv ON cv.v = tt.v
       LEFT JOIN b3 ON b3.u = tt.u AND b3.v = tt.v AND b3.w = tt.w LEFT JOIN cuv ON cuv.u = tt.u AND cuv.v = tt.v)
-SELECT doc_id, held_out, count(*) AS n_tokens, CAST(sum(CAST(known AS INTEGER)) AS BIGINT) AS n_known, CAST(any_value(n) AS BIGINT) AS train_tokens,
-       CAST(CAST(sum({_weight_sql('p')}) AS BIGINT) AS DOUBLE) / CAST({UNIT!r} AS DOUBLE) AS base_score,
-       CAST(CAST(sum(CASE WHEN c3 > 0 THEN {_weight_sql('(c3 + mu * p2) / (cc3 + mu)')}
-         ELSE CASE WHEN cc3 > 0 THEN {_weight_sql('mu / (cc3 + mu)')} ELSE 0 END
-            + CASE WHEN cb > 0 THEN {_weight_sql('p2')} ELSE {_weight_sql('mu / (cc + mu)')} + {_weight_sql('p')} END END) AS BIGINT) AS DOUBLE)
-         / CAST({UNIT!r} AS DOUBLE) AS score
-FROM (SELECT *, (cb + mu * p) / (cc + mu) AS p2 FROM (SELECT *, CAST({MU} AS DOUBLE) AS mu FROM s)) GROUP BY doc_id, held_out
+SELECT doc_id, held_out, n_tokens, n_known, train_tokens, {_score_sql('base')} AS base_score, {_score_sql('total')} AS score
+FROM (
+  SELECT doc_id, held_out, count(*) AS n_tokens, CAST(sum(CAST(known AS INTEGER)) AS BIGINT) AS n_known, CAST(any_value(n) AS BIGINT) AS train_tokens,
+         sum({_weight_sql('p')}) AS base,
+         sum(CASE WHEN c3 > 0 THEN {_weight_sql('(c3 + mu * p2) / (cc3 + mu)')}
+           ELSE CASE WHEN cc3 > 0 THEN {_weight_sql('mu / (cc3 + mu)')} ELSE 0 END
+              + CASE WHEN cb > 0 THEN {_weight_sql('p2')} ELSE {_weight_sql('mu / (cc + mu)')} + {_weight_sql('p')} END END) AS total
+  FROM (SELECT *, (cb + mu * p) / (cc + mu) AS p2 FROM (SELECT *, CAST({MU} AS DOUBLE) AS mu FROM s)) GROUP BY doc_id, held_out)
 """)
 def op7_backoff_lm(spark, sf_dir):
     """Log-probability of every document under a model of nine tenths of them."""

@@ -461,6 +461,31 @@ def test_mix(docs, empty):
     assert sorted(map(str, plain)) == sorted(map(str, got.select("doc_id", "mix_kept").collect()))
 
 
+def test_mix_report_and_own_topics(spark):
+    rnd = random.Random(2)
+    rows = [(i, " ".join(["w"] * rnd.randrange(0, 40)) if i % 9 else None, rnd.choice(["a", "b", "c", None]), rnd.choice(["en", "de"]),
+             rnd.choice(["x", "y"])) for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, subject string")
+    easy = mixing.Targets({"source": {"a": .3, "b": .3, "*": .4}, "lang": {"en": .7, "*": .3}, "topic": {"x": .6, "y": .4, "*": 0.0}}, keep=0.3)
+    mixed = mixing.mix(docs, easy, topic=F.col("subject"))
+    got = {(r["marginal"], r["category"]): r for r in mixing.mix_report(mixed, easy).collect()}
+    assert len(got) == 8 and not any(r["missed"] for r in got.values())
+    p = {r["doc_id"]: r for r in mixed.collect()}
+    total, kept = sum(r["mix_tokens"] for r in p.values()), sum(r["mix_tokens"] for r in p.values() if r["mix_kept"])
+    for c in "xy":
+        mine = [r for r in p.values() if r["subject"] == c]
+        r = got["topic", c]
+        assert r["there"] == pytest.approx(sum(m["mix_tokens"] for m in mine) / total)
+        assert r["drawn"] == pytest.approx(sum(m["mix_tokens"] for m in mine if m["mix_kept"]) / kept) and abs(r["drawn"] - r["target"]) < 0.05
+        assert r["expected"] == pytest.approx(r["target"], abs=1e-6)
+    # nearly all is kept, so the large category cannot be held to a tenth; one category has no rows at all
+    hard = mixing.Targets({"source": {"a": .9, "zz": .1, "*": 0.0}, "lang": {"en": .1, "*": .9}, "topic": {"x": .5, "y": .5}}, keep=0.95)
+    got = {(r["marginal"], r["category"]): r["missed"] for r in mixing.mix_report(mixing.mix(docs, hard, topic=F.col("subject")), hard).collect()}
+    assert got["lang", "en"] and got["source", "zz"]
+    none = mixing.mix_report(mixing.mix(docs.limit(0), easy, topic=F.col("subject")), easy).collect()
+    assert len(none) == 8 and all(r["missed"] and r["drawn"] is None for r in none)
+
+
 def test_contact_topic_is_an_address(spark):
     old = re.compile(r"[A-Za-z0-9._]+@[A-Za-z0-9.]+")
     rows = [(i, t) for i, t in enumerate(["by @name", "shop @5", "a@.x", "_@b", "x.@y", "é@z", "a@ b", "a@-b", "me.you@site.org now"])]
@@ -491,6 +516,71 @@ def test_toxicity(spark, empty):
     assert toxicity.classify(empty, lab).count() == 0
 
 
+def test_chain_against_dense_matrices(spark):
+    """Features, chosen buckets, folds, fit, threshold and prediction written out again with one dense matrix per model."""
+    rnd = random.Random(6)
+    vocab = [f"{a}{b}" for a in ("red", "green,", "Blue", "heavy", "lightest", "(slow)") for b in ("", "er", "iest")]
+    texts = [" ".join(rnd.choice(vocab) for _ in range(rnd.randrange(1, 12))) for _ in range(200)] + [None, "", " , ; "]
+    y0 = np.array([int("red" in (t or "")) for t in texts])
+    y1 = np.array([int("red" in (t or "") or rnd.random() < 0.1) for t in texts])
+    weight = np.array([rnd.choice([1.0, 2.5]) for _ in texts])
+    models = toxicity.fit_chain([toxicity.text_features(t) for t in texts], np.column_stack([y0, y1]), weight, ["one", "two"], size=12)
+
+    grams = []
+    for t in texts:
+        ws = {w.strip(".,;:!?\"'()[]{}<>|*#%&$@-_~/\\") for w in (t or "").lower().split()} - {""}
+        grams.append({zlib.crc32(("w" + w).encode()) % 2 ** 18 for w in ws}
+                     | {zlib.crc32(("p" + w[:k]).encode()) % 2 ** 18 for w in ws for k in (4, 5, 6) if len(w) > k})
+    every = sorted(set().union(*grams))
+    ones = np.array([[float(b in g) for b in every] for g in grams])
+    sig = lambda z: 1 / (1 + np.exp(-z))
+
+    def fit(x, y, w):
+        w = w / w.sum()
+        xx = x.T @ (w[:, None] * x)
+        v = np.ones(x.shape[1])
+        for _ in range(12):
+            v = xx @ v
+            v = v / np.sqrt(v @ v)
+        step = 1 / (0.26 * (v @ xx @ v) + 1e-5)
+        now = ahead = np.zeros(x.shape[1])
+        for k in range(250):
+            pull = 1e-5 * ahead
+            pull[-1] = 0
+            then = ahead - step * (x.T @ (w * (sig(x @ ahead) - y)) + pull)
+            ahead, now = then + k / (k + 3) * (then - now), then
+        return now
+
+    earlier = []                                                # out-of-fold probabilities of the categories before
+    for m, y in zip(models, (y0, y1)):
+        total, pos = weight.sum(), (weight * y).sum()
+        has = weight @ ones
+        hit = (weight * y) @ ones
+        chi = (hit - has * pos / total) ** 2 * (total / (has * pos) + total / ((total - has) * pos))
+        chi[ones.sum(0) < 3] = 0
+        best = sorted(sorted(range(len(every)), key=lambda i: (-chi[i], every[i]))[:12])
+        assert [every[i] for i in best] == list(m["buckets"])
+        x = np.column_stack([ones[:, best], *earlier, np.ones(len(texts))])
+        assert np.allclose(m["weights"], fit(x, y, weight), atol=1e-8)
+        oof = np.zeros(len(texts))
+        for f in range(3):
+            test = np.arange(len(texts)) % 3 == f
+            oof[test] = sig(x[test] @ fit(x[~test], y[~test], weight[~test]))
+        cuts = sorted(set(oof), reverse=True)
+        f1 = [2 * (weight * y)[oof >= c].sum() / (weight[oof >= c].sum() + pos) for c in cuts]
+        at = int(np.argmax(f1))
+        after = cuts[at + 1] if at + 1 < len(cuts) else 0.0
+        assert m["threshold"] == pytest.approx(min(max((cuts[at] + after) / 2, 0.1), 0.9))
+        earlier.append(oof)
+
+    got = {r["doc_id"]: r for r in toxicity.predict(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), models).collect()}
+    chained = []                                                # at prediction, the models' own probabilities
+    for m in models:
+        x = np.column_stack([ones[:, [every.index(b) for b in m["buckets"]]], *chained, np.ones(len(texts))])
+        chained.append(sig(x @ m["weights"]))
+        assert np.allclose([got[i][f"p_{m['name']}"] for i in range(len(texts))], chained[-1], atol=1e-12)
+
+
 def test_chain_uses_earlier_probabilities():
     rnd = np.random.default_rng(0)
     a = rnd.random(900) < 0.5
