@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skyflux.operators.ordered import exact_median, group_max, ordered_lag
+from skyflux.operators.ordered import MAX_ROWS, exact_median, group_max, ordered_lag, ranked
 from skyflux.functions.photometry import (fractional_error, has_flag, mag_error,
                                           mag_from_flux, snr)
 from skyflux.schemas import BANDS, PHOTFLAG_DETECT, PHOTFLAG_SATURATE, PHOTFLAG_TRIGGER
@@ -154,3 +154,43 @@ def band_features(phot: DataFrame, key: str = "SNID", band: str = "BAND", mjd: s
         ]
         out += [pts.getField(c).alias(f"{c.lower()}_{b}") for c in extra]
     return g.select(*out)
+
+
+def band_feature_chunks(phot: DataFrame, key: str = "SNID", band: str = "BAND", mjd: str = "MJD",
+                        flux: str = "FLUXCAL", err: str = "FLUXCALERR", flag: str = "PHOTFLAG",
+                        bands: str = "gri", extra: list[str] | None = None,
+                        tiebreak: str | None = "obs_id", max_points: int = 10_000,
+                        max_rows: int = MAX_ROWS) -> DataFrame:
+    """FN5 in bounded rows: one row per object, band and ``chunk`` (0-based, in
+    time order) of at most ``max_points`` points. The arrays are those of
+    ``band_features`` without the band in their names; put together chunk by
+    chunk they are the whole curve's, since a chunk's first gap reaches back to
+    the chunk before. ``median_delta_t`` and ``magobs`` are of the whole curve.
+    Bands without points have no rows.
+
+    Positions, gaps and medians come from the skew-safe helpers (curves of over
+    ``max_rows`` points are cut into slices), so neither a band nor an object is
+    ever one unbounded task or one value."""
+    extra = extra or []
+    order = [mjd] + ([tiebreak] if tiebreak else [])
+    pts = phot.filter(F.col(band).isin(list(bands))).select(key, band, *order, flux, err, flag, *extra)
+    top = group_max(pts, [key, band])
+    r = (ranked(pts, [key, band], order, mjd, max_rows=max_rows, top=top)
+         .withColumn("chunk", F.floor(F.col("__rank") / F.lit(max_points)).cast("int"))
+         .withColumn("__dt", F.col(mjd) - F.col("__prev")))
+    median = exact_median(r.filter(F.col("__dt").isNotNull()), [key, band], "__dt", "median_delta_t",
+                          max_rows=max_rows, top=top)
+    nested = (r.groupBy(key, band, "chunk")
+              .agg(F.array_sort(F.collect_list(F.struct(*order, flux, err, flag, *extra, "__dt"))).alias("__pts")))
+    p = F.col("__pts")
+    kept = F.filter(p, lambda x: (mag_error(x[flux], x[err]) != 0) & (x[flag] != 0))
+    out = nested.select(
+        key, band, "chunk",
+        kept.getField(mjd).alias("mjd"), kept.getField(flux).alias("fluxcal"),
+        kept.getField(err).alias("fluxcalerr"), kept.getField(flag).alias("photflag"),
+        F.transform(kept, lambda x: mag_from_flux(x[flux])).alias("mag"),
+        F.transform(kept, lambda x: mag_error(x[flux], x[err])).alias("magerr"),
+        F.transform(kept, lambda x: fractional_error(x[flux], x[err])).alias("snr"),
+        F.filter(p.getField("__dt"), lambda x: x.isNotNull()).alias("delta_t"),
+        *[p.getField(c).alias(c.lower()) for c in extra])
+    return out.join(median, [key, band], "left").withColumn("magobs", F.col("median_delta_t"))

@@ -167,6 +167,22 @@ def q_hot_transients_columnar(spark, d):
                     F.array_max("mjd").alias("mjd_last"), F.element_at("flux", 1).alias("flux_first"))
 
 
+@query("hot_transients_chunks", with_(PHOT_EV) + """
+, now AS (SELECT floor(max(MJD)) - 13.5 AS t FROM phot_ev),
+recent AS (SELECT DISTINCT SNID FROM phot_ev, now WHERE (PHOTFLAG & 4096) <> 0 AND MJD BETWEEN t - 1.0 AND t),
+r AS (SELECT p.*, CAST((row_number() OVER (PARTITION BY p.SNID ORDER BY p.MJD, p.obs_id) - 1) // 8 AS INTEGER) AS chunk
+      FROM phot_ev p SEMI JOIN recent ON p.SNID = recent.SNID WHERE p.MJD <= (SELECT t FROM now))
+SELECT SNID, chunk, count(*) AS npts, string_agg(BAND, '' ORDER BY MJD, obs_id) AS bands,
+       max(MJD) AS mjd_last, list(FLUXCAL ORDER BY MJD, obs_id)[1] AS flux_first
+FROM r GROUP BY SNID, chunk""".replace("\n, now AS", ",\nnow AS", 1), ["mjd_last", "flux_first"])
+def q_hot_transients_chunks(spark, d):
+    """AGG18 in bounded rows: consecutive chunks of at most 8 points of each curve."""
+    p = B.phot_ev(spark, d)
+    h = al.hot_transients(p, B.nights(p)[1] - 13.5, 1.0, layout=2, max_points=8)
+    return h.select("SNID", "chunk", F.size("mjd").cast("long").alias("npts"), F.array_join("band", "").alias("bands"),
+                    F.array_max("mjd").alias("mjd_last"), F.element_at("flux", 1).alias("flux_first"))
+
+
 def _alert_names(spark, d):
     p = B.phot_ev(spark, d)
     ext = F.when(F.col("BAND") == "g", F.lit(".avro")).otherwise(F.lit(".avro.gz"))

@@ -190,3 +190,25 @@ def q_peakmag_cut(spark, d):
     cut = flt.cut_windows(s, {"PEAKMAG_g": (14, 22.5), "PEAKMAG_r": (14, 22.5), "PEAKMAG_i": (14, 22.5)},
                           allow_null=True)
     return flt.cut_windows(cut, {"NOBS": (10, None)}).select("SNID", "NOBS")
+
+
+@query("band_features_chunks", with_(PHOT_EV) + """
+, pts AS (
+  SELECT SNID, BAND, MJD, FLUXCAL, FLUXCALERR, PHOTFLAG, MJD - lag(MJD) OVER w AS dt,
+         CAST((row_number() OVER w - 1) // 8 AS INTEGER) AS chunk,
+         least(1.086 * (FLUXCALERR / abs(FLUXCAL)), 0.5) <> 0 AND PHOTFLAG <> 0 AS keep
+  FROM phot_ev WHERE BAND IN ('g', 'r', 'i') WINDOW w AS (PARTITION BY SNID, BAND ORDER BY MJD, obs_id)),
+med AS (SELECT SNID, BAND, median(dt) AS m FROM pts GROUP BY SNID, BAND)
+SELECT p.SNID, p.BAND, p.chunk, count(*) FILTER (keep) AS n_kept, count(dt) AS n_gaps,
+       coalesce(sum(MJD) FILTER (keep), 0) AS mjd, coalesce(sum(FLUXCAL) FILTER (keep), 0) AS fluxcal,
+       coalesce(sum(-2.5 * log10(abs(FLUXCAL)) + 27.5) FILTER (keep), 0) AS mag,
+       coalesce(sum(FLUXCALERR / abs(FLUXCAL)) FILTER (keep), 0) AS snr, coalesce(sum(dt), 0) AS delta_t,
+       any_value(m) AS median_delta_t
+FROM pts p JOIN med ON med.SNID = p.SNID AND med.BAND = p.BAND GROUP BY p.SNID, p.BAND, p.chunk""".replace("\n, pts AS", ",\npts AS", 1),
+       ["mjd", "fluxcal", "mag", "snr", "delta_t", "median_delta_t"])
+def q_band_features_chunks(spark, d):
+    """FN5 in rows of at most 8 points: sizes and sums of each chunk's arrays."""
+    bf = fe.band_feature_chunks(B.phot_ev(spark, d), max_points=8)
+    total = lambda c: F.aggregate(F.col(c).cast("array<double>"), F.lit(0.0), lambda s, x: s + x).alias(c)
+    return bf.select("SNID", "BAND", "chunk", F.size("mjd").cast("long").alias("n_kept"), F.size("delta_t").cast("long").alias("n_gaps"),
+                     *[total(c) for c in ("mjd", "fluxcal", "mag", "snr", "delta_t")], "median_delta_t")

@@ -120,6 +120,19 @@ def q_nest_lightcurves(spark, d):
                     F.array_min("MJD").alias("mjd_min"), F.array_max("MJD").alias("mjd_max"))
 
 
+@query("nest_lightcurves_chunks", with_(PHOT_EV) + """
+, r AS (SELECT *, CAST((row_number() OVER (PARTITION BY SNID ORDER BY BAND, MJD, obs_id) - 1) // 16 AS INTEGER) AS chunk FROM phot_ev)
+SELECT SNID, chunk, count(*) AS npts,
+       string_agg(CAST(obs_id AS VARCHAR), ',' ORDER BY BAND, MJD, obs_id) AS obs_ids,
+       string_agg(BAND, '' ORDER BY BAND, MJD, obs_id) AS bands
+FROM r GROUP BY SNID, chunk""".replace("\n, r AS", ",\nr AS", 1))
+def q_nest_lightcurves_chunks(spark, d):
+    """AGG1 in bounded rows: consecutive chunks of at most 16 points, none left out."""
+    n = lc.nest_lightcurves(B.phot_ev(spark, d), max_points=16)
+    return n.select("SNID", "chunk", F.size("MJD").cast("long").alias("npts"),
+                    F.array_join(F.col("obs_id").cast("array<string>"), ",").alias("obs_ids"), F.array_join("BAND", "").alias("bands"))
+
+
 @query("explode_lightcurves", with_(PHOT_EV) + f"SELECT {PHOT_COLS} FROM phot_ev", PHOT_ROUND)
 def q_explode_lightcurves(spark, d):
     """AGG2: explode(nest(x)) == x."""

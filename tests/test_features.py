@@ -120,3 +120,23 @@ def test_hot_transients_in_chunks(spark):
         parts.setdefault(r.SNID, []).extend(r.mjd)
     assert parts == whole and set(whole) == {1, 2}
     assert hot_transients(df, 60002.0, 5.0, min_snr=50.0).count() == 2          # a zero error is no division by zero
+
+
+def test_band_features_in_chunks(spark):
+    """Chunks put together are the whole arrays, also where a band is cut into slices."""
+    from skyflux.operators.features import band_feature_chunks, band_features
+    rows = [(k, i, 60000.0 + (i * 37 % 101) / 10, "gri"[i % 3] if k else "z", float(i - 20), 1.0 + i % 3, i % 4) for k in (0, 1, 2) for i in range(60 * k + 1)]
+    df = spark.createDataFrame(rows, "SNID long, obs_id long, MJD double, BAND string, FLUXCAL double, FLUXCALERR double, PHOTFLAG int") \
+        .withColumn("ZP", F.col("FLUXCAL") * 2)
+    names = ["mjd", "fluxcal", "fluxcalerr", "photflag", "mag", "magerr", "snr", "delta_t", "zp"]
+    whole = {r.SNID: r.asDict() for r in band_features(df, extra=["ZP"]).collect()}
+    for rows_at_once in (10, 1_000_000):
+        got = band_feature_chunks(df, extra=["ZP"], max_points=7, max_rows=rows_at_once).collect()
+        assert {r.SNID for r in got} == {1, 2} and max(r.chunk for r in got) >= 5 and all(len(r.zp) <= 7 for r in got)
+        for k in (1, 2):
+            for b in "gri":
+                mine = sorted((r for r in got if (r.SNID, r.BAND) == (k, b)), key=lambda r: r.chunk)
+                for c in names:
+                    assert [x for r in mine for x in r[c]] == whole[k][f"{c}_{b}"]
+                assert {r.median_delta_t for r in mine} == {r.magobs for r in mine} == {whole[k][f"median_delta_t_{b}"]}
+    assert band_feature_chunks(df.limit(0)).count() == 0
