@@ -19,13 +19,21 @@ def write_lightcurves(curves: DataFrame, path: str, partition: str | list[str] =
      .write.mode(mode).option("maxRecordsPerFile", max_rows).options(**(bloom_options(key) if bloom else {})).partitionBy(*parts).parquet(path))
 
 
+#: Sizes a Bloom filter is tried at, halved from Parquet's largest (1 MB) down to about 1 KB.
+BLOOM_SIZES = 12
+
+
 def bloom_options(key: str, distinct: int | None = None) -> dict[str, str]:
     """Writer options for a Parquet Bloom filter on ``key`` in every row group, sized
-    for ``distinct`` values: a point lookup skips row groups whose range of ids
-    holds the wanted one but whose rows do not."""
+    for ``distinct`` values, or without it for those the row group turns out to hold
+    (else every file, however small, has one of 1 MB): a point lookup skips row
+    groups whose range of ids holds the wanted one but whose rows do not."""
     out = {f"parquet.bloom.filter.enabled#{key}": "true"}
     if distinct:
         out[f"parquet.bloom.filter.expected.ndv#{key}"] = str(distinct)
+    else:
+        out["parquet.bloom.filter.adaptive.enabled"] = "true"
+        out[f"parquet.bloom.filter.candidates.number#{key}"] = str(BLOOM_SIZES)
     return out
 
 

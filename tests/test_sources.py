@@ -247,3 +247,24 @@ def test_bloom_filters_skip_row_groups(spark, scratch):
     pq.write_lightcurves(curves, path)
     df = pq.read_lightcurves(spark, path, ["A"]).filter("SNID = 20001")
     assert df.count() == 0
+
+
+def test_bloom_filters_grow_with_the_values_of_a_file(spark, scratch):
+    """Small files have small filters (they were 1 MB each), which still skip row groups."""
+    import glob
+
+    from skyflux.sources import parquet as pq
+    path = scratch("bloom-small")
+    pq.write_lightcurves(spark.range(400).selectExpr("id * 2 as SNID", "id % 40 as class", "id as obs_id"), path)
+    sizes = [os.path.getsize(f) for f in glob.glob(local_path(path) + "/class=*/*.parquet")]
+    assert len(sizes) >= 40 and max(sizes) < 8_192
+
+    def scanned(rows, snid):
+        out = scratch("bloom-own")
+        (spark.range(rows).selectExpr("id * 2 as SNID").coalesce(1).write.option("parquet.enable.dictionary", "false")
+         .options(**pq.bloom_options("SNID")).parquet(out))
+        df = spark.read.parquet(out).filter(F.col("SNID") == snid)
+        n = len(df.collect())
+        return n, df._jdf.queryExecution().executedPlan().collectLeaves().head().metrics().apply("numOutputRows").value()
+    assert scanned(10, 7) == (0, 0) and scanned(20_000, 20_001) == (0, 0)
+    assert all(scanned(20_000, k)[0] == 1 for k in (0, 20_002, 39_998))
