@@ -129,7 +129,9 @@ def _archive_fixture(spark, d):
                     f.write(data)
         return pd.DataFrame({"night": [night], "n": [len(pdf)]})
 
-    a.groupBy("night", "block").applyInPandas(write_night, "night int, n long").collect()
+    # the rows are few bytes but a file or member each: tasks by cores, not merged by bytes
+    tasks = 8 * spark.sparkContext.defaultParallelism
+    a.repartition(tasks, "night", "block").groupBy("night", "block").applyInPandas(write_night, "night int, n long").collect()
     return base
 
 

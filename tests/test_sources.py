@@ -1,8 +1,10 @@
 """Text sources on hand-made files (DUMP, truth CSV, gentype map, template JSON)."""
 
 import gzip
+import io
 import json
 import os
+import tarfile
 
 import pytest
 from pyspark.sql import functions as F
@@ -268,3 +270,44 @@ def test_bloom_filters_grow_with_the_values_of_a_file(spark, scratch):
         return n, df._jdf.queryExecution().executedPlan().collectLeaves().head().metrics().apply("numOutputRows").value()
     assert scanned(10, 7) == (0, 0) and scanned(20_000, 20_001) == (0, 0)
     assert all(scanned(20_000, k)[0] == 1 for k in (0, 20_002, 39_998))
+
+
+def test_loose_alerts_share_tasks_and_frames(spark, scratch):
+    """200 loose alerts: few tasks (there was one per 32 files), few frames (one
+    per file), every alert once; the settings of the caller's session stay."""
+    import pandas as pd
+    from skyflux.sources import archive as ar
+    base = local_path(scratch("loose"))
+    os.makedirs(f"{base}/n1/n2")
+    want = {(f"a{i}.avro" + (".gz" if i % 2 else ""), b"x%d" % i) for i in range(200)}
+    for name, data in want:
+        with open(f"{base}/n1/{'n2/' if len(data) == 3 else ''}{name}", "wb") as f:
+            f.write(gzip.compress(data) if name.endswith(".gz") else data)
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    df = ar.read_alert_archive(spark, base)
+    assert spark.conf.get("spark.sql.files.openCostInBytes") == before
+    assert not [t for t in spark.catalog.listTables("global_temp") if t.name.startswith("alert_files_")]
+    got = [(r.member, bytes(r.payload)) for r in df.collect()]
+    assert len(got) == 200 and set(got) == want
+    assert df.rdd.getNumPartitions() <= 5                      # 4 cores
+    frames = list(ar._unpack(iter([pd.DataFrame({"path": [f"p{i}.avro"] * 3, "content": [b"x"] * 3}) for i in range(4)])))
+    assert [len(f) for f in frames] == [12] and list(frames[0].columns) == ["archive", "member", "payload"]
+
+
+def test_unpacked_frames_are_bounded(monkeypatch):
+    """A frame ends at BATCH alerts or BATCH_BYTES of payload, within a file too; none is lost."""
+    import pandas as pd
+    from skyflux.sources import archive as ar
+    monkeypatch.setattr(ar, "BATCH", 5)
+    monkeypatch.setattr(ar, "BATCH_BYTES", 100)
+    buf = io.BytesIO()
+    with tarfile.open(fileobj=buf, mode="w:gz") as tf:
+        for i in range(12):
+            ti = tarfile.TarInfo(f"n/m{i}.avro")
+            ti.size = 1
+            tf.addfile(ti, io.BytesIO(b"y"))
+    files = pd.DataFrame({"path": ["d/t.tar.gz", "d/big.avro", "d/skip.txt", "d/last.avro"],
+                          "content": [buf.getvalue(), b"z" * 150, b"-", b"w"]})
+    frames = list(ar._unpack(iter([files])))
+    assert [len(f) for f in frames] == [5, 5, 3, 1]
+    assert [m for f in frames for m in f["member"]] == [f"m{i}.avro" for i in range(12)] + ["big.avro", "last.avro"]
